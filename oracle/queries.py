@@ -39,4 +39,5 @@ SELECT * FROM attrs WHERE customer_id IN (SELECT customer_id FROM me_cust)""",
 
 
 def oracle_queries() -> dict[str, str]:
-    return {k: with_ctes(v) for k, v in BODIES.items()}
+    from oracle.notebook import BODIES as NOTEBOOK
+    return {k: with_ctes(v) for k, v in {**BODIES, **NOTEBOOK}.items()}

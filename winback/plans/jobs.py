@@ -63,3 +63,30 @@ def stage_population(fx: Fixtures, master: DataFrame, link: DataFrame | None = N
     """Statement 5 (ME_CUST_POP); the master table is a parameter."""
     link = stage_segment_link(fx) if link is None else link
     return segment_population(master, link)
+
+
+# ---- notebook chain ---------------------------------------------------------------
+
+def stage_prepared(fx: Fixtures) -> DataFrame:
+    """Coverage drop -> imputation -> derived labels -> drop source flags ->
+    one-hot encoding of the six categoricals (the training notebook's
+    cleaning steps, in an order where each column exists when it is used)."""
+    from winback.operators import prep, quality
+    w = quality.drop_low_coverage(fx.prep_wide())
+    w = prep.impute(w)
+    w = prep.with_buying_channel(w)
+    w = prep.with_clean_gender(w)
+    w = w.drop("pre_src_order", "pre_coupon_flag")
+    return prep.one_hot(w)
+
+
+def stage_labelled(fx: Fixtures) -> DataFrame:
+    from winback.operators import prep
+    return prep.label_index(fx.prep_wide())
+
+
+def stage_split(fx: Fixtures) -> DataFrame:
+    """(customer_id, label, split): exact stratified 65/17.5/17.5 by id."""
+    from winback.operators import prep
+    lab = stage_labelled(fx).select("customer_id", "label")
+    return prep.stratified_split(lab, "label", ["customer_id"])

@@ -108,3 +108,141 @@ def q_segment_population(spark, sf_dir):
     attrs = jobs.stage_attributes(fx)
     link = jobs.stage_segment_link(fx, attrs)
     return jobs.stage_population(fx, attrs, link)
+
+
+# ---- data quality -------------------------------------------------------------------
+
+from winback.operators import metrics, prep, quality, weights  # noqa: E402
+
+
+@query("null_report")
+def q_null_report(spark, sf_dir):
+    return quality.null_report(Fixtures(spark, sf_dir).prep_wide())
+
+
+@query("coverage")
+def q_coverage(spark, sf_dir):
+    return quality.coverage(Fixtures(spark, sf_dir).prep_wide())
+
+
+@query("drop_low_coverage")
+def q_drop_low_coverage(spark, sf_dir):
+    return quality.drop_low_coverage(Fixtures(spark, sf_dir).prep_wide())
+
+
+@query("profile")
+def q_profile(spark, sf_dir):
+    return quality.profile(Fixtures(spark, sf_dir).prep_wide(), exact=True)
+
+
+@query("top_values")
+def q_top_values(spark, sf_dir):
+    return quality.top_values(Fixtures(spark, sf_dir).prep_wide(), k=20)
+
+
+@query("histogram")
+def q_histogram(spark, sf_dir):
+    return quality.histogram(Fixtures(spark, sf_dir).prep_wide(), bins=50)
+
+
+@query("dedup")
+def q_dedup(spark, sf_dir):
+    trans = jobs.stage_transactions(Fixtures(spark, sf_dir))
+    return quality.drop_duplicates(trans, ["customer_id", "transaction_booked_date"],
+                                   ["transaction_guid"])
+
+
+@query("dedup_report")
+def q_dedup_report(spark, sf_dir):
+    trans = jobs.stage_transactions(Fixtures(spark, sf_dir))
+    after = quality.drop_duplicates(trans, ["customer_id", "transaction_booked_date"],
+                                    ["transaction_guid"])
+    return quality.duplicate_report(trans, after)
+
+
+# ---- preparation --------------------------------------------------------------------
+
+@query("recast")
+def q_recast(spark, sf_dir):
+    return prep.recast(Fixtures(spark, sf_dir).prep_wide())
+
+
+@query("impute")
+def q_impute(spark, sf_dir):
+    return prep.impute(Fixtures(spark, sf_dir).prep_wide())
+
+
+@query("impute_scoring")
+def q_impute_scoring(spark, sf_dir):
+    return prep.impute_scoring(Fixtures(spark, sf_dir).propensity_training(),
+                               keep=("customer_id", "pdm_prod_type_id"))
+
+
+@query("buying_channel")
+def q_buying_channel(spark, sf_dir):
+    w = Fixtures(spark, sf_dir).prep_wide().select("customer_id", "pre_src_order")
+    return prep.with_buying_channel(w)
+
+
+@query("gender_clean")
+def q_gender_clean(spark, sf_dir):
+    w = Fixtures(spark, sf_dir).prep_wide()
+    return w.select("customer_id", F.col("gender").alias("gender_raw"),
+                    prep.rules.clean_gender("gender").alias("gender"))
+
+
+@query("one_hot")
+def q_one_hot(spark, sf_dir):
+    return jobs.stage_prepared(Fixtures(spark, sf_dir))
+
+
+@query("label_index")
+def q_label_index(spark, sf_dir):
+    return jobs.stage_labelled(Fixtures(spark, sf_dir)).select(
+        "customer_id", "reactivation_channel", "label")
+
+
+@query("split_counts")
+def q_split_counts(spark, sf_dir):
+    s = jobs.stage_split(Fixtures(spark, sf_dir))
+    return weights.class_counts(s, "label", by="split")
+
+
+SCALE_COLS = ["time_interval", "BUYS_Q_01", "COUPON_Q_01", "BBB_R_2Y", "X_DECILE",
+              "PH_DM_RECENCY"]
+
+
+@query("standard_scale")
+def q_standard_scale(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    data = prep.impute(fx.prep_wide()).select("customer_id", *SCALE_COLS)
+    s = jobs.stage_split(fx).select("customer_id", "split")
+    j = data.join(s, "customer_id")
+    stats = prep.fit_standard_scaler(j.where(F.col("split") == "train"), SCALE_COLS)
+    return prep.apply_standard_scaler(j, stats, digits=6)
+
+
+@query("class_weights")
+def q_class_weights(spark, sf_dir):
+    return weights.class_weights(jobs.stage_labelled(Fixtures(spark, sf_dir)), "label")
+
+
+@query("sample_weights")
+def q_sample_weights(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    s = jobs.stage_split(fx)
+    coef = weights.max_class_share(s, "label")
+    train = s.where(F.col("split") == "train").select("customer_id", "label")
+    return weights.sample_weights(train, coef, "label")
+
+
+# ---- metrics ------------------------------------------------------------------------
+
+@query("confusion")
+def q_confusion(spark, sf_dir):
+    return metrics.confusion(Fixtures(spark, sf_dir).predictions())
+
+
+@query("class_report")
+def q_class_report(spark, sf_dir):
+    return metrics.class_report(Fixtures(spark, sf_dir).predictions())

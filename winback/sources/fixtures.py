@@ -224,7 +224,8 @@ class Fixtures:
     # -- wide preparation table (notebook input) -------------------------------
     def prep_wide(self) -> DataFrame:
         """One row per customer with columns named to hit every name-pattern
-        rule and NULLs at fixed residues (coverage 70, 59.5, 43, 0 percent)."""
+        rule and NULLs at fixed residues (coverage 70, exactly 60 -> kept,
+        57 -> reported 56 by the truncation, 0 -> dropped)."""
         c = self.t("customer")
         k, bal, nat = F.col("c_custkey"), F.col("c_acctbal"), F.col("c_nationkey")
         null_if = lambda cond, val: F.when(cond, F.lit(None)).otherwise(val)
@@ -243,8 +244,8 @@ class Fixtures:
             _pick(["Y", "N"], k % 2).alias("pre_coupon_flag"),
             (k % 400 + 30).cast("int").alias("time_interval"),
             null_if(k % 10 < 3, F.floor(bal / 100).cast("double")).alias("BUYS_Q_01"),
-            null_if(k % 200 < 81, (k % 17).cast("double")).alias("COUPON_Q_01"),
-            null_if(k % 100 < 57, (nat % 2).cast("double")).alias("A_X"),
+            null_if(k % 150 < 60, (k % 17).cast("double")).alias("COUPON_Q_01"),
+            null_if(k % 100 < 43, (nat % 2).cast("double")).alias("A_X"),
             bal.alias("BBB_R_2Y"),
             (k % 9).cast("string").alias("PCT_T"),
             null_if(k % 4 == 0, (k % 10 + 1).cast("double")).alias("X_DECILE"),
@@ -252,6 +253,63 @@ class Fixtures:
             F.lit(None).cast("double").alias("BBB_EMPTY"),
             F.when(k % 7 == 0, "n/a").otherwise((k % 3).cast("string")).alias("MOVER"))
 
+    def predictions(self) -> DataFrame:
+        """Deterministic (label, prediction) pairs for the metric operators:
+        label = alphabetical class index of prep_wide's channel, prediction a
+        rule that is right for one customer in five plus chance."""
+        w = self.prep_wide()
+        k = F.col("customer_id")
+        label = (F.when(F.col("reactivation_channel") == "DM", 0)
+                 .when(F.col("reactivation_channel") == "Others", 1).otherwise(2))
+        return w.select("customer_id", label.alias("label")).select(
+            "customer_id", "label",
+            F.when(k % 5 == 4, F.col("label")).otherwise((k % 5 % 3).cast("int")).alias("prediction"))
+
+    def product_types(self) -> DataFrame:
+        """Product list: one id per part type, by alphabetical rank. The rank
+        window has no partition key; its input is the distinct type list (a
+        catalogue, bounded by the number of product types)."""
+        from pyspark.sql import Window
+        types = self.t("part").select("p_type").distinct()
+        return types.select("p_type", F.dense_rank().over(Window.orderBy("p_type"))
+                            .cast("int").alias("pdm_prod_type_id"))
+
+    def propensity_training(self) -> DataFrame:
+        """One row per distinct (customer, product type) bought, with 13
+        customer features (NULLs at fixed residues, one text column with bad
+        numbers), as the product-propensity models read them."""
+        li = self.t("lineitem").select("l_orderkey", "l_partkey")
+        o = self.t("orders").select("o_orderkey", "o_custkey", "o_totalprice")
+        p = self.t("part").select("p_partkey", "p_type")
+        pairs = (li.join(o.select("o_orderkey", "o_custkey"), li.l_orderkey == o.o_orderkey)
+                 .join(p, li.l_partkey == p.p_partkey)
+                 .select(F.col("o_custkey").alias("customer_id"), "p_type").distinct())
+        from winback.session import broadcast_if_small
+        pairs = pairs.join(broadcast_if_small(self.product_types(), 100_000), "p_type")
+        stats = o.groupBy(F.col("o_custkey").alias("s_customer")).agg(
+            F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("s"))
+        c = self.t("customer").select("c_custkey", "c_acctbal", "c_nationkey")
+        j = (pairs.join(stats, pairs.customer_id == stats.s_customer)
+             .join(c, pairs.customer_id == c.c_custkey))
+        k, n, sm = F.col("customer_id"), F.col("n"), F.col("s")
+        null_if = lambda cond, val: F.when(cond, F.lit(None)).otherwise(val)
+        return j.select(
+            "customer_id", "pdm_prod_type_id",
+            null_if(k % 7 == 0, (k % 10 + 1).cast("double")).alias("BBB_INSTORE_M_DECILE_2Y"),
+            F.col("c_acctbal").alias("A_AAP000447N_ASET_PRPN_DIS_INC"),
+            (k % 400 + 30).cast("int").alias("time_interval"),
+            null_if(k % 5 == 0, (n * 10).cast("double")).alias("PH_DM_RECENCY"),
+            F.floor(sm / n).cast("double").alias("AVG_NET_SALES_PER_TXN"),
+            null_if(k % 3 == 0, n.cast("double")).alias("COUPON_SALES_Q_08"),
+            F.when((F.col("c_nationkey") % 6).isin(0, 5), 1).otherwise(0)
+             .alias("A_A3101N_RACE_WHITE"),
+            null_if(k % 4 == 0, (k % 700).cast("double")).alias("BBB_R_2Y"),
+            F.when(k % 7 == 0, "n/a").otherwise((k % 2).cast("string")).alias("MOVER"),
+            (n % 5).cast("int").alias("NUM_MERCH_DIVISIONS"),
+            F.floor(sm / n / 1000).cast("double").alias("AVG_TOTAL_ITEMS_PER_TXN"),
+            (k % 3000).cast("double").alias("A_A8588N_HM_SQR_FT"),
+            ((k % 100) / 100.0).cast("double").alias("PH_MREDEEM730D_PERC"))
+
 
 def union_all(frames) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
