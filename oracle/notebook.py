@@ -233,3 +233,24 @@ FROM tr JOIN w ON tr.label = w.label""",
     "confusion": "SELECT label, prediction, count(*) AS n FROM predictions GROUP BY 1, 2",
     "class_report": _REPORT,
 }
+
+
+_PRODUCTS = [1, 2, 3, 4, 5, 6]  # six part types at every scale factor
+
+BODIES.update({
+    "product_targets": "SELECT customer_id, pdm_prod_type_id, " + ", ".join(
+        f"CASE WHEN pdm_prod_type_id = {p} THEN 1 ELSE 0 END AS target_{p}" for p in _PRODUCTS)
+        + " FROM propensity_training",
+    "pivot_wide": "SELECT customer_id, " + ", ".join(
+        f"max(CASE WHEN pdm_prod_type_id = {p} THEN lines END) AS p{p}" for p in _PRODUCTS) + """
+FROM (SELECT o.o_custkey AS customer_id, pt.pdm_prod_type_id, count(*) AS lines
+      FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+      JOIN part p ON l.l_partkey = p.p_partkey JOIN product_types pt ON p.p_type = pt.p_type
+      GROUP BY 1, 2)
+GROUP BY customer_id""",
+    "sample_limit": """
+SELECT * FROM propensity_training ORDER BY customer_id, pdm_prod_type_id LIMIT 1000""",
+    "sort_mixed": "SELECT * FROM reactive ORDER BY customer_id, DM_Flag DESC",
+    "roundtrip_table": "SELECT * FROM reactive",
+    "roundtrip_csv": _NULLS,
+})

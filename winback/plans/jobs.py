@@ -90,3 +90,25 @@ def stage_split(fx: Fixtures) -> DataFrame:
     from winback.operators import prep
     lab = stage_labelled(fx).select("customer_id", "label")
     return prep.stratified_split(lab, "label", ["customer_id"])
+
+
+def stage_model_frame(fx: Fixtures):
+    """Training frame of the channel classifier: prepared + recast +
+    label + split, remaining NULL features set to 0, scaled with train
+    statistics, balanced sample weights on train rows. Returns
+    (frame, feature names)."""
+    from pyspark.sql import functions as F
+    from winback.operators import prep, quality, weights
+    w = prep.recast(stage_prepared(fx))
+    w = prep.label_index(w)
+    split = stage_split(fx).select(F.col("customer_id").alias("_sid"), "split")
+    w = w.join(split, w.customer_id == split._sid).drop("_sid")
+    feats = [c for c in quality.numeric_columns(w) if c not in ("customer_id", "label")]
+    w = w.na.fill(0.0, subset=feats)
+    stats = prep.fit_standard_scaler(w.where(F.col("split") == "train"), feats)
+    w = prep.apply_standard_scaler(w, stats)
+    coef = weights.max_class_share(w, "label")
+    weighted = weights.sample_weights(w.where(F.col("split") == "train"), coef, "label")
+    w = weighted.unionByName(w.where(F.col("split") != "train")
+                             .withColumn("sample_weight", F.lit(1.0)))
+    return w, feats

@@ -246,3 +246,123 @@ def q_confusion(spark, sf_dir):
 @query("class_report")
 def q_class_report(spark, sf_dir):
     return metrics.class_report(Fixtures(spark, sf_dir).predictions())
+
+
+# ---- models -------------------------------------------------------------------------
+
+from winback.operators import model as mdl  # noqa: E402
+from winback.operators import propensity as prop  # noqa: E402
+from winback.sources import io as sink  # noqa: E402
+from winback.session import broadcast_if_small  # noqa: E402
+from winback.sources.tables import limited_scan  # noqa: E402
+
+# Product-model size used by the registered queries: the original's 1,000
+# trees at rate 0.01 are a parameter default (prop.PRODUCT_MODEL); the
+# registered run uses 10 trees at rate 0.1 to keep the check short.
+QUERY_PRODUCT_MODEL = {"maxIter": 10, "maxDepth": 5, "stepSize": 0.1,
+                       "subsamplingRate": 0.9, "featureSubsetStrategy": "0.6"}
+
+
+@query("feature_importance_topk")
+def q_feature_importance_topk(spark, sf_dir):
+    frame, feats = jobs.stage_model_frame(Fixtures(spark, sf_dir))
+    train = frame.where(F.col("split") == "train")
+    m = mdl.fit(train, feats, mdl.forest(num_trees=50, max_depth=6))
+    return mdl.feature_importance(m, feats, spark, k=mdl.TOP_FEATURES)
+
+
+@query("tuning_trials")
+def q_tuning_trials(spark, sf_dir):
+    frame, feats = jobs.stage_model_frame(Fixtures(spark, sf_dir))
+    frame = frame.cache()
+    train = frame.where(F.col("split") == "train")
+    valid = frame.where(F.col("split") == "valid")
+    return mdl.random_search(train, valid, feats, trials=mdl.TRIALS, num_trees=mdl.N_TREES)
+
+
+@query("channel_model_report")
+def q_channel_model_report(spark, sf_dir):
+    """Final fit on train, classification report on test rows."""
+    frame, feats = jobs.stage_model_frame(Fixtures(spark, sf_dir))
+    train = frame.where(F.col("split") == "train")
+    test = frame.where(F.col("split") == "test")
+    m = mdl.fit(train, feats, mdl.forest(num_trees=50, max_depth=8))
+    pred = mdl.predict(m, test).withColumn("prediction", F.col("prediction").cast("int"))
+    return metrics.class_report(pred, "label", "prediction")
+
+
+@query("product_targets")
+def q_product_targets(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    t = fx.propensity_training().select("customer_id", "pdm_prod_type_id")
+    return prop.product_targets(t, prop.product_ids(fx.product_types()))
+
+
+def _propensity(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    training = fx.propensity_training()
+    products = prop.product_ids(fx.product_types())
+    models = prop.fit_product_models(training, products, params=QUERY_PRODUCT_MODEL)
+    score = training.drop("pdm_prod_type_id").distinct()
+    return prop.score_wide(score, models), products
+
+
+@query("propensity_wide")
+def q_propensity_wide(spark, sf_dir):
+    return _propensity(spark, sf_dir)[0]
+
+
+@query("propensity_long")
+def q_propensity_long(spark, sf_dir):
+    wide, products = _propensity(spark, sf_dir)
+    return prop.wide_to_long(wide, products)
+
+
+@query("pivot_wide")
+def q_pivot_wide(spark, sf_dir):
+    """Long (customer, product, line count) -> one column per product."""
+    fx = Fixtures(spark, sf_dir)
+    li = fx.t("lineitem").select("l_orderkey", "l_partkey")
+    o = fx.t("orders").select("o_orderkey", "o_custkey")
+    p = fx.t("part").select("p_partkey", "p_type")
+    long = (li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+            .join(broadcast_if_small(fx.product_types(), 100_000), "p_type")
+            .groupBy(F.col("o_custkey").alias("customer_id"), "pdm_prod_type_id")
+            .agg(F.count(F.lit(1)).alias("lines")))
+    return prop.pivot_wide(long, "customer_id", "pdm_prod_type_id", "lines",
+                           prop.product_ids(fx.product_types()))
+
+
+# ---- scans, sorts, sinks --------------------------------------------------------------
+
+@query("sample_limit")
+def q_sample_limit(spark, sf_dir):
+    t = Fixtures(spark, sf_dir).propensity_training()
+    return limited_scan(t, 1000, ["customer_id", "pdm_prod_type_id"])
+
+
+@query("sample_fraction")
+def q_sample_fraction(spark, sf_dir):
+    return prep.sample_rows(Fixtures(spark, sf_dir).propensity_training(), 0.6)
+
+
+@query("sort_mixed")
+def q_sort_mixed(spark, sf_dir):
+    from winback.operators.attribution import sorted_globally
+    return sorted_globally(jobs.stage_channel(Fixtures(spark, sf_dir)))
+
+
+@query("roundtrip_table")
+def q_roundtrip_table(spark, sf_dir):
+    from winback.operators.attribution import sorted_for_sink
+    df = jobs.stage_channel(Fixtures(spark, sf_dir))
+    sink.write_table(sorted_for_sink(df), sink.scratch_path(spark, "reactive"))
+    return spark.read.parquet(sink.scratch_path(spark, "reactive"))
+
+
+@query("roundtrip_csv")
+def q_roundtrip_csv(spark, sf_dir):
+    rep = quality.null_report(Fixtures(spark, sf_dir).prep_wide())
+    path = sink.scratch_path(spark, "null_report_csv")
+    sink.write_csv(rep.coalesce(1), path)
+    return sink.read_csv(spark, path, "column_name string, null_count bigint, row_count bigint")
