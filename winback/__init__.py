@@ -1,0 +1 @@
+"""winback: customer-reactivation analytics as composable Spark DataFrame operators."""

@@ -19,6 +19,10 @@ _SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # PySpark 4 records a Python call site in the JVM for every DataFrame /
+    # functions call (error context). Wide plans make thousands of such calls
+    # on the driver; turning it off removes a JVM round trip per call.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

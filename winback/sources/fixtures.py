@@ -46,16 +46,32 @@ def _address(custkey: Column) -> Column:
     return custkey * 10 + 1
 
 
+def _memo(fn):
+    """Build a view once per Fixtures instance: repeated use returns the same
+    lazy DataFrame, so the plan holds identical subtrees (exchange reuse) and
+    the files are listed once."""
+    def wrapper(self, *args):
+        key = (fn.__name__,) + args
+        if key not in self._views:
+            self._views[key] = fn(self, *args)
+        return self._views[key]
+    wrapper.__name__, wrapper.__doc__ = fn.__name__, fn.__doc__
+    return wrapper
+
+
 class Fixtures:
     """All fixture views over one test-data directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = AS_OF):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
+        self._views: dict = {}
 
+    @_memo
     def t(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
     # -- transactions ------------------------------------------------------
+    @_memo
     def txn(self) -> DataFrame:
         o = self.t("orders")
         key, status = F.col("o_orderkey"), F.col("o_orderstatus")
@@ -72,6 +88,7 @@ class Fixtures:
             F.when(status == "F", "U").when(status == "O", "W")
              .alias("ecom_order_source_code"))
 
+    @_memo
     def txn_xref(self) -> DataFrame:
         o = self.t("orders")
         return o.select(
@@ -79,6 +96,7 @@ class Fixtures:
             F.when(F.col("o_custkey") % 50 == 0, F.lit(0).cast("bigint"))
              .otherwise(F.col("o_custkey")).alias("customer_id"))
 
+    @_memo
     def web_touch(self) -> DataFrame:
         o = self.t("orders")
         key = F.col("o_orderkey")
@@ -87,6 +105,7 @@ class Fixtures:
                          _pick(CHANNELS, key % 16).alias("last_touch_channel")))
 
     # -- campaigns -----------------------------------------------------------
+    @_memo
     def _exposed_lines(self) -> DataFrame:
         li = self.t("lineitem").where(F.col("l_returnflag").isin("R", "A"))
         return li.select(
@@ -94,6 +113,7 @@ class Fixtures:
             (F.col("l_orderkey") * 10 +
              F.when(F.col("l_returnflag") == "R", 1).otherwise(2)).alias("barcode"))
 
+    @_memo
     def coupon_event(self) -> DataFrame:
         lines = self._exposed_lines()
         return (lines.groupBy("barcode", "l_returnflag")
@@ -105,6 +125,7 @@ class Fixtures:
                          .otherwise("Fall Main Event - Email")
                          .alias("COUPON_EVENT_KEY_DESC")))
 
+    @_memo
     def campaign_hist(self) -> DataFrame:
         lines = self._exposed_lines().select("l_orderkey", "barcode")
         o = self.t("orders").select("o_orderkey", "o_custkey")
@@ -120,6 +141,7 @@ class Fixtures:
             F.when(F.col("o_orderkey") % 9 == 0, F.lit(None).cast("string"))
              .otherwise("D").alias("DLVRY_STATUS_CD"))
 
+    @_memo
     def cust_skid(self) -> DataFrame:
         c = self.t("customer").select("c_custkey")
         base = c.select((F.col("c_custkey") + 100000).alias("CUST_HHLD_ADDR_SKID"),
@@ -128,12 +150,14 @@ class Fixtures:
         dup = base.where(F.col("CURRENT_CUSTOMER_ID") % 3 == 0)
         return base.unionByName(dup)
 
+    @_memo
     def time_dim(self) -> DataFrame:
         d = self.t("orders").select(F.to_date("o_orderdate").alias("GREGORIAN_CALENDAR_DATE")).distinct()
         return d.withColumn("FISCAL_PERIOD_ID",
                             F.year("GREGORIAN_CALENDAR_DATE") * 100 + F.month("GREGORIAN_CALENDAR_DATE"))
 
     # -- customers -----------------------------------------------------------
+    @_memo
     def customer_curr(self) -> DataFrame:
         c = self.t("customer")
         k = F.col("c_custkey")
@@ -144,6 +168,7 @@ class Fixtures:
         return _pick(INCOME_CODES, F.array_position(
             F.array(*[F.lit(s) for s in SEGMENTS]), F.col("c_mktsegment")) - 1)
 
+    @_memo
     def cdg_info(self) -> DataFrame:
         c = self.t("customer")
         k = F.col("c_custkey")
@@ -152,6 +177,7 @@ class Fixtures:
                          .otherwise((1930 + k % 60).cast("string")).alias("DOB_YR_INDIV_1"),
                         self._income_code().alias("INC_ESTMT_HHLD_CD"))
 
+    @_memo
     def income_lookup(self) -> DataFrame:
         codes = (self.t("customer").select(self._income_code().alias("INC_ESTMT_HHLD_CD"))
                  .distinct().where(F.col("INC_ESTMT_HHLD_CD") != "E"))
@@ -159,6 +185,7 @@ class Fixtures:
         return codes.select("INC_ESTMT_HHLD_CD",
                             desc[F.col("INC_ESTMT_HHLD_CD")].alias("INC_ESTMT_HHLD_DESC"))
 
+    @_memo
     def demo_individual(self) -> DataFrame:
         c = self.t("customer")
         k, n6 = F.col("c_custkey"), F.col("c_nationkey") % 6
@@ -169,22 +196,26 @@ class Fixtures:
             flag(0, 5).alias("A3101N_RACE_WHITE"), flag(1, 5).alias("A3101N_RACE_HISP"),
             flag(2).alias("A3101N_RACE_AFRAM"), flag(3).alias("A3101N_RACE_ASIAN"))
 
+    @_memo
     def customer_address(self) -> DataFrame:
         c = self.t("customer")
         k = F.col("c_custkey")
         return c.select(k.alias("CUSTOMER_ID"), _address(k).alias("ADDRESS_ID"),
                         F.when(k % 13 == 0, "N").otherwise("Y").alias("PREFD_CUST_IND"))
 
+    @_memo
     def address_mstr(self) -> DataFrame:
         c = self.t("customer")
         a = _address(F.col("c_custkey"))
         return c.select(a.alias("ADDRESS_ID"), a.alias("MAILING_ADDRESS_ID"))
 
+    @_memo
     def mailing_address(self) -> DataFrame:
         c = self.t("customer")
         return c.select(_address(F.col("c_custkey")).alias("MAILING_ADDRESS_ID"),
                         _pick(TERRITORIES, F.col("c_nationkey")).alias("TERRITORY_CD"))
 
+    @_memo
     def address_segments(self) -> DataFrame:
         c = self.t("customer").where(F.col("c_mktsegment") == "BUILDING")
         base = c.select(_address(F.col("c_custkey")).alias("ADDRESS_ID"),
@@ -193,6 +224,7 @@ class Fixtures:
                         F.col("c_custkey"))
         return base.unionByName(base.where(F.col("c_custkey") % 2 == 0)).drop("c_custkey")
 
+    @_memo
     def persona_hist(self) -> DataFrame:
         e = self.t("events")
         return e.select(F.col("user_id").alias("customer_id"),
@@ -200,6 +232,7 @@ class Fixtures:
                         F.col("event_type").alias("Persona"))
 
     # -- feature snapshots -----------------------------------------------------
+    @_memo
     def snapshots(self) -> DataFrame:
         """(address_guid, fiscal_period_id) -> count / sum / avg / decile of order value."""
         from pyspark.sql import Window
@@ -212,6 +245,7 @@ class Fixtures:
         w = Window.partitionBy("fiscal_period_id").orderBy("m_sum", "address_guid")
         return g.withColumn("m_decile", F.ntile(10).over(w).cast("double"))
 
+    @_memo
     def feature_table(self, alias: str) -> DataFrame:
         """Snapshot table ``alias`` with the source columns the attribute
         projection reads from it; each column is one stand-in measure."""
@@ -222,6 +256,7 @@ class Fixtures:
         return self.snapshots().select("address_guid", "fiscal_period_id", *cols)
 
     # -- wide preparation table (notebook input) -------------------------------
+    @_memo
     def prep_wide(self) -> DataFrame:
         """One row per customer with columns named to hit every name-pattern
         rule and NULLs at fixed residues (coverage 70, exactly 60 -> kept,
@@ -253,6 +288,7 @@ class Fixtures:
             F.lit(None).cast("double").alias("BBB_EMPTY"),
             F.when(k % 7 == 0, "n/a").otherwise((k % 3).cast("string")).alias("MOVER"))
 
+    @_memo
     def predictions(self) -> DataFrame:
         """Deterministic (label, prediction) pairs for the metric operators:
         label = alphabetical class index of prep_wide's channel, prediction a
@@ -265,6 +301,7 @@ class Fixtures:
             "customer_id", "label",
             F.when(k % 5 == 4, F.col("label")).otherwise((k % 5 % 3).cast("int")).alias("prediction"))
 
+    @_memo
     def product_types(self) -> DataFrame:
         """Product list: one id per part type, by alphabetical rank. The rank
         window has no partition key; its input is the distinct type list (a
@@ -274,6 +311,7 @@ class Fixtures:
         return types.select("p_type", F.dense_rank().over(Window.orderBy("p_type"))
                             .cast("int").alias("pdm_prod_type_id"))
 
+    @_memo
     def propensity_training(self) -> DataFrame:
         """One row per distinct (customer, product type) bought, with 13
         customer features (NULLs at fixed residues, one text column with bad

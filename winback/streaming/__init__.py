@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reactivation pipeline has no streaming semantics: its 14-day exposure
+window and 2-year history window are batch predicates over stored tables, and
+there is no watermark, state or late-data rule to carry over. Nothing is
+built here; the batch operators run unchanged inside ``foreachBatch`` should
+a caller want micro-batch refreshes.
+"""
