@@ -41,7 +41,8 @@ _PROFILE = ("SELECT * FROM (" + " UNION ALL\n".join(_profile_part(c, n) for c, n
 _TOP = """
 SELECT column_name, value, value_count, value_rank FROM (
   SELECT column_name, value, value_count,
-         row_number() OVER (PARTITION BY column_name ORDER BY value_count DESC, value) AS value_rank
+         CAST(row_number() OVER (PARTITION BY column_name ORDER BY value_count DESC, value) AS INTEGER)
+           AS value_rank
   FROM (SELECT column_name, value, count(*) AS value_count FROM (
         """ + " UNION ALL\n        ".join(
     f"SELECT '{c}' AS column_name, {c} AS value FROM prep_wide" for c in TEXT) + """
@@ -84,7 +85,7 @@ _LEVELS = {
     "Pre_Buying_Channel": ["Instore", "Online"],
 }
 _ENC = ",\n       ".join(
-    f"CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END AS \"{c}_{v}\""
+    f"CAST(CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS DOUBLE) AS \"{c}_{v}\""
     for c, lv in _LEVELS.items() for v in lv[1:])
 
 _ONE_HOT = f"""

@@ -34,6 +34,10 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+_TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+             "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -76,10 +80,16 @@ def compare(spark, con, name, qfn, sql, sf_dir):
     sc, sr = canon(s_cols, s_rows)
     dc, dr = canon(d_cols, d_rows)
     ok_cols = sc == dc
+    s_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    d_types = {d[0]: str(d[1]) for d in res.description}
+    type_issues = {c: (s_types[c], d_types.get(c)) for c in s_types
+                   if c in d_types and _TYPE_MAP.get(s_types[c], s_types[c]) != d_types[c]}
     ok_n = len(sr) == len(dr)
     ok_hash = ok_cols and digest(sr) == digest(dr)
     info = dict(query=name, cols=ok_cols, rows=(len(sr), len(dr)), hash=ok_hash,
                 spark_sec=round(t1 - t0, 2))
+    if type_issues:
+        info["types"] = type_issues
     if not ok_cols:
         info["spark_only"] = sorted(set(sc) - set(dc))
         info["duck_only"] = sorted(set(dc) - set(sc))

@@ -137,3 +137,16 @@ def test_pivot_duplicates_raise(spark):
     long = spark.createDataFrame([(1, 1, 0.5), (1, 1, 0.7)], "customer_id int, k int, p double")
     with pytest.raises(Exception):
         pivot_wide(long, "customer_id", "k", "p", [1]).collect()
+
+
+def test_distributed_ntile_equals_window_ntile(spark):
+    from pyspark.sql import Window
+    from winback.operators.ranking import ntile_within_group
+    rows = [(g, i, (i * 37) % 101) for g, n in ((1, 3), (2, 10), (3, 23), (4, 400))
+            for i in range(n)]
+    df = spark.createDataFrame(rows, "g int, id int, v int").repartition(7)
+    want = df.withColumn("t", F.ntile(10).over(Window.partitionBy("g").orderBy("v", "id")))
+    got = ntile_within_group(df, "g", ["v", "id"], 10, "t")
+    key = lambda r: (r.g, r.id)
+    assert sorted(((r.g, r.id, r.t) for r in want.collect()), key=lambda t: t[:2]) == \
+        sorted(((r.g, r.id, r.t) for r in got.collect()), key=lambda t: t[:2])

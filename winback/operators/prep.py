@@ -12,14 +12,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from winback.functions import rules
 from winback.functions.numeric import to_number
 from winback.operators.quality import mode_value
-from winback.session import broadcast_if_small, ensure_checkpoint_dir
+from winback.operators.ranking import rank_within_group
 
 Pattern = str | Callable[[str], bool]
 MODE = object()  # impute with the column's most frequent value
@@ -156,37 +156,6 @@ def label_table(spark, classes: list[str]) -> DataFrame:
                                  "label int, class_name string")
 
 
-def rank_within_group(df: DataFrame, group: str, order_cols: Sequence[str],
-                      num_partitions: int | None = None) -> DataFrame:
-    """Exact 1-based rank of each row inside its ``group`` by ``order_cols``
-    (unique per group), without putting a group into one task.
-
-    Rows are range-partitioned on (group, order) so a large group spans many
-    tasks; ids are numbered inside each sorted partition and the lineage is
-    cut with a checkpoint so the numbering is stable under retries. A small
-    (partition x group) count table gives each partition its offset; the
-    rank is offset + position."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = (df.repartitionByRange(n, group, *order_cols)
-         .sortWithinPartitions(group, *order_cols)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_mid", F.monotonically_increasing_id())
-         .checkpoint(eager=True))
-    stats = s.groupBy("_pid", group).agg(F.count(F.lit(1)).alias("_n"),
-                                         F.min("_mid").alias("_first"))
-    before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(group)
-    stats = stats.select("_pid", group, "_first",
-                         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-                         F.sum("_n").over(whole).alias("group_size"))
-    stats = broadcast_if_small(stats, 1_000_000)
-    j = s.join(stats, ["_pid", group])
-    return j.select(*df.columns, (F.col("_offset") + F.col("_mid") - F.col("_first") + 1)
-                    .alias("group_rank"), "group_size").drop("_pid", "_mid")
-
-
 def stratified_split(df: DataFrame, label_col: str, order_cols: Sequence[str],
                      fractions=SPLIT_FRACTIONS) -> DataFrame:
     """PREP-6: exact per-class split into train / valid / test.

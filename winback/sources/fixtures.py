@@ -235,15 +235,17 @@ class Fixtures:
     @_memo
     def snapshots(self) -> DataFrame:
         """(address_guid, fiscal_period_id) -> count / sum / avg / decile of order value."""
-        from pyspark.sql import Window
         o = self.t("orders")
         g = (o.groupBy(_address(F.col("o_custkey")).alias("address_guid"),
                        (F.year("o_orderdate") * 100 + F.month("o_orderdate")).alias("fiscal_period_id"))
              .agg(F.count(F.lit(1)).cast("double").alias("m_count"),
                   F.round(F.sum("o_totalprice"), 2).alias("m_sum"))
              .withColumn("m_avg", F.floor(F.col("m_sum") / F.col("m_count")).cast("double")))
-        w = Window.partitionBy("fiscal_period_id").orderBy("m_sum", "address_guid")
-        return g.withColumn("m_decile", F.ntile(10).over(w).cast("double"))
+        # ntile(10) per period, ordered by (sum, address), computed without a
+        # per-period window (one period would otherwise sort in one task)
+        from winback.operators.ranking import ntile_within_group
+        d = ntile_within_group(g, "fiscal_period_id", ["m_sum", "address_guid"], 10, "m_decile")
+        return d.withColumn("m_decile", F.col("m_decile").cast("double"))
 
     @_memo
     def feature_table(self, alias: str) -> DataFrame:
