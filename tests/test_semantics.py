@@ -150,3 +150,16 @@ def test_distributed_ntile_equals_window_ntile(spark):
     key = lambda r: (r.g, r.id)
     assert sorted(((r.g, r.id, r.t) for r in want.collect()), key=lambda t: t[:2]) == \
         sorted(((r.g, r.id, r.t) for r in got.collect()), key=lambda t: t[:2])
+
+
+def test_impute_strategies(spark):
+    from winback.operators.prep import MAX, MEAN, MEDIAN, MODE, impute
+    df = spark.createDataFrame([(1.0, "b", 1.0, 5.0), (3.0, "a", 2.0, None), (None, "b", None, 1.0),
+                                (2.0, None, 2.0, None), (2.0, "a", 9.0, 3.0)],
+                               "x_mean double, s_mode string, y_median double, z_max double")
+    rules = [("mean", MEAN), ("mode", MODE), ("median", MEDIAN), ("max", MAX)]
+    got = impute(df, rules).collect()
+    assert got[2].x_mean == 2.0
+    assert got[3].s_mode == "a"          # tie a/b (2 each) -> smallest value
+    assert got[2].y_median == 2.0
+    assert got[1].z_max == 5.0 and got[3].z_max == 5.0

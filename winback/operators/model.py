@@ -132,3 +132,14 @@ def random_search(train: DataFrame, valid: DataFrame, features: Sequence[str],
 def best_params(trials: DataFrame) -> dict:
     row = trials.orderBy(F.col("val_accuracy").desc(), F.col("trial")).first()
     return row.asDict()
+
+
+def save_model(model, path: str) -> str:
+    """ML-6: persist a fitted pipeline (overwrite; a path in the shared folder)."""
+    model.write().overwrite().save(path)
+    return path
+
+
+def load_model(path: str):
+    from pyspark.ml import PipelineModel
+    return PipelineModel.load(path)

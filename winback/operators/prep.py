@@ -18,11 +18,24 @@ from pyspark.sql import types as T
 
 from winback.functions import rules
 from winback.functions.numeric import to_number
-from winback.operators.quality import mode_value
 from winback.operators.ranking import rank_within_group
 
 Pattern = str | Callable[[str], bool]
-MODE = object()  # impute with the column's most frequent value
+
+
+class Strategy:
+    """A fill value computed from the data (AGG-9 / AGG-10)."""
+
+    def __init__(self, name: str):
+        self.name = name
+
+    def __repr__(self) -> str:
+        return self.name.upper()
+
+
+MODE, MEAN, MEDIAN, MIN, MAX, STD = (Strategy(n) for n in
+                                     ("mode", "mean", "median", "min", "max", "std"))
+_STAT_FN = {"mean": F.avg, "median": F.median, "min": F.min, "max": F.max, "std": F.stddev}
 
 # --- fixed values: name-pattern rules (first match wins, case-sensitive) ------
 RECAST_RULES: list[tuple[Pattern, str]] = [
@@ -68,14 +81,54 @@ def _fill(df: DataFrame, c: str, value):
     return F.coalesce(F.col(c), lit).alias(c)
 
 
+def column_modes(df: DataFrame, cols: Sequence[str]) -> dict:
+    """AGG-9 for several columns in one job: most frequent non-NULL value,
+    ties to the smallest value. Counting is a (column, value) aggregate and
+    the per-column pick a WindowGroupLimit, so one row per column returns."""
+    if not cols:
+        return {}
+    from pyspark.sql import Window
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v"),
+                 (F.col(c).cast("double") if c in _numeric(df) else F.lit(None).cast("double"))
+                 .alias("n")) for c in cols])).alias("s")).select("s.*").where(
+        F.col("v").isNotNull())
+    cnt = long.groupBy("k", "v", "n").agg(F.count(F.lit(1)).alias("c"))
+    w = Window.partitionBy("k").orderBy(F.col("c").desc(), F.col("n").asc_nulls_last(),
+                                        F.col("v"))
+    rows = cnt.withColumn("r", F.row_number().over(w)).where("r = 1").select("k", "v").collect()
+    return {k: v for k, v in rows}
+
+
+def _numeric(df: DataFrame) -> set:
+    from winback.operators.quality import numeric_columns
+    return set(numeric_columns(df))
+
+
+def fit_fill_values(df: DataFrame, wanted: dict) -> dict:
+    """Data-derived fill values (mode / mean / median / min / max / std) for
+    all columns at once: one aggregate job for the numeric statistics, one
+    for the modes."""
+    stats = {c: s for c, s in wanted.items() if isinstance(s, Strategy) and s is not MODE}
+    out = {}
+    if stats:
+        row = df.agg(*[_STAT_FN[s.name](F.col(c).cast("double")).alias(f"f{i}")
+                       for i, (c, s) in enumerate(stats.items())]).first()
+        out.update({c: row[f"f{i}"] for i, c in enumerate(stats)})
+    modes = column_modes(df, [c for c, s in wanted.items() if s is MODE])
+    out.update(modes)
+    return out
+
+
 def impute(df: DataFrame, rule_list=IMPUTE_RULES) -> DataFrame:
-    """PREP-2: fill NULLs by name pattern; ``MODE`` fills every NULL with the
-    column's most frequent value (one small job per such column)."""
+    """PREP-2: fill NULLs by name pattern. A constant fills directly; a
+    ``Strategy`` (MODE, MEAN, MEDIAN, MIN, MAX, STD) is fitted on the data
+    first, for all such columns in at most two small jobs."""
+    actions = {c: match_rule(c, rule_list) for c in df.columns}
+    fitted = fit_fill_values(df, {c: a for c, a in actions.items() if isinstance(a, Strategy)})
     out = []
     for c in df.columns:
-        v = match_rule(c, rule_list)
-        if v is MODE:
-            v = mode_value(df, c)
+        v = fitted.get(c) if isinstance(actions[c], Strategy) else actions[c]
         out.append(F.col(c) if v is None else _fill(df, c, v))
     return df.select(*out)
 

@@ -134,3 +134,21 @@ def pivot_wide(long: DataFrame, index: str, columns: str, values: str,
         out.append(F.when(n > 1, F.raise_error(F.lit(f"duplicate entries for {columns}={v}")))
                    .otherwise(cell).alias(f"{prefix}{v}"))
     return g.select(*out)
+
+
+def save_product_models(models: Sequence[ProductModel], base: str) -> str:
+    """ML-6: one directory per product holding both the classifier and its
+    calibrator (the original pickled only the uncalibrated model)."""
+    for m in models:
+        m.classifier.write().overwrite().save(f"{base}/product_{m.product}/classifier")
+        m.calibrator.write().overwrite().save(f"{base}/product_{m.product}/calibrator")
+    return base
+
+
+def load_product_models(base: str, products: Sequence[int]) -> list[ProductModel]:
+    from pyspark.ml.classification import GBTClassificationModel
+    from pyspark.ml.regression import IsotonicRegressionModel
+    return [ProductModel(int(p),
+                         GBTClassificationModel.load(f"{base}/product_{p}/classifier"),
+                         IsotonicRegressionModel.load(f"{base}/product_{p}/calibrator"))
+            for p in products]

@@ -112,3 +112,20 @@ def stage_model_frame(fx: Fixtures):
     w = weighted.unionByName(w.where(F.col("split") != "train")
                              .withColumn("sample_weight", F.lit(1.0)))
     return w, feats
+
+
+def run_scoring_job(fx: Fixtures, params: dict | None = None, out_name: str = "prod_type_cluster_data"):
+    """ML-14: the end-to-end product scoring job: fit one calibrated model
+    per product on the training table, save the models, reload them, score
+    every customer in one pass and replace the wide output table (SNK-2).
+    Returns the written table's path."""
+    from winback.operators import propensity as prop
+    from winback.session import scratch_path
+    from winback.sources import io
+    training = fx.propensity_training()
+    products = prop.product_ids(fx.product_types())
+    models = prop.fit_product_models(training, products, params=params)
+    base = prop.save_product_models(models, scratch_path(fx.spark, "product_models"))
+    models = prop.load_product_models(base, products)
+    score = training.drop("pdm_prod_type_id").distinct()
+    return io.save_table(prop.score_wide(score, models), out_name)

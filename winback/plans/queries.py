@@ -366,3 +366,27 @@ def q_roundtrip_csv(spark, sf_dir):
     path = sink.scratch_path(spark, "null_report_csv")
     sink.write_csv(rep.coalesce(1), path)
     return sink.read_csv(spark, path, "column_name string, null_count bigint, row_count bigint")
+
+
+@query("scoring_job")
+def q_scoring_job(spark, sf_dir):
+    """Fit, save, reload, score and write the wide propensity table; the
+    query returns the written table."""
+    path = jobs.run_scoring_job(Fixtures(spark, sf_dir), params=QUERY_PRODUCT_MODEL)
+    return spark.read.parquet(path)
+
+
+@query("channel_model_ovr")
+def q_channel_model_ovr(spark, sf_dir):
+    """One-vs-rest boosted trees with early stopping on the validation rows
+    (ML-13), evaluated on test rows; the fitted pipeline is saved and
+    reloaded before scoring (ML-6)."""
+    frame, feats = jobs.stage_model_frame(Fixtures(spark, sf_dir))
+    fit_rows = (frame.where(F.col("split") != "test")
+                .withColumn("is_valid", F.col("split") == "valid"))
+    est = mdl.boosted_one_vs_rest(max_iter=20, max_depth=4, validation_col="is_valid")
+    m = mdl.fit(fit_rows, feats, est)
+    m = mdl.load_model(mdl.save_model(m, sink.scratch_path(spark, "channel_model_ovr")))
+    test = frame.where(F.col("split") == "test")
+    pred = mdl.predict(m, test).withColumn("prediction", F.col("prediction").cast("int"))
+    return metrics.class_report(pred, "label", "prediction")
