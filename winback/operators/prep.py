@@ -35,7 +35,7 @@ class Strategy:
 
 MODE, MEAN, MEDIAN, MIN, MAX, STD = (Strategy(n) for n in
                                      ("mode", "mean", "median", "min", "max", "std"))
-_STAT_FN = {"mean": F.avg, "median": F.median, "min": F.min, "max": F.max, "std": F.stddev}
+_STAT_FN = {"mean": F.avg, "min": F.min, "max": F.max, "std": F.stddev}
 
 # --- fixed values: name-pattern rules (first match wins, case-sensitive) ------
 RECAST_RULES: list[tuple[Pattern, str]] = [
@@ -109,8 +109,13 @@ def fit_fill_values(df: DataFrame, wanted: dict) -> dict:
     """Data-derived fill values (mode / mean / median / min / max / std) for
     all columns at once: one aggregate job for the numeric statistics, one
     for the modes."""
-    stats = {c: s for c, s in wanted.items() if isinstance(s, Strategy) and s is not MODE}
+    stats = {c: s for c, s in wanted.items()
+             if isinstance(s, Strategy) and s not in (MODE, MEDIAN)}
     out = {}
+    medians = [c for c, s in wanted.items() if s is MEDIAN]
+    if medians:
+        from winback.operators.ranking import exact_medians
+        out.update({r[0]: r[1] for r in exact_medians(df, medians).collect()})
     if stats:
         row = df.agg(*[_STAT_FN[s.name](F.col(c).cast("double")).alias(f"f{i}")
                        for i, (c, s) in enumerate(stats.items())]).first()

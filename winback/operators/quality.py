@@ -94,8 +94,10 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
     ignored) and, for numeric columns, min / max / mean / sample std / median.
 
     ``exact=False`` uses HyperLogLog++ distinct counts and approximate
-    medians, which keep the pass linear for very wide tables."""
+    medians (bounded sketches), which keep the pass linear for very wide
+    tables; exact medians use the distributed rank (ranking.exact_medians)."""
     cols, nums = list(df.columns), set(numeric_columns(df))
+    num_cols = [c for c in cols if c in nums]
     aggs = [F.count(F.lit(1)).alias("row_count")]
     for i, c in enumerate(cols):
         col = F.col(c)
@@ -104,7 +106,7 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
                     .alias(f"distinct_count__{i}"))
         if c in nums:
             d = col.cast("double")
-            med = F.median(d) if exact else F.percentile_approx(d, 0.5)
+            med = F.lit(None).cast("double") if exact else F.percentile_approx(d, 0.5)
             aggs += [F.min(d).alias(f"min_value__{i}"), F.max(d).alias(f"max_value__{i}"),
                      F.avg(d).alias(f"mean__{i}"), F.stddev_samp(d).alias(f"std__{i}"),
                      med.cast("double").alias(f"median__{i}")]
@@ -116,6 +118,12 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
               "max_value": "double", "mean": "double", "std": "double", "median": "double",
               "is_numeric": "int"}
     out = _long(df.agg(*aggs), cols, fields)
+    if exact and num_cols:
+        # exact medians without a one-task percentile buffer (one row per column)
+        from winback.operators.ranking import exact_medians
+        med = exact_medians(df, num_cols).withColumnRenamed("column_name", "_mc")
+        out = (out.drop("median").join(med, out.column_name == med._mc, "left")
+               .drop("_mc"))
     return out.select("column_name", "row_count", "null_count", "distinct_count", "is_numeric",
                       "min_value", "max_value", F.round("mean", 6).alias("mean"),
                       F.round("std", 6).alias("std"), "median")

@@ -104,8 +104,11 @@ def q_segment_flags(spark, sf_dir):
 
 @query("segment_population")
 def q_segment_population(spark, sf_dir):
+    """The attributes table is read twice (for the link and as the master),
+    so it is materialised once, like the script's CREATE TABLE."""
+    from winback.sources.io import materialize
     fx = Fixtures(spark, sf_dir)
-    attrs = jobs.stage_attributes(fx)
+    attrs = materialize(jobs.stage_attributes(fx))
     link = jobs.stage_segment_link(fx, attrs)
     return jobs.stage_population(fx, attrs, link)
 

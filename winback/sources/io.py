@@ -42,3 +42,12 @@ def write_csv(df: DataFrame, path: str) -> str:
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Read a CSV export back with an explicit schema (no inference pass)."""
     return spark.read.option("header", True).schema(schema).csv(path)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a stage that several jobs read (the script's CTAS
+    tables): a reliable checkpoint into the shared ``spark.checkpoint.dir``,
+    so a lost executor re-reads files instead of recomputing the stage."""
+    from winback.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
