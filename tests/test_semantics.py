@@ -163,3 +163,10 @@ def test_impute_strategies(spark):
     assert got[3].s_mode == "a"          # tie a/b (2 each) -> smallest value
     assert got[2].y_median == 2.0
     assert got[1].z_max == 5.0 and got[3].z_max == 5.0
+
+
+def test_cluster_conf_scales_partitions():
+    from winback.session import cluster_conf
+    c = cluster_conf(100 * 1024 ** 4, total_cores=8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(cluster_conf(10 * 1024 ** 2, total_cores=8)["spark.sql.shuffle.partitions"]) == 16

@@ -78,3 +78,35 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def cluster_conf(input_bytes: int, total_cores: int,
+                 partition_bytes: int = 256 * 1024 ** 2) -> dict:
+    """Settings sized for a cluster run over ``input_bytes`` of Parquet.
+
+    * scan splits of ``partition_bytes`` (256 MB) so a task's input fits in
+      executor memory with room for decompression;
+    * shuffle partitions from the data size, at least two waves of cores;
+      AQE coalesces them down where stages turn out smaller, and splits
+      skewed join partitions (a key holding a third of the rows) into
+      advisory-sized pieces;
+    * runtime bloom filters let a small join side prune the large side
+      before its shuffle (reactivation keys vs. transactions);
+    * broadcast only below 64 MB statically; the operators' explicit
+      ``broadcast_if_small`` checks cover bounded dimensions.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
+    }
