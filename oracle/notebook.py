@@ -251,7 +251,7 @@ FROM (SELECT o.o_custkey AS customer_id, pt.pdm_prod_type_id, count(*) AS lines
 GROUP BY customer_id""",
     "sample_limit": """
 SELECT * FROM propensity_training ORDER BY customer_id, pdm_prod_type_id LIMIT 1000""",
-    "sort_mixed": "SELECT * FROM reactive ORDER BY customer_id, DM_Flag DESC",
-    "roundtrip_table": "SELECT * FROM reactive",
+    "sort_mixed": "SELECT * FROM o_channel ORDER BY customer_id, DM_Flag DESC",
+    "roundtrip_table": "SELECT * FROM o_channel",
     "roundtrip_csv": _NULLS,
 })

@@ -4,37 +4,37 @@ from __future__ import annotations
 
 from oracle.sql import FEATURE_SELECT, attrs_body, with_ctes
 
-KEYS = "base.customer_id, base.transaction_guid, base.previous_trans_id, base.address_id, base.previous_buy"
+KEYS = ("base.customer_id, base.transaction_guid, base.previous_trans_id, base.address_id, "
+        "base.previous_buy")
 
 BODIES: dict[str, str] = {
-    "reactivation": "SELECT * FROM lr",
-    "campaign_exposure": "SELECT * FROM step2",
+    "reactivation": "SELECT * FROM o_react",
+    "campaign_exposure": "SELECT * FROM o_expo",
     "exposure_window_join": """
 SELECT a.customer_id, a.transaction_guid, a.transaction_booked_date, a.previous_trans_id,
        d.COUPON_BARCODE1, d.IN_HOME_DT
-FROM lr a LEFT JOIN step2 d ON a.customer_id = d.customer_id
-  AND a.transaction_booked_date BETWEEN d.IN_HOME_DT AND d.IN_HOME_DT + INTERVAL 14 DAY""",
-    "channel_attribution": "SELECT * FROM reactive",
+FROM o_react a LEFT JOIN o_expo d ON d.customer_id = a.customer_id
+  AND a.transaction_booked_date - d.IN_HOME_DT BETWEEN 0 AND 14""",
+    "channel_attribution": "SELECT * FROM o_channel",
     "demographics": attrs_body([KEYS, "gender", "age_bucket", "ethnicity", "INCOME"],
                                ["age", "gender", "ethnicity", "income"]),
     "region_division": attrs_body([KEYS, "State_Division"], ["territory"]),
     "pit_features": attrs_body([KEYS, "base.FISCAL_PERIOD_ID", "base.PRE_FISCAL_PERIOD_ID",
                                 FEATURE_SELECT], ["snapshots"]),
     "latest_persona": """
-SELECT t.customer_id, t.scoring_year_and_period, t.Persona
-FROM persona_hist t
-JOIN (SELECT customer_id, max(scoring_year_and_period) AS m FROM persona_hist GROUP BY 1) s
-  ON s.customer_id = t.customer_id AND s.m = t.scoring_year_and_period""",
-    "customer_attributes": "SELECT * FROM attrs",
-    "segment_link": "SELECT * FROM me_cust",
+SELECT p.customer_id, p.scoring_year_and_period, p.Persona FROM persona_hist p
+WHERE p.scoring_year_and_period >= ALL (SELECT q.scoring_year_and_period FROM persona_hist q
+                                        WHERE q.customer_id = p.customer_id)""",
+    "customer_attributes": "SELECT * FROM o_attrs",
+    "segment_link": "SELECT * FROM o_link",
     "segment_flags": """
-SELECT DISTINCT a.customer_id, C.address_id,
-       CASE WHEN z.ADDRESS_ID IS NULL THEN 0 ELSE 1 END AS ME_LINK
-FROM (SELECT DISTINCT customer_id FROM attrs) a
-LEFT JOIN customer_curr C ON a.customer_id = C.customer_id
-LEFT JOIN (SELECT DISTINCT ADDRESS_ID FROM address_segments) z ON C.address_id = z.ADDRESS_ID""",
+SELECT DISTINCT a.customer_id, cc.address_id,
+       CASE WHEN EXISTS (SELECT 1 FROM address_segments sg WHERE sg.ADDRESS_ID = cc.address_id)
+            THEN 1 ELSE 0 END AS ME_LINK
+FROM (SELECT DISTINCT customer_id FROM o_attrs) a
+LEFT JOIN customer_curr cc ON cc.customer_id = a.customer_id""",
     "segment_population": """
-SELECT * FROM attrs WHERE customer_id IN (SELECT customer_id FROM me_cust)""",
+SELECT * FROM o_attrs WHERE customer_id IN (SELECT customer_id FROM o_link)""",
 }
 
 
