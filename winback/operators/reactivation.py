@@ -46,7 +46,11 @@ def reactivations(trans: DataFrame, as_of: str, window_months: int = 24,
                   min_gap_months: int = 6) -> DataFrame:
     """LR_Reactive: one row per (reactivating transaction, transaction on the
     previous purchase date); 14 columns."""
-    tw = trans.where(trailing_window("transaction_booked_date", as_of, window_months))
+    # The explicit NOT NULL (implied by the window) is also what the optimizer
+    # infers for the join-back branch below; stating it here makes both reads
+    # of the transactions canonically equal, so their shuffle is reused.
+    tw = trans.where(trailing_window("transaction_booked_date", as_of, window_months) &
+                     F.col("transaction_booked_date").isNotNull())
 
     first = F.min(F.struct(*_TIE_ORDER)).alias("first")
     days = tw.groupBy("customer_id", "transaction_booked_date").agg(first)
