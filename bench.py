@@ -32,7 +32,7 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
     from winback.plans.queries import REGISTRY
     from winback.session import local_session
-    shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(2 * int(cpus))))
+    shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
     spark = local_session(cores=cpus, shuffle_partitions=shuffle, app="winback-bench")
     times = {}
     for n in names:
