@@ -170,3 +170,16 @@ def test_cluster_conf_scales_partitions():
     c = cluster_conf(100 * 1024 ** 4, total_cores=8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert int(cluster_conf(10 * 1024 ** 2, total_cores=8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_broadcast_check_falls_back_beyond_bound(spark):
+    from winback.session import broadcast_if_small
+    df = spark.range(100)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        big = broadcast_if_small(df, 10)
+        small = broadcast_if_small(df, 1000)
+        assert "broadcast" not in big._jdf.queryExecution().logical().toString().lower()
+        assert "broadcast" in small._jdf.queryExecution().logical().toString().lower()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -70,12 +70,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast-hint ``df`` only after checking it holds at most ``max_rows``.
-
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame
-    is returned unhinted, so the join falls back to a shuffle join (which AQE
-    may still turn into a broadcast join from runtime statistics).
+    """Broadcast ``df`` to a join only behind a check of its size.
+
+    With AQE on (the default here and in ``cluster_conf``) the check is
+    Spark's own: the side is materialised as a query stage, its measured size
+    is compared with ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and
+    the join becomes a broadcast join only below it - otherwise it stays a
+    shuffle join (skew-split by AQE). No extra job, and no re-scan of the
+    dimension's source just to count it. With AQE off, at most
+    ``max_rows + 1`` rows are read and the hint is added only at or below the
+    bound.
     """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
+        return df
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
