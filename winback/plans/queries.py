@@ -393,3 +393,10 @@ def q_channel_model_ovr(spark, sf_dir):
     test = frame.where(F.col("split") == "test")
     pred = mdl.predict(m, test).withColumn("prediction", F.col("prediction").cast("int"))
     return metrics.class_report(pred, "label", "prediction")
+
+
+@query("attributes_coverage")
+def q_attributes_coverage(spark, sf_dir):
+    """End to end: coverage report of the 161-column attributes table (the
+    notebook's input), one aggregate pass over all columns."""
+    return quality.coverage(jobs.stage_attributes(Fixtures(spark, sf_dir)))
