@@ -89,7 +89,7 @@ def drop_columns(df: DataFrame, *cols: str, strict: bool = False) -> DataFrame:
     return df.drop(*cols)
 
 
-def profile(df: DataFrame, exact: bool = True) -> DataFrame:
+def profile(df: DataFrame, exact: bool = False) -> DataFrame:
     """DQ-1 / AGG-5 / AGG-10: per column rows, nulls, distinct count (nulls
     ignored) and, for numeric columns, min / max / mean / sample std / median.
 
