@@ -183,3 +183,19 @@ def test_broadcast_check_falls_back_beyond_bound(spark):
         assert "broadcast" in small._jdf.queryExecution().logical().toString().lower()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_distributed_rank_with_coalesced_partitions(spark):
+    from pyspark.sql import Window
+    from winback.operators.ranking import ntile_within_group
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        rows = [(g, i, (i * 7919) % 1009) for g, n in ((1, 5), (2, 1500)) for i in range(n)]
+        df = spark.createDataFrame(rows, "g int, id int, v int")
+        want = df.withColumn("t", F.ntile(7).over(Window.partitionBy("g").orderBy("v", "id")))
+        got = ntile_within_group(df, "g", ["v", "id"], 7, "t")
+        assert sorted((r.g, r.id, r.t) for r in want.collect()) == \
+            sorted((r.g, r.id, r.t) for r in got.collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

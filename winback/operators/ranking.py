@@ -29,8 +29,11 @@ def rank_within_group(df: DataFrame, group: str, order_cols: Sequence[str],
     inside a group) and ``group_size``."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = (df.repartitionByRange(n, group, *order_cols)
+    # Without an explicit count AQE sizes the range shuffle from the data
+    # (coalescing to the advisory partition size); ids are read after it.
+    parted = (df.repartitionByRange(num_partitions, group, *order_cols) if num_partitions
+              else df.repartitionByRange(group, *order_cols))
+    s = (parted
          .sortWithinPartitions(group, *order_cols)
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_mid", F.monotonically_increasing_id())
