@@ -23,6 +23,8 @@ _SCALE_CONF = {
     # functions call (error context). Wide plans make thousands of such calls
     # on the driver; turning it off removes a JVM round trip per call.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # checkpoint files of a DataFrame that is no longer referenced are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -116,4 +118,5 @@ def cluster_conf(input_bytes: int, total_cores: int,
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
         "spark.sql.session.timeZone": "UTC",
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
