@@ -9,10 +9,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from winback.functions import rules
 from winback.operators import attributes as attr
+from winback.operators import metrics, prep, quality, weights
+from winback.operators import model as mdl
+from winback.operators import propensity as prop
 from winback.operators.exposure import window_join
 from winback.plans import jobs
+from winback.session import broadcast_if_small
+from winback.sources import io as sink
 from winback.sources.fixtures import Fixtures
+from winback.sources.tables import limited_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -115,8 +122,6 @@ def q_segment_population(spark, sf_dir):
 
 # ---- data quality -------------------------------------------------------------------
 
-from winback.operators import metrics, prep, quality, weights  # noqa: E402
-
 
 @query("null_report")
 def q_null_report(spark, sf_dir):
@@ -191,7 +196,7 @@ def q_buying_channel(spark, sf_dir):
 def q_gender_clean(spark, sf_dir):
     w = Fixtures(spark, sf_dir).prep_wide()
     return w.select("customer_id", F.col("gender").alias("gender_raw"),
-                    prep.rules.clean_gender("gender").alias("gender"))
+                    rules.clean_gender("gender").alias("gender"))
 
 
 @query("one_hot")
@@ -253,11 +258,6 @@ def q_class_report(spark, sf_dir):
 
 # ---- models -------------------------------------------------------------------------
 
-from winback.operators import model as mdl  # noqa: E402
-from winback.operators import propensity as prop  # noqa: E402
-from winback.sources import io as sink  # noqa: E402
-from winback.session import broadcast_if_small  # noqa: E402
-from winback.sources.tables import limited_scan  # noqa: E402
 
 # Product-model size used by the registered queries: the original's 1,000
 # trees at rate 0.01 are a parameter default (prop.PRODUCT_MODEL); the
