@@ -255,3 +255,7 @@ SELECT * FROM propensity_training ORDER BY customer_id, pdm_prod_type_id LIMIT 1
     "roundtrip_table": "SELECT * FROM o_channel",
     "roundtrip_csv": _NULLS,
 })
+
+
+BODIES["score_frame_sql"] = ("SELECT customer_id, " + ", ".join(c for c, _ in _SCORING)
+                             + " FROM propensity_training GROUP BY ALL")

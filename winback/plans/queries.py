@@ -400,3 +400,15 @@ def q_attributes_coverage(spark, sf_dir):
     """End to end: coverage report of the 161-column attributes table (the
     notebook's input), one aggregate pass over all columns."""
     return quality.coverage(jobs.stage_attributes(Fixtures(spark, sf_dir)))
+
+
+@query("score_frame_sql")
+def q_score_frame_sql(spark, sf_dir):
+    """SRC-2 / AGG-1 in SQL text: the distinct per-customer score frame,
+    grouped by ordinals over a registered view (whole table, no row cap)."""
+    from winback.sources.tables import read_query
+    view = "winback_propensity_training"
+    Fixtures(spark, sf_dir).propensity_training().createOrReplaceTempView(view)
+    cols = ", ".join(["customer_id"] + prep.SCORING_FEATURES)
+    ordinals = ", ".join(str(i) for i in range(1, len(prep.SCORING_FEATURES) + 2))
+    return read_query(spark, f"SELECT {cols} FROM {view} GROUP BY {ordinals}")
