@@ -226,10 +226,12 @@ class Fixtures:
 
     @_memo
     def persona_hist(self) -> DataFrame:
+        """One row per (customer, period, persona); several personas on a
+        customer's last period are ties."""
         e = self.t("events")
         return e.select(F.col("user_id").alias("customer_id"),
                         (202400 + F.dayofmonth("ts")).alias("scoring_year_and_period"),
-                        F.col("event_type").alias("Persona"))
+                        F.col("event_type").alias("Persona")).distinct()
 
     # -- feature snapshots -----------------------------------------------------
     @_memo
