@@ -199,3 +199,13 @@ def test_distributed_rank_with_coalesced_partitions(spark):
             sorted((r.g, r.id, r.t) for r in got.collect())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_key_hash_sample_is_stable_and_near_fraction(spark):
+    from winback.operators.prep import sample_rows
+    df = spark.range(20000).withColumnRenamed("id", "k")
+    a = sample_rows(df, 0.6, keys=["k"])
+    b = sample_rows(df.repartition(7), 0.6, keys=["k"])
+    ka = {r.k for r in a.collect()}
+    assert ka == {r.k for r in b.collect()}
+    assert abs(len(ka) / 20000 - 0.6) < 0.02

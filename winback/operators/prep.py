@@ -254,6 +254,16 @@ def apply_standard_scaler(df: DataFrame, stats: dict, digits: int | None = None)
     return df.select(*[scaled(c) if c in stats else F.col(c) for c in df.columns])
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int = SPLIT_SEED) -> DataFrame:
-    """PREP-8: Bernoulli sample of ``fraction`` of the rows, seeded."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def sample_rows(df: DataFrame, fraction: float, seed: int = SPLIT_SEED,
+                keys: Sequence[str] | None = None) -> DataFrame:
+    """PREP-8: keep about ``fraction`` of the rows, seeded.
+
+    With ``keys`` a row is kept when a seeded 64-bit hash of its key falls
+    below the fraction: membership depends only on the row, so a retried task
+    or a re-read input (even one whose order came out of a shuffle) keeps
+    exactly the same rows. Without keys it is Spark's Bernoulli sample, which
+    is repeatable only for a deterministic input order."""
+    if not keys:
+        return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(1_000_000))
+    return df.where(bucket < int(round(fraction * 1_000_000)))

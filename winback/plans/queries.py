@@ -346,7 +346,8 @@ def q_sample_limit(spark, sf_dir):
 
 @query("sample_fraction")
 def q_sample_fraction(spark, sf_dir):
-    return prep.sample_rows(Fixtures(spark, sf_dir).propensity_training(), 0.6)
+    return prep.sample_rows(Fixtures(spark, sf_dir).propensity_training(), 0.6,
+                            keys=["customer_id", "pdm_prod_type_id"])
 
 
 @query("sort_mixed")
