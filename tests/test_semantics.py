@@ -209,3 +209,14 @@ def test_key_hash_sample_is_stable_and_near_fraction(spark):
     ka = {r.k for r in a.collect()}
     assert ka == {r.k for r in b.collect()}
     assert abs(len(ka) / 20000 - 0.6) < 0.02
+
+
+def test_last_touch_shortcut_equals_general_join(spark, sf_dir):
+    from winback.operators.attribution import ecomm_transactions, with_last_touch
+    from winback.plans import jobs
+    from winback.sources.fixtures import Fixtures
+    fx = Fixtures(spark, sf_dir)
+    lr = jobs.stage_reactivation(fx)
+    a = with_last_touch(lr, web_touch=fx.web_touch()).distinct()
+    b = with_last_touch(lr, ecomm=ecomm_transactions(fx.txn(), fx.web_touch())).distinct()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

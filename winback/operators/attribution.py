@@ -40,19 +40,38 @@ def exposure_flags(left: DataFrame, exposures: DataFrame, window_days: int = 14)
         "d_customer", "IN_HOME_DT", "d_has_code")
 
 
-def channel_attribution(lr: DataFrame, ecomm: DataFrame, exposures: DataFrame,
-                        time_dim: DataFrame, customer_curr: DataFrame,
-                        window_days: int = 14) -> DataFrame:
+def with_last_touch(lr: DataFrame, *, web_touch: DataFrame | None = None,
+                    ecomm: DataFrame | None = None) -> DataFrame:
+    """JOIN-5: attach the web order's last-touch channel to each row.
+
+    General form (``ecomm``): left join on (transaction id, date, web order
+    id) against all web transactions. When ``lr`` comes from
+    ``reactivations`` over the same transactions (the pipeline's case), every
+    row *is* a concept-1 transaction with exactly those three values, so that
+    join can only confirm the row itself; the channel then comes straight
+    from ``web_touch`` on the order id, and the all-transactions join (a full
+    shuffle of the fact table at scale) disappears. Duplicate matches either
+    way are removed by the final DISTINCT. NULL order ids never match."""
+    if ecomm is not None:
+        b = ecomm.select(F.col("transaction_guid").alias("b_guid"),
+                         F.col("transaction_booked_date").alias("b_date"),
+                         F.col("src_atg_ecom_order_id").alias("b_ecom"), "last_touch_channel")
+        j = lr.join(b, (lr.transaction_guid == b.b_guid) &
+                    (lr.transaction_booked_date == b.b_date) &
+                    (lr.src_atg_ecom_order_id == b.b_ecom), "left")
+        return j.drop("b_guid", "b_date", "b_ecom")
+    w = web_touch.select(F.col("orders").alias("b_order"), "last_touch_channel")
+    return lr.join(w, lr.src_atg_ecom_order_id == w.b_order, "left").drop("b_order")
+
+
+def channel_attribution(lr: DataFrame, exposures: DataFrame, time_dim: DataFrame,
+                        customer_curr: DataFrame, *, web_touch: DataFrame | None = None,
+                        ecomm: DataFrame | None = None, window_days: int = 14) -> DataFrame:
     """Reactive: reactivation rows + fiscal periods, last touch, DM flag,
     current address and the attributed channel; exact duplicates removed
-    (the source's GROUP BY over all 20 columns)."""
-    b = ecomm.select(F.col("transaction_guid").alias("b_guid"),
-                     F.col("transaction_booked_date").alias("b_date"),
-                     F.col("src_atg_ecom_order_id").alias("b_ecom"), "last_touch_channel")
-    # JOIN-5: NULL keys never match (plain equality).
-    j = lr.join(b, (lr.transaction_guid == b.b_guid) &
-                (lr.transaction_booked_date == b.b_date) &
-                (lr.src_atg_ecom_order_id == b.b_ecom), "left")
+    (the source's GROUP BY over all 20 columns). Pass ``web_touch`` when
+    ``lr`` was built from the same transactions, else ``ecomm``."""
+    j = with_last_touch(lr, web_touch=web_touch, ecomm=ecomm)
     j = exposure_flags(j, exposures, window_days)
 
     # JOIN-6: one calendar joined in two roles.

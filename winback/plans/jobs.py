@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from winback.operators.attribution import channel_attribution, ecomm_transactions
+from winback.operators.attribution import channel_attribution
 from winback.operators.attributes import SNAPSHOT_ALIASES, customer_attributes
 from winback.operators.exposure import campaign_exposures, direct_mail_events
 from winback.operators.reactivation import clean_transactions, reactivations
@@ -35,8 +35,8 @@ def stage_exposures(fx: Fixtures) -> DataFrame:
 def stage_channel(fx: Fixtures, lr: DataFrame | None = None) -> DataFrame:
     """Statement 2 (Reactive)."""
     lr = stage_reactivation(fx) if lr is None else lr
-    return channel_attribution(lr, ecomm_transactions(fx.txn(), fx.web_touch()),
-                               stage_exposures(fx), fx.time_dim(), fx.customer_curr())
+    return channel_attribution(lr, stage_exposures(fx), fx.time_dim(), fx.customer_curr(),
+                               web_touch=fx.web_touch())
 
 
 def snapshot_tables(fx: Fixtures) -> dict:
