@@ -220,3 +220,15 @@ def test_last_touch_shortcut_equals_general_join(spark, sf_dir):
     a = with_last_touch(lr, web_touch=fx.web_touch()).distinct()
     b = with_last_touch(lr, ecomm=ecomm_transactions(fx.txn(), fx.web_touch())).distinct()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_vector_one_hot_drops_the_same_first_level(spark):
+    from pyspark.ml.functions import vector_to_array
+    from winback.operators.prep import one_hot, one_hot_vector
+    df = spark.createDataFrame([(1, "b"), (2, "a"), (3, "c"), (4, "b")], "id int, c string")
+    flat = {r.id: (r.c_b, r.c_c) for r in one_hot(df, ["c"]).collect()}
+    _, vec = one_hot_vector(df, ["c"])
+    arr = {r.id: list(r.v) for r in vec.select("id", vector_to_array("c_vec").alias("v")).collect()}
+    # alphabetDesc order c, b, a; dropLast removes 'a'; handleInvalid adds no slot for seen data
+    for k, (b, c) in flat.items():
+        assert arr[k][:2] == [c, b]

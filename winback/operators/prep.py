@@ -194,6 +194,23 @@ def one_hot(df: DataFrame, cols: Sequence[str] = CATEGORICAL, drop_first: bool =
     return df.select(*keep, *enc)
 
 
+def one_hot_vector(df: DataFrame, cols: Sequence[str] = CATEGORICAL, suffix: str = "_vec"):
+    """PREP-4, vector form for ``pyspark.ml`` stages: ``StringIndexer`` with
+    ``alphabetDesc`` puts the alphabetically first level last, and
+    ``OneHotEncoder(dropLast=True)`` drops it - the same levels as the flat
+    ``one_hot``. Returns the fitted pipeline model (fit = one distinct-values
+    job per column) and the transformed frame."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+    idx = [f"{c}__idx" for c in cols]
+    stages = [StringIndexer(inputCols=list(cols), outputCols=idx,
+                            stringOrderType="alphabetDesc", handleInvalid="keep"),
+              OneHotEncoder(inputCols=idx, outputCols=[f"{c}{suffix}" for c in cols],
+                            dropLast=True, handleInvalid="keep")]
+    model = Pipeline(stages=stages).fit(df)
+    return model, model.transform(df).drop(*idx)
+
+
 def class_list(df: DataFrame, label_col: str, max_classes: int = 1000) -> list[str]:
     return category_levels(df, [label_col], max_classes)[label_col]
 
