@@ -56,3 +56,29 @@ def test_calibrated_scores_monotone(spark, sf_dir):
     assert b == sorted(b) and p == sorted(p)
     long = prop.wide_to_long(wide, [1, 2])
     assert long.count() == 2 * wide.count()
+
+
+def test_report_accuracy_matches_ml_evaluator(spark, sf_dir):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from winback.operators.metrics import class_report
+    from winback.sources.fixtures import Fixtures
+    pred = Fixtures(spark, sf_dir).predictions().select(
+        F.col("label").cast("double").alias("label"),
+        F.col("prediction").cast("double").alias("prediction"))
+    ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction",
+                                          metricName="accuracy").evaluate(pred)
+    rep = {r.class_name: r for r in class_report(pred.select(
+        F.col("label").cast("int").alias("label"),
+        F.col("prediction").cast("int").alias("prediction"))).collect()}
+    assert abs(rep["accuracy"].f1 - ev) < 1e-6
+
+
+def test_saved_model_predicts_the_same(spark, tmp_path_factory):
+    from winback.session import scratch_path
+    df = _separable(spark, 120)
+    m = mdl.fit(df, ["f1", "f2"], mdl.forest(num_trees=5, max_depth=3))
+    path = scratch_path(spark, "test_forest_roundtrip")
+    m2 = mdl.load_model(mdl.save_model(m, path))
+    a = [r.prediction for r in mdl.predict(m, df).orderBy("customer_id").collect()]
+    b = [r.prediction for r in mdl.predict(m2, df).orderBy("customer_id").collect()]
+    assert a == b
