@@ -73,7 +73,7 @@ def test_report_accuracy_matches_ml_evaluator(spark, sf_dir):
     assert abs(rep["accuracy"].f1 - ev) < 1e-6
 
 
-def test_saved_model_predicts_the_same(spark, tmp_path_factory):
+def test_saved_model_predicts_the_same(spark):
     from winback.session import scratch_path
     df = _separable(spark, 120)
     m = mdl.fit(df, ["f1", "f2"], mdl.forest(num_trees=5, max_depth=3))
