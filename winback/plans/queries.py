@@ -407,9 +407,15 @@ def q_attributes_coverage(spark, sf_dir):
 def q_score_frame_sql(spark, sf_dir):
     """SRC-2 / AGG-1 in SQL text: the distinct per-customer score frame,
     grouped by ordinals over a registered view (whole table, no row cap)."""
+    import uuid
+
     from winback.sources.tables import read_query
-    view = "winback_propensity_training"
+    view = f"propensity_training_{uuid.uuid4().hex[:12]}"
     Fixtures(spark, sf_dir).propensity_training().createOrReplaceTempView(view)
     cols = ", ".join(["customer_id"] + prep.SCORING_FEATURES)
     ordinals = ", ".join(str(i) for i in range(1, len(prep.SCORING_FEATURES) + 2))
-    return read_query(spark, f"SELECT {cols} FROM {view} GROUP BY {ordinals}")
+    try:
+        # analysed here, so the frame keeps the view's plan after the drop
+        return read_query(spark, f"SELECT {cols} FROM {view} GROUP BY {ordinals}")
+    finally:
+        spark.catalog.dropTempView(view)
