@@ -125,7 +125,7 @@ def run_scoring_job(fx: Fixtures, params: dict | None = None, out_name: str = "p
     training = fx.propensity_training()
     products = prop.product_ids(fx.product_types())
     models = prop.fit_product_models(training, products, params=params)
-    base = prop.save_product_models(models, scratch_path(fx.spark, "product_models"))
+    base = prop.save_product_models(models, scratch_path(fx.spark, f"{out_name}_models"))
     models = prop.load_product_models(base, products)
     score = training.drop("pdm_prod_type_id").distinct()
     return io.save_table(prop.score_wide(score, models), out_name)

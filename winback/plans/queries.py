@@ -27,6 +27,12 @@ REGISTRY: dict[str, Query] = {}
 KEYS = ["customer_id", "transaction_guid", "previous_trans_id", "address_id", "previous_buy"]
 
 
+def _unique(name: str) -> str:
+    """A per-call table name under the shared folder (calls never collide)."""
+    import uuid
+    return f"{name}_{uuid.uuid4().hex[:12]}"
+
+
 def query(name: str):
     def deco(fn):
         REGISTRY[name] = fn
@@ -360,14 +366,15 @@ def q_sort_mixed(spark, sf_dir):
 def q_roundtrip_table(spark, sf_dir):
     from winback.operators.attribution import sorted_for_sink
     df = jobs.stage_channel(Fixtures(spark, sf_dir))
-    sink.write_table(sorted_for_sink(df), sink.scratch_path(spark, "reactive"))
-    return spark.read.parquet(sink.scratch_path(spark, "reactive"))
+    path = sink.scratch_path(spark, _unique("reactive"))
+    sink.write_table(sorted_for_sink(df), path)
+    return spark.read.parquet(path)
 
 
 @query("roundtrip_csv")
 def q_roundtrip_csv(spark, sf_dir):
     rep = quality.null_report(Fixtures(spark, sf_dir).prep_wide())
-    path = sink.scratch_path(spark, "null_report_csv")
+    path = sink.scratch_path(spark, _unique("null_report_csv"))
     sink.write_csv(rep.coalesce(1), path)
     return sink.read_csv(spark, path, "column_name string, null_count bigint, row_count bigint")
 
@@ -376,7 +383,8 @@ def q_roundtrip_csv(spark, sf_dir):
 def q_scoring_job(spark, sf_dir):
     """Fit, save, reload, score and write the wide propensity table; the
     query returns the written table."""
-    path = jobs.run_scoring_job(Fixtures(spark, sf_dir), params=QUERY_PRODUCT_MODEL)
+    path = jobs.run_scoring_job(Fixtures(spark, sf_dir), params=QUERY_PRODUCT_MODEL,
+                                out_name=_unique("prod_type_cluster_data"))
     return spark.read.parquet(path)
 
 
@@ -390,7 +398,7 @@ def q_channel_model_ovr(spark, sf_dir):
                 .withColumn("is_valid", F.col("split") == "valid"))
     est = mdl.boosted_one_vs_rest(max_iter=20, max_depth=4, validation_col="is_valid")
     m = mdl.fit(fit_rows, feats, est)
-    m = mdl.load_model(mdl.save_model(m, sink.scratch_path(spark, "channel_model_ovr")))
+    m = mdl.load_model(mdl.save_model(m, sink.scratch_path(spark, _unique("channel_model_ovr"))))
     test = frame.where(F.col("split") == "test")
     pred = mdl.predict(m, test).withColumn("prediction", F.col("prediction").cast("int"))
     return metrics.class_report(pred, "label", "prediction")
