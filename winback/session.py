@@ -25,6 +25,9 @@ _SCALE_CONF = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     # checkpoint files of a DataFrame that is no longer referenced are removed
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # the attributes table is 161 columns wide; above the default 100 fields
+    # whole-stage codegen is switched off for those stages
+    "spark.sql.codegen.maxFields": "400",
 }
 
 
@@ -126,4 +129,5 @@ def cluster_conf(input_bytes: int, total_cores: int,
         "spark.sql.session.timeZone": "UTC",
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        "spark.sql.codegen.maxFields": "400",
     }
