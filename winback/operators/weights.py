@@ -33,13 +33,16 @@ def max_class_share(df: DataFrame, label_col: str = "label"):
 
 def sample_weights(train: DataFrame, coef: float, label_col: str = "label",
                    adjust: str = "largest", index: int = 1,
-                   out: str = "sample_weight") -> DataFrame:
+                   out: str = "sample_weight", max_classes: int = 10_000) -> DataFrame:
     """ML-1: per-row balanced weight; one class's weight is multiplied by
     ``coef``. ``adjust='largest'`` picks the class with most rows (the intent
     of the original); ``adjust='index'`` picks the ``index``-th class in
     sorted order (what the original code did). The per-class weights (one
-    per class, bounded) are applied as a map literal: no join."""
-    rows = class_weights(train, label_col).collect()
+    per class, at most ``max_classes``, checked) are applied as a map
+    literal: no join."""
+    rows = class_weights(train, label_col).limit(max_classes + 1).collect()
+    if len(rows) > max_classes:
+        raise ValueError(f"more than {max_classes} classes in {label_col}")
     weights = {r[label_col]: float(r["class_weight"]) for r in rows}
     if adjust == "largest":
         target = max(rows, key=lambda r: (r["class_count"], -r[label_col]))[label_col]
