@@ -232,3 +232,19 @@ def test_vector_one_hot_drops_the_same_first_level(spark):
     # alphabetDesc order c, b, a; dropLast removes 'a'; handleInvalid adds no slot for seen data
     for k, (b, c) in flat.items():
         assert arr[k][:2] == [c, b]
+
+
+def test_one_row_per_transaction_keeps_first_previous_day_row(spark, sf_dir):
+    from pyspark.sql import Window
+    from winback.operators.reactivation import reactivations
+    from winback.plans import jobs
+    from winback.sources.fixtures import Fixtures
+    trans = jobs.stage_transactions(Fixtures(spark, sf_dir))
+    full = reactivations(trans, "2000-01-01")
+    one = reactivations(trans, "2000-01-01", one_row_per="transaction")
+    key = ["customer_id", "transaction_guid"]
+    w = Window.partitionBy(*key).orderBy("previous_trans_id", F.col("pre_ecom_order_id").asc_nulls_first(),
+                                         "pre_coupon_flag", "pre_src_order")
+    want = full.withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")
+    assert one.count() == full.select(*key).distinct().count()
+    assert want.exceptAll(one.select(*want.columns)).count() == 0

@@ -43,9 +43,14 @@ def clean_transactions(txn: DataFrame, xref: DataFrame, concept_format_id: int =
 
 
 def reactivations(trans: DataFrame, as_of: str, window_months: int = 24,
-                  min_gap_months: int = 6) -> DataFrame:
+                  min_gap_months: int = 6, one_row_per: str | None = None) -> DataFrame:
     """LR_Reactive: one row per (reactivating transaction, transaction on the
-    previous purchase date); 14 columns."""
+    previous purchase date); 14 columns.
+
+    ``one_row_per="transaction"`` drops the fan-out instead: each reactivation
+    keeps only the first transaction of the previous day (same tie order).
+    That one comes from the lag of the per-day rows themselves, so this
+    variant needs no join back at all."""
     # The explicit NOT NULL (implied by the window) is also what the optimizer
     # infers for the join-back branch below; stating it here makes both reads
     # of the transactions canonically equal, so their shuffle is reused.
@@ -58,6 +63,7 @@ def reactivations(trans: DataFrame, as_of: str, window_months: int = 24,
     w = Window.partitionBy("customer_id").orderBy("transaction_booked_date")
     prev = F.lag("transaction_booked_date").over(w)
     gaps = (days.withColumn("previous_buy", prev)
+            .withColumn("prev_first", F.lag("first").over(w))
             .withColumn("month_interval", month_gap("previous_buy", "transaction_booked_date"))
             .where(F.col("month_interval") >= min_gap_months)
             .select("customer_id",
@@ -70,7 +76,17 @@ def reactivations(trans: DataFrame, as_of: str, window_months: int = 24,
                     F.col("first.ecom_order_source_code").alias("ecom_order_source_code"),
                     "previous_buy",
                     day_gap("previous_buy", "transaction_booked_date").alias("time_interval"),
-                    "month_interval"))
+                    "month_interval", "prev_first"))
+
+    if one_row_per == "transaction":
+        return gaps.select(*[c for c in gaps.columns if c != "prev_first"],
+                           F.col("prev_first.transaction_guid").alias("previous_trans_id"),
+                           F.col("prev_first.coupon_flag").alias("pre_coupon_flag"),
+                           F.col("prev_first.ecom_order_source_code").alias("pre_src_order"),
+                           F.col("prev_first.src_atg_ecom_order_id").alias("pre_ecom_order_id"))
+    if one_row_per is not None:
+        raise ValueError("one_row_per must be None or 'transaction'")
+    gaps = gaps.drop("prev_first")
 
     # JOIN-3. previous_buy is always an in-window date of the same customer, so
     # the reference's LEFT join always matches: an inner join is equal and lets
