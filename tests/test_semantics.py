@@ -248,3 +248,12 @@ def test_one_row_per_transaction_keeps_first_previous_day_row(spark, sf_dir):
     want = full.withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")
     assert one.count() == full.select(*key).distinct().count()
     assert want.exceptAll(one.select(*want.columns)).count() == 0
+
+
+def test_ethnicity_fan_out_kept_unless_deduped(spark):
+    from winback.operators.attributes import ethnicity_source
+    demo = spark.createDataFrame([(1, 11, 1, 0, 0, 0), (1, 11, 1, 0, 0, 0)],
+                                 "customer_guid bigint, address_guid bigint, A3101N_RACE_WHITE int, "
+                                 "A3101N_RACE_HISP int, A3101N_RACE_AFRAM int, A3101N_RACE_ASIAN int")
+    assert ethnicity_source(demo).count() == 2
+    assert ethnicity_source(demo, dedupe=True).count() == 1

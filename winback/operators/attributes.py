@@ -173,12 +173,14 @@ def gender_source(demo: DataFrame) -> DataFrame:
             .distinct())
 
 
-def ethnicity_source(demo: DataFrame) -> DataFrame:
-    """Not de-duplicated, as in the source: duplicate demographic rows
-    multiply attribute rows (kept for fidelity)."""
-    return demo.select(F.col("customer_guid").alias("e_customer"),
-                       F.col("address_guid").alias("e_address"),
-                       rules.ethnicity().alias("ethnicity_raw"))
+def ethnicity_source(demo: DataFrame, dedupe: bool = False) -> DataFrame:
+    """Not de-duplicated by default, as in the source: duplicate demographic
+    rows multiply attribute rows (kept for fidelity); ``dedupe=True`` keeps
+    one row per distinct (customer, address, ethnicity)."""
+    out = demo.select(F.col("customer_guid").alias("e_customer"),
+                      F.col("address_guid").alias("e_address"),
+                      rules.ethnicity().alias("ethnicity_raw"))
+    return out.distinct() if dedupe else out
 
 
 def territory_source(customer_address: DataFrame, address_mstr: DataFrame,
@@ -200,10 +202,10 @@ def with_region(base: DataFrame, territory: DataFrame) -> DataFrame:
 
 
 def with_demographics(base: DataFrame, cdg_info: DataFrame, demo: DataFrame,
-                      income_lookup: DataFrame) -> DataFrame:
+                      income_lookup: DataFrame, dedupe_ethnicity: bool = False) -> DataFrame:
     """JOIN-9 chain and the derived gender / age / ethnicity / income labels."""
     age, inc = age_source(cdg_info), income_source(cdg_info, income_lookup)
-    g, e = gender_source(demo), ethnicity_source(demo)
+    g, e = gender_source(demo), ethnicity_source(demo, dedupe_ethnicity)
     j = (base.join(age, base.customer_id == age.age_customer_id, "left")
          .join(inc, base.customer_id == inc.inc_customer_id, "left")
          .join(g, (base.customer_id == g.g_customer) & (base.address_id == g.g_address), "left")
@@ -242,7 +244,8 @@ def with_snapshots(base: DataFrame, snapshots: Mapping[str, DataFrame],
 def customer_attributes(reactive: DataFrame, *, cdg_info: DataFrame, demo: DataFrame,
                         income_lookup: DataFrame, snapshots: Mapping[str, DataFrame],
                         persona_hist: DataFrame, customer_address: DataFrame,
-                        address_mstr: DataFrame, mailing_address: DataFrame) -> DataFrame:
+                        address_mstr: DataFrame, mailing_address: DataFrame,
+                        dedupe_ethnicity: bool = False) -> DataFrame:
     """The full third statement: 20 base + 5 derived + 136 feature columns.
 
     The latest-persona lookup contributes no column but multiplies rows when a
@@ -260,7 +263,7 @@ def customer_attributes(reactive: DataFrame, *, cdg_info: DataFrame, demo: DataF
          .join(inc, b.customer_id == inc.inc_customer_id, "left")
          .join(persona, b.customer_id == persona.z_customer, "left")
          .join(territory, b.customer_id == territory.u_customer, "left"))
-    g, e = gender_source(demo), ethnicity_source(demo)
+    g, e = gender_source(demo), ethnicity_source(demo, dedupe_ethnicity)
     j = (j.join(g, (j.customer_id == g.g_customer) & (j.address_id == g.g_address), "left")
           .join(e, (j.customer_id == e.e_customer) & (j.address_id == e.e_address), "left"))
     age_years = year_of("previous_buy") - F.col("DOB_YR")
