@@ -31,3 +31,10 @@ def test_entry_runs(spark):
     df = entry(spark)
     assert df.count() >= 0
     assert "month_interval" in df.columns
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
+def test_rows_only_query_runs(spark, sf_dir, name):
+    """Queries without an SQL equivalent (models, seeded sample) run end to
+    end and return rows."""
+    assert QUERIES[name](spark, sf_dir).count() > 0
