@@ -78,3 +78,17 @@ def test_confusion_total_and_accuracy_equals_micro_f1(spark, sf_dir):
 def test_pivot_rows_are_distinct_customers(spark, sf_dir):
     df = queries.REGISTRY["pivot_wide"](spark, sf_dir)
     assert df.count() == df.select("customer_id").distinct().count()
+
+
+def test_script_tables_equal_lazy_stages(spark, sf_dir):
+    import uuid
+    from winback.session import scratch_path
+    fx = Fixtures(spark, sf_dir)
+    paths = jobs.run_script(fx, base=scratch_path(spark, f"script_{uuid.uuid4().hex[:8]}"))
+    assert list(paths) == jobs.SCRIPT_TABLES
+    lazy = {"reactivation": jobs.stage_reactivation(fx),
+            "channel_attribution": jobs.stage_channel(fx),
+            "segment_link": jobs.stage_segment_link(fx)}
+    for name, df in lazy.items():
+        written = spark.read.parquet(paths[name])
+        assert written.exceptAll(df).count() == 0 and df.exceptAll(written).count() == 0, name

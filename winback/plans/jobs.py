@@ -129,3 +129,31 @@ def run_scoring_job(fx: Fixtures, params: dict | None = None, out_name: str = "p
     models = prop.load_product_models(base, products)
     score = training.drop("pdm_prod_type_id").distinct()
     return io.save_table(prop.score_wide(score, models), out_name)
+
+
+SCRIPT_TABLES = ["reactivation", "channel_attribution", "customer_attributes",
+                 "segment_link", "segment_population"]
+
+
+def run_script(fx: Fixtures, base: str | None = None, master: DataFrame | None = None) -> dict:
+    """The five statements as a batch job, each replacing a table that the
+    next statement reads (the original's CREATE OR REPLACE chain). Tables go
+    under ``base`` (default: the session's shared folder); the population's
+    master table defaults to the attributes table. Returns name -> path."""
+    from winback.operators.attribution import sorted_for_sink
+    from winback.session import scratch_path
+    from winback.sources.io import write_table
+    spark = fx.spark
+
+    def put(name: str, df: DataFrame, **kw) -> DataFrame:
+        path = f"{base}/{name}" if base else scratch_path(spark, name)
+        paths[name] = write_table(df, path, **kw)
+        return spark.read.parquet(path)
+
+    paths: dict[str, str] = {}
+    lr = put("reactivation", stage_reactivation(fx))
+    reactive = put("channel_attribution", sorted_for_sink(stage_channel(fx, lr)))
+    attrs = put("customer_attributes", stage_attributes(fx, reactive))
+    link = put("segment_link", stage_segment_link(fx, attrs))
+    put("segment_population", stage_population(fx, attrs if master is None else master, link))
+    return paths
