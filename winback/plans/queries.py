@@ -121,7 +121,7 @@ def q_segment_population(spark, sf_dir):
     so it is materialised once, like the script's CREATE TABLE."""
     from winback.sources.io import materialize
     fx = Fixtures(spark, sf_dir)
-    attrs = materialize(jobs.stage_attributes(fx))
+    attrs = materialize(jobs.stage_attributes(fx), "customer_attributes")
     link = jobs.stage_segment_link(fx, attrs)
     return jobs.stage_population(fx, attrs, link)
 

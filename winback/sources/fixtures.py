@@ -250,7 +250,8 @@ class Fixtures:
         # stored once, like the warehouse's snapshot tables: the nine lookups
         # below then read the same files instead of re-deriving the deciles
         from winback.sources.io import materialize
-        return materialize(d.withColumn("m_decile", F.col("m_decile").cast("double")))
+        return materialize(d.withColumn("m_decile", F.col("m_decile").cast("double")),
+                           "snapshots")
 
     @_memo
     def feature_table(self, alias: str) -> DataFrame:

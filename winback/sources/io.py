@@ -44,10 +44,13 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut the lineage of a stage that several jobs read (the script's CTAS
-    tables): a reliable checkpoint into the shared ``spark.checkpoint.dir``,
-    so a lost executor re-reads files instead of recomputing the stage."""
-    from winback.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    tables): the stage is written once as Parquet under the shared
+    ``spark.checkpoint.dir`` and read back. A lost executor then re-reads
+    files instead of recomputing the stage, and every later read prunes
+    columns (a 161-column table read for one key column reads one column)."""
+    import uuid
+    path = scratch_path(df.sparkSession, f"{name}_{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
