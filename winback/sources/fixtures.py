@@ -247,11 +247,12 @@ class Fixtures:
         # per-period window (one period would otherwise sort in one task)
         from winback.operators.ranking import ntile_within_group
         d = ntile_within_group(g, "fiscal_period_id", ["m_sum", "address_guid"], 10, "m_decile")
-        # stored once, like the warehouse's snapshot tables: the nine lookups
-        # below then read the same files instead of re-deriving the deciles
-        from winback.sources.io import materialize
-        return materialize(d.withColumn("m_decile", F.col("m_decile").cast("double")),
-                           "snapshots")
+        # stored once (reliable checkpoint in the shared folder), standing in
+        # for the warehouse's snapshot tables: the nine lookups below read it
+        # instead of re-deriving the deciles
+        from winback.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(self.spark)
+        return d.withColumn("m_decile", F.col("m_decile").cast("double")).checkpoint(eager=True)
 
     @_memo
     def feature_table(self, alias: str) -> DataFrame:
