@@ -9,10 +9,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.llm import bpe, line_dedup, packing, pii, quality_rules
+from winback.llm import bpe, imatch, license_scan, line_dedup, packing, pii, ppm, quality_rules
 from winback.llm.common import documents
 
 
+def op1_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(documents(spark, sf_dir))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_figures(documents(spark, sf_dir),
                                          spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -33,6 +37,16 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op8_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.edit_pairs(documents(spark, sf_dir))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (license_scan.scan(documents(spark, sf_dir))
+            .select("doc_id", "n_candidates", F.array_join("licenses", ",").alias("licenses"),
+                    "saving", "differences"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (line_dedup.drop_boilerplate(documents(spark, sf_dir), counts=True)
             .select("doc_id", "source", "n_lines", "n_dropped",
@@ -41,10 +55,13 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ppm_score": op1_ppm_score,
     "op3_quality_rules": op3_quality_rules,
     "op5_pii": op5_pii,
     "op6_bpe": op6_bpe,
     "op7_packing": op7_packing,
+    "op8_imatch": op8_imatch,
+    "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
