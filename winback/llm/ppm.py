@@ -30,6 +30,7 @@ that is not held out. Only ``doc_id`` and ``text`` are read.
 from __future__ import annotations
 
 import math
+import uuid
 import zlib
 from collections import Counter
 
@@ -41,15 +42,15 @@ from pyspark.sql import functions as F
 from winback.llm.common import stored
 from winback.llm.wordtokens import batches
 
-ORDER = 6
-SHARE = 2.0 ** -21
+ORDER = 5
+SHARE = 2.0 ** -22
 FOLDS, HELD_OUT = 5, 1
 BITS = 9                    # a symbol: byte, END or PAD
 END, PAD = 256, 257
 SYMBOLS = 257               # bytes and END can be predicted
-FLUSH_GRAMS = 3_000_000
+FLUSH_GRAMS = 1_500_000
 FLUSH_WORDS = 400_000
-RUN_BYTES = 2_000_000       # texts handled together
+RUN_BYTES = 1_000_000       # texts handled together
 
 
 def held_out(doc_id) -> bool:
@@ -288,6 +289,17 @@ def build_trie(counts: DataFrame, order: int, share: float):
     return keys, ns, docs, total
 
 
+_LOADED: dict = {}          # in a worker process: the model it used last
+
+
+def _loaded(key: str, trie, head):
+    """(gram cache, log counts of common words), built once per worker process."""
+    if key not in _LOADED:
+        _LOADED.clear()
+        _LOADED[key] = (GramCache(Trie(*trie.value)), {w: math.log10(c + 0.5) for w, c in head.value.items()})
+    return _LOADED[key]
+
+
 def score(docs: DataFrame, order: int = ORDER, share: float = SHARE) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and
     n_bytes of every text; log10 units."""
@@ -301,10 +313,10 @@ def score(docs: DataFrame, order: int = ORDER, share: float = SHARE) -> DataFram
     common = {bytes(r.word): r.n for r in words.where(F.col("n") >= F.lit(n_train * share)).collect()}
     common.setdefault(b"", 0)
     head = spark.sparkContext.broadcast(common)
+    key = uuid.uuid4().hex
 
     def work(batch_iter):
-        cache = GramCache(Trie(*trie.value))
-        logs = {w: math.log10(c + 0.5) for w, c in head.value.items()}
+        cache, logs = _loaded(key, trie, head)
         ends = head.value[b""]
         for batch in batch_iter:
             ids = batch.column(0)
