@@ -9,9 +9,9 @@ Only (host, page hash, line hash) longs are shuffled, each pair once per page
 and combined before the shuffle, so a host with a third of all pages is spread
 by its lines. What comes back is one row per host with its boilerplate lines:
 at most (mean distinct lines of its pages) / ``ratio`` hashes, whatever the
-number of pages. Texts themselves are never shuffled unless the host table is
-too large for Spark's own broadcast check; then the join is an ordinary shuffle
-join whose hot host AQE splits.
+number of pages. That table is measured: up to ``BROADCAST_HASHES`` hashes it is
+broadcast and no text is shuffled; beyond, the join is an ordinary shuffle join
+whose hot host AQE splits.
 
 Defined results. A null text stays null and contains no line; a null host is a
 host of its own; blank lines are never counted nor dropped. A host with fewer
@@ -25,8 +25,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from winback.llm.common import stored
+
 RATIO = 0.1
 MIN_PAGES = 5
+BROADCAST_HASHES = 2_000_000    # 16 MB; a larger host table is joined by a shuffle
 
 
 def _key(line: Column) -> Column:
@@ -66,6 +69,10 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO
                                                   F.col(host).isNull()).alias("_host"))
     lines = F.split("text", "\n")
     kept = F.filter(lines, lambda x: _blank(x) | ~F.array_contains(F.col("_lines"), _key(x)))
+    table = stored(table, "boilerplate")
+    hashes = table.agg(F.sum(F.size("_lines") + 2)).first()[0] or 0
+    if hashes <= BROADCAST_HASHES:
+        table = F.broadcast(table)
     j = (whole.join(table, "_host", "left")
          .withColumn("_kept", F.when(F.col("_lines").isNotNull(), kept)))
     text = F.when(F.col("_kept").isNull(), F.col("text")).otherwise(F.array_join("_kept", "\n"))
