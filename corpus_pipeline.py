@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from winback.llm import line_dedup, packing, pii, quality_rules
+from winback.llm import line_dedup, ngram_join, packing, pii, quality_rules
 from winback.llm.common import documents, stored
 
 ORACLE_SQL = None

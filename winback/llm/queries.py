@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.llm import bpe, imatch, license_scan, line_dedup, packing, pii, ppm, quality_rules
+from winback.llm import bpe, imatch, license_scan, line_dedup, ngram_join, packing, pii, ppm, quality_rules
 from winback.llm.common import documents
 
 
@@ -17,6 +17,10 @@ def op1_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(documents(spark, sf_dir))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_components(documents(spark, sf_dir))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_figures(documents(spark, sf_dir),
                                          spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -56,6 +60,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ppm_score": op1_ppm_score,
+    "op2_ngram_join": op2_ngram_join,
     "op3_quality_rules": op3_quality_rules,
     "op5_pii": op5_pii,
     "op6_bpe": op6_bpe,
