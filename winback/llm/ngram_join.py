@@ -15,8 +15,8 @@ documents link when their Jaccard similarity is at least ``threshold``. Equal ro
    columns; rows that are connected need no further comparison. What stays
    unconnected after some rounds is compared pair by pair, so no link is lost and a
    large group of near copies costs about one comparison a row.
-4. Compared pairs get their whole overlap from the sorted rows; pairs below the
-   size-derived bound are discarded.
+4. Pairs whose sizes, or whose columns met anywhere, cannot reach the threshold are
+   discarded; the others get their whole overlap from the sorted rows.
 
 Defined results. Null or blank text has no shingle and links with nothing. Fewer
 than five words: the whole sequence is one shingle. Repeated rows are copies. A
@@ -161,7 +161,7 @@ def _first_parts(docs: DataFrame, blocks: int, n: int) -> DataFrame:
                     keys.append(row[:p])
                     owners.append(np.full(p, owner, np.int64))
                     size += p
-                yield _rows(_PART, {"block": [o % blocks for o in owns], "kind": [0] * len(ns),
+                yield _rows(_PART, {"block": [(first + i) % blocks for i in range(len(ns))], "kind": [0] * len(ns),
                                     "doc_id": batch.column(0).slice(first, len(texts)), "n": ns,
                                     "owner": owns, "cls": clss}, len(ns))
                 if size > FLUSH_ENTRIES:
@@ -231,10 +231,24 @@ def _rows_left(docs: DataFrame, left: DataFrame, n: int) -> DataFrame:
             .dropDuplicates(["owner"]))
 
 
+def _entries(key, owner, n, met, place) -> pa.Table:
+    def col(parts, kind):
+        return pa.array(np.concatenate(parts) if parts else [], kind)
+    return pa.table({"key": col(key, pa.int64()), "owner": col(owner, pa.int64()), "n": col(n, pa.int32()),
+                     "met": col(met, pa.int32()), "place": col(place, pa.int32())})
+
+
+def _reach(most, na, nb, threshold: int):
+    """Whether an overlap of at most ``most`` can link rows of these sizes."""
+    return 100 * most >= threshold * (na + nb - most)
+
+
 def _postings(rows: DataFrame, blocks: int, threshold: int) -> DataFrame:
-    """(key, owner): for every row its rarest columns, as many as a partner must
-    meet at least once, without those that no other row left has. Rows are
-    counted chunk by chunk: a column is sent once per chunk and block."""
+    """(key, owner, n, met, place): for every row its rarest columns, as many as a
+    partner must meet at least once, without those that no other row left has.
+    ``met``: columns of the row that any other row has, a bound on every overlap;
+    ``place``: how many rarer columns the row has. Rows are counted chunk by chunk:
+    a column is sent once per chunk and block."""
     def send(batch_iter):
         import uuid
         for batch in batch_iter:
@@ -273,14 +287,13 @@ def _postings(rows: DataFrame, blocks: int, threshold: int) -> DataFrame:
                          "freqs": pa.array(freqs, pa.binary())})
 
     def pick(chunk: pa.Table, found: pa.Table) -> pa.Table:
-        none = pa.table({"key": pa.array([], pa.int64()), "owner": pa.array([], pa.int64())})
         if not len(chunk) or not len(found):
-            return none
+            return _entries([], [], [], [], [])
         fk = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in found["keys"]])
         ff = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in found["freqs"]])
         by = np.argsort(fk)
         fk, ff = fk[by], ff[by]
-        out_k, out_o = [], []
+        out: list = [[], [], [], [], []]
         for i in range(len(chunk)):
             keys = np.frombuffer(chunk["keys"][i].as_py(), np.uint64)
             owners = np.frombuffer(chunk["owners"][i].as_py(), np.int64)
@@ -290,26 +303,29 @@ def _postings(rows: DataFrame, blocks: int, threshold: int) -> DataFrame:
             for o, s, e in zip(owners, np.concatenate([[0], ends[:-1]]), ends):
                 k, f = keys[s:e], freq[s:e]
                 first = np.lexsort((k, f))[:most_alone(len(k), threshold) + 1]
-                first = first[f[first] > 1]
-                out_k.append(k[first])
-                out_o.append(np.full(len(first), o, np.int64))
-        return pa.table({"key": pa.array(np.concatenate(out_k).astype(np.int64)),
-                         "owner": pa.array(np.concatenate(out_o))}) if out_k else none
+                place = np.arange(len(first), dtype=np.int32)
+                met = f[first] > 1
+                m = int(met.sum())
+                out[0].append(k[first[met]].astype(np.int64))
+                out[1].append(np.full(m, o, np.int64))
+                out[2].append(np.full(m, len(k), np.int32))
+                out[3].append(np.full(m, int((f > 1).sum()), np.int32))
+                out[4].append(place[met])
+        return _entries(*out)
 
     sent = stored(rows.mapInArrow(
         send, "block int, chunk string, keys binary, counts binary, owners binary, sizes binary"), "incidence")
     found = (sent.where("block >= 0").select("block", "chunk", "keys", "counts").groupBy("block")
              .applyInArrow(total, "chunk string, keys binary, freqs binary"))
     return (sent.where("block = -1").select("chunk", "keys", "owners", "sizes").groupBy("chunk")
-            .cogroup(found.groupBy("chunk")).applyInArrow(pick, "key long, owner long"))
+            .cogroup(found.groupBy("chunk"))
+            .applyInArrow(pick, "key long, owner long, n int, met int, place int"))
 
 
 def _linked(pairs: DataFrame, rows: DataFrame, threshold: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose rows link, with their overlap."""
-    x = rows.select(F.col("owner").alias("a"), F.col("n").alias("na"), F.col("keys").alias("ka"))
-    y = rows.select(F.col("owner").alias("b"), F.col("n").alias("nb"), F.col("keys").alias("kb"))
-    sized = (pairs.join(x.select("a", "na"), "a").join(y.select("b", "nb"), "b")
-             .where((100 * F.col("na") >= threshold * F.col("nb")) & (100 * F.col("nb") >= threshold * F.col("na"))))
+    """Those of ``pairs`` (a, b) whose rows link."""
+    x = rows.select(F.col("owner").alias("a"), F.col("keys").alias("ka"))
+    y = rows.select(F.col("owner").alias("b"), F.col("keys").alias("kb"))
 
     def work(batch_iter):
         for t in batch_iter:
@@ -321,36 +337,48 @@ def _linked(pairs: DataFrame, rows: DataFrame, threshold: int) -> DataFrame:
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], ["a", "b"])
 
-    return (sized.select("a", "b").join(x.select("a", "ka"), "a").join(y.select("b", "kb"), "b")
-            .select("a", "b", "ka", "kb").mapInArrow(work, "a long, b long"))
+    return (pairs.join(x, "a").join(y, "b").select("a", "b", "ka", "kb")
+            .mapInArrow(work, "a long, b long"))
 
 
 def _class_components(rows: DataFrame, postings: DataFrame, threshold: int) -> DataFrame | None:
     """(node, comp) of linked classes; None if there is no link."""
     links = comp = None
+    entry = ("key", "owner", "n", "met", "place")
+    alone = F.floor(64 * (F.col("n") - F.col("met")) / F.col("n"))
     for turn in range(HUB_ROUNDS + 1):
-        here = postings
-        if comp is not None:
-            here = (postings.join(comp.withColumnRenamed("node", "owner"), "owner", "left")
-                    .select("key", "owner", F.coalesce("comp", "owner").alias("comp")))
+        if comp is None:
+            here = postings.withColumn("comp", F.col("owner"))
         else:
-            here = here.withColumn("comp", F.col("owner"))
+            here = (postings.join(comp.withColumnRenamed("node", "owner"), "owner", "left")
+                    .withColumn("comp", F.coalesce("comp", "owner")))
+        # a column's hub: first a row with few columns of its own, later any
+        hub = F.struct((alone if turn == 0 else F.lit(0)).alias("alone"), F.xxhash64("owner", F.lit(turn)).alias("h"),
+                       *(F.col(c) for c in ("owner", "comp", "n", "met")))
         # columns whose rows are not yet all connected
         open_keys = (here.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"),
-                                             F.min(F.struct(F.xxhash64("owner", F.lit(turn)), "owner", "comp"))
-                                             .alias("_hub")).where("_lo < _hi"))
+                                             F.min(hub).alias("_hub")).where("_lo < _hi"))
         here = stored(here.join(open_keys.select("key", "_hub"), "key"), "open")
-        postings = here.select("key", "owner")
+        postings = here.select(*entry)
         if turn < HUB_ROUNDS:
-            pairs = (here.where(F.col("_hub.comp") != F.col("comp")).groupBy(F.col("owner").alias("a"))
-                     .agg(F.min("_hub").alias("_h")).select("a", F.col("_h.owner").alias("b")))
+            h = F.col("_hub")
+            pairs = (here.where((h["comp"] != F.col("comp"))
+                                & _reach(F.least("met", h["met"]), F.col("n"), h["n"], threshold))
+                     .groupBy(F.col("owner").alias("a")).agg(F.min("_hub").alias("_h"))
+                     .select("a", F.col("_h.owner").alias("b")))
         else:
-            other = here.select("key", F.col("owner").alias("b"), F.col("comp").alias("_c"))
-            pairs = (here.select("key", F.col("owner").alias("a"), "comp").join(other, "key")
-                     .where(F.col("comp") < F.col("_c")).select("a", "b").distinct())
+            a, b = here.alias("a"), here.alias("b")
+            smaller = (F.col("a.n") < F.col("b.n")) | (
+                (F.col("a.n") == F.col("b.n")) & (F.col("a.owner") < F.col("b.owner")))
+            # met at their rarest common column, two rows share no more than what
+            # both have from there on
+            most = F.least("a.met", "b.met", F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place"))
+            pairs = (a.join(b, (F.col("a.key") == F.col("b.key")) & smaller & (F.col("a.comp") != F.col("b.comp"))
+                            & _reach(most, F.col("a.n"), F.col("b.n"), threshold))
+                     .select(F.col("a.owner").alias("a"), F.col("b.owner").alias("b")).distinct())
         new = stored(_linked(pairs, rows, threshold), "linked")
         links = new if links is None else links.union(new)
-        if links.limit(1).count():
+        if new.limit(1).count():
             comp = components(links)
         if not postings.limit(1).count():
             break
