@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.llm import bpe, imatch, license_scan, line_dedup, ngram_join, packing, pii, ppm, quality_rules
+from winback.llm import bpe, imatch, license_scan, line_dedup, ngram_join, packing, pii, ppm, quality_rules, suffix_dedup
 from winback.llm.common import documents
 
 
@@ -26,6 +26,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (suffix_dedup.cut_repeats(documents(spark, sf_dir))
+            .select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = pii.find_spans(documents(spark, sf_dir))
     return d.select("doc_id", *[F.size(f"{k}_spans").cast("long").alias(f"n_{k}") for k in pii.KINDS],
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ppm_score": op1_ppm_score,
     "op2_ngram_join": op2_ngram_join,
     "op3_quality_rules": op3_quality_rules,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_pii": op5_pii,
     "op6_bpe": op6_bpe,
     "op7_packing": op7_packing,
