@@ -3,8 +3,8 @@
 A byte goes when a ``length``-byte string that covers it also starts in a document
 of smaller id; strings are judged on the input. All of it is exact:
 
-1. Every window of ``length`` bytes names an anchor: its 16-byte gram of smallest
-   hash. Equal windows name equal anchors, and about one byte in eighteen is one.
+1. Every window of ``length`` bytes names an anchor: its 20-byte gram of smallest
+   hash. Equal windows name equal anchors, and about one byte in sixteen is one.
    Anchors found in more than one document are marked in a fixed-size bit table
    (blocks of anchors are merged in parallel, each anchor sent once per task).
 2. Around each marked anchor the windows that name it form a segment. Segments are
@@ -40,12 +40,13 @@ from winback.llm.ngram_join import _by_block, _mix, _runs
 from winback.llm.wordtokens import batches
 
 LENGTH = 50
-GRAM = 16                   # must be 16; anchors of one window: length - 15 grams
+GRAM = 20                   # bytes of an anchor, 16 + 4
 TABLE_BITS = 27
+SPAN_BITS = 20              # a span is at most 2 * length - GRAM bytes long
 RUN_CHARS = 1_000_000
-FLUSH_ANCHORS = 2_000_000
-FLUSH_BYTES = 64_000_000
-SORT_BYTES = 2_000_000      # texts of anchors sorted together
+FLUSH_ANCHORS = 1_000_000
+FLUSH_BYTES = 16_000_000
+SORT_BYTES = 400_000        # texts of anchors sorted together
 DOCS_PER_BLOCK = 4_000
 _BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -62,7 +63,9 @@ def anchors(texts: list[bytes], length: int = LENGTH):
     h = _BYTE[data]
     for step, mult in ((1, 0xD6E8FEB86659FD93), (2, 0xA0761D6478BD642F), (4, 0xE7037ED1A0B428DB), (8, 0x8EBC6AF09C88C6E3)):
         h = h[:-step] * np.uint64(mult) + h[step:]
-    h = _mix(h)
+        if step == 2:
+            four = h
+    h = _mix(h[:len(four) - 16] * np.uint64(0x589965CC75374CC3) + four[16:])
     # the place breaks ties, so equal windows choose equal places
     low = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64)
     span, have = length - GRAM + 1, 1
@@ -134,9 +137,9 @@ def packed(t: np.ndarray, depth: int) -> list[np.ndarray]:
     return [seven[i:i + n] for i in range(0, depth, 7)]
 
 
-def first_documents(texts: list[bytes], docs: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
-    """For each text, and each window in it, the smallest of ``docs`` among the
-    texts that contain the window."""
+def first_documents(texts: list[bytes], docs: np.ndarray, length: int = LENGTH):
+    """(text number, smallest of ``docs`` among the texts that contain it) of every
+    window of every text, in order."""
     lens = np.array([len(t) for t in texts], np.int64)
     data = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int64) + 1
     begin = np.cumsum(lens + 1) - lens - 1
@@ -160,18 +163,19 @@ def first_documents(texts: list[bytes], docs: np.ndarray, length: int = LENGTH)
     least = np.minimum.reduceat(docs[seg[number]], start)
     out = np.empty(len(where), np.int64)
     out[number] = np.repeat(least, np.diff([*start, len(order)]))
-    return np.split(out, np.cumsum(count)[:-1])
+    return seg, out
 
 
 # -- Spark -------------------------------------------------------------------
 
-def _texts(batch, ids: int = 0, col: int = 1):
-    """(ids, texts as bytes) of rows with an id, in runs."""
-    for first, texts in batches(batch.column(col), RUN_CHARS):
-        own = batch.column(ids).slice(first, len(texts)).to_pylist()
+def _texts(batch, *more: int):
+    """(ids, texts as bytes, values of the columns ``more``) of rows (id, text, ...)
+    with an id, in runs."""
+    for first, texts in batches(batch.column(1), RUN_CHARS):
+        own, *rest = (batch.column(i).slice(first, len(texts)).to_pylist() for i in (0, *more))
         keep = [i for i, x in enumerate(own) if x is not None]
         yield (np.array([own[i] for i in keep], np.int64),
-               [texts[i].encode("utf-8", "surrogatepass") for i in keep])
+               [texts[i].encode("utf-8", "surrogatepass") for i in keep], *([x[i] for i in keep] for x in rest))
 
 
 def shared_anchors(docs: DataFrame, blocks: int, length: int, bits: int) -> np.ndarray:
@@ -304,47 +308,43 @@ def _first_seen(docs: DataFrame, table, blocks: int, length: int, bits: int) ->
         text = [text[i] for i in by[new].tolist()]
         start = _runs(keys)
         width = np.diff([*start, len(keys)])
-        out: list = [[], [], [], []]
-
-        def put(i, firsts):
-            runs = _runs(firsts)
-            upto = [*(runs[1:] - 1).tolist(), len(firsts) - 1]
-            for a, b, f in zip(runs.tolist(), upto, firsts[runs].tolist()):
-                if f < most[i]:
-                    out[0].append(seg[i])
-                    out[1].append(a)
-                    out[2].append(b)
-                    out[3].append(f)
-
+        windows = np.array([len(x) for x in text], np.int64) - length + 1
         alone = start[width == 1]
         alone = alone[least[alone] < most[alone]]
-        for i in alone.tolist():
-            put(i, np.full(len(text[i]) - length + 1, least[i]))
+        out = [(seg[alone], np.zeros(len(alone), np.int64), windows[alone] - 1, least[alone])]
         todo: list[int] = []
         size = 0
         several = np.nonzero(width > 1)[0].tolist()
         for j, r in enumerate(several):
-            todo += range(int(start[r]), int(start[r] + width[r]))
-            size += sum(len(text[i]) for i in todo[-int(width[r]):])
+            own = range(int(start[r]), int(start[r] + width[r]))
+            todo += own
+            size += sum(len(text[i]) for i in own)
             if size > SORT_BYTES or j == len(several) - 1:
-                for i, firsts in zip(todo, first_documents([text[i] for i in todo], least[np.array(todo)], length)):
-                    put(i, firsts)
+                at = np.array(todo)
+                number, first = first_documents([text[i] for i in todo], least[at], length)
+                # runs of windows of one text with one first document
+                run = np.nonzero(np.concatenate([[True], (number[1:] != number[:-1]) | (first[1:] != first[:-1])]))[0]
+                last = np.concatenate([run[1:], [len(number)]]) - 1
+                which = at[number[run]]
+                begin = np.cumsum(windows[at]) - windows[at]
+                keep = first[run] < most[which]
+                out.append(tuple(x[keep] for x in (seg[which], run - begin[number[run]],
+                                                   last - begin[number[run]], first[run])))
                 todo, size = [], 0
-        return pa.table({"seg": pa.array(np.array(out[0], np.uint64).view(np.int64)),
-                         "frm": pa.array(out[1], pa.int32()), "upto": pa.array(out[2], pa.int32()),
-                         "first": pa.array(out[3], pa.int64())})
+        out = [np.concatenate(x) for x in zip(*out)]
+        return pa.table({"seg": pa.array(out[0].view(np.int64)), "frm": pa.array(out[1].astype(np.int32)),
+                         "upto": pa.array(out[2].astype(np.int32)), "first": pa.array(out[3])})
 
     return (docs.mapInArrow(send, _SEGMENT).groupBy("block")
             .applyInArrow(judge, "seg long, frm int, upto int, first long"))
 
 
 def _instances(docs: DataFrame, table, length: int, bits: int) -> DataFrame:
-    """(seg, doc_id, row, at): the segments of every document; ``row`` is a hash of
-    the text, ``at`` the first window."""
+    """(seg, doc_id, row, at): the segments of every document (doc_id, text, row);
+    ``at`` is the first window."""
     def work(batch_iter):
         for batch in batch_iter:
-            for ids, texts in _texts(batch):
-                row = [_row_hash(t) for t in texts]
+            for ids, texts, row in _texts(batch, 2):
                 own = ids.tolist()
                 got = [(xxhash.xxh3_64_intdigest(text), own[d], row[d], a)
                        for d, _, a, text in _segments(ids, texts, table.value, length, bits)]
@@ -357,51 +357,43 @@ def _instances(docs: DataFrame, table, length: int, bits: int) -> DataFrame:
     return docs.mapInArrow(work, "seg long, doc_id long, row long, at int")
 
 
-def _row_hash(text: bytes) -> int:
-    return int.from_bytes(xxhash.xxh3_64_digest(text), "little", signed=True)
-
-
 def repeated_spans(docs: DataFrame, length: int = LENGTH, bits: int = TABLE_BITS) -> DataFrame:
-    """(doc_id, row, spans): spans to remove, an array of (start, end) byte offsets
-    that may overlap; ``row`` is the signed xxh3 hash of the text's bytes."""
+    """(doc_id, row, spans): spans to remove, that may overlap, each one long with
+    the first byte in its upper bits and the length in the lower ``SPAN_BITS``;
+    ``row`` is ``xxhash64`` of the text."""
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     blocks = shuffle_blocks(spark, d.count(), DOCS_PER_BLOCK)
     table = spark.sparkContext.broadcast(shared_anchors(d, blocks, length, bits))
     seen = stored(_first_seen(d, table, blocks, length, bits), "first_seen")
-    hits = (_instances(d, table, length, bits).join(seen, "seg").where(F.col("first") < F.col("doc_id"))
-            .select("doc_id", "row", F.struct((F.col("at") + F.col("frm")).alias("start"),
-                                              (F.col("at") + F.col("upto") + length).alias("end")).alias("span")))
+    hits = (_instances(d.withColumn("row", F.xxhash64("text")), table, length, bits).join(seen, "seg").where(F.col("first") < F.col("doc_id"))
+            .select("doc_id", "row", ((F.col("at") + F.col("frm")).cast("long") * (1 << SPAN_BITS)
+                                      + F.col("upto") - F.col("frm") + length).alias("span")))
     return hits.groupBy("doc_id", "row").agg(F.collect_list("span").alias("spans"))
 
 
 def cut_repeats(docs: DataFrame, length: int = LENGTH, bits: int = TABLE_BITS) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept (binary: the
     remaining bytes)."""
-    spans = repeated_spans(docs, length, bits).groupBy("doc_id").agg(
-        F.collect_list(F.struct("row", "spans")).alias("rows"))
+    spans = stored(repeated_spans(docs, length, bits), "spans")
     d = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return _cut(d.join(stored(spans, "spans"), "doc_id", "left"))
+    return _cut(d.withColumn("row", F.xxhash64("text")).join(spans, ["doc_id", "row"], "left"))
 
 
 _CUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 
-def cut(text: bytes, spans) -> tuple[bytes, int, int]:
+def cut(text: bytes, spans: np.ndarray) -> tuple[bytes, int, int]:
     """(remaining bytes, bytes removed, maximal removed runs)."""
-    out, at, runs, gone = [], 0, 0, 0
-    end = -1
-    for s, e in sorted(spans):
-        if s > end:                                  # a new run, not even touching
-            out.append(text[at:s])
-            runs += 1
-            gone += e - s
-            at = end = e
-        elif e > end:
-            gone += e - end
-            at = end = e
-    out.append(text[at:])
-    return b"".join(out), gone, runs
+    if not len(spans):
+        return text, 0, 0
+    spans = np.sort(spans)
+    begin = spans >> SPAN_BITS
+    reach = np.maximum.accumulate(begin + (spans & ((1 << SPAN_BITS) - 1)))
+    new = np.nonzero(np.concatenate([[True], begin[1:] > reach[:-1]]))[0]   # touching spans are one run
+    s, e = begin[new], reach[np.concatenate([new[1:], [len(spans)]]) - 1]
+    kept = [text[a:b] for a, b in zip([0, *e.tolist()], [*s.tolist(), len(text)])]
+    return b"".join(kept), int((e - s).sum()), len(new)
 
 
 def _cut(d: DataFrame) -> DataFrame:
@@ -409,19 +401,17 @@ def _cut(d: DataFrame) -> DataFrame:
         for batch in batch_iter:
             for i in range(0, batch.num_rows, 500):
                 part = batch.slice(i, 500)
-                ids, n, gone, runs, kept = part.column(0), [], [], [], []
-                for text, rows in zip(part.column(1), part.column(2)):
+                n, gone, runs, kept = [], [], [], []
+                for text, spans in zip(part.column(1), part.column(2)):
                     text = text.as_py().encode("utf-8", "surrogatepass")
-                    row = _row_hash(text)
-                    spans = [(x["start"], x["end"]) for r in rows.as_py() or [] if r["row"] == row for x in r["spans"]]
+                    spans = spans.values.to_numpy() if spans.is_valid else np.zeros(0, np.int64)
                     k, g, r = cut(text, spans)
                     n.append(len(text))
                     gone.append(g)
                     runs.append(r)
                     kept.append(k)
                 yield pa.RecordBatch.from_arrays(
-                    [ids, *(pa.array(x, pa.int64()) for x in (n, gone, runs)), pa.array(kept, pa.binary())],
+                    [part.column(0), *(pa.array(x, pa.int64()) for x in (n, gone, runs)), pa.array(kept, pa.binary())],
                     ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return d.select("doc_id", "text", "rows").mapInArrow(work, _CUT)
-
+    return d.select("doc_id", "text", "spans").mapInArrow(work, _CUT)
