@@ -43,9 +43,9 @@ LENGTH = 50
 GRAM = 20                   # bytes of an anchor, 16 + 4
 TABLE_BITS = 27
 SPAN_BITS = 20              # a span is at most 2 * length - GRAM bytes long
-RUN_CHARS = 1_000_000
-FLUSH_ANCHORS = 1_000_000
-FLUSH_BYTES = 16_000_000
+RUN_CHARS = 250_000
+FLUSH_ANCHORS = 300_000
+FLUSH_BYTES = 8_000_000
 SORT_BYTES = 400_000        # texts of anchors sorted together
 DOCS_PER_BLOCK = 4_000
 _BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
