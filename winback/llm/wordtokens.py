@@ -18,7 +18,7 @@ WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 # Anything outside these goes to the library whole: other scripts, control and
 # uncommon blank characters, the dotted capital I, and special token marks.
 OTHER = regex.compile("[^\t\n\x0b\x0c\r -~¡-įı-ɏ]|<\\|")
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 
 class _Codes(dict):
