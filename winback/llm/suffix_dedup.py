@@ -47,7 +47,7 @@ RUN_CHARS = 250_000
 FLUSH_ANCHORS = 300_000
 FLUSH_BYTES = 8_000_000
 SORT_BYTES = 400_000        # texts of anchors sorted together
-DOCS_PER_BLOCK = 4_000
+DOCS_PER_BLOCK = 1_000
 _BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
