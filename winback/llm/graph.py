@@ -15,8 +15,8 @@ def components(links: DataFrame) -> DataFrame:
     Sums and minima are combined before each shuffle: a node with many links is
     never one task."""
     both = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    label = stored(both.groupBy(F.col("a").alias("node")).agg(
-        F.least(F.min("b"), F.first("a")).alias("comp")), "labels")
+    label = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("comp"))
+    label = stored(label, "labels")
     while True:
         near = (both.join(label.select(F.col("node").alias("b"), "comp"), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("_near")))

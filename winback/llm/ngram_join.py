@@ -42,7 +42,7 @@ THRESHOLD = 75              # percent
 FIRST_SHARE = 0.4           # share of a row's columns in the first test
 DOCS_PER_BLOCK = 4_000
 FLUSH_ENTRIES = 400_000
-HUB_ROUNDS = 3
+HUB_ROUNDS = 1
 CACHE_WORDS = 150_000
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
