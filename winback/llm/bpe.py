@@ -28,6 +28,7 @@ import hashlib
 import io
 import os
 import uuid
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +36,12 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.llm.wordtokens import WordEncoder, batches, default_vocabulary, read_json
+from winback.llm.common import bounded_batches, stored
+from winback.llm.wordtokens import WordEncoder, batches, default_vocabulary, kept_encoder, read_json, split
 from winback.session import scratch_path
 
 SHARE = 2.0 ** -18
-FLUSH_WORDS = 500_000
+FLUSH_WORDS = 300_000
 
 
 # -- the automaton ----------------------------------------------------------
@@ -145,13 +147,9 @@ class Lexicon:
 
 # -- Spark ------------------------------------------------------------------
 
-def count_words(docs: DataFrame, vocabulary: str) -> DataFrame:
+def count_words(docs: DataFrame) -> DataFrame:
     """(word, n) over all texts: counted per task, then summed."""
-    spec = docs.sparkSession.sparkContext.broadcast(read_json(vocabulary))
-
     def count(batch_iter):
-        from collections import Counter
-        enc = WordEncoder(spec.value)
         seen: Counter = Counter()
 
         def out():
@@ -162,7 +160,7 @@ def count_words(docs: DataFrame, vocabulary: str) -> DataFrame:
         for batch in batch_iter:
             for _, texts in batches(batch.column(0)):
                 for t in texts:
-                    w = enc.words(t)
+                    w = split(t)
                     if w is not None:
                         seen.update(w)
                 if len(seen) > FLUSH_WORDS:
@@ -179,8 +177,7 @@ def build_lexicon(docs: DataFrame, vocabulary: str, share: float = SHARE) -> np.
     reaches the driver is at most ``1 / share`` words."""
     from tokenizers import Tokenizer
 
-    from winback.llm.common import stored
-    counts = stored(count_words(docs, vocabulary), "words")
+    counts = stored(count_words(docs), "words")
     total = counts.agg(F.sum("n")).first()[0] or 0
     rows = counts.where(F.col("n") >= F.lit(total * share)).select("word").collect()
     words = sorted(r.word for r in rows)
@@ -238,13 +235,14 @@ _digests = ("n_tokens long, ids_sha256 string, decoded_sha256 string", True,
 def _run(docs: DataFrame, vocabulary: str | None, share: float, what) -> DataFrame:
     vocabulary = vocabulary or default_vocabulary()
     spark = docs.sparkSession
+    bounded_batches(spark)
     fields, decode, row = what
     lexicon = publish(spark, build_lexicon(docs, vocabulary, share))
     spec = spark.sparkContext.broadcast(read_json(vocabulary))
     names = [f.split()[0] for f in fields.split(", ")]
 
     def work(batch_iter):
-        enc = WordEncoder(spec.value, mapped_lexicon(lexicon))
+        enc = kept_encoder(lexicon, lambda: WordEncoder(spec.value, mapped_lexicon(lexicon)))
         for batch in batch_iter:
             for start, texts in batches(batch.column(1)):
                 got = [row(*x) if decode else row(x, None) for x in enc.encode(texts, decode)]

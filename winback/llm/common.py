@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +35,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     read it back: later stages restart from files when an executor is lost."""
     spark = df.sparkSession
     path = os.path.join(scratch_path(spark, "llm"), f"{name}_{uuid.uuid4().hex[:12]}")
-    df.write.parquet(path)
+    with freeing(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -42,3 +44,26 @@ def shuffle_blocks(spark: SparkSession, rows: int, rows_per_block: int) -> int:
     """Number of hash blocks so that one block holds about ``rows_per_block``
     rows, and no fewer than the session's shuffle partitions."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_per_block))
+
+
+_BATCH, _FREE = ("spark.sql.execution.arrow.maxRecordsPerBatch",
+                 "spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+
+
+def bounded_batches(spark: SparkSession, rows: int = 2_000) -> None:
+    """Let this session hand Python at most ``rows`` rows at a time: documents are
+    long, and a worker holds a batch whole."""
+    if not 0 < int(spark.conf.get(_BATCH)) <= rows:
+        spark.conf.set(_BATCH, str(rows))
+
+
+@contextmanager
+def freeing(spark: SparkSession):
+    """Actions inside give their shuffle files back when they end; for jobs whose
+    result is collected or stored and whose plan is not run again."""
+    before = spark.conf.get(_FREE, None)
+    spark.conf.set(_FREE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_FREE) if before is None else spark.conf.set(_FREE, before)

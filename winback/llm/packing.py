@@ -33,9 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from winback.llm.bpe import SHARE, build_lexicon, mapped_lexicon, publish
-from winback.llm.common import shuffle_blocks, stored
-from winback.llm.wordtokens import WordEncoder, batches, default_vocabulary, read_json
+from winback.llm.common import bounded_batches, shuffle_blocks, stored
+from winback.llm.wordtokens import WordEncoder, batches, default_vocabulary, kept_encoder, read_json
 
 CAPACITY = 2048
 UNIT = 4                # resolution of the length classes, tokens
@@ -188,15 +187,15 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY,
-           end_id: int = END_ID, share: float = SHARE) -> DataFrame:
+           end_id: int = END_ID) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens of every piece."""
     vocabulary = vocabulary or default_vocabulary()
     spark = docs.sparkSession
-    lexicon = publish(spark, build_lexicon(docs, vocabulary, share))
+    bounded_batches(spark)
     spec = spark.sparkContext.broadcast(read_json(vocabulary))
 
     def work(batch_iter):
-        enc = WordEncoder(spec.value, mapped_lexicon(lexicon))
+        enc = kept_encoder(f"pieces {vocabulary}", lambda: WordEncoder(spec.value))
         tail = np.array([end_id], np.uint32)
         for batch in batch_iter:
             for first, texts in batches(batch.column(1)):
@@ -268,7 +267,7 @@ def assign(parts: DataFrame, capacity: int = CAPACITY, unit: int = UNIT) -> Data
 
 
 def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY,
-         unit: int = UNIT, end_id: int = END_ID, share: float = SHARE) -> DataFrame:
+         unit: int = UNIT, end_id: int = END_ID) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset. A sequence holds at most ``capacity`` tokens."""
-    return assign(stored(pieces(docs, vocabulary, capacity, end_id, share), "pieces"), capacity, unit)
+    return assign(stored(pieces(docs, vocabulary, capacity, end_id), "pieces"), capacity, unit)

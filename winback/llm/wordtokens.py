@@ -10,15 +10,46 @@ that it lacks are merged exactly by the library, once per task.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
-import regex
 
-# The word pattern of the word_bpe vocabulary file.
-WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+# The letters and numbers of Latin texts (lower-cased), and the word
+# pattern of the word_bpe vocabulary file over them.
+LETTERS = "a-zªµºÀ-ÖØ-öø-ɏ"
+NUMBERS = "0-9²³¹¼½¾"
+WORD = re.compile(f"[{LETTERS}]+|[{NUMBERS}]|'(?:s|t|re|ve|m|ll|d)|[^\\t\\n\\x0b\\x0c\\r {LETTERS}{NUMBERS}]+")
 # Anything outside these goes to the library whole: other scripts, control and
 # uncommon blank characters, the dotted capital I, and special token marks.
-OTHER = regex.compile("[^\t\n\x0b\x0c\r -~¡-įı-ɏ]|<\\|")
-CACHE_WORDS = 200_000
+OTHER = re.compile("[^\t\n\x0b\x0c\r -~¡-įı-ɏ]|<\\|")
+
+
+def _byte_chars() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies:
+    printable Latin-1 characters themselves, the others from U+0100 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    extra = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(extra)) for b in range(256)]
+
+
+BYTE_CHARS = _byte_chars()
+CACHE_WORDS = 250_000
+
+
+def split(text: str) -> list[str] | None:
+    """The words of a text, or None if only the library may split it."""
+    return None if OTHER.search(text) else WORD.findall(text.lower())
+
+
+_ENCODER: dict = {}         # in a worker process: the encoder that it used last
+
+
+def kept_encoder(key: str, make):
+    """The encoder of ``key``, made once per worker process."""
+    if key not in _ENCODER:
+        _ENCODER.clear()
+        _ENCODER[key] = make()
+    return _ENCODER[key]
 
 
 class _Codes(dict):
@@ -63,8 +94,12 @@ class WordEncoder:
             for i in np.nonzero(found >= 0)[0]:
                 lists[i] = self.lexicon.ids_of(found[i])
         rest = [i for i, x in enumerate(lists) if x is None]
-        for i, e in zip(rest, self.tok.encode_batch([new[i] for i in rest], add_special_tokens=False)):
-            lists[i] = e.ids
+        merge = self.tok.model.tokenize
+        for i in rest:
+            w = new[i]
+            if not w.isascii():
+                w = "".join([BYTE_CHARS[b] for b in w.encode()])
+            lists[i] = [x.id for x in merge(w)]
         lens = np.array([len(x) for x in lists], np.int64)
         flat = np.concatenate([np.asarray(x, np.uint32) for x in lists]) if len(lists) else self.flat[:0]
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lens) - lens])
@@ -80,10 +115,6 @@ class WordEncoder:
         at = np.repeat(self.starts[codes] - ends + lens, lens) + np.arange(total)
         return self.flat[at]
 
-    def words(self, text: str) -> list[str] | None:
-        """The words of a text, or None if only the library may split it."""
-        return None if OTHER.search(text) else WORD.findall(text.lower())
-
     def encode(self, texts: list[str], decode: bool = False):
         """For each text: its ids (uint32), or (ids, decoded text)."""
         if len(self.codes) > CACHE_WORDS:
@@ -91,7 +122,7 @@ class WordEncoder:
         per = []
         get = self.codes.__getitem__
         for t in texts:
-            w = self.words(t)
+            w = split(t)
             per.append(None if w is None else np.fromiter(map(get, w), np.int64, len(w)))
         self._resolve()
         for t, c in zip(texts, per):
