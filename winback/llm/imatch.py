@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winback.llm.common import documents, shuffle_blocks, text_of  # noqa: F401
+from winback.llm.common import bounded_batches, freeing, shuffle_blocks, text_of
 from winback.llm.wordtokens import batches
 
 MIN_SHARE = 2.0 ** -11      # of documents that hold a lexicon term
@@ -72,9 +72,11 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
 
 def lexicon(docs: DataFrame, min_share: float = MIN_SHARE, max_share: float = MAX_SHARE) -> list[bytes]:
     """Terms in the frequency band (at most mean distinct terms / ``min_share``)."""
+    bounded_batches(docs.sparkSession)
     n = docs.count()
-    rows = document_frequencies(docs).where(
-        (F.col("df") >= F.lit(n * min_share)) & (F.col("df") <= F.lit(n * max_share))).select("term").collect()
+    with freeing(docs.sparkSession):
+        rows = document_frequencies(docs).where(
+            (F.col("df") >= F.lit(n * min_share)) & (F.col("df") <= F.lit(n * max_share))).select("term").collect()
     return sorted(bytes(r.term) for r in rows)
 
 
