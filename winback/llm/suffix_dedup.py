@@ -45,8 +45,8 @@ TABLE_BITS = 27
 SPAN_BITS = 20              # a span is at most 2 * length - GRAM bytes long
 RUN_CHARS = 250_000
 FLUSH_ANCHORS = 300_000
-FLUSH_BYTES = 8_000_000
-SORT_BYTES = 400_000        # texts of anchors sorted together
+FLUSH_BYTES = 3_000_000
+SORT_BYTES = 150_000        # texts of anchors sorted together
 DOCS_PER_BLOCK = 1_000
 _BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -208,6 +208,7 @@ def shared_anchors(docs: DataFrame, blocks: int, length: int, bits: int) -> np.n
                     size = 0
         if size:
             yield flush()
+        pa.default_memory_pool().release_unused()
 
     def merge(table: pa.Table) -> pa.Table:
         k = np.sort(np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in table["keys"]]))
@@ -276,6 +277,9 @@ def _first_seen(docs: DataFrame, table, blocks: int, length: int, bits: int) ->
             for ids, texts in _texts(batch):
                 own = ids.tolist()
                 for d, k, _, text in _segments(ids, texts, table.value, length, bits):
+                    if size > FLUSH_BYTES:
+                        yield flush()
+                        size = 0
                     i, name = own[d], (k, text)
                     x = seen.get(name)
                     if x is None:
@@ -283,11 +287,9 @@ def _first_seen(docs: DataFrame, table, blocks: int, length: int, bits: int) ->
                         size += len(text)
                     elif i < x[0] or i > x[1]:
                         seen[name] = (min(i, x[0]), max(i, x[1]))
-                if size > FLUSH_BYTES:
-                    yield flush()
-                    size = 0
         if seen:
             yield flush()
+        pa.default_memory_pool().release_unused()
 
     def judge(t: pa.Table) -> pa.Table:
         keys = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in t["keys"]])
@@ -295,7 +297,7 @@ def _first_seen(docs: DataFrame, table, blocks: int, length: int, bits: int) ->
         most = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in t["most"]])
         text = []
         for lens, whole in zip(t["lens"], t["texts"]):
-            whole, at = whole.as_py(), 0
+            whole, at = whole.as_buffer().to_pybytes(), 0
             for n in np.frombuffer(lens.as_py(), np.int32).tolist():
                 text.append(whole[at:at + n])
                 at += n
