@@ -88,24 +88,25 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes of ``text`` (small non-negative integers below 512) in the order of
     their first ``depth`` symbols (equal ones in any order)."""
     n = len(text)
-    t = text.astype(np.int64)
-    up = np.zeros(n, np.int64)
+    t = text.astype(np.int16)
+    up = np.zeros(n, np.int8)
     up[:-1] = np.sign(t[1:] - t[:-1])
     up[-1] = -1                                      # the end is smaller than all
-    place = np.where(up != 0, np.arange(n), n)
+    place = np.where(up != 0, np.arange(n, dtype=np.int32), np.int32(n))
     up = up[np.minimum.accumulate(place[::-1])[::-1]]
     small = up > 0                                   # smaller than the next suffix
     words = packed(t, depth)
     pick = np.nonzero(small)[0]
-    pick = pick[np.lexsort([w[pick] for w in reversed(words)])]
+    for w in reversed(words):                        # last word first, each sort stable
+        pick = pick[np.argsort(w[pick], kind="stable")]
     first = t[pick]
-    rank = np.full(n + 1, -1, np.int64)
+    rank = np.full(n + 1, -1, np.int32)
     out, done = [], 0
     others = np.nonzero(~small)[0]
     others = others[np.argsort(t[others], kind="stable")]
     ends = np.searchsorted(t[others], np.arange(t.max() + 2)) if n else []
     starts_b = np.searchsorted(first, np.arange(t.max() + 2)) if n else []
-    after = np.append(t[1:], -1)
+    after = np.append(t[1:], np.int16(-1))
     for c in range(int(t.max()) + 1 if n else 0):
         bucket = others[ends[c]:ends[c + 1]]
         # successors in smaller buckets are placed; runs of c follow one by one
@@ -130,7 +131,7 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
 def packed(t: np.ndarray, depth: int) -> list[np.ndarray]:
     """Words of seven 9-bit symbols that cover ``depth`` symbols from each place."""
     n = len(t)
-    pad = np.concatenate([t, np.zeros(depth + 14, np.int64)])
+    pad = np.concatenate([t, np.zeros(depth + 14, t.dtype)])
     seven = np.zeros(n + depth + 7, np.int64)
     for i in range(7):
         seven = (seven << 9) | pad[i:i + n + depth + 7]
@@ -141,14 +142,14 @@ def first_documents(texts: list[bytes], docs: np.ndarray, length: int = LENGTH):
     """(text number, smallest of ``docs`` among the texts that contain it) of every
     window of every text, in order."""
     lens = np.array([len(t) for t in texts], np.int64)
-    data = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int64) + 1
+    data = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int16) + np.int16(1)
     begin = np.cumsum(lens + 1) - lens - 1
     data[begin + lens] = 0
     count = lens - length + 1
     seg = np.repeat(np.arange(len(texts)), count)
     where = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-    is_window = np.full(len(data), -1, np.int64)
-    is_window[where] = np.arange(len(where))
+    is_window = np.full(len(data), -1, np.int32)
+    is_window[where] = np.arange(len(where), dtype=np.int32)
     order = suffix_order(data, length)
     order = order[is_window[order] >= 0]
     words = packed(data, length - length % 7)
