@@ -79,7 +79,8 @@ def anchors(texts: list[bytes], length: int = LENGTH):
     at = (low[np.repeat(begin, count) + window] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     new = np.nonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (doc[1:] != doc[:-1])]))[0]
     last = np.concatenate([new[1:], [len(at)]]) - 1
-    return doc[new], h[at[new]], window[new], window[last]
+    # an anchor's hash is the smallest of a window's: mixed again, keys are even
+    return doc[new], _mix(h[at[new]]), window[new], window[last]
 
 
 # -- two-stage suffix sorting ------------------------------------------------
