@@ -172,17 +172,49 @@ def test_cluster_conf_scales_partitions():
     assert int(cluster_conf(10 * 1024 ** 2, total_cores=8)["spark.sql.shuffle.partitions"]) == 16
 
 
-def test_broadcast_check_falls_back_beyond_bound(spark):
-    from winback.session import broadcast_if_small
-    df = spark.range(100)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        big = broadcast_if_small(df, 10)
-        small = broadcast_if_small(df, 1000)
-        assert "broadcast" not in big._jdf.queryExecution().logical().toString().lower()
-        assert "broadcast" in small._jdf.queryExecution().logical().toString().lower()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+def test_rank_statistics_beyond_the_broadcast_bound(spark, monkeypatch):
+    from winback.operators import ranking
+    df = spark.createDataFrame([(i % 7, i) for i in range(100)], "g int, id int")
+    want = {(i % 7, i): i // 7 + 1 for i in range(100)}
+    for bound in (1_000, 3):
+        monkeypatch.setattr(ranking, "STATS_MAX_ROWS", bound)
+        got = ranking.rank_within_group(df, "g", ["id"], num_partitions=4)
+        assert {(r.g, r.id): r.group_rank for r in got.collect()} == want
+        plan = got._jdf.queryExecution().analyzed().toString()
+        assert ("broadcast" in plan) == (bound == 1_000)
+
+
+def test_nan_counts_as_missing_everywhere(spark):
+    from winback.operators import prep, quality
+    nan = float("nan")
+    df = spark.createDataFrame([(nan, 1, "nan", "x"), (2.0, 2, "7", "y.z"), (None, 4, None, "x"), (5.0, None, "3", None)],
+                               "A_v double, A_i int, RECENCY string, `k.1` string")
+    filled = prep.impute(df).collect()
+    assert [r.A_v for r in filled] == [0.0, 2.0, 0.0, 5.0]
+    mean = prep.impute(df, [("A_", prep.MEAN)]).collect()
+    assert [r.A_v for r in mean] == [3.5, 2.0, 3.5, 5.0]
+    assert abs(mean[3].A_i - 7 / 3) < 1e-12                       # not cut to a whole number
+    scored = prep.impute_scoring(df, ["A_v", "RECENCY"], keep=()).collect()
+    assert [tuple(r) for r in scored] == [(0.0, 365.0), (2.0, 7.0), (0.0, 365.0), (5.0, 3.0)]
+    p = {r.column_name: r for r in quality.profile(df.select("A_v", "A_i")).collect()}
+    assert (p["A_v"].null_count, p["A_v"].distinct_count, p["A_v"].max_value, p["A_v"].mean) == (2, 2, 5.0, 3.5)
+    h = quality.histogram(df, ["A_v"], bins=3).collect()
+    assert sorted((r.bin, r.bin_count) for r in h) == [(1, 1), (3, 1)]
+    assert prep.fit_standard_scaler(df, ["A_v"]) == {"A_v": (3.5, 1.5)}
+    hot = prep.one_hot(df, ["k.1"])                                # dotted names and levels
+    assert hot.columns[-1] == "k.1_y.z"
+    stats = prep.fit_standard_scaler(hot, ["k.1_y.z"])
+    assert prep.apply_standard_scaler(hot, stats).count() == 4
+
+
+def test_null_order_ids_and_addresses_are_spread(spark):
+    from winback.operators.attribution import with_last_touch
+    lr = spark.createDataFrame([(i, None if i % 2 else i) for i in range(40)],
+                               "transaction_guid long, src_atg_ecom_order_id long")
+    web = spark.createDataFrame([(i, f"c{i}") for i in range(0, 40, 4)] + [(None, "none")],
+                                "orders long, last_touch_channel string")
+    got = {r.transaction_guid: r.last_touch_channel for r in with_last_touch(lr, web_touch=web).collect()}
+    assert got == {i: f"c{i}" if i % 4 == 0 else None for i in range(40)}
 
 
 def test_distributed_rank_with_coalesced_partitions(spark):

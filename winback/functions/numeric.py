@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _c(x) -> Column:
@@ -25,6 +26,21 @@ def coverage_percent(nulls, rows) -> Column:
     return (np_round(ratio, 2) * 100).cast("int")
 
 
+def quoted(name: str) -> Column:
+    """A column by its whole name (dots and back-ticks are part of it)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def present(df: DataFrame, name: str) -> Column:
+    """The column with NaN as NULL: pandas counts both as missing."""
+    col = quoted(name)
+    if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+        return F.when(~F.isnan(col), col)
+    return col
+
+
 def to_number(x) -> Column:
-    """pandas ``to_numeric(errors='coerce')``: bad text becomes NULL."""
-    return _c(x).try_cast("double")
+    """pandas ``to_numeric(errors='coerce')``: bad text becomes NULL, and so
+    does NaN (also as the text 'nan')."""
+    n = (quoted(x) if isinstance(x, str) else x).try_cast("double")
+    return F.when(~F.isnan(n), n)

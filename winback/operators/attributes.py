@@ -156,12 +156,9 @@ def age_source(cdg_info: DataFrame) -> DataFrame:
 
 
 def income_source(cdg_info: DataFrame, income_lookup: DataFrame) -> DataFrame:
-    """JOIN-10, AGG-2: distinct (customer, code) joined to the code table.
-    The code table is a bounded dimension: broadcast only if it is small."""
-    from winback.session import broadcast_if_small
+    """JOIN-10, AGG-2: distinct (customer, code) joined to the code table."""
     a = cdg_info.select("customer_id", "INC_ESTMT_HHLD_CD").distinct()
-    lk = broadcast_if_small(income_lookup.select("INC_ESTMT_HHLD_CD", "INC_ESTMT_HHLD_DESC"),
-                            100_000)
+    lk = income_lookup.select("INC_ESTMT_HHLD_CD", "INC_ESTMT_HHLD_DESC")
     return (a.join(lk, "INC_ESTMT_HHLD_CD")
             .select(F.col("customer_id").alias("inc_customer_id"), "INC_ESTMT_HHLD_CD",
                     "INC_ESTMT_HHLD_DESC").distinct())
@@ -225,16 +222,24 @@ def with_snapshots(base: DataFrame, snapshots: Mapping[str, DataFrame],
     (address, period role), then one flat projection of the renamed columns.
 
     Lookups with the same period role are adjacent, so the left side is
-    shuffled once per role. ``keep`` lists extra left columns to carry."""
-    out = base
+    shuffled once per role. ``keep`` lists extra left columns to carry.
+
+    Purged customers have no address: a third key, the address' hash or for
+    them the row's, spreads the rows that share the NULL key."""
+    whole = [c for c in base.columns if c != "address_id"]
+    out = base.withColumn("_spread", F.when(F.col("address_id").isNull(), F.xxhash64(*whole))
+                          .otherwise(F.xxhash64(F.col("address_id"))))
+    kind = base.schema["address_id"].dataType
     order = sorted(snapshots, key=lambda a: (period_role[a] != "PRE_FISCAL_PERIOD_ID", a))
     for alias in order:
         need = [s for (_, a, s) in columns if a == alias]
         t = snapshots[alias]
         right = t.select(F.col("address_guid").alias(f"{alias}__addr"),
                          F.col("fiscal_period_id").alias(f"{alias}__period"),
-                         *[F.col(s).alias(f"{alias}__{s}") for s in dict.fromkeys(need)])
+                         F.xxhash64(F.col("address_guid").cast(kind)).alias(f"{alias}__spread"),
+                       *[F.col(s).alias(f"{alias}__{s}") for s in dict.fromkeys(need)])
         cond = ((out.address_id == right[f"{alias}__addr"]) &
+                (out["_spread"] == right[f"{alias}__spread"]) &
                 (out[period_role[alias]] == right[f"{alias}__period"]))
         out = out.join(right, cond, "left")
     keep_cols = list(base.columns) if keep is None else keep

@@ -10,11 +10,6 @@ from pyspark.sql import functions as F
 
 from winback.functions import rules
 from winback.operators.exposure import window_join
-from winback.session import broadcast_if_small
-
-# A calendar has one row per day; 1M rows is ~2,700 years, far above any real
-# fiscal calendar, and the check keeps a bad input from being broadcast.
-CALENDAR_MAX_ROWS = 1_000_000
 
 
 def ecomm_transactions(txn: DataFrame, web_touch: DataFrame, concept_format_id: int = 1) -> DataFrame:
@@ -60,8 +55,15 @@ def with_last_touch(lr: DataFrame, *, web_touch: DataFrame | None = None,
                     (lr.transaction_booked_date == b.b_date) &
                     (lr.src_atg_ecom_order_id == b.b_ecom), "left")
         return j.drop("b_guid", "b_date", "b_ecom")
-    w = web_touch.select(F.col("orders").alias("b_order"), "last_touch_channel")
-    return lr.join(w, lr.src_atg_ecom_order_id == w.b_order, "left").drop("b_order")
+    # Store purchases have no order id, a third of all rows under one NULL key:
+    # a second key, that follows from the order id where there is one, spreads them.
+    kind = lr.schema["src_atg_ecom_order_id"].dataType
+    w = web_touch.select(F.col("orders").alias("b_order"), "last_touch_channel").where("b_order IS NOT NULL")
+    w = w.withColumn("b_spread", F.xxhash64(F.col("b_order").cast(kind)))
+    a = lr.withColumn("_spread", F.when(F.col("src_atg_ecom_order_id").isNull(), F.xxhash64("transaction_guid"))
+                      .otherwise(F.xxhash64("src_atg_ecom_order_id")))
+    return (a.join(w, (a.src_atg_ecom_order_id == w.b_order) & (a["_spread"] == w.b_spread), "left")
+            .drop("b_order", "b_spread", "_spread"))
 
 
 def channel_attribution(lr: DataFrame, exposures: DataFrame, time_dim: DataFrame,
@@ -75,8 +77,7 @@ def channel_attribution(lr: DataFrame, exposures: DataFrame, time_dim: DataFrame
     j = exposure_flags(j, exposures, window_days)
 
     # JOIN-6: one calendar joined in two roles.
-    cal = broadcast_if_small(time_dim.select("GREGORIAN_CALENDAR_DATE", "FISCAL_PERIOD_ID"),
-                             CALENDAR_MAX_ROWS)
+    cal = time_dim.select("GREGORIAN_CALENDAR_DATE", "FISCAL_PERIOD_ID")
     g = cal.select(F.col("GREGORIAN_CALENDAR_DATE").alias("g_date"), "FISCAL_PERIOD_ID")
     z = cal.select(F.col("GREGORIAN_CALENDAR_DATE").alias("z_date"),
                    F.col("FISCAL_PERIOD_ID").alias("PRE_FISCAL_PERIOD_ID"))

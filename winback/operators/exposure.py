@@ -9,10 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from winback.functions.dates import trailing_window
-from winback.session import broadcast_if_small
 
 DIRECT_MAIL_PATTERN = "%MAIN EVENT%DIRECT MAIL%"
-EVENTS_MAX_ROWS = 5_000_000
 
 
 def direct_mail_events(coupon_event: DataFrame, as_of: str, concept_format_id: int = 1,
@@ -38,10 +36,9 @@ def campaign_exposures(campaign_hist: DataFrame, dm_events: DataFrame,
                              F.col("DLVRY_STATUS_CD").isNotNull() &
                              (F.col("COUPON_BARCODE_ID1") > 0))
          .select("COUPON_BARCODE_ID1", "COUPON_BARCODE1", "CUST_HHLD_ADDR_SKID"))
-    # Coupon events are a campaign catalogue (bounded by campaigns x pieces in
-    # the window); broadcasting it, when the check allows, means a barcode
-    # mailed to millions of households never concentrates in one task.
-    b = broadcast_if_small(dm_events.where(F.col("Coupon_barcode_id") > 0), EVENTS_MAX_ROWS)
+    # Coupon events are a campaign catalogue: Spark broadcasts it while it is
+    # small, and beyond that splits a barcode mailed to millions (AQE skew join).
+    b = dm_events.where(F.col("Coupon_barcode_id") > 0)
     c = (cust_skid.select("CUST_HHLD_ADDR_SKID", "CURRENT_ADDRESS_ID", "CURRENT_CUSTOMER_ID")
          .distinct().where(F.col("CURRENT_CUSTOMER_ID") > 0)
          .withColumnRenamed("CUST_HHLD_ADDR_SKID", "c_skid"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from winback.functions import rules
-from winback.functions.numeric import to_number
+from winback.functions.numeric import present, quoted, to_number
 from winback.operators.ranking import rank_within_group
 
 Pattern = str | Callable[[str], bool]
@@ -69,16 +69,20 @@ def recast(df: DataFrame, rule_list=RECAST_RULES) -> DataFrame:
     out = []
     for c in df.columns:
         t = match_rule(c, rule_list)
-        out.append(F.col(c).cast(t).alias(c) if t else F.col(c))
+        out.append(quoted(c).cast(t).alias(c) if t else quoted(c))
     return df.select(*out)
 
 
-def _fill(df: DataFrame, c: str, value):
-    dtype = df.schema[c].dataType
+def _fill(df: DataFrame, c: str, value, fractional: bool = False):
+    """The column with its missing cells (NULL, NaN) set to ``value``; with
+    ``fractional`` a whole-number column becomes double, so a mean stays whole."""
+    dtype, col = df.schema[c].dataType, present(df, c)
+    if fractional and isinstance(dtype, T.IntegralType):
+        dtype, col = T.DoubleType(), col.cast("double")
     lit = F.lit(value)
     if not isinstance(dtype, T.StringType) or not isinstance(value, str):
         lit = lit.cast(dtype)
-    return F.coalesce(F.col(c), lit).alias(c)
+    return F.coalesce(col, lit).alias(c)
 
 
 def column_modes(df: DataFrame, cols: Sequence[str]) -> dict:
@@ -88,9 +92,10 @@ def column_modes(df: DataFrame, cols: Sequence[str]) -> dict:
     if not cols:
         return {}
     from pyspark.sql import Window
+    numeric = _numeric(df)
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v"),
-                 (F.col(c).cast("double") if c in _numeric(df) else F.lit(None).cast("double"))
+        F.struct(F.lit(c).alias("k"), present(df, c).cast("string").alias("v"),
+                 (present(df, c).cast("double") if c in numeric else F.lit(None).cast("double"))
                  .alias("n")) for c in cols])).alias("s")).select("s.*").where(
         F.col("v").isNotNull())
     cnt = long.groupBy("k", "v", "n").agg(F.count(F.lit(1)).alias("c"))
@@ -117,7 +122,7 @@ def fit_fill_values(df: DataFrame, wanted: dict) -> dict:
         from winback.operators.ranking import exact_medians
         out.update({r[0]: r[1] for r in exact_medians(df, medians).collect()})
     if stats:
-        row = df.agg(*[_STAT_FN[s.name](F.col(c).cast("double")).alias(f"f{i}")
+        row = df.agg(*[_STAT_FN[s.name](present(df, c).cast("double")).alias(f"f{i}")
                        for i, (c, s) in enumerate(stats.items())]).first()
         out.update({c: row[f"f{i}"] for i, c in enumerate(stats)})
     modes = column_modes(df, [c for c, s in wanted.items() if s is MODE])
@@ -126,7 +131,7 @@ def fit_fill_values(df: DataFrame, wanted: dict) -> dict:
 
 
 def impute(df: DataFrame, rule_list=IMPUTE_RULES) -> DataFrame:
-    """PREP-2: fill NULLs by name pattern. A constant fills directly; a
+    """PREP-2: fill NULLs and NaN by name pattern. A constant fills directly; a
     ``Strategy`` (MODE, MEAN, MEDIAN, MIN, MAX, STD) is fitted on the data
     first, for all such columns in at most two small jobs."""
     actions = {c: match_rule(c, rule_list) for c in df.columns}
@@ -134,7 +139,7 @@ def impute(df: DataFrame, rule_list=IMPUTE_RULES) -> DataFrame:
     out = []
     for c in df.columns:
         v = fitted.get(c) if isinstance(actions[c], Strategy) else actions[c]
-        out.append(F.col(c) if v is None else _fill(df, c, v))
+        out.append(quoted(c) if v is None else _fill(df, c, v, actions[c] in (MEAN, MEDIAN, STD)))
     return df.select(*out)
 
 
@@ -155,7 +160,7 @@ def with_buying_channel(df: DataFrame, src="pre_src_order") -> DataFrame:
 
 def with_clean_gender(df: DataFrame, col="gender") -> DataFrame:
     """CLS-5 cleaning in place."""
-    return df.select(*[rules.clean_gender(c).alias(c) if c == col else F.col(c)
+    return df.select(*[rules.clean_gender(c).alias(c) if c == col else quoted(c)
                        for c in df.columns])
 
 
@@ -164,7 +169,7 @@ def category_levels(df: DataFrame, cols: Sequence[str], max_levels: int = 1000)
     ``len(cols) * max_levels + 1`` rows reach the driver; more means a
     column is not categorical and raises instead of being collected."""
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v")) for c in cols]))
+        F.struct(F.lit(c).alias("k"), present(df, c).cast("string").alias("v")) for c in cols]))
         .alias("s")).select("s.*").where(F.col("v").isNotNull()).distinct()
     cap = len(cols) * max_levels
     rows = long.limit(cap + 1).collect()
@@ -186,11 +191,11 @@ def one_hot(df: DataFrame, cols: Sequence[str] = CATEGORICAL, drop_first: bool =
     levels (first level dropped), originals removed. A NULL encodes as all
     zeros. Flat columns keep names, unlike an assembled vector."""
     levels = levels or category_levels(df, cols)
-    keep = [F.col(c) for c in df.columns if c not in cols]
+    keep = [quoted(c) for c in df.columns if c not in cols]
     enc = []
     for c in cols:
         lv = levels[c][1:] if drop_first else levels[c]
-        enc += [F.when(F.col(c) == v, 1.0).otherwise(0.0).alias(f"{c}_{v}") for v in lv]
+        enc += [F.when(quoted(c) == v, 1.0).otherwise(0.0).alias(f"{c}_{v}") for v in lv]
     return df.select(*keep, *enc)
 
 
@@ -246,15 +251,15 @@ def stratified_split(df: DataFrame, label_col: str, order_cols: Sequence[str],
     split = (F.when(F.col("group_rank") <= F.floor(n * cut1 + 0.5), "train")
              .when(F.col("group_rank") <= F.floor(n * cut2 + 0.5), "valid")
              .otherwise("test"))
-    return r.select(*df.columns, split.alias("split"))
+    return r.select(*[quoted(c) for c in df.columns], split.alias("split"))
 
 
 def fit_standard_scaler(df: DataFrame, cols: Sequence[str]) -> dict:
     """PREP-7 fit: mean and *population* std per column in one aggregate
     (ML's StandardScaler uses the sample std). Zero/undefined std -> 1."""
     row = df.agg(*[e for i, c in enumerate(cols) for e in (
-        F.avg(F.col(c).cast("double")).alias(f"m{i}"),
-        F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}"))]).first()
+        F.avg(present(df, c).cast("double")).alias(f"m{i}"),
+        F.stddev_pop(present(df, c).cast("double")).alias(f"s{i}"))]).first()
     out = {}
     for i, c in enumerate(cols):
         m, s = row[f"m{i}"], row[f"s{i}"]
@@ -266,9 +271,9 @@ def apply_standard_scaler(df: DataFrame, stats: dict, digits: int | None = None)
     """PREP-7 transform: (x - mean) / std, names kept."""
     def scaled(c):
         m, s = stats[c]
-        e = (F.col(c).cast("double") - F.lit(m)) / F.lit(s)
+        e = (quoted(c).cast("double") - F.lit(m)) / F.lit(s)
         return (F.round(e, digits) if digits is not None else e).alias(c)
-    return df.select(*[scaled(c) if c in stats else F.col(c) for c in df.columns])
+    return df.select(*[scaled(c) if c in stats else quoted(c) for c in df.columns])
 
 
 def sample_rows(df: DataFrame, fraction: float, seed: int = SPLIT_SEED,

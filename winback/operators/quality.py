@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from winback.functions.numeric import coverage_percent
+from winback.functions.numeric import coverage_percent, present, quoted
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
@@ -33,10 +33,7 @@ def categorical_columns(df: DataFrame) -> list[str]:
 
 def _missing(df: DataFrame, c: str):
     """pandas ``isnull``: NULL, and NaN for floating columns."""
-    col = F.col(c)
-    if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
-        return col.isNull() | F.isnan(col)
-    return col.isNull()
+    return present(df, c).isNull()
 
 
 def _long(agg: DataFrame, names: list[str], fields: dict[str, str]) -> DataFrame:
@@ -89,18 +86,19 @@ def drop_columns(df: DataFrame, *cols: str, strict: bool = False) -> DataFrame:
     return df.drop(*cols)
 
 
-def profile(df: DataFrame, exact: bool = False) -> DataFrame:
-    """DQ-1 / AGG-5 / AGG-10: per column rows, nulls, distinct count (nulls
-    ignored) and, for numeric columns, min / max / mean / sample std / median.
+def profile(df: DataFrame, exact: bool = True) -> DataFrame:
+    """DQ-1 / AGG-5 / AGG-10: per column rows, nulls, distinct count (nulls and
+    NaN ignored) and, for numeric columns, min / max / mean / sample std / median.
 
-    ``exact=False`` uses HyperLogLog++ distinct counts and approximate
+    Exact medians use the distributed rank (ranking.exact_medians);
+    ``exact=False`` asks for HyperLogLog++ distinct counts and approximate
     medians (bounded sketches), which keep the pass linear for very wide
-    tables; exact medians use the distributed rank (ranking.exact_medians)."""
+    tables."""
     cols, nums = list(df.columns), set(numeric_columns(df))
     num_cols = [c for c in cols if c in nums]
     aggs = [F.count(F.lit(1)).alias("row_count")]
     for i, c in enumerate(cols):
-        col = F.col(c)
+        col = present(df, c)
         aggs.append(F.count_if(_missing(df, c)).alias(f"null_count__{i}"))
         aggs.append((F.count_distinct(col) if exact else F.approx_count_distinct(col))
                     .alias(f"distinct_count__{i}"))
@@ -137,7 +135,7 @@ def top_values(df: DataFrame, columns: list[str] | None = None, k: int = 20) ->
     column's full value list ever meets in one task."""
     cols = list(columns or categorical_columns(df))
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+        F.struct(F.lit(c).alias("column_name"), present(df, c).cast("string").alias("value"))
         for c in cols])).alias("s")).select("s.*").where(F.col("value").isNotNull())
     counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("value_count"))
     w = Window.partitionBy("column_name").orderBy(F.col("value_count").desc(), F.col("value"))
@@ -145,15 +143,6 @@ def top_values(df: DataFrame, columns: list[str] | None = None, k: int = 20) ->
             .where(F.col("value_rank") <= k))
 
 
-def mode_value(df: DataFrame, column: str):
-    """AGG-9: most frequent non-NULL value; ties go to the smallest value
-    (spelled out because engines' ``mode`` break ties differently)."""
-    row = (df.where(F.col(column).isNotNull()).groupBy(column)
-           .agg(F.count(F.lit(1)).alias("_n"))
-           .orderBy(F.col("_n").desc(), F.col(column)).limit(1).collect())
-    return row[0][0] if row else None
-
-
 def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 50) -> DataFrame:
     """DQ-4: equal-width histogram per numeric column as a table
     (column_name, bin 1..bins, bin_lo, bin_hi, bin_count; empty bins omitted).
@@ -163,15 +152,15 @@ def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 50) -
     (unlike ``width_bucket``); a constant column puts everything in bin 1."""
     cols = list(columns or numeric_columns(df))
     mm = df.agg(*[e for i, c in enumerate(cols) for e in (
-        F.min(F.col(c).cast("double")).alias(f"lo{i}"),
-        F.max(F.col(c).cast("double")).alias(f"hi{i}"))]).first()
+        F.min(present(df, c).cast("double")).alias(f"lo{i}"),
+        F.max(present(df, c).cast("double")).alias(f"hi{i}"))]).first()
     parts = []
     for i, c in enumerate(cols):
         lo, hi = mm[f"lo{i}"], mm[f"hi{i}"]
         if lo is None:
             continue
         w = (hi - lo) / bins
-        x = F.col(c).cast("double")
+        x = present(df, c).cast("double")
         b = (F.lit(1) if w == 0 else
              F.least(F.lit(bins), (F.floor((x - F.lit(lo)) / F.lit(w)) + 1).cast("int")))
         parts.append(F.when(x.isNotNull(), F.struct(F.lit(c).alias("column_name"),
@@ -194,9 +183,9 @@ def drop_duplicates(df: DataFrame, subset: list[str], order_by: list[str]) -> Da
     so a group holding a third of all rows costs no more than a small one. A
     ``row_number`` window would sort that whole group in one task."""
     rest = [c for c in df.columns if c not in subset and c not in order_by]
-    packed = F.min(F.struct(*[F.col(c) for c in order_by + rest])).alias("_first")
-    g = df.groupBy(*subset).agg(packed)
-    return g.select(*[F.col(c) if c in subset else F.col(f"_first.{c}").alias(c)
+    packed = F.min(F.struct(*[quoted(c) for c in order_by + rest])).alias("_first")
+    g = df.groupBy(*[quoted(c) for c in subset]).agg(packed)
+    return g.select(*[quoted(c) if c in subset else F.col("_first").getField(c).alias(c)
                       for c in df.columns])
 
 

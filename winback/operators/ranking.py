@@ -16,10 +16,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from winback.session import broadcast_if_small, ensure_checkpoint_dir
+from winback.functions.numeric import present, quoted
+from winback.session import ensure_checkpoint_dir
 
-# (partition, group) count rows; far below any broadcast limit for sane
-# partition counts and group cardinalities.
+# Count rows that are broadcast; range partitions hold at most one row per
+# partition and per group, so more means that many groups, which are joined.
 STATS_MAX_ROWS = 1_000_000
 
 
@@ -44,8 +45,12 @@ def rank_within_group(df: DataFrame, group: str, order_cols: Sequence[str],
     stats = stats.select("_pid", group, "_first",
                          F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
                          F.sum("_n").over(Window.partitionBy(group)).alias("group_size"))
-    j = s.join(broadcast_if_small(stats, STATS_MAX_ROWS), ["_pid", group])
-    return j.select(*df.columns, (F.col("_offset") + F.col("_mid") - F.col("_first") + 1)
+    # counted on the checkpointed rows' small aggregate; the broadcast keeps the
+    # rows where they are (AQE alone would shuffle them before it knew the size)
+    if stats.limit(STATS_MAX_ROWS + 1).count() <= STATS_MAX_ROWS:
+        stats = F.broadcast(stats)
+    j = s.join(stats, ["_pid", group])
+    return j.select(*[quoted(c) for c in df.columns], (F.col("_offset") + F.col("_mid") - F.col("_first") + 1)
                     .alias("group_rank"), "group_size")
 
 
@@ -61,7 +66,7 @@ def ntile_within_group(df: DataFrame, group: str, order_cols: Sequence[str], buc
     big = rem * (q + 1)                  # rows in the larger buckets
     tile = F.when(k <= big, F.floor((k - 1) / (q + 1)) + 1).otherwise(
         rem + F.floor((k - big - 1) / F.greatest(q, F.lit(1))) + 1)
-    return r.select(*df.columns, tile.cast("int").alias(out))
+    return r.select(*[quoted(c) for c in df.columns], tile.cast("int").alias(out))
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -73,9 +78,9 @@ def exact_medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     repeated a billion times still spreads over many range partitions) and
     the one or two middle ranks are averaged, as interpolation at 0.5 does."""
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
+        F.struct(F.lit(c).alias("column_name"), present(df, c).cast("double").alias("value"))
         for c in cols])).alias("s")).select("s.*")
-    long = long.where(F.col("value").isNotNull() & ~F.isnan("value")).withColumn(
+    long = long.where(F.col("value").isNotNull()).withColumn(
         "_rid", F.monotonically_increasing_id())
     r = rank_within_group(long, "column_name", ["value", "_rid"])
     n, k = F.col("group_size"), F.col("group_rank")

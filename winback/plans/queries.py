@@ -16,7 +16,6 @@ from winback.operators import model as mdl
 from winback.operators import propensity as prop
 from winback.operators.exposure import window_join
 from winback.plans import jobs
-from winback.session import broadcast_if_small
 from winback.sources import io as sink
 from winback.sources.fixtures import Fixtures
 from winback.sources.tables import limited_scan
@@ -276,14 +275,14 @@ QUERY_PRODUCT_MODEL = {"maxIter": 10, "maxDepth": 5, "stepSize": 0.1,
 def q_feature_importance_topk(spark, sf_dir):
     frame, feats = jobs.stage_model_frame(Fixtures(spark, sf_dir))
     train = frame.where(F.col("split") == "train")
-    m = mdl.fit(train, feats, mdl.forest(num_trees=50, max_depth=6))
+    m = mdl.fit(train, feats, mdl.forest(max_depth=6))
     return mdl.feature_importance(m, feats, spark, k=mdl.TOP_FEATURES)
 
 
 @query("tuning_trials")
 def q_tuning_trials(spark, sf_dir):
     frame, feats = jobs.stage_model_frame(Fixtures(spark, sf_dir))
-    frame = frame.cache()
+    frame = sink.materialize(frame, "model_frame")
     train = frame.where(F.col("split") == "train")
     valid = frame.where(F.col("split") == "valid")
     return mdl.random_search(train, valid, feats, trials=mdl.TRIALS, num_trees=mdl.N_TREES)
@@ -293,9 +292,10 @@ def q_tuning_trials(spark, sf_dir):
 def q_channel_model_report(spark, sf_dir):
     """Final fit on train, classification report on test rows."""
     frame, feats = jobs.stage_model_frame(Fixtures(spark, sf_dir))
+    frame = sink.materialize(frame, "model_frame")
     train = frame.where(F.col("split") == "train")
     test = frame.where(F.col("split") == "test")
-    m = mdl.fit(train, feats, mdl.forest(num_trees=50, max_depth=8))
+    m = mdl.fit(train, feats, mdl.forest(max_depth=8))
     pred = mdl.predict(m, test).withColumn("prediction", F.col("prediction").cast("int"))
     return metrics.class_report(pred, "label", "prediction")
 
@@ -335,7 +335,7 @@ def q_pivot_wide(spark, sf_dir):
     o = fx.t("orders").select("o_orderkey", "o_custkey")
     p = fx.t("part").select("p_partkey", "p_type")
     long = (li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
-            .join(broadcast_if_small(fx.product_types(), 100_000), "p_type")
+            .join(fx.product_types(), "p_type")
             .groupBy(F.col("o_custkey").alias("customer_id"), "pdm_prod_type_id")
             .agg(F.count(F.lit(1)).alias("lines")))
     return prop.pivot_wide(long, "customer_id", "pdm_prod_type_id", "lines",

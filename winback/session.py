@@ -1,14 +1,12 @@
-"""Session helpers: building a local session for tests/bench, and the two
-cluster-safety utilities every operator relies on (checkpoint directory and
-size-checked broadcast)."""
+"""Session helpers: building a local session for tests/bench, the shared
+checkpoint directory every operator relies on, and settings for a cluster."""
 
 from __future__ import annotations
 
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 # Settings that matter at scale: AQE re-plans joins from runtime sizes (turns
 # shuffle joins into broadcast joins when a side turns out small, splits skewed
@@ -74,24 +72,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` to a join only behind a check of its size.
-
-    With AQE on (the default here and in ``cluster_conf``) the check is
-    Spark's own: the side is materialised as a query stage, its measured size
-    is compared with ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and
-    the join becomes a broadcast join only below it - otherwise it stays a
-    shuffle join (skew-split by AQE). No extra job, and no re-scan of the
-    dimension's source just to count it. With AQE off, at most
-    ``max_rows + 1`` rows are read and the hint is added only at or below the
-    bound.
-    """
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def cluster_conf(input_bytes: int, total_cores: int,
                  partition_bytes: int = 256 * 1024 ** 2) -> dict:
     """Settings sized for a cluster run over ``input_bytes`` of Parquet.
@@ -104,8 +84,7 @@ def cluster_conf(input_bytes: int, total_cores: int,
       advisory-sized pieces;
     * runtime bloom filters let a selective join side prune the large side
       before its shuffle (transactions vs. the customer xref, web orders);
-    * broadcast only below 64 MB statically; the operators' explicit
-      ``broadcast_if_small`` checks cover bounded dimensions.
+    * broadcast only below 64 MB, by the size Spark knows or measures.
     """
     shuffle = max(2 * total_cores, -(-input_bytes // partition_bytes))
     return {

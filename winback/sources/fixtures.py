@@ -331,8 +331,7 @@ class Fixtures:
         pairs = (li.join(o.select("o_orderkey", "o_custkey"), li.l_orderkey == o.o_orderkey)
                  .join(p, li.l_partkey == p.p_partkey)
                  .select(F.col("o_custkey").alias("customer_id"), "p_type").distinct())
-        from winback.session import broadcast_if_small
-        pairs = pairs.join(broadcast_if_small(self.product_types(), 100_000), "p_type")
+        pairs = pairs.join(self.product_types(), "p_type")
         stats = o.groupBy(F.col("o_custkey").alias("s_customer")).agg(
             F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("s"))
         c = self.t("customer").select("c_custkey", "c_acctbal", "c_nationkey")
