@@ -87,6 +87,19 @@ def test_op1_probabilities_sum_to_one():
         assert probs.sum() == pytest.approx(1.0, abs=1e-9)
 
 
+def test_op1_keeps_rare_contexts_of_a_large_corpus(spark):
+    rows = [(i, "ab" * 500_000) for i in range(8)] + [(20, "quick zebras jump"), (21, "quick zebras")]
+    assert not ppm.held_out(20)
+    got = {r.doc_id: r.score for r in ppm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    train = [t.encode() for i, t in rows if not ppm.held_out(i)]
+    g = np.concatenate([ppm.grams([t], 5)[0] for t in train])
+    assert len(g) > 2 ** 22                             # a share of 2^-22 would cut what is met once
+    levels = [np.unique(g & np.uint64((1 << (9 * (k + 1))) - 1), return_counts=True) for k in range(6)]
+    trie = ppm.Trie([k for k, _ in levels], [c for _, c in levels], len(train), len(g))
+    assert got[20] == pytest.approx(trie.log10(ppm.grams([rows[8][1].encode()], 5)[0]).sum(), rel=1e-9)
+    assert got[21] == pytest.approx(trie.log10(ppm.grams([rows[9][1].encode()], 5)[0]).sum(), rel=1e-9)
+
+
 def brute_components(rows, n=5, threshold=75):
     sets = []
     for i, t in rows:

@@ -1,12 +1,16 @@
 """Operator 1, LM scoring: prediction by partial matching over bytes.
 
 Training counts every (context, next byte) of up to ``order`` preceding bytes in
-one pass: each task counts the longest grams of its texts, packed nine bits a
-symbol into one long, and Spark sums them. Shorter contexts are marginals of the
-longest, so they cost no second pass. The trie keeps the nodes that hold at least
-``share`` of all positions; at most ``1 / share`` nodes an order can, so its size
-is bounded at any corpus size while the counts behind it cover all of it. What a
-node lost to pruning is added to its escape.
+one pass and keeps all of them. Each task cuts its texts into chunks and sends the
+distinct longest grams of a chunk, packed nine bits a symbol into one long, with
+their counts to hash blocks of grams, where counts are summed over the corpus. The
+sums are dealt again by the last ``SPLIT`` bytes of their contexts, so a block
+holds every order from there on whole; the orders below are marginals with at most
+257 ** SPLIT grams, bounded by the alphabet, and go to every block. There each
+distinct gram gets its log probability once; a second join by gram block hands a
+chunk those of its grams, and its texts add them up. No table of all contexts is
+held in one place. ``share`` above 0 asks for a smaller model: contexts that hold
+less than that share of all positions go to the escape.
 
 A byte's probability starts at the longest known context. A symbol seen there has
 (count - 1/2) / n, with n the context's count, and the halves taken from its q
@@ -14,12 +18,11 @@ symbols are the escape estimate, q / 2n (method D); the escape mass goes to the
 one are excluded, down to a uniform choice among symbols never seen at order 0.
 Exclusion needs no set per byte: the symbols of a context are also symbols of the
 shorter one, so a node stores how much of its parent's count they hold. The
-probability then depends on the last ``order + 1`` bytes alone and is computed
-once per distinct gram of a task.
+probability then depends on the last ``order + 1`` bytes alone.
 
 A text's score is the log10 probability of its bytes (A-Z lower-cased) and one
 end symbol. Beside it stands a word unigram base. Frequent words (at least
-``share`` of all tokens, so a bounded number) are broadcast, the others are joined.
+``WORD_SHARE`` of all tokens, so a bounded number) are broadcast, the others are joined.
 
 Defined results. Null text counts as empty: one end. The table may be empty
 (no rows), or without training rows (every symbol is uniform over 257). Repeated
@@ -36,14 +39,17 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winback.llm.common import bounded_batches, stored
+from winback.llm.common import bounded_batches, shuffle_blocks, stored
 from winback.llm.wordtokens import batches
 
 ORDER = 5
-SHARE = 2.0 ** -22
+SHARE = 0.0                 # every counted context is kept
+WORD_SHARE = 2.0 ** -22     # words that are broadcast; the others are joined
+SPLIT = 3                   # context bytes by which counts are dealt
 FOLDS, HELD_OUT = 5, 1
 BITS = 9                    # a symbol: byte, END or PAD
 END, PAD = 256, 257
@@ -51,6 +57,8 @@ SYMBOLS = 257               # bytes and END can be predicted
 FLUSH_GRAMS = 1_500_000
 FLUSH_WORDS = 400_000
 RUN_BYTES = 1_000_000       # texts handled together
+CHUNK_BYTES = 64_000_000    # texts that ask for their grams together
+DOCS_PER_BLOCK = 4_000
 
 
 def held_out(doc_id) -> bool:
@@ -87,9 +95,9 @@ class GramCounter:
         self.parts: list = []
         self.size = 0
 
-    def add(self, g: np.ndarray):
+    def add(self, g: np.ndarray, weight: int = 1):
         k, c = np.unique(g, return_counts=True)
-        self.parts.append((k, c))
+        self.parts.append((k, c * weight))
         self.size += len(k)
         if self.size > FLUSH_GRAMS and len(self.parts) > 1:
             self.parts = [self.merged()]
@@ -100,10 +108,7 @@ class GramCounter:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
         k = np.concatenate([p[0] for p in self.parts])
         c = np.concatenate([p[1] for p in self.parts])
-        by = np.argsort(k, kind="stable")
-        k, c = k[by], c[by]
-        start = np.nonzero(np.concatenate([[True], k[1:] != k[:-1]]))[0] if len(k) else np.zeros(0, np.int64)
-        return k[start], np.add.reduceat(c, start) if len(k) else c
+        return _summed(k, c)
 
     def clear(self):
         self.parts, self.size = [], 0
@@ -114,78 +119,197 @@ def tokens(text: bytes) -> list[bytes]:
     return text.split()
 
 
-def training_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
-    """(gram, word, n) over the training texts: one row per longest gram (word
-    null) and per word (gram null; the empty word is the end)."""
+def _low(symbols: int) -> np.uint64:
+    """Mask of the last symbols of a gram."""
+    return np.uint64((1 << (BITS * symbols)) - 1)
+
+
+def _by_block(keys: np.ndarray, blocks: int):
+    """(block, indices in order) of hashed keys."""
+    h = (keys ^ (keys >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    b = ((h >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
+    order = np.argsort(b, kind="stable")
+    b = b[order]
+    starts = np.nonzero(np.concatenate([[True], b[1:] != b[:-1]]))[0] if len(b) else []
+    for s, e in zip(starts, [*starts[1:], len(b)]):
+        yield int(b[s]), order[s:e]
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray):
+    """Sorted distinct keys and the sums of their counts."""
+    by = np.argsort(keys, kind="stable")
+    k, c = keys[by], counts[by]
+    start = np.nonzero(np.concatenate([[True], k[1:] != k[:-1]]))[0] if len(k) else np.zeros(0, np.int64)
+    return k[start], np.add.reduceat(c, start) if len(k) else c
+
+
+def _joined(column, kind) -> np.ndarray:
+    parts = [np.frombuffer(x.as_py(), kind) for x in column]
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
+
+
+_PART = "chunk string, doc_ids array<{}>, sizes binary, texts binary, word binary, n long, block int, keys binary, counts binary"
+
+
+def _parts(docs: DataFrame, order: int, blocks: int) -> DataFrame:
+    """Rows of three kinds. Texts (``texts`` set): runs of lower-cased
+    texts of a chunk, joined and compressed, with their ids and sizes.
+    Words (``word`` set): training counts; the empty word is the end. Grams
+    (``block`` set): packed distinct longest grams of a chunk and their training
+    counts, 0 for grams of held-out texts only."""
+    schema = _PART.format(docs.schema["doc_id"].dataType.simpleString())
+    names = [f.split()[0] for f in schema.split(", ")]
+
     def count(batch_iter):
-        seen, words = GramCounter(), Counter()
+        seen, words, chunk, size = GramCounter(), Counter(), uuid.uuid4().hex, 0
+        kinds = dict(zip(names, [pa.string(), None, pa.binary(), pa.binary(), pa.binary(), pa.int64(),
+                                 pa.int32(), pa.binary(), pa.binary()]))
+        packer = zstandard.ZstdCompressor(level=3)
+
+        def rows(n, /, **columns):
+            return pa.RecordBatch.from_arrays(
+                [columns[k] if isinstance(columns.get(k), pa.Array) else
+                 pa.array(columns[k], kinds[k]) if k in columns else pa.nulls(n, kinds[k]) for k in names], names)
 
         def flush_words():
-            b = pa.RecordBatch.from_arrays(
-                [pa.nulls(len(words), pa.int64()), pa.array(list(words.keys()), pa.binary()),
-                 pa.array(list(words.values()), pa.int64())], ["gram", "word", "n"])
+            b = rows(len(words), word=list(words.keys()), n=list(words.values()))
             words.clear()
             return b
 
         def flush_grams():
             k, c = seen.merged()
             seen.clear()
-            for i in range(0, len(k), 500_000):
-                part = k[i:i + 500_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part.astype(np.int64)), pa.nulls(len(part), pa.binary()),
-                     pa.array(c[i:i + 500_000].astype(np.int64))], ["gram", "word", "n"])
+            got = [(b, k[i].tobytes(), c[i].astype(np.int64).tobytes()) for b, i in _by_block(k, blocks)]
+            for i in range(0, len(got), 500):
+                b, x, y = zip(*got[i:i + 500])
+                yield rows(len(b), chunk=[chunk] * len(b), block=b, keys=x, counts=y)
 
         for batch in batch_iter:
             ids = batch.column(0)
+            kinds["doc_ids"] = pa.list_(ids.type)
             for first, texts in batches(batch.column(1), RUN_BYTES):
-                own = [t.encode("utf-8", "surrogatepass").lower() for i, t in enumerate(texts)
-                       if not held_out(ids[first + i].as_py())]
-                if not own:
-                    continue
-                seen.add(grams(own, order)[0])
-                for t in own:
-                    words.update(tokens(t))
-                words[b""] += len(own)
+                own = [t.encode("utf-8", "surrogatepass").lower() for t in texts]
+                held = [held_out(ids[first + i].as_py()) for i in range(len(own))]
+                sizes = np.array([len(t) for t in own], np.int64)
+                yield rows(1, chunk=[chunk], sizes=[sizes.tobytes()], texts=[packer.compress(b"".join(own))],
+                           doc_ids=pa.ListArray.from_arrays([0, len(own)], ids.slice(first, len(own))))
+                size += int(sizes.sum())
+                train = [t for t, h in zip(own, held) if not h]
+                if train:
+                    seen.add(grams(train, order)[0])
+                    for t in train:
+                        words.update(tokens(t))
+                    words[b""] += len(train)
+                if len(train) < len(own):
+                    seen.add(grams([t for t, h in zip(own, held) if h], order)[0], 0)
                 if len(words) > FLUSH_WORDS:
                     yield flush_words()
-                if seen.size > FLUSH_GRAMS:
+                if seen.size > FLUSH_GRAMS or size > CHUNK_BYTES:
                     yield from flush_grams()
-        yield flush_words()
-        yield from flush_grams()
-
-    return (docs.select("doc_id", F.col("text").cast("string"))
-            .mapInArrow(count, "gram long, word binary, n long")
-            .groupBy("gram", "word").agg(F.sum("n").alias("n")))
+                    chunk, size = uuid.uuid4().hex, 0
+        if kinds["doc_ids"] is not None:
+            yield flush_words()
+            yield from flush_grams()
+
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(count, schema)
+
+
+def _counts(parts: DataFrame, order: int, blocks: int) -> DataFrame:
+    """(block, keys, counts): the counts of every distinct gram over the corpus,
+    dealt by the last ``SPLIT`` symbols of its context."""
+    split = min(order, SPLIT)
+
+    def total(table: pa.Table) -> pa.Table:
+        k, c = _summed(_joined(table["keys"], np.uint64), _joined(table["counts"], np.int64))
+        got = [(b, k[i].tobytes(), c[i].tobytes())
+               for b, i in _by_block((k >> np.uint64(BITS)) & _low(split), blocks)]
+        b, x, y = zip(*got)
+        return pa.table({"block": pa.array(b, pa.int32()), "keys": pa.array(x, pa.binary()),
+                         "counts": pa.array(y, pa.binary())})
+
+    return (parts.where("block is not null").select("block", "keys", "counts").groupBy("block")
+            .applyInArrow(total, "block int, keys binary, counts binary"))
+
+
+def _lower_orders(counts: DataFrame, order: int):
+    """Sorted grams and counts of the orders below the split: at most 257 ** SPLIT."""
+    split = min(order, SPLIT)
+    if not split:
+        return [], []
+
+    def marginal(batch_iter):
+        for t in batch_iter:
+            k, c = _joined(t.column(0), np.uint64), _joined(t.column(1), np.int64)
+            k, c = _summed((k & _low(split))[c > 0], c[c > 0])
+            yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int64)), pa.array(c)], ["key", "n"])
+
+    got = (counts.select("keys", "counts").mapInArrow(marginal, "key long, n long")
+           .groupBy("key").agg(F.sum("n").alias("n")).toArrow())
+    k, c = got.column("key").to_numpy().astype(np.uint64), got.column("n").to_numpy().astype(np.int64)
+    levels = [_summed(k & _low(i + 1), c) for i in range(split)]
+    return [x for x, _ in levels], [x for _, x in levels]
+
+
+def _prices(counts: DataFrame, low, order: int, blocks: int, share: float) -> DataFrame:
+    """(block, keys, logs): the log10 probability of every distinct gram, by gram block."""
+    split = min(order, SPLIT)
+
+    def price(table: pa.Table) -> pa.Table:
+        k, c = _joined(table["keys"], np.uint64), _joined(table["counts"], np.int64)
+        keys, ns = map(list, low.value)
+        for i in range(split, order + 1):
+            x, n = _summed((k & _low(i + 1))[c > 0], c[c > 0])
+            keys.append(x)
+            ns.append(n)
+        total = int(ns[0].sum())
+        v = Trie(keys, ns, None, total, total * share).log10(k)
+        b, x, y = zip(*((b, k[i].tobytes(), v[i].tobytes()) for b, i in _by_block(k, blocks)))
+        return pa.table({"block": pa.array(b, pa.int32()), "keys": pa.array(x, pa.binary()),
+                         "logs": pa.array(y, pa.binary())})
+
+    return counts.groupBy("block").applyInArrow(price, "block int, keys binary, logs binary")
+
+
+def _answers(parts: DataFrame, prices: DataFrame) -> DataFrame:
+    """(chunk, keys, logs): every chunk's grams with their log probabilities."""
+    def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+        k, v = _joined(known["keys"], np.uint64), _joined(known["logs"], np.float64)
+        by = np.argsort(k)
+        k, v = k[by], v[by]
+        logs = [v[np.searchsorted(k, np.frombuffer(x.as_py(), np.uint64))].tobytes() for x in asked["keys"]]
+        return pa.table({"chunk": asked["chunk"], "keys": asked["keys"], "logs": pa.array(logs, pa.binary())})
+
+    return (parts.where("block is not null").select("block", "chunk", "keys").groupBy("block")
+            .cogroup(prices.groupBy("block")).applyInArrow(answer, "chunk string, keys binary, logs binary"))
 
 
 class Trie:
-    """Pruned byte-context trie in sorted arrays, one set per order."""
+    """Byte-context trie in sorted arrays, one set per order."""
 
     def __init__(self, keys: list[np.ndarray], counts: list[np.ndarray],
-                 docs: int, total: int):
-        """keys[k], counts[k]: grams of k + 1 symbols, sorted; ``docs``: texts
-        seen; ``total``: positions seen."""
+                 docs: int | None, total: int, floor: float = 0.0):
+        """keys[k], counts[k]: grams of k + 1 symbols, sorted, with all grams of
+        each of their contexts; ``docs``: texts seen (not needed: a context's
+        count is the sum of its grams); ``total``: positions seen. Grams counted
+        less than ``floor`` times go to the escape."""
         self.order = len(keys) - 1
-        self.keys, self.counts = keys, counts
+        self.keys, self.counts = [], []
         self.ctx, self.n, self.q, self.kept, self.excl = [], [], [], [], []
         one = np.uint64(BITS)
         for k, (key, c) in enumerate(zip(keys, counts)):
-            ctx, start, q = np.unique(key >> one, return_index=True, return_counts=True)
+            ctx, n = _summed(key >> one, c)
+            key, c = key[c >= floor], c[c >= floor]
+            known, start, q = np.unique(key >> one, return_index=True, return_counts=True)
+            n = n[np.searchsorted(ctx, known)]
             kept = np.add.reduceat(c, start) if len(key) else np.zeros(0, np.int64)
-            if k == 0:
-                n, excl = np.full(len(ctx), total, np.int64), np.zeros(len(ctx), np.int64)
-            else:
-                # a context's count is that of the gram it is, one order lower;
-                # contexts of padding alone were met once a text
-                at, hit = self._find(keys[k - 1], ctx)
-                n = np.where(hit, counts[k - 1][at] if len(counts[k - 1]) else 0, docs)
-                low = np.uint64((1 << (BITS * k)) - 1)
-                at, hit = self._find(keys[k - 1], key & low)
-                parent = np.where(hit, counts[k - 1][at] if len(counts[k - 1]) else 0, 0)
-                excl = np.add.reduceat(parent, start) if len(key) else np.zeros(0, np.int64)
-                n = np.maximum(n, kept)
-            self.ctx.append(ctx)
+            excl = np.zeros(len(known), np.int64)
+            if k and len(key):
+                at, hit = self._find(self.keys[k - 1], key & _low(k))
+                excl = np.add.reduceat(np.where(hit, self.counts[k - 1][at], 0), start)
+            self.keys.append(key)
+            self.counts.append(c)
+            self.ctx.append(known)
             self.n.append(n)
             self.q.append(q.astype(np.int64))
             self.kept.append(kept)
@@ -231,11 +355,22 @@ class Trie:
         return out
 
 
+class Known:
+    """Log probabilities of a chunk's grams."""
+
+    def __init__(self, keys: np.ndarray, logs: np.ndarray):
+        by = np.argsort(keys)
+        self.keys, self.logs = keys[by], logs[by]
+
+    def log10(self, g: np.ndarray) -> np.ndarray:
+        return self.logs[np.searchsorted(self.keys, g)]
+
+
 class GramCache:
-    """Scores of grams that a task has met, in two fixed tables of ``1 << bits``
-    slots; a gram that finds both its slots taken is computed again."""
+    """Scores of grams that a worker has met, in two fixed tables of ``1 << bits``
+    slots; a gram that finds both its slots taken is looked up again. ``trie``: what has all scores."""
 
-    def __init__(self, trie: Trie, bits: int = 20):
+    def __init__(self, trie: Trie | Known | None = None, bits: int = 20):
         self.trie, self.drop = trie, np.uint64(64 - bits)
         self.mult = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
         none = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -268,35 +403,14 @@ class GramCache:
         return out
 
 
-def build_trie(counts: DataFrame, order: int, share: float):
-    """Sorted arrays of the kept grams of every order. ``counts``: stored rows
-    (gram, word, n). The driver receives at most (order + 1) / share rows."""
-    g = counts.where("gram is not null").select("gram", "n")
-    total, docs = g.agg(F.sum("n"), F.sum(F.when(
-        F.col("gram").bitwiseAND((1 << BITS) - 1) == END, F.col("n")))).first()
-    total, docs = total or 0, docs or 0
-    masks = F.array(*[F.struct(F.lit(k).alias("k"), F.col("gram").bitwiseAND(
-        (1 << (BITS * (k + 1))) - 1).alias("key")) for k in range(order + 1)])
-    kept = (g.select(F.explode(masks).alias("s"), "n").groupBy("s.k", "s.key").agg(F.sum("n").alias("n"))
-            .where(F.col("n") >= F.lit(total * share)).toArrow())
-    k, key, n = (kept.column(i).to_numpy() for i in range(3))
-    keys, ns = [], []
-    for i in range(order + 1):
-        own = k == i
-        by = np.argsort(key[own].astype(np.uint64))
-        keys.append(key[own].astype(np.uint64)[by])
-        ns.append(n[own].astype(np.int64)[by])
-    return keys, ns, docs, total
-
-
 _LOADED: dict = {}          # in a worker process: the model it used last
 
 
-def _loaded(key: str, trie, head):
+def _loaded(key: str, head):
     """(gram cache, log counts of common words), built once per worker process."""
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = (GramCache(Trie(*trie.value)), {w: math.log10(c + 0.5) for w, c in head.value.items()})
+        _LOADED[key] = (GramCache(), {w: math.log10(c + 0.5) for w, c in head.value.items()})
     return _LOADED[key]
 
 
@@ -305,57 +419,62 @@ def score(docs: DataFrame, order: int = ORDER, share: float = SHARE) -> DataFram
     n_bytes of every text; log10 units."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    counts = stored(training_counts(docs, order), "ppm_counts")
-    trie = spark.sparkContext.broadcast(build_trie(counts, order, share))
-    words = counts.where("word is not null").select("word", "n")
+    blocks = shuffle_blocks(spark, docs.count(), DOCS_PER_BLOCK)
+    parts = stored(_parts(docs, order, blocks), "ppm_parts")
+    words = stored(parts.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")), "ppm_words")
     n_train, v = words.agg(F.sum("n"), F.count("*")).first()
     n_train = n_train or 0
     denominator = n_train + 0.5 * (v + 1)
-    common = {bytes(r.word): r.n for r in words.where(F.col("n") >= F.lit(n_train * share)).collect()}
+    common = {bytes(r.word): r.n for r in words.where(F.col("n") >= F.lit(n_train * WORD_SHARE)).collect()}
     common.setdefault(b"", 0)
     head = spark.sparkContext.broadcast(common)
+    counts = stored(_counts(parts, order, blocks), "ppm_counts")
+    low = spark.sparkContext.broadcast(_lower_orders(counts, order))
+    prices = stored(_prices(counts, low, order, blocks, share), "ppm_prices")
+    answers = stored(_answers(parts, prices), "ppm_answers")
     key = uuid.uuid4().hex
 
-    def work(batch_iter):
-        cache, logs = _loaded(key, trie, head)
+    def work(runs: pa.Table, known: pa.Table) -> pa.Table:
+        cache, logs = _loaded(key, head)
+        cache.trie = Known(_joined(known["keys"], np.uint64), _joined(known["logs"], np.float64))
         ends = head.value[b""]
-        for batch in batch_iter:
-            ids = batch.column(0)
-            for first, texts in batches(batch.column(1), RUN_BYTES):
-                own = [t.encode("utf-8", "surrogatepass").lower() for t in texts]
-                g, start = grams(own, order)
-                scores = np.add.reduceat(cache.log10(g), start)
-                n_tok, n_known, base, rare, rare_n = [], [], [], [], []
-                for t in own:
-                    seen = Counter(tokens(t))
-                    total = sum(seen.values()) + 1
-                    know, s, rw, rn = (1 if ends else 0), logs[b""] if ends else 0.0, [], []
-                    for w, c in seen.items():
-                        x = logs.get(w)
-                        if x is None:
-                            rw.append(w)
-                            rn.append(c)
-                        else:
-                            know += c
-                            s += c * x
-                    n_tok.append(total)
-                    n_known.append(know)
-                    base.append(s)
-                    rare.append(rw)
-                    rare_n.append(rn)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, len(texts)),
-                     pa.array([held_out(ids[first + i].as_py()) for i in range(len(texts))], pa.bool_()),
-                     pa.array([len(t) for t in own], pa.int64()), pa.array(n_tok, pa.int64()),
-                     pa.array(n_known, pa.int64()), pa.array(base, pa.float64()),
-                     pa.array(scores, pa.float64()), pa.array(rare, pa.list_(pa.binary())),
-                     pa.array(rare_n, pa.list_(pa.int64()))],
-                    ["doc_id", "held_out", "n_bytes", "n_tokens", "known", "base", "score", "rare", "rare_n"])
+        unpacker, out = zstandard.ZstdDecompressor(), []
+        for ids, sizes, packed in zip(runs["doc_ids"], runs["sizes"], runs["texts"]):
+            data, ends_at = unpacker.decompress(packed.as_py()), np.cumsum(np.frombuffer(sizes.as_py(), np.int64))
+            own = [data[a:b] for a, b in zip([0, *ends_at[:-1].tolist()], ends_at.tolist())]
+            g, start = grams(own, order)
+            scores = np.add.reduceat(cache.log10(g), start)
+            n_tok, n_known, base, rare, rare_n = [], [], [], [], []
+            for t in own:
+                seen = Counter(tokens(t))
+                know, s, rw, rn = (1 if ends else 0), logs[b""] if ends else 0.0, [], []
+                for w, c in seen.items():
+                    x = logs.get(w)
+                    if x is None:
+                        rw.append(w)
+                        rn.append(c)
+                    else:
+                        know += c
+                        s += c * x
+                n_tok.append(sum(seen.values()) + 1)
+                n_known.append(know)
+                base.append(s)
+                rare.append(rw)
+                rare_n.append(rn)
+            out.append(pa.table({
+                "doc_id": ids.values, "held_out": pa.array([held_out(i.as_py()) for i in ids.values], pa.bool_()),
+                "n_bytes": pa.array([len(t) for t in own], pa.int64()),
+                "n_tokens": pa.array(n_tok, pa.int64()), "known": pa.array(n_known, pa.int64()),
+                "base": pa.array(base, pa.float64()), "score": pa.array(scores, pa.float64()),
+                "rare": pa.array(rare, pa.list_(pa.binary())), "rare_n": pa.array(rare_n, pa.list_(pa.int64()))}))
+        return pa.concat_tables(out)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = stored(docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
-        work, f"doc_id {kind}, held_out boolean, n_bytes long, n_tokens long, known long, base double, "
-              "score double, rare array<binary>, rare_n array<long>")
+    scored = stored(
+        parts.where("texts is not null").select("chunk", "doc_ids", "sizes", "texts").groupBy("chunk")
+        .cogroup(answers.groupBy("chunk")).applyInArrow(
+            work, f"doc_id {kind}, held_out boolean, n_bytes long, n_tokens long, known long, base double, "
+                  "score double, rare array<binary>, rare_n array<long>")
         .withColumn("_row", F.monotonically_increasing_id()), "ppm_scores")
     # rare words: found through a join with the counted words
     rare = (scored.select("_row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x"))
