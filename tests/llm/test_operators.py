@@ -131,6 +131,18 @@ def test_op2_components(docs, rows):
     same([tuple(r) for r in ngram_join.link_components(docs).collect()], brute_components(rows))
 
 
+@pytest.mark.parametrize("threshold", [75, 60])
+def test_op2_pairs_of_short_texts(spark, threshold):
+    rng, rows = np.random.default_rng(9), []
+    for words in (5, 6, 7, 8, 9, 10, 12):
+        for j in range(12):
+            w = [f"w{x}" for x in rng.integers(0, 10 ** 9, words + 1)]
+            rows += [(len(rows), " ".join(w[:-1])), (len(rows) + 1, " ".join(w if j % 2 else [w[-1], *w[:-1]]))]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    same([tuple(r) for r in ngram_join.link_components(d, threshold=threshold).collect()],
+         brute_components(rows, threshold=threshold))
+
+
 def test_op2_group_of_near_copies(spark):
     rng = np.random.default_rng(5)
     base = [f"w{i}" for i in range(60)]

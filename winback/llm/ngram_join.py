@@ -9,6 +9,7 @@ documents link when their Jaccard similarity is at least ``threshold``. Equal ro
    packed row, with a column that several of its own documents share sent once.
    A link needs at least ``threshold`` of a row's columns shared, so a row of whose
    lowest 40 % columns too many are held by it alone has no link: most rows end here.
+   A row sends as many columns as the test of any possible partner needs to find.
 2. Among the rows left, columns are counted per block and each row keeps its rarest
    columns, as many as a partner must meet (the prefix bound).
 3. Rows that meet in a kept column are compared, first each with one hub of its
@@ -27,6 +28,8 @@ by ``link_components`` and kept by ``keep_one``.
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -90,6 +93,23 @@ def most_alone(n, threshold: int = THRESHOLD):
     return n - (-(-threshold * n // 100))
 
 
+def tested(n):
+    """How many of its lowest columns a row of n columns is tested on."""
+    return np.minimum(n, (FIRST_SHARE * n).astype(np.int64) + 1)
+
+
+@cache
+def sent(n: int, threshold: int = THRESHOLD) -> int:
+    """How many of its lowest columns a row of n columns sends. Of the columns that
+    a linked row of m shares, those sent number at least what is sent less the
+    columns that the partner lacks, ``n - overlap``; the partner's test must not
+    miss more than ``most_alone(m)`` of the columns it is tested on."""
+    m = np.arange(max(1, -(-threshold * n // 100)), 100 * n // threshold + 1)
+    overlap = -(-threshold * (n + m) // (100 + threshold))
+    need = tested(m) + n - overlap - most_alone(m, threshold)
+    return int(min(n, max(tested(np.int64(n)), need.max(initial=0))))
+
+
 def _runs(sorted_keys: np.ndarray) -> np.ndarray:
     """Starts of the runs of equal keys."""
     if not len(sorted_keys):
@@ -119,7 +139,7 @@ def _rows(schema: str, columns: dict, n: int) -> pa.RecordBatch:
         [k for k, _ in names])
 
 
-def _first_parts(docs: DataFrame, blocks: int, n: int) -> DataFrame:
+def _first_parts(docs: DataFrame, blocks: int, n: int, threshold: int) -> DataFrame:
     """Every document's row figures (kind 0) and, packed by block, the lowest
     columns of its row (kind 1); kind 2: columns found shared within the task."""
     def work(batch_iter):
@@ -157,7 +177,7 @@ def _first_parts(docs: DataFrame, blocks: int, n: int) -> DataFrame:
                     ns.append(len(row))
                     owns.append(owner)
                     clss.append(cls)
-                    p = min(len(row), int(FIRST_SHARE * len(row)) + 1)
+                    p = sent(len(row), threshold)
                     keys.append(row[:p])
                     owners.append(np.full(p, owner, np.int64))
                     size += p
@@ -391,7 +411,7 @@ def link_components(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) ->
     spark = docs.sparkSession
     bounded_batches(spark)
     blocks = shuffle_blocks(spark, docs.count(), DOCS_PER_BLOCK)
-    first = stored(_shared_counts(_first_parts(docs, blocks, n)), "first")
+    first = stored(_shared_counts(_first_parts(docs, blocks, n, threshold)), "first")
     figures = first.where("kind = 0").select("doc_id", "n", "owner", "cls")
     classes = stored(figures.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
                                                 F.first("owner").alias("owner")), "classes")
