@@ -290,6 +290,37 @@ def test_op9_licenses(spark):
     assert got == {1: ["MIT"], 2: [], 3: [], 4: ["GPL-3.0"], 5: ["CC-BY-NC-4.0"]}
 
 
+def test_op9_long_lines_wrapped_and_several_notices(spark):
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+           "associated documentation files")
+    other = "some other plain words of a page that says nothing on its terms of use or on who wrote it ".split()
+    rows, want = [], {}
+
+    def add(text, *names):
+        rows.append((len(rows), text))
+        want[len(rows) - 1] = sorted(names)
+
+    for n in (5, 10, 15, 57, 200):
+        before, after = " ".join((other * 12)[:n]), " ".join((other * 12)[3:n + 3])
+        add(f"{before} Licensed under CC BY 4.0. {after}", "CC-BY-4.0")
+        add(f"{before} Released under the MIT License. {after}", "MIT")
+        add(f"{before} Licensed under the Apache License, Version 2.0. {after}", "Apache-2.0")
+    for width in (2, 3, 5, 9):
+        for mark in ("", "# ", " * "):
+            for name in ("MIT", "GPL-3.0", "Apache-2.0", "BSD-3-Clause"):
+                w = license_scan.TEMPLATES[name][-1].split()
+                add("a title\n" + "\n".join(mark + " ".join(w[i:i + width]) for i in range(0, len(w), width)) + "\nend", name)
+    add("Permission is hereby\ngranted, " + mit.split(", ", 1)[1], "MIT")
+    add("Released under the MIT License. Licensed under the Apache License, Version 2.0. Licensed under CC BY 4.0. "
+        "Released under the BSD 3-Clause License.", "MIT", "Apache-2.0", "CC-BY-4.0", "BSD-3-Clause")
+    for name, texts in license_scan.TEMPLATES.items():
+        for t in texts:
+            add(t, name)                # and not its neighbours of nearly the same words
+    add("the license of a driver is granted by the office, free of charge")
+    got = {r.doc_id: r.licenses for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 def test_op10_lines(docs):
     pages, lines = defaultdict(set), defaultdict(set)
     all_rows = docs.select("doc_id", "source", "text").collect()
