@@ -152,6 +152,23 @@ def test_op2_group_of_near_copies(spark):
     assert ngram_join.keep_one(d).columns == ["doc_id", "text"]
 
 
+def test_op2_keep_one_decides_by_row(spark):
+    def text(seed, n=30):
+        return " ".join(f"w{x}" for x in np.random.default_rng(seed).integers(0, 10 ** 9, n))
+
+    near = text(1) + " end"
+    rows = [(1, text(1)), (1, text(1)), (2, near), (None, near), (3, text(2)), (3, text(1)), (4, text(3)), (4, text(3)),
+            (None, text(4)), (None, text(4)), (None, text(5)), (5, text(6)), (5, text(6) + " end"), (5, text(7)),
+            (6, ""), (6, ""), (None, None)]
+    d = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, row string")
+    got = [(r.doc_id, r.text) for r in ngram_join.keep_one(d).collect()]
+    assert sum(r in got for r in [(5, text(6)), (5, text(6) + " end")]) == 1
+    same([r for r in got if r[1] is None or not r[1].startswith(text(6))],
+         [(1, text(1)), (3, text(2)), (4, text(3)), (None, text(4)), (None, text(5)), (5, text(7)),
+          (6, ""), (6, ""), (None, None)])
+    assert len(got) == 10 and ngram_join.keep_one(d).columns == d.columns
+
+
 def test_op3_figures(spark, docs, rows, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     got = [tuple(r) for r in quality_rules.quality_figures(docs, labels).select(

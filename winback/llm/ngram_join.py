@@ -22,7 +22,8 @@ documents link when their Jaccard similarity is at least ``threshold``. Equal ro
 Defined results. Null or blank text has no shingle and links with nothing. Fewer
 than five words: the whole sequence is one shingle. Repeated rows are copies. A
 null id takes part in its group but never names it (a group of null ids only has a
-null component). An empty table gives an empty result. Other columns are ignored
+null component); ``keep_one`` decides by row, so it keeps one row of such groups
+and of repeated rows too. An empty table gives an empty result. Other columns are ignored
 by ``link_components`` and kept by ``keep_one``.
 """
 
@@ -127,8 +128,8 @@ def _by_block(keys: np.ndarray, blocks: int):
         yield int(b[s]), order[s:e]
 
 
-_PART = "block int, kind int, keys binary, owners binary, doc_id long, n int, owner long, cls binary"
-_FOUND = "kind int, doc_id long, n int, owner long, cls binary, shared int"
+_PART = "block int, kind int, keys binary, owners binary, doc_id long, text_hash long, n int, owner long, cls binary"
+_FOUND = "kind int, doc_id long, text_hash long, n int, owner long, cls binary, shared int"
 
 
 def _rows(schema: str, columns: dict, n: int) -> pa.RecordBatch:
@@ -139,6 +140,11 @@ def _rows(schema: str, columns: dict, n: int) -> pa.RecordBatch:
         [k for k, _ in names])
 
 
+def _text_hash(docs: DataFrame):
+    """With the id, what tells rows apart: rows equal in both are repeats."""
+    return F.xxhash64(docs["text"].cast("string"))
+
+
 def _first_parts(docs: DataFrame, blocks: int, n: int, threshold: int) -> DataFrame:
     """Every document's row figures (kind 0) and, packed by block, the lowest
     columns of its row (kind 1); kind 2: columns found shared within the task."""
@@ -182,15 +188,16 @@ def _first_parts(docs: DataFrame, blocks: int, n: int, threshold: int) -> DataFr
                     owners.append(np.full(p, owner, np.int64))
                     size += p
                 yield _rows(_PART, {"block": [(first + i) % blocks for i in range(len(ns))], "kind": [0] * len(ns),
-                                    "doc_id": batch.column(0).slice(first, len(texts)), "n": ns,
-                                    "owner": owns, "cls": clss}, len(ns))
+                                    "doc_id": batch.column(0).slice(first, len(texts)),
+                                    "text_hash": batch.column(2).slice(first, len(texts)), "n": ns, "owner": owns, "cls": clss}, len(ns))
                 if size > FLUSH_ENTRIES:
                     yield from flush()
                     size = 0
         if size:
             yield from flush()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(work, _PART)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"),
+                       _text_hash(docs)).mapInArrow(work, _PART)
 
 
 def _shared_counts(parts: DataFrame) -> DataFrame:
@@ -199,8 +206,8 @@ def _shared_counts(parts: DataFrame) -> DataFrame:
     def work(table: pa.Table) -> pa.Table:
         kind = table.column("kind").to_numpy()
         docs = table.filter(pa.array(kind == 0))
-        out = [pa.table({"kind": docs["kind"], "doc_id": docs["doc_id"], "n": docs["n"], "owner": docs["owner"],
-                         "cls": docs["cls"], "shared": pa.nulls(len(docs), pa.int32())})]
+        out = [pa.table({"kind": docs["kind"], "doc_id": docs["doc_id"], "text_hash": docs["text_hash"],
+                         "n": docs["n"], "owner": docs["owner"], "cls": docs["cls"], "shared": pa.nulls(len(docs), pa.int32())})]
         own, count = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i in np.nonzero(kind == 2)[0].tolist():
             own.append(np.frombuffer(table["owners"][i].as_py(), np.int64))
@@ -223,7 +230,7 @@ def _shared_counts(parts: DataFrame) -> DataFrame:
         total = np.bincount(at, count, len(who)).astype(np.int32) if len(who) else np.zeros(0, np.int32)
         m = len(who)
         out.append(pa.table({"kind": pa.array(np.full(m, 2, np.int32)), "doc_id": pa.nulls(m, pa.int64()),
-                             "n": pa.nulls(m, pa.int32()), "owner": pa.array(who, pa.int64()),
+                             "text_hash": pa.nulls(m, pa.int64()), "n": pa.nulls(m, pa.int32()), "owner": pa.array(who, pa.int64()),
                              "cls": pa.nulls(m, pa.binary()), "shared": pa.array(total, pa.int32())}))
         return pa.concat_tables(out)
 
@@ -405,14 +412,14 @@ def _class_components(rows: DataFrame, postings: DataFrame, threshold: int) -> D
     return comp
 
 
-def link_components(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest doc_id
-    reachable by links, itself included)."""
+def _members(docs: DataFrame, n: int, threshold: int) -> DataFrame:
+    """One row per document: doc_id, text_hash, n, component_id and comp, the
+    group (null for a document without shingles)."""
     spark = docs.sparkSession
     bounded_batches(spark)
     blocks = shuffle_blocks(spark, docs.count(), DOCS_PER_BLOCK)
     first = stored(_shared_counts(_first_parts(docs, blocks, n, threshold)), "first")
-    figures = first.where("kind = 0").select("doc_id", "n", "owner", "cls")
+    figures = first.where("kind = 0").select("doc_id", "text_hash", "n", "owner", "cls")
     classes = stored(figures.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
                                                 F.first("owner").alias("owner")), "classes")
     shared = first.where("kind = 2").groupBy("owner").agg(F.sum("shared").alias("shared"))
@@ -426,16 +433,36 @@ def link_components(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) ->
         named = (classes.join(comp.withColumnRenamed("node", "owner"), "owner", "left")
                  .withColumn("comp", F.coalesce("comp", "owner")))
         names = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-        classes = named.join(names, "comp").select("cls", "component_id")
+        classes = named.join(names, "comp").select("cls", "comp", "component_id")
     else:
-        classes = classes.select("cls", F.col("doc_id").alias("component_id"))
+        classes = classes.select("cls", F.col("owner").alias("comp"), F.col("doc_id").alias("component_id"))
     return (figures.where("n > 0").join(classes, "cls")
-            .select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
-            .union(figures.where("n = 0").select("doc_id", F.lit(0).cast("long"), "doc_id")))
+            .select("doc_id", "text_hash", "n", "component_id", "comp")
+            .union(figures.where("n = 0").select("doc_id", "text_hash", "n", "doc_id", F.lit(None).cast("long"))))
+
+
+def link_components(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (smallest doc_id
+    reachable by links, itself included)."""
+    return _members(docs, n, threshold).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
 
 
 def keep_one(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) -> DataFrame:
-    """``docs`` without the members of a group that are not its smallest id."""
-    gone = stored(link_components(docs, n, threshold).where("doc_id <> component_id").select("doc_id").distinct(),
-                  "copies")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` with one row of each group: of smallest id, null ids last; of rows
+    that share this id the one of smallest text hash; of rows that repeat id and
+    text any one. Blank texts are in no group and all stay."""
+    members = stored(_members(docs, n, threshold).where("comp is not null")
+                     .groupBy("comp", "doc_id", "text_hash").agg(F.count("*").alias("rows")), "members")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    # stored: a join of two plain shuffles, in which a large group is split
+    best = stored(members.groupBy("comp").agg(F.min(rank).alias("best")), "best")
+    marked = (members.join(best, "comp").withColumn("gone", ~rank.eqNullSafe(F.col("best")))
+              .where("gone or rows > 1")
+              .select(F.col("doc_id").alias("_keep_id"), F.col("text_hash").alias("_keep_hash"), "gone"))
+    marked = stored(marked, "copies")
+    keyed = docs.withColumn("_keep_own", _text_hash(docs))
+    own = (F.col("doc_id").cast("long").eqNullSafe(F.col("_keep_id"))) & (F.col("_keep_own") == F.col("_keep_hash"))
+    once = keyed.join(marked, own, "left_anti").select(*docs.columns)
+    repeated = (keyed.join(marked.where("not gone"), own, "left_semi")
+                .dropDuplicates(["doc_id", "_keep_own"]).select(*docs.columns))
+    return once.union(repeated)
