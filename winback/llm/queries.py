@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.llm import bpe, imatch, license_scan, line_dedup, ngram_join, packing, pii, ppm, quality_rules, suffix_dedup
+from winback.llm import (bpe, html_extract, imatch, license_scan, line_dedup, ngram_join, packing, pii, ppm, prefix_trie,
+                         quality_rules, suffix_dedup)
 from winback.llm.common import documents
 
 
@@ -63,6 +64,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2("text", 256).alias("kept_sha256")))
 
 
+def op12_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ppm_score": op1_ppm_score,
     "op2_ngram_join": op2_ngram_join,
@@ -74,5 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_imatch": op8_imatch,
     "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
+    "op12_html_extract": op12_html_extract,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLE_SQL: dict[str, str] = {}
