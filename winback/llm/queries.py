@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.llm import (bpe, html_extract, imatch, license_scan, line_dedup, ngram_join, packing, pii, ppm, prefix_trie,
-                         quality_rules, suffix_dedup)
+from winback.llm import (bpe, hard_negatives, html_extract, imatch, license_scan, line_dedup, ngram_join, oracle, packing,
+                         pii, ppm, prefix_trie, quality_rules, suffix_dedup)
 from winback.llm.common import documents
 
 
@@ -64,6 +64,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2("text", 256).alias("kept_sha256")))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op12_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -83,7 +87,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_imatch": op8_imatch,
     "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_html_extract": op12_html_extract,
     "op13_prefix_trie": op13_prefix_trie,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_line_dedup": oracle.OP10,
+    "op11_hard_negatives": oracle.OP11,
+    "op13_prefix_trie": oracle.OP13,
+}
