@@ -259,3 +259,31 @@ SELECT * FROM propensity_training ORDER BY customer_id, pdm_prod_type_id LIMIT 1
 
 BODIES["score_frame_sql"] = ("SELECT customer_id, " + ", ".join(c for c, _ in _SCORING)
                              + " FROM propensity_training GROUP BY ALL")
+
+# ---- what model outputs must satisfy --------------------------------------------------
+# Model numbers have no SQL; the rows, bounds and counts of their outputs have.
+_LEVEL_COLUMNS = " + ".join(f"(SELECT greatest(count(DISTINCT {c}) - 1, 0) FROM encoded)" for c in _LEVELS)
+
+BODIES.update({
+    "importance_checks": f"""
+WITH encoded AS (
+  SELECT State_Division, CASE gender WHEN 'M' THEN 'M' WHEN 'F' THEN 'F' ELSE 'UNKNOWN' END AS gender, age_bucket,
+         coalesce(INCOME, {_MODE_INCOME}) AS INCOME, ethnicity,
+         CASE WHEN pre_src_order IS NOT DISTINCT FROM 'U' THEN 'Instore' ELSE 'Online' END AS Pre_Buying_Channel
+  FROM prep_wide),
+n AS (SELECT least(30, 7 + {_LEVEL_COLUMNS}) AS n)  -- seven numeric columns stay: MOVER is text, two are dropped
+SELECT CAST(n AS BIGINT) AS features, CAST(n AS BIGINT) AS names, CAST(n AS BIGINT) AS last_rank,
+       CAST(0 AS BIGINT) AS negative, CAST(1 AS DOUBLE) AS total_importance FROM n""",
+    "tuning_checks": """
+SELECT CAST(3 AS BIGINT) AS trials, CAST(180 AS BIGINT) AS trees, CAST(3 AS BIGINT) AS inside,
+       CAST(3 AS BIGINT) AS draws, true AS beats_largest_class""",
+    "model_report_checks": f"""
+SELECT split, label, count(*) AS support, true AS ratios, true AS accuracy_agrees
+FROM ({_SPLIT}) WHERE split IN ('train', 'test') GROUP BY 1, 2""",
+    "boosted_checks": f"""
+SELECT label, count(*) AS support, true AS in_bounds, true AS explained
+FROM ({_SPLIT}) WHERE split = 'test' GROUP BY 1""",
+    "propensity_checks": """
+SELECT pt.pdm_prod_type_id, count(*) AS customers, count(*) AS scores, CAST(0 AS BIGINT) AS outside, true AS mean_agrees
+FROM (SELECT DISTINCT customer_id FROM propensity_training), product_types pt GROUP BY 1""",
+})

@@ -26,3 +26,14 @@ def sf_dir():
 def duck(sf_dir):
     from tests.oracle_compare import duck as make
     return make(sf_dir)
+
+
+@pytest.fixture(scope="session", autouse=True)
+def few_rounds():
+    """The registered queries fit 1,000 and up to 180 rounds; that takes minutes and
+    changes no row, so tests of whole queries run them with a few."""
+    from winback.operators import boosting, propensity
+    before = propensity.PRODUCT_MODEL["rounds"], boosting.MAX_ROUNDS, boosting.PATIENCE
+    propensity.PRODUCT_MODEL["rounds"], boosting.MAX_ROUNDS, boosting.PATIENCE = 60, 12, 3
+    yield
+    propensity.PRODUCT_MODEL["rounds"], boosting.MAX_ROUNDS, boosting.PATIENCE = before

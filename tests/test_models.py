@@ -1,12 +1,23 @@
-"""Model operators: behaviour on a separable table, repeatability,
-calibrated scores monotone in raw scores."""
+"""Model operators: behaviour on separable tables, repeatability, patience, narrowing,
+calibrated product scores, the recorded and restarted jobs."""
 
 import random
+import uuid
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from winback.operators import boosting, product_trees
 from winback.operators import model as mdl
 from winback.operators import propensity as prop
+from winback.plans import jobs
+from winback.session import scratch_path
+from winback.sources import io
+from winback.sources.fixtures import Fixtures
+from winback.sources.manifest import RunManifest
+
+SMALL = {"rounds": 12, "depth": 3, "rate": 0.3, "subsample": 0.9, "colsample": 0.6}
 
 
 def _separable(spark, n=300):
@@ -15,70 +26,207 @@ def _separable(spark, n=300):
     for i in range(n):
         y = i % 3
         rows.append((i, y, y * 10 + rng.random(), rng.random(), 1.0))
-    return spark.createDataFrame(rows, "customer_id bigint, label int, f1 double, f2 double, "
-                                       "sample_weight double")
+    df = spark.createDataFrame(rows, "customer_id bigint, label int, f1 double, f2 double, sample_weight double")
+    return mdl.with_features(df, ["f2", "f1"], ["customer_id", "label", "sample_weight"])
+
+
+def _base(spark):
+    return scratch_path(spark, f"test_{uuid.uuid4().hex[:12]}")
 
 
 def test_forest_beats_majority_and_is_repeatable(spark):
     df = _separable(spark)
-    m1 = mdl.fit(df, ["f1", "f2"], mdl.forest(num_trees=10, max_depth=3))
+    m1 = mdl.forest(num_trees=10, max_depth=3).fit(df)
     acc = (mdl.predict(m1, df).select(F.avg((F.col("prediction") == F.col("label"))
                                             .cast("double"))).first()[0])
     assert acc > 0.9
-    m2 = mdl.fit(df, ["f1", "f2"], mdl.forest(num_trees=10, max_depth=3))
+    m2 = mdl.forest(num_trees=10, max_depth=3).fit(df)
     p1 = [r.prediction for r in mdl.predict(m1, df).orderBy("customer_id").collect()]
     p2 = [r.prediction for r in mdl.predict(m2, df).orderBy("customer_id").collect()]
     assert p1 == p2
-    imp = mdl.feature_importance(m1, ["f1", "f2"], spark, k=1).collect()
+    imp = mdl.feature_importance(m1, mdl.feature_names(df), spark, k=1).collect()
     assert imp[0].feature == "f1"
 
 
+def test_narrowing_by_name_survives_a_stored_frame(spark):
+    df = io.materialize(_separable(spark, 30))
+    assert mdl.feature_names(df) == ["f2", "f1"]
+    cut = mdl.narrowed(df, ["f1"])
+    assert mdl.feature_names(cut) == ["f1"] and cut.columns == df.columns
+    whole = {r.customer_id: r.features[1] for r in df.collect()}
+    assert {r.customer_id: r.features[0] for r in cut.collect()} == whole
+
+
 def test_random_search_returns_one_row_per_trial(spark):
     df = _separable(spark, 150)
-    t = mdl.random_search(df, df, ["f1", "f2"], trials=2, num_trees=5)
+    t = mdl.random_search(df, df, trials=2, num_trees=5)
     assert t.count() == 2
-    assert 0.0 <= mdl.best_params(t)["val_accuracy"] <= 1.0
+    best = mdl.best_params(t)
+    assert best["val_accuracy"] == max(r.val_accuracy for r in t.collect())
+    assert mdl.forest_of(best, 150).getNumTrees() == 5
+
+
+def test_patience():
+    falls_then_rises = [5, 4, 3, 2, 2.5, 2.4, 2.3, 2.2, 1]
+    assert boosting.patient_round(falls_then_rises, 3) == (4, True)
+    assert boosting.patient_round(falls_then_rises, 4) == (4, True)
+    assert boosting.patient_round(falls_then_rises, 5) == (9, False)
+    assert boosting.patient_round([2, 2, 2, 2], 3) == (1, True)         # equal is not lower
+    assert boosting.patient_round([3, 2, 1], 1) == (3, False)
+    assert boosting.patient_round([1, 2], 1) == (1, True) and boosting.patient_round([], 3) == (0, False)
+
+
+def test_rounds_after_the_best_are_cut(spark):
+    # validation labels disagree with the noise that late rounds learn: the loss rises again
+    rng = random.Random(3)
+    def rows(n, noise):
+        out = []
+        for i in range(n):
+            x = rng.random()
+            out.append((float((x > 0.5) != (rng.random() < noise)), x, rng.random()))
+        return mdl.with_features(spark.createDataFrame(out, "y double, a double, b double"), ["a", "b"], ["y"])
+    train, valid = io.materialize(rows(200, 0.25).coalesce(1)), io.materialize(rows(200, 0.25).coalesce(1))
+    make = lambda n: boosting.boosted("y", n, max_depth=5, step=0.5)
+    fit = boosting.fit_patient(train, valid, make, max_rounds=24, patience=5, first=6)
+    assert fit.stopped and 1 <= fit.rounds < len(fit.curve)
+    assert fit.curve[fit.rounds - 1] == min(fit.curve) < fit.curve[-1]
+    assert fit.model.getNumTrees == fit.rounds
+    # the shorter fit is the beginning of the longer one
+    again = boosting.loss_curve(fit.model, valid)
+    assert again == pytest.approx(fit.curve[:fit.rounds], abs=1e-9)
+    none = boosting.fit_patient(train, valid.limit(0), make, max_rounds=2)
+    assert none.rounds == 2 and not none.stopped
+
+
+def test_boosted_classes_save_and_reload(spark):
+    df = io.materialize(_separable(spark, 150).coalesce(1))
+    fit = boosting.fit_classes(df, df, [0, 1, 2], max_rounds=3, max_depth=2)
+    again = boosting.BoostedClasses.load(fit.save(_base(spark)), [0, 1, 2])
+    got = again.transform(df)
+    assert got.columns == [*df.columns, "prediction"]
+    assert got.where("prediction = label").count() > 140
+    assert [r.label for r in fit.rounds_table(spark).orderBy("label").collect()] == [0, 1, 2]
+
+
+def test_side_by_side_raises_the_first_error(spark):
+    assert boosting.side_by_side(spark, {1: lambda: spark.range(3).count(), 2: lambda: 5}) == {1: 3, 2: 5}
+    with pytest.raises(ZeroDivisionError):
+        boosting.side_by_side(spark, {i: (lambda i=i: 1 // i) for i in (1, 0)})
+    assert boosting.side_by_side(spark, {}) == {}
 
 
-def test_calibrated_scores_monotone(spark, sf_dir):
-    from winback.sources.fixtures import Fixtures
-    fx = Fixtures(spark, sf_dir)
-    tr = fx.propensity_training()
-    params = {"maxIter": 3, "maxDepth": 3, "stepSize": 0.3}
-    models = prop.fit_product_models(tr, [1, 2], params=params)
+def test_product_trees_against_a_plain_boosting():
+    rng = np.random.default_rng(0)
+    x = rng.integers(0, 6, (80, 3)).astype(float)
+    y = ((x[:, 0] > 2) ^ (x[:, 1] > 3)).astype(float)
+    m = product_trees.fit(x, y, rounds=4, depth=2, rate=0.5, subsample=1.0, colsample=1.0)
+
+    def grow(rows, g, h, depth):
+        lam = product_trees.LAMBDA
+        best = (1e-9, None)
+        for f in range(3) if depth else ():
+            for cut in np.unique(x[:, f])[:-1]:
+                lo, hi = rows[x[rows, f] <= cut], rows[x[rows, f] > cut]
+                if min(h[lo].sum(), h[hi].sum()) < product_trees.MIN_CHILD_WEIGHT:
+                    continue
+                gain = sum(g[r].sum() ** 2 / (h[r].sum() + lam) for r in (lo, hi)) - g[rows].sum() ** 2 / (h[rows].sum() + lam)
+                if gain > best[0] + 1e-12:
+                    best = (gain, lo, hi)
+        if best[1] is None:
+            return [(rows, -0.5 * g[rows].sum() / (h[rows].sum() + lam))]
+        return grow(best[1], g, h, depth - 1) + grow(best[2], g, h, depth - 1)
+
+    margin = np.full(80, np.log(y.mean() / (1 - y.mean())))
+    for _ in range(4):
+        p = 1 / (1 + np.exp(-margin))
+        step = np.zeros(80)
+        for rows, v in grow(np.arange(80), p - y, p * (1 - p), 2):
+            step[rows] = v
+        margin = margin + step
+    assert product_trees.margins(m, x) == pytest.approx(margin)
+    again = product_trees.unpacked(product_trees.packed(m))
+    assert product_trees.margins(again, x).tolist() == product_trees.margins(m, x).tolist()
+    none = product_trees.fit(np.empty((0, 3)), np.empty(0), rounds=2)
+    assert np.isfinite(product_trees.margins(none, x)).all()
+
+
+def test_isotonic_against_all_steps():
+    rng = np.random.default_rng(1)
+    s, y = rng.integers(0, 12, 60) / 12, rng.integers(0, 2, 60).astype(float)
+    b, p = product_trees.isotonic(s, y)
+    assert (np.diff(b) > 0).all() and (np.diff(p) >= 0).all()
+    u = np.unique(s)
+    mean = lambda i, j: y[(s >= u[i]) & (s <= u[j])].mean()
+    want = [max(min(mean(i, j) for j in range(k, len(u))) for i in range(k + 1)) for k in range(len(u))]
+    assert np.interp(u, b, p) == pytest.approx(want)
+
+
+def test_product_scores(spark, sf_dir):
+    tr = Fixtures(spark, sf_dir).propensity_training()
+    frame = io.materialize(prop.training_frame(tr))
+    models = io.materialize(prop.fit_product_models(frame, [1, 2], params=SMALL))
+    again = {r.product: bytes(r.model) for r in prop.fit_product_models(frame, [1, 2], params=SMALL).collect()}
+    assert {r.product: bytes(r.model) for r in models.collect()} == again
     score = tr.drop("pdm_prod_type_id").distinct()
-    wide = prop.score_wide(score, models)
-    assert wide.count() == score.count()
-    # the isotonic map is non-decreasing in the raw score
-    iso = models[0].calibrator
-    b = iso.boundaries.toArray().tolist()
-    p = iso.predictions.toArray().tolist()
-    assert b == sorted(b) and p == sorted(p)
-    long = prop.wide_to_long(wide, [1, 2])
-    assert long.count() == 2 * wide.count()
-
-
-def test_report_accuracy_matches_ml_evaluator(spark, sf_dir):
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    from winback.operators.metrics import class_report
-    from winback.sources.fixtures import Fixtures
-    pred = Fixtures(spark, sf_dir).predictions().select(
-        F.col("label").cast("double").alias("label"),
-        F.col("prediction").cast("double").alias("prediction"))
-    ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction",
-                                          metricName="accuracy").evaluate(pred)
-    rep = {r.class_name: r for r in class_report(pred.select(
-        F.col("label").cast("int").alias("label"),
-        F.col("prediction").cast("int").alias("prediction"))).collect()}
-    assert abs(rep["accuracy"].f1 - ev) < 1e-6
-
-
-def test_saved_model_predicts_the_same(spark):
-    from winback.session import scratch_path
-    df = _separable(spark, 120)
-    m = mdl.fit(df, ["f1", "f2"], mdl.forest(num_trees=5, max_depth=3))
-    path = scratch_path(spark, "test_forest_roundtrip")
-    m2 = mdl.load_model(mdl.save_model(m, path))
-    a = [r.prediction for r in mdl.predict(m, df).orderBy("customer_id").collect()]
-    b = [r.prediction for r in mdl.predict(m2, df).orderBy("customer_id").collect()]
-    assert a == b
+    long = prop.score_long(score, models, [1, 2], batch=1)
+    n = score.count()
+    assert long.count() == 2 * n and long.where("p is null or p < 0 or p > 1").count() == 0
+    wide = prop.score_wide(long, [1, 2])
+    assert wide.count() == n and wide.columns == ["customer_id", "p1", "p2"]
+    sample = prop.training_frame(tr, max_rows=100)
+    assert 20 < sample.count() <= 100
+
+
+def test_many_products_plan_in_batches(spark, sf_dir):
+    """100 products: every batch is a plan of its own, the last no larger than the first."""
+    tr = Fixtures(spark, sf_dir).propensity_training()
+    frame = io.materialize(prop.training_frame(tr))
+    one = prop.fit_product_models(frame, [1], params=SMALL | {"rounds": 2}).first()
+    models = io.materialize(spark.createDataFrame(
+        [(p, one.fit_rows, one.held_rows, bytes(one.model)) for p in range(100)],
+        "product int, fit_rows long, held_rows long, model binary"))
+    score = io.materialize(prop.score_frame(tr.drop("pdm_prod_type_id").distinct()))
+    batches = prop.batches_of(list(range(100)))
+    plans = [prop.score_batch(score, models, b)._jdf.queryExecution().optimizedPlan().toString() for b in (batches[0], batches[-1])]
+    assert len(plans[0].splitlines()) == len(plans[1].splitlines()) < 6
+    long = prop.score_long(tr.drop("pdm_prod_type_id").distinct(), models, list(range(100)))
+    wide = prop.score_wide(long, list(range(100)))
+    assert len(wide.columns) == 101 and wide.count() == score.count()
+
+
+def test_scoring_job_goes_on_behind_its_last_stage(spark, sf_dir, monkeypatch):
+    fx, base, fits = Fixtures(spark, sf_dir), _base(spark), []
+    fit = prop.fit_product_models
+    monkeypatch.setattr(prop, "fit_product_models", lambda *a, **k: fits.append(1) or fit(*a, **k))
+    score = prop.score_batch
+
+    def killed(*a, **k):
+        raise KeyboardInterrupt
+    monkeypatch.setattr(prop, "score_batch", killed)
+    with pytest.raises(KeyboardInterrupt):
+        jobs.run_scoring_job(fx, base, SMALL, batch=4)
+    assert len(fits) == 1
+    monkeypatch.setattr(prop, "score_batch", score)
+    out = f"{base}/out"
+    paths = jobs.run_scoring_job(fx, base, SMALL, out, batch=4)
+    assert len(fits) == 2                           # the second batch of products only
+    wide = sorted(map(tuple, io.read_table(spark, out).collect()))
+    assert len(wide) == 150 and len(paths["long"]) == 2
+    monkeypatch.setattr(prop, "score_batch", killed)            # nothing is left to do
+    again = jobs.run_scoring_job(fx, base, SMALL, out, batch=4)
+    assert sorted(map(tuple, io.read_table(spark, again["wide"]).collect())) == wide
+    with pytest.raises(KeyboardInterrupt):          # other parameters are other stages
+        jobs.run_scoring_job(fx, base, SMALL | {"rate": 0.2}, batch=4)
+
+
+def test_channel_job_reads_its_tables(spark, sf_dir):
+    fx, base = Fixtures(spark, sf_dir), _base(spark)
+    paths = jobs.run_channel_job(fx, base, k=5, trials=2, num_trees=4)
+    best = [r.feature for r in spark.read.parquet(paths["importance"]).orderBy("importance_rank").collect()]
+    assert len(best) == 5
+    m, params = mdl.load_forest(paths["model"]), mdl.best_params(spark.read.parquet(paths["trials"]))
+    assert m.numFeatures == 5 and m.getNumTrees == 4 and m.getMaxDepth() == params["max_depth"]
+    r = spark.read.parquet(paths["reports"])
+    assert {(x.split, x.class_name) for x in r.collect()} >= {("train", "accuracy"), ("test", "accuracy")}
+    names = {s["stage"] for s in RunManifest(spark, base).stages()}
+    assert names == {f"channel_{n}" for n in ("frame", "importance", "trials", "model", "reports")}

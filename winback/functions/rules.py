@@ -34,12 +34,6 @@ def flag(cond: Column) -> Column:
     return F.when(cond, 1).otherwise(0)
 
 
-def lookup(mapping: dict, key) -> Column:
-    """Literal dictionary lookup (FN-18) as a map literal; no join needed."""
-    m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-    return m[_c(key)]
-
-
 # --- fixed values (reactivation channel rules) --------------------------------
 SOCIAL_CHANNELS = ["Social Marketing", "Social Networks"]
 WEB_CHANNELS = ["Paid Search", "None", "Natural Search", "QR", "CSE", "Retargeting",

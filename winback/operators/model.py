@@ -1,11 +1,12 @@
-"""Channel classifier: fit, feature importance, parameter search (ML-3..ML-7,
-ML-13, TOP-1, PRJ-4).
+"""Channel classifier: fit, feature importance, narrowing, parameter search
+(ML-3..ML-7, TOP-1, PRJ-4).
 
 All fitting is distributed ``pyspark.ml``. No boosting library exists in the
 image, so the multiclass model is a RandomForestClassifier with row weights;
-``OneVsRest(GBTClassifier)`` is offered for boosted trees (GBT is binary in
-Spark). Small driver-side state only: importances (one number per feature),
-trial parameters and scores.
+boosted trees, one model per class, are in ``boosting``. Frames carry one
+``features`` vector whose metadata names its columns, so narrowing to the best
+features is a ``VectorSlicer`` by name. Small driver-side state only: importances
+(one number per feature), trial parameters and scores.
 """
 
 from __future__ import annotations
@@ -13,9 +14,8 @@ from __future__ import annotations
 import random
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,7 +26,7 @@ SEARCH_SPACE = {
     "max_depth": (3, 18),            # integer draws
     "colsample_bytree": (0.5, 1.0),  # feature fraction per tree
     "min_child_weight": (0, 10),     # integer draws; Spark needs >= 1 row per node
-    "gamma": (1.0, 9.0),             # min loss reduction, mapped to minInfoGain / 1000
+    "gamma": (1.0, 9.0),             # min loss reduction of a split, summed over the rows
 }
 N_TREES = 180
 TRIALS = 3
@@ -34,10 +34,23 @@ TOP_FEATURES = 30
 # -----------------------------------------------------------------------------
 
 
-def assembler(features: Sequence[str], out: str = "features") -> VectorAssembler:
-    """Vector column at the model boundary only; inputs must be imputed
+def with_features(df: DataFrame, features: Sequence[str], keep: Sequence[str], out: str = "features") -> DataFrame:
+    """``keep`` plus one vector column at the model boundary; inputs must be imputed
     (NULL raises, as ``handleInvalid='error'``)."""
-    return VectorAssembler(inputCols=list(features), outputCol=out)
+    return VectorAssembler(inputCols=list(features), outputCol=out).transform(df).select(*keep, out)
+
+
+def feature_names(df: DataFrame, vector: str = "features") -> list[str]:
+    """Names of a vector column's entries, from its metadata."""
+    attrs = df.schema[vector].metadata["ml_attr"]["attrs"]
+    return [a["name"] for a in sorted((a for kind in attrs.values() for a in kind), key=lambda a: a["idx"])]
+
+
+def narrowed(df: DataFrame, names: Sequence[str], vector: str = "features") -> DataFrame:
+    """ML-4 / PRJ-4: the vector cut to the named entries, in that order."""
+    keep = [c for c in df.columns if c != vector]
+    cut = VectorSlicer(inputCol=vector, outputCol="_cut", names=list(names)).transform(df)
+    return cut.select(*keep, F.col("_cut").alias(vector, metadata=cut.schema["_cut"].metadata))
 
 
 def forest(label: str = "label", weight: str | None = "sample_weight", num_trees: int = N_TREES,
@@ -52,38 +65,18 @@ def forest(label: str = "label", weight: str | None = "sample_weight", num_trees
     return rf
 
 
-def boosted_one_vs_rest(label: str = "label", weight: str | None = "sample_weight",
-                        max_iter: int = 50, max_depth: int = 5, step: float = 0.1,
-                        validation_col: str | None = None) -> OneVsRest:
-    """ML-3 option / ML-13: one binary GBT per class; with ``validation_col``
-    each GBT stops early on the validation rows' loss."""
-    gbt = GBTClassifier(labelCol=label, featuresCol="features", maxIter=max_iter,
-                        maxDepth=max_depth, stepSize=step)
-    if validation_col:
-        gbt.setValidationIndicatorCol(validation_col)
-    ovr = OneVsRest(classifier=gbt, labelCol=label, featuresCol="features")
-    if weight:
-        ovr.setWeightCol(weight)
-    return ovr
-
-
-def fit(train: DataFrame, features: Sequence[str], estimator):
-    """ML-3: fit assembler + estimator as one pipeline model."""
-    return Pipeline(stages=[assembler(features), estimator]).fit(train)
-
-
 def predict(model, df: DataFrame) -> DataFrame:
     """ML-7: predictions keep every input column (the customer key included),
     so no positional re-join is needed."""
     return model.transform(df)
 
 
-def feature_importance(model, features: Sequence[str], spark: SparkSession,
+def feature_importance(model: RandomForestClassificationModel, features: Sequence[str], spark: SparkSession,
                        k: int = TOP_FEATURES) -> DataFrame:
     """ML-4 / TOP-1: the ``k`` most important features as a table
     (feature, importance, importance_rank). The input is one number per
     feature, so the unpartitioned rank window sees at most that many rows."""
-    imp = model.stages[-1].featureImportances.toArray().tolist()
+    imp = model.featureImportances.toArray().tolist()
     df = spark.createDataFrame([(f, float(v)) for f, v in zip(features, imp)],
                                "feature string, importance double")
     order = [F.col("importance").desc(), F.col("feature")]
@@ -107,39 +100,42 @@ def draw_params(n: int = TRIALS, seed: int = 0, space=SEARCH_SPACE) -> list[dict
     return out
 
 
-def random_search(train: DataFrame, valid: DataFrame, features: Sequence[str],
-                  label: str = "label", weight: str | None = "sample_weight",
+def forest_of(params: dict, rows: int, label: str = "label", weight: str | None = "sample_weight",
+              seed: int = 0) -> RandomForestClassifier:
+    """The forest of one parameter row. ``gamma`` asks for a loss reduction summed over a
+    node's rows, Spark for one per row: it is spread over the ``rows`` of the root."""
+    return forest(label, weight, num_trees=params["n_estimators"], max_depth=params["max_depth"],
+                  subset=f"{params['colsample_bytree']:.4f}", min_instances=max(1, params["min_child_weight"]),
+                  min_info_gain=params["gamma"] / max(1, rows), seed=seed)
+
+
+def random_search(train: DataFrame, valid: DataFrame, label: str = "label", weight: str | None = "sample_weight",
                   trials: int = TRIALS, num_trees: int = N_TREES, seed: int = 0) -> DataFrame:
-    """ML-5 / ML-6: fit one weighted forest per drawn parameter set, score
-    accuracy on the given validation rows, return the trials as a table
-    (the best row is the saved parameter set)."""
-    rows = []
+    """ML-5 / ML-6: fit one weighted forest per drawn parameter set over frames with a
+    ``features`` vector (store them first), score accuracy on the given validation rows,
+    return the trials as a table: the parameter table that ``best_params`` reads."""
+    n, rows = train.count(), []
     for i, p in enumerate(draw_params(trials, seed)):
-        est = forest(label, weight, num_trees=num_trees, max_depth=p["max_depth"],
-                     subset=f"{p['colsample_bytree']:.4f}",
-                     min_instances=max(1, p["min_child_weight"]),
-                     min_info_gain=p["gamma"] / 1000.0, seed=seed)
-        m = fit(train, features, est)
+        p["n_estimators"] = num_trees
+        m = forest_of(p, n, label, weight, seed).fit(train)
         acc = accuracy(predict(m, valid), label, "prediction")
         rows.append((i, p["max_depth"], float(p["colsample_bytree"]), p["min_child_weight"],
                      float(p["gamma"]), num_trees, acc))
-    spark = train.sparkSession
-    return spark.createDataFrame(rows, "trial int, max_depth int, colsample_bytree double, "
-                                       "min_child_weight int, gamma double, n_estimators int, "
-                                       "val_accuracy double")
+    return train.sparkSession.createDataFrame(
+        rows, "trial int, max_depth int, colsample_bytree double, min_child_weight int, gamma double, "
+              "n_estimators int, val_accuracy double")
 
 
 def best_params(trials: DataFrame) -> dict:
-    row = trials.orderBy(F.col("val_accuracy").desc(), F.col("trial")).first()
-    return row.asDict()
+    """The parameters of the best trial, the first of equal ones."""
+    return trials.orderBy(F.col("val_accuracy").desc(), F.col("trial")).first().asDict()
 
 
 def save_model(model, path: str) -> str:
-    """ML-6: persist a fitted pipeline (overwrite; a path in the shared folder)."""
+    """ML-6: persist a fitted model (overwrite; a path in the shared folder)."""
     model.write().overwrite().save(path)
     return path
 
 
-def load_model(path: str):
-    from pyspark.ml import PipelineModel
-    return PipelineModel.load(path)
+def load_forest(path: str) -> RandomForestClassificationModel:
+    return RandomForestClassificationModel.load(path)

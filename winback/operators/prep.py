@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from winback.functions import rules
 from winback.functions.numeric import present, quoted, to_number
 from winback.operators.ranking import rank_within_group
+from winback.sources.io import materialize
 
 Pattern = str | Callable[[str], bool]
 
@@ -119,7 +120,7 @@ def fit_fill_values(df: DataFrame, wanted: dict) -> dict:
     out = {}
     medians = [c for c, s in wanted.items() if s is MEDIAN]
     if medians:
-        from winback.operators.ranking import exact_medians
+        from winback.operators.values import medians as exact_medians
         out.update({r[0]: r[1] for r in exact_medians(df, medians).collect()})
     if stats:
         row = df.agg(*[_STAT_FN[s.name](present(df, c).cast("double")).alias(f"f{i}")
@@ -216,24 +217,27 @@ def one_hot_vector(df: DataFrame, cols: Sequence[str] = CATEGORICAL, suffix: str
     return model, model.transform(df).drop(*idx)
 
 
-def class_list(df: DataFrame, label_col: str, max_classes: int = 1000) -> list[str]:
-    return category_levels(df, [label_col], max_classes)[label_col]
+def dictionary(df: DataFrame, col: str) -> DataFrame:
+    """(value, id from 0 by value, row_count) of a column's non-missing values, stored:
+    the idx2class / class2idx table. Ids come from the distributed rank over the
+    distinct values, so there may be any number of them."""
+    values = (df.select(present(df, col).alias("value")).where(F.col("value").isNotNull())
+              .groupBy("value").agg(F.count(F.lit(1)).alias("row_count")).withColumn("_all", F.lit(0)))
+    ranked = rank_within_group(values, "_all", ["value"])
+    return materialize(ranked.select("value", (F.col("group_rank") - 1).cast("int").alias("id"), "row_count"),
+                       "dictionary")
 
 
 def label_index(df: DataFrame, label_col: str = "reactivation_channel", out: str = "label",
-                classes: list[str] | None = None) -> DataFrame:
-    """PREP-5 / FN-18: integer label by alphabetical class order (Spark has
-    no row order, so "order of first appearance" is replaced), as a map
-    literal: no join, no shuffle."""
-    classes = classes or class_list(df, label_col)
-    return df.select("*", rules.lookup({c: i for i, c in enumerate(classes)}, label_col)
-                     .cast("int").alias(out))
-
-
-def label_table(spark, classes: list[str]) -> DataFrame:
-    """idx2class / class2idx as a small dimension table."""
-    return spark.createDataFrame([(i, c) for i, c in enumerate(classes)],
-                                 "label int, class_name string")
+                classes: DataFrame | None = None) -> DataFrame:
+    """PREP-5 / FN-18: integer label by class order (Spark has no row order, so "order of
+    first appearance" is replaced), joined from the stored ``dictionary``. Its size is
+    known, so Spark broadcasts a small one and shuffles for a large one, where AQE splits
+    a hot class. Missing classes get no label."""
+    classes = dictionary(df, label_col) if classes is None else classes
+    d = classes.select(F.col("value").alias("_class"), F.col("id").cast("int").alias("_id"))
+    j = df.join(d, present(df, label_col) == F.col("_class"), "left")
+    return j.select(*[quoted(c) for c in df.columns], F.col("_id").alias(out))
 
 
 def stratified_split(df: DataFrame, label_col: str, order_cols: Sequence[str],

@@ -1,48 +1,41 @@
 """Product propensity: one binary model per product, isotonic calibration,
 scoring to long and wide tables (ML-9..ML-12, ML-14, FN-13, AGG-11, SET-1).
 
-The training frame is cached once and every product's fit is a distributed
-``pyspark.ml`` job; the product loop on the driver only builds plans (the
-product list is a bounded catalogue, checked). Scoring chains every product's
-model over one scan of the score frame: one job, no per-product re-read, and
-the wide table falls out without a pivot shuffle.
+Models are fitted on at most ``MAX_FIT_ROWS`` labelled rows (a hash sample of a larger
+table), a table of proven size that every task gets; a product's fit of 1,000 rounds is
+one task, so products run side by side on all executors and a lost one costs its own
+fits only. Every customer is scored. Scores go to a long table by batches of products: a
+batch is one job over the stored score frame with a plan of its own size, and its folder
+is replaced by a re-run, so neither planning nor what a failure costs grows with the
+catalogue. The wide table is one pivot of the long one.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from winback.operators import product_trees as trees
 from winback.operators.prep import SCORING_FEATURES, impute_scoring
+from winback.session import scratch_path
+from winback.sources.io import materialize
 
 # --- fixed values: product model of the original (trees, depth, rate, sampling)
-PRODUCT_MODEL = {"maxIter": 1000, "maxDepth": 5, "stepSize": 0.01,
-                 "subsamplingRate": 0.9, "featureSubsetStrategy": "0.6"}
+PRODUCT_MODEL = {"rounds": 1000, "depth": 5, "rate": 0.01, "subsample": 0.9, "colsample": 0.6}
 # -----------------------------------------------------------------------------
-MAX_PRODUCTS = 10_000
+MAX_FIT_ROWS = 100_000      # labelled rows that models are fitted on
+PRODUCTS_PER_BATCH = 16
+SCORE_ROWS = 2_000          # rows that a task scores at once
 
 
-@dataclass
-class ProductModel:
-    product: int
-    classifier: object      # GBTClassificationModel
-    calibrator: object      # IsotonicRegressionModel
-
-
-def product_ids(df: DataFrame, col: str = "pdm_prod_type_id",
-                max_products: int = MAX_PRODUCTS) -> list[int]:
-    """Sorted distinct product ids; raises beyond ``max_products``."""
-    rows = df.select(col).distinct().limit(max_products + 1).collect()
-    if len(rows) > max_products:
-        raise ValueError(f"more than {max_products} products")
-    return sorted(int(r[0]) for r in rows)
+def product_ids(df: DataFrame, col: str = "pdm_prod_type_id") -> list[int]:
+    """Sorted distinct product ids (the catalogue, of which each gets a model)."""
+    return sorted(int(r[0]) for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
 
 
 def product_targets(df: DataFrame, products: Sequence[int],
@@ -54,69 +47,110 @@ def product_targets(df: DataFrame, products: Sequence[int],
                             for p in products])
 
 
-def _calibration_part(df: DataFrame, key: str, fraction: float) -> DataFrame:
-    """Deterministic held-out flag from a hash of the key."""
-    h = F.abs(F.xxhash64(F.lit(17), F.col(key))) % 1000
-    return df.withColumn("_calib", h < int(fraction * 1000))
-
-
-def fit_product_models(training: DataFrame, products: Sequence[int],
-                       features: Sequence[str] = SCORING_FEATURES, key: str = "customer_id",
-                       product_col: str = "pdm_prod_type_id", params: dict | None = None,
-                       calibration_fraction: float = 0.2) -> list[ProductModel]:
-    """ML-9 / ML-10: per product, a GBT on (product == p) over the imputed
-    features, then isotonic calibration fitted on held-out rows (the original
-    calibrated on its own training rows and then saved the uncalibrated
-    model; both models are kept here and scoring uses the calibrated one)."""
+def training_frame(training: DataFrame, features: Sequence[str] = SCORING_FEATURES, key: str = "customer_id",
+                   product_col: str = "pdm_prod_type_id", calibration_fraction: float = 0.2,
+                   max_rows: int = MAX_FIT_ROWS) -> DataFrame:
+    """ML-9 input: product, imputed features as an array, and the held-out flag (by a hash
+    of the key), ordered by key and product so that a fit that is run again grows the
+    same trees. Of a table beyond ``max_rows`` a hash sample of the rows."""
+    rows = training.count()
+    x = training
+    if rows > max_rows:
+        bucket = F.pmod(F.xxhash64(F.lit(23), F.col(key), F.col(product_col)), F.lit(1_000_000))
+        x = x.where(bucket < int(1_000_000 * max_rows / rows))
+    x = impute_scoring(x, features, keep=(key, product_col))
+    held = F.pmod(F.xxhash64(F.lit(17), F.col(key)), F.lit(1000)) < int(calibration_fraction * 1000)
+    return (x.select(key, product_col, F.array(*[F.col(c).cast("double") for c in features]).alias("features"),
+                     held.alias("held_out"))
+            .orderBy(key, product_col, "features").limit(max_rows).select(product_col, "features", "held_out"))
+
+
+def _matrix(column, width: int) -> np.ndarray:
+    array = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return array.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def fit_product_models(frame: DataFrame, products: Sequence[int], product_col: str = "pdm_prod_type_id",
+                       params: dict | None = None) -> DataFrame:
+    """ML-9 / ML-10 over a ``training_frame``: (product, fit_rows, held_rows, model), one
+    row and one task per product: trees on (product == p), then isotonic calibration on
+    the held-out rows (the original calibrated on its own training rows and then saved
+    the uncalibrated model)."""
+    spark = frame.sparkSession
     params = dict(PRODUCT_MODEL if params is None else params)
-    x = impute_scoring(training, features, keep=(key, product_col))
-    x = VectorAssembler(inputCols=list(features), outputCol="features").transform(x)
-    x = _calibration_part(x, key, calibration_fraction).select(
-        key, product_col, "features", "_calib").cache()
-    out = []
-    try:
-        for p in products:
-            y = x.withColumn("target", (F.col(product_col) == p).cast("double"))
-            gbt = GBTClassifier(labelCol="target", featuresCol="features", seed=0, **params)
-            clf = gbt.fit(y.where(~F.col("_calib")))
-            held = clf.transform(y.where(F.col("_calib")))
-            held = held.withColumn("p_raw", vector_to_array("probability")[1])
-            iso = IsotonicRegression(labelCol="target", featuresCol="p_raw",
-                                     predictionCol="p_cal").fit(held)
-            out.append(ProductModel(int(p), clf, iso))
-    finally:
-        x.unpersist()
-    return out
-
-
-def score_wide(score: DataFrame, models: Sequence[ProductModel],
-               features: Sequence[str] = SCORING_FEATURES, key: str = "customer_id",
-               prefix: str = "p") -> DataFrame:
-    """ML-11 / ML-12: calibrated probability of every product as columns
-    ``p<id>`` next to the key, from one scan of ``score``."""
+    table = frame.toArrow()                     # at most MAX_FIT_ROWS rows
+    width = len(table["features"][0]) if table.num_rows else 0
+    data = spark.sparkContext.broadcast((
+        _matrix(table["features"], width) if width else np.empty((0, 0)), table[product_col].to_numpy(),
+        table["held_out"].to_numpy()))
+
+    def work(batches):
+        x, product, held = data.value
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                p = products[i]
+                y = (product == p).astype(np.float64)
+                m = trees.fit(x[~held], y[~held], **params)
+                raw = 1 / (1 + np.exp(-trees.margins(m, x[held])))
+                m["boundaries"], m["predictions"] = trees.isotonic(raw, y[held])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([p], pa.int32()), pa.array([int((~held).sum())], pa.int64()),
+                     pa.array([int(held.sum())], pa.int64()), pa.array([trees.packed(m)], pa.binary())],
+                    ["product", "fit_rows", "held_rows", "model"])
+
+    products = [int(p) for p in products]
+    return spark.range(0, len(products), 1, max(1, len(products))).mapInArrow(      # one product a task
+        work, "product int, fit_rows long, held_rows long, model binary")
+
+
+def score_frame(score: DataFrame, features: Sequence[str] = SCORING_FEATURES, key: str = "customer_id") -> DataFrame:
+    """Key and imputed features (an array) of the rows to score."""
     x = impute_scoring(score, features, keep=(key,))
-    x = VectorAssembler(inputCols=list(features), outputCol="features").transform(x)
-    cols = []
-    for m in models:
-        p = m.product
-        clf = m.classifier.copy()
-        clf.setProbabilityCol(f"_prob_{p}").setRawPredictionCol(f"_raw_{p}") \
-           .setPredictionCol(f"_pred_{p}")
-        x = clf.transform(x).withColumn(f"_praw_{p}", vector_to_array(f"_prob_{p}")[1])
-        iso = m.calibrator.copy()
-        iso.setFeaturesCol(f"_praw_{p}").setPredictionCol(f"{prefix}{p}")
-        x = iso.transform(x)
-        cols.append(f"{prefix}{p}")
-    return x.select(key, *cols)
-
-
-def wide_to_long(wide: DataFrame, products: Sequence[int], key: str = "customer_id",
-                 prefix: str = "p") -> DataFrame:
-    """SET-1: (customer_id, p, pdm_prod_type_id) rows for every product,
-    produced by one ``stack`` over the wide rows (no per-product union)."""
-    arr = F.array(*[F.struct(F.col(f"{prefix}{p}").alias("p"),
-                             F.lit(int(p)).alias("pdm_prod_type_id")) for p in products])
-    return wide.select(key, F.explode(arr).alias("s")).select(key, "s.p", "s.pdm_prod_type_id")
+    return x.select(key, F.array(*[F.col(c).cast("double") for c in features]).alias("features"))
+
+
+def score_batch(frame: DataFrame, models: DataFrame, products: Sequence[int], key: str = "customer_id") -> DataFrame:
+    """ML-11: (key, p, pdm_prod_type_id) of a few products from one scan of a
+    ``score_frame``. Their models (some 100 kB each) go to every task."""
+    spark = frame.sparkSession
+    rows = models.where(F.col("product").isin([int(p) for p in products])).select("product", "model").collect()
+    data = spark.sparkContext.broadcast(sorted((r.product, bytes(r.model)) for r in rows))
+    kind = frame.schema[key].dataType.simpleString()
+
+    def work(batches):
+        ready = [(p, trees.unpacked(m)) for p, m in data.value]
+        for batch in batches:
+            for at in range(0, batch.num_rows, SCORE_ROWS):
+                part = batch.slice(at, SCORE_ROWS)
+                x = _matrix(part.column(1), len(part.column(1)[0]))
+                for p, m in ready:
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0), pa.array(trees.probability(m, x), pa.float64()),
+                         pa.array(np.full(len(x), p), pa.int32())], [key, "p", "pdm_prod_type_id"])
+
+    return frame.select(key, "features").mapInArrow(work, f"{key} {kind}, p double, pdm_prod_type_id int")
+
+
+def batches_of(products: Sequence[int], size: int = PRODUCTS_PER_BATCH) -> list[Sequence[int]]:
+    return [products[i:i + size] for i in range(0, len(products), size)]
+
+
+def score_long(score: DataFrame, models: DataFrame, products: Sequence[int], features: Sequence[str] = SCORING_FEATURES,
+               key: str = "customer_id", path: str | None = None, batch: int = PRODUCTS_PER_BATCH) -> DataFrame:
+    """ML-11 / SET-1: the long table (key, p, pdm_prod_type_id) under ``path``, one folder
+    per batch of products; a batch that is run again replaces its own folder only."""
+    spark = score.sparkSession
+    path = path or scratch_path(spark, f"scores_{uuid.uuid4().hex[:12]}")
+    frame = materialize(score_frame(score, features, key), "score_frame")
+    for i, some in enumerate(batches_of(products, batch)):
+        score_batch(frame, models, some, key).write.mode("overwrite").parquet(f"{path}/batch={i}")
+    return spark.read.parquet(path).drop("batch")
+
+
+def score_wide(long: DataFrame, products: Sequence[int], key: str = "customer_id", prefix: str = "p") -> DataFrame:
+    """ML-12: calibrated probability of every product as columns ``p<id>`` next to the
+    key, one pivot of the long table."""
+    return pivot_wide(long, key, "pdm_prod_type_id", "p", products, prefix)
 
 
 def pivot_wide(long: DataFrame, index: str, columns: str, values: str,
@@ -134,21 +168,3 @@ def pivot_wide(long: DataFrame, index: str, columns: str, values: str,
         out.append(F.when(n > 1, F.raise_error(F.lit(f"duplicate entries for {columns}={v}")))
                    .otherwise(cell).alias(f"{prefix}{v}"))
     return g.select(*out)
-
-
-def save_product_models(models: Sequence[ProductModel], base: str) -> str:
-    """ML-6: one directory per product holding both the classifier and its
-    calibrator (the original pickled only the uncalibrated model)."""
-    for m in models:
-        m.classifier.write().overwrite().save(f"{base}/product_{m.product}/classifier")
-        m.calibrator.write().overwrite().save(f"{base}/product_{m.product}/calibrator")
-    return base
-
-
-def load_product_models(base: str, products: Sequence[int]) -> list[ProductModel]:
-    from pyspark.ml.classification import GBTClassificationModel
-    from pyspark.ml.regression import IsotonicRegressionModel
-    return [ProductModel(int(p),
-                         GBTClassificationModel.load(f"{base}/product_{p}/classifier"),
-                         IsotonicRegressionModel.load(f"{base}/product_{p}/calibrator"))
-            for p in products]

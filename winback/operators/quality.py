@@ -3,7 +3,8 @@
 AGG-4..AGG-9, DQ-1..DQ-4, DEDUP-1, TOP-2, PRJ-3, PRJ-5, SNK-3.
 
 Every report is computed in a single aggregate pass over the table for all
-columns at once (the original loops over columns, one scan each). Results are
+columns at once (the original loops over columns, one scan each); the exact profile
+adds one pass for the table of distinct values. Results are
 small (one row per column, or per column and bin / value) and stay
 DataFrames; a driver collect happens only where a small report decides the
 next plan (which columns to drop, histogram ranges).
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from winback.functions.numeric import coverage_percent, present, quoted
+from winback.operators.values import distinct_counts, quantiles, value_table
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
@@ -90,39 +92,35 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
     """DQ-1 / AGG-5 / AGG-10: per column rows, nulls, distinct count (nulls and
     NaN ignored) and, for numeric columns, min / max / mean / sample std / median.
 
-    Exact medians use the distributed rank (ranking.exact_medians);
-    ``exact=False`` asks for HyperLogLog++ distinct counts and approximate
-    medians (bounded sketches), which keep the pass linear for very wide
-    tables."""
+    Counts and moments are one aggregate; distinct counts and medians come from the
+    value table (``values``), which holds each distinct value once. ``exact=False`` asks
+    for HyperLogLog++ distinct counts and approximate medians (bounded sketches) in the
+    same aggregate."""
     cols, nums = list(df.columns), set(numeric_columns(df))
-    num_cols = [c for c in cols if c in nums]
     aggs = [F.count(F.lit(1)).alias("row_count")]
-    for i, c in enumerate(cols):
-        col = present(df, c)
-        aggs.append(F.count_if(_missing(df, c)).alias(f"null_count__{i}"))
-        aggs.append((F.count_distinct(col) if exact else F.approx_count_distinct(col))
-                    .alias(f"distinct_count__{i}"))
-        if c in nums:
-            d = col.cast("double")
-            med = F.lit(None).cast("double") if exact else F.percentile_approx(d, 0.5)
-            aggs += [F.min(d).alias(f"min_value__{i}"), F.max(d).alias(f"max_value__{i}"),
-                     F.avg(d).alias(f"mean__{i}"), F.stddev_samp(d).alias(f"std__{i}"),
-                     med.cast("double").alias(f"median__{i}")]
-        else:
-            aggs += [F.lit(None).cast("double").alias(f"{k}__{i}")
-                     for k in ("min_value", "max_value", "mean", "std", "median")]
-        aggs.append(F.lit(1 if c in nums else 0).alias(f"is_numeric__{i}"))
-    fields = {"null_count": "bigint", "distinct_count": "bigint", "min_value": "double",
-              "max_value": "double", "mean": "double", "std": "double", "median": "double",
+    fields = {"null_count": "bigint", "min_value": "double", "max_value": "double", "mean": "double", "std": "double",
               "is_numeric": "int"}
+    if not exact:
+        fields |= {"distinct_count": "bigint", "median": "double"}
+    for i, c in enumerate(cols):
+        col, num = present(df, c), c in nums
+        d = col.cast("double") if num else F.lit(None).cast("double")
+        made = {"null_count": F.count_if(_missing(df, c)), "min_value": F.min(d), "max_value": F.max(d),
+                "mean": F.avg(d), "std": F.stddev_samp(d), "is_numeric": F.lit(int(num))}
+        if not num:
+            made |= {k: F.lit(None).cast("double") for k in ("min_value", "max_value", "mean", "std")}
+        if not exact:
+            made |= {"distinct_count": F.approx_count_distinct(col),
+                     "median": F.percentile_approx(d, 0.5).cast("double") if num else F.lit(None).cast("double")}
+        aggs += [e.alias(f"{k}__{i}") for k, e in made.items()]
     out = _long(df.agg(*aggs), cols, fields)
-    if exact and num_cols:
-        # exact medians without a one-task percentile buffer (one row per column)
-        from winback.operators.ranking import exact_medians
-        med = exact_medians(df, num_cols).withColumnRenamed("column_name", "_mc")
-        out = (out.drop("median").join(med, out.column_name == med._mc, "left")
-               .drop("_mc"))
-    return out.select("column_name", "row_count", "null_count", "distinct_count", "is_numeric",
+    if exact:
+        v = value_table(df)
+        # both have at most one row per column
+        out = (out.join(F.broadcast(distinct_counts(v)), "column_name", "left")
+               .join(F.broadcast(quantiles(v).select("column_name", F.col("value").alias("median"))), "column_name", "left"))
+    return out.select("column_name", "row_count", "null_count",
+                      F.coalesce("distinct_count", F.lit(0)).alias("distinct_count"), "is_numeric",
                       "min_value", "max_value", F.round("mean", 6).alias("mean"),
                       F.round("std", 6).alias("std"), "median")
 

@@ -67,22 +67,3 @@ def ntile_within_group(df: DataFrame, group: str, order_cols: Sequence[str], buc
     tile = F.when(k <= big, F.floor((k - 1) / (q + 1)) + 1).otherwise(
         rem + F.floor((k - big - 1) / F.greatest(q, F.lit(1))) + 1)
     return r.select(*[quoted(c) for c in df.columns], tile.cast("int").alias(out))
-
-
-def exact_medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Exact median of each numeric column as (column_name, median).
-
-    Spark's ``median``/``percentile`` merge every value of a column in one
-    task for a global aggregate. Here all values are ranked inside their
-    column with the distributed rank (a row id joins the sort key, so a value
-    repeated a billion times still spreads over many range partitions) and
-    the one or two middle ranks are averaged, as interpolation at 0.5 does."""
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), present(df, c).cast("double").alias("value"))
-        for c in cols])).alias("s")).select("s.*")
-    long = long.where(F.col("value").isNotNull()).withColumn(
-        "_rid", F.monotonically_increasing_id())
-    r = rank_within_group(long, "column_name", ["value", "_rid"])
-    n, k = F.col("group_size"), F.col("group_rank")
-    mid = (k == F.floor((n + 1) / 2)) | (k == F.floor(n / 2) + 1)
-    return r.where(mid).groupBy("column_name").agg(F.avg("value").alias("median"))

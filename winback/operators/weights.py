@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winback.functions.rules import lookup
+from winback.functions.numeric import quoted
+from winback.sources.io import materialize
 
 
 def class_counts(df: DataFrame, label_col: str = "label", by: str | None = None) -> DataFrame:
@@ -15,14 +16,14 @@ def class_counts(df: DataFrame, label_col: str = "label", by: str | None = None)
 
 
 def class_weights(df: DataFrame, label_col: str = "label") -> DataFrame:
-    """ML-2: balanced weight per class = rows / (classes * class rows).
-    Small aggregate; the totals come from windows over the per-class table
-    (one row per class), not from a driver round trip."""
-    c = class_counts(df, label_col)
-    w = Window.partitionBy()
-    total, k = F.sum("class_count").over(w), F.count(F.lit(1)).over(w)
-    return c.select(label_col, "class_count",
-                    (total.cast("double") / (k * F.col("class_count"))).alias("class_weight"))
+    """ML-2: balanced weight per class = rows / (classes * class rows), one row per class."""
+    return _weighted(class_counts(df, label_col), label_col)
+
+
+def _weighted(counts: DataFrame, label_col: str) -> DataFrame:
+    total, k = counts.agg(F.sum("class_count"), F.count(F.lit(1))).first()
+    return counts.select(label_col, "class_count",
+                         (F.lit(float(total or 0)) / (F.lit(k) * F.col("class_count"))).alias("class_weight"))
 
 
 def max_class_share(df: DataFrame, label_col: str = "label"):
@@ -31,22 +32,27 @@ def max_class_share(df: DataFrame, label_col: str = "label"):
     return c.agg((F.max("class_count") / F.sum("class_count")).alias("s")).first()["s"]
 
 
-def sample_weights(train: DataFrame, coef: float, label_col: str = "label",
-                   adjust: str = "largest", index: int = 1,
-                   out: str = "sample_weight", max_classes: int = 10_000) -> DataFrame:
-    """ML-1: per-row balanced weight; one class's weight is multiplied by
-    ``coef``. ``adjust='largest'`` picks the class with most rows (the intent
-    of the original); ``adjust='index'`` picks the ``index``-th class in
-    sorted order (what the original code did). The per-class weights (one
-    per class, at most ``max_classes``, checked) are applied as a map
-    literal: no join."""
-    rows = class_weights(train, label_col).limit(max_classes + 1).collect()
-    if len(rows) > max_classes:
-        raise ValueError(f"more than {max_classes} classes in {label_col}")
-    weights = {r[label_col]: float(r["class_weight"]) for r in rows}
-    if adjust == "largest":
-        target = max(rows, key=lambda r: (r["class_count"], -r[label_col]))[label_col]
-    else:
-        target = sorted(weights)[index]
-    weights[target] *= coef
-    return train.select("*", lookup(weights, label_col).cast("double").alias(out))
+def weight_table(train: DataFrame, coef: float, label_col: str = "label", adjust: str = "largest",
+                 index: int = 1) -> DataFrame:
+    """ML-1: (label, class_count, class_weight) of any number of classes, stored, with one
+    class's weight multiplied by ``coef``. ``adjust='largest'`` picks the class with most
+    rows (the intent of the original); ``adjust='index'`` the ``index``-th class in
+    sorted order (what the original code did). One row reaches the driver."""
+    counts = materialize(class_counts(train.where(F.col(label_col).isNotNull()), label_col), "class_counts")
+    order = [F.col("class_count").desc(), F.col(label_col)] if adjust == "largest" else [F.col(label_col)]
+    picked = counts.orderBy(*order).offset(0 if adjust == "largest" else index).first()
+    w = _weighted(counts, label_col)
+    if picked is None:
+        return w
+    return w.withColumn("class_weight", F.when(F.col(label_col) == picked[label_col], F.col("class_weight") * coef)
+                        .otherwise(F.col("class_weight")))
+
+
+def sample_weights(train: DataFrame, coef: float, label_col: str = "label", adjust: str = "largest",
+                   index: int = 1, out: str = "sample_weight") -> DataFrame:
+    """ML-1: per-row balanced weight, joined from ``weight_table`` (broadcast by Spark
+    while small, else a shuffle join that AQE splits on a hot class)."""
+    w = weight_table(train, coef, label_col, adjust, index)
+    w = w.select(F.col(label_col).alias("_class"), F.col("class_weight").alias("_weight"))
+    j = train.join(w, F.col(label_col) == F.col("_class"), "left")
+    return j.select(*[quoted(c) for c in train.columns], F.col("_weight").cast("double").alias(out))

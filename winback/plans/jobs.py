@@ -92,43 +92,166 @@ def stage_split(fx: Fixtures) -> DataFrame:
     return prep.stratified_split(lab, "label", ["customer_id"])
 
 
+FRAME_COLUMNS = ["customer_id", "label", "split", "sample_weight"]
+
+
 def stage_model_frame(fx: Fixtures):
-    """Training frame of the channel classifier: prepared + recast +
-    label + split, remaining NULL features set to 0, scaled with train
-    statistics, balanced sample weights on train rows. Returns
-    (frame, feature names)."""
+    """Training frame of the channel classifier: prepared + recast + label + split,
+    remaining NULL features set to 0, scaled with train statistics, balanced sample
+    weights on train rows (1 on the others), in one pass over the joined rows:
+    customer_id, label, split, sample_weight and the ``features`` vector, whose
+    metadata names its entries."""
     from pyspark.sql import functions as F
-    from winback.operators import prep, quality, weights
+    from winback.operators import model, prep, quality, weights
     w = prep.recast(stage_prepared(fx))
-    w = prep.label_index(w)
-    split = stage_split(fx).select(F.col("customer_id").alias("_sid"), "split")
+    split = stage_split(fx).select(F.col("customer_id").alias("_sid"), "label", "split")
     w = w.join(split, w.customer_id == split._sid).drop("_sid")
     feats = [c for c in quality.numeric_columns(w) if c not in ("customer_id", "label")]
     w = w.na.fill(0.0, subset=feats)
-    stats = prep.fit_standard_scaler(w.where(F.col("split") == "train"), feats)
+    train = F.col("split") == "train"
+    stats = prep.fit_standard_scaler(w.where(train), feats)
     w = prep.apply_standard_scaler(w, stats)
-    coef = weights.max_class_share(w, "label")
-    weighted = weights.sample_weights(w.where(F.col("split") == "train"), coef, "label")
-    w = weighted.unionByName(w.where(F.col("split") != "train")
-                             .withColumn("sample_weight", F.lit(1.0)))
-    return w, feats
-
-
-def run_scoring_job(fx: Fixtures, params: dict | None = None, out_name: str = "prod_type_cluster_data"):
-    """ML-14: the end-to-end product scoring job: fit one calibrated model
-    per product on the training table, save the models, reload them, score
-    every customer in one pass and replace the wide output table (SNK-2).
-    Returns the written table's path."""
+    coef = weights.max_class_share(split, "label")
+    table = weights.weight_table(split.where(train), coef, "label")
+    table = table.select(F.col("label").alias("_class"), F.col("class_weight").alias("_weight"))
+    w = w.join(table, F.col("label") == F.col("_class"), "left").withColumn(
+        "sample_weight", F.when(train, F.col("_weight")).otherwise(1.0))
+    return model.with_features(w, feats, FRAME_COLUMNS)
+
+
+def run_channel_job(fx: Fixtures, base: str, upto: str = "reports", k: int | None = None,
+                    trials: int | None = None, num_trees: int | None = None) -> dict:
+    """The training flow of the channel classifier: frame -> first fit and feature
+    importances -> frames narrowed to the ``k`` best features -> parameter search on the
+    validation rows -> final fit with the saved best parameters -> classification reports
+    of train and test rows (ML-3..ML-8, PRJ-4, TOP-1).
+
+    Every stage's output is a table or a saved model recorded in a run manifest under
+    ``base``; the search and the final fit read the stored importances and the stored
+    trials. Stages after ``upto`` (frame, importance, trials, model, reports) are not run.
+    Returns name -> path."""
+    from pyspark.sql import functions as F
+    from winback.operators import metrics
+    from winback.operators import model as mdl
+    from winback.session import ensure_checkpoint_dir
+    from winback.sources.manifest import RunManifest
+    spark = fx.spark
+    ensure_checkpoint_dir(spark)
+    k, trials, num_trees = k or mdl.TOP_FEATURES, trials or mdl.TRIALS, num_trees or mdl.N_TREES
+    run, paths = RunManifest(spark, base), {}
+    source = run.inputs([f"{fx.sf_dir}/customer.parquet"])
+
+    def store(df):
+        return lambda path: df().write.mode("overwrite").parquet(path)
+
+    def read(name):
+        return spark.read.parquet(paths[name])
+
+    def rows(split, narrow=True):
+        f = read("frame").where(F.col("split") == split)
+        if not narrow:
+            return f
+        best = [r.feature for r in read("importance").orderBy("importance_rank").collect()]
+        return mdl.narrowed(f, best)
+
+    def final_model(path):
+        train = rows("train")
+        mdl.save_model(mdl.forest_of(mdl.best_params(read("trials")), train.count()).fit(train), path)
+
+    def importance():
+        m = mdl.forest(num_trees=num_trees, max_depth=6).fit(rows("train", narrow=False))
+        return mdl.feature_importance(m, mdl.feature_names(read("frame")), spark, k)
+
+    def reports():
+        m, out = mdl.load_forest(paths["model"]), []
+        for split in ("train", "test"):
+            pred = mdl.predict(m, rows(split)).withColumn("prediction", F.col("prediction").cast("int"))
+            out.append(metrics.class_report(pred, "label", "prediction").select(F.lit(split).alias("split"), "*"))
+        return out[0].unionByName(out[1])
+
+    stages = [("frame", {}, store(lambda: stage_model_frame(fx))),
+              ("importance", {"k": k, "trees": num_trees}, store(importance)),
+              ("trials", {"trials": trials, "trees": num_trees},
+               store(lambda: mdl.random_search(rows("train"), rows("valid"), trials=trials, num_trees=num_trees))),
+              ("model", {}, final_model),
+              ("reports", {}, store(reports))]
+    after = source
+    for name, params, make in stages:
+        paths[name], after = run.stage(f"channel_{name}", params, (after,), make)
+        if name == upto:
+            break
+    return paths
+
+
+def run_boosted_job(fx: Fixtures, base: str, max_rounds: int | None = None, patience: int | None = None,
+                    max_depth: int = 4) -> dict:
+    """Boosted trees per class with patience on the validation rows (ML-3, ML-13): frame
+    and models as recorded stages, the rounds of every class as a table. Returns paths."""
+    from pyspark.sql import functions as F
+    from winback.operators import boosting
+    from winback.sources.manifest import RunManifest
+    max_rounds, patience = max_rounds or boosting.MAX_ROUNDS, patience or boosting.PATIENCE
+    paths = run_channel_job(fx, base, "frame")
+    run = RunManifest(fx.spark, base)
+
+    def make(path):
+        frame = fx.spark.read.parquet(paths["frame"])
+        # few rows a partition are many empty tasks a round
+        train, valid = (frame.where(F.col("split") == s).coalesce(
+            max(1, min(frame.rdd.getNumPartitions(), frame.count() // 25_000))) for s in ("train", "valid"))
+        classes = [r.label for r in frame.select("label").distinct().orderBy("label").collect()]
+        fit = boosting.fit_classes(train, valid, classes, max_rounds=max_rounds, patience=patience, max_depth=max_depth)
+        fit.save(path)
+        fit.rounds_table(fx.spark).write.mode("overwrite").parquet(f"{path}/rounds")
+
+    paths["boosted"], _ = run.stage("channel_boosted", {"rounds": max_rounds, "patience": patience, "depth": max_depth},
+                                    (paths["frame"],), make)
+    return paths
+
+
+def run_scoring_job(fx: Fixtures, base: str, params: dict | None = None, out: str | None = None,
+                    batch: int | None = None) -> dict:
+    """ML-14: the end-to-end product scoring job: store the training frame, fit one
+    calibrated model per product, score every customer to the long table by batches of
+    products, pivot, and replace the wide table ``out`` (SNK-2).
+
+    Stages are recorded in a manifest under ``base``: a job that is started again with
+    the same parameters over the same input files goes on behind its last complete
+    stage, batches of products one by one. Returns the paths of the models, the long and
+    the wide table and the product list."""
     from winback.operators import propensity as prop
-    from winback.session import scratch_path
+    from winback.session import ensure_checkpoint_dir
     from winback.sources import io
-    training = fx.propensity_training()
+    from winback.sources.manifest import RunManifest
+    spark = fx.spark
+    ensure_checkpoint_dir(spark)
+    run = RunManifest(spark, base)
+    params, batch = dict(prop.PRODUCT_MODEL if params is None else params), batch or prop.PRODUCTS_PER_BATCH
     products = prop.product_ids(fx.product_types())
-    models = prop.fit_product_models(training, products, params=params)
-    base = prop.save_product_models(models, scratch_path(fx.spark, f"{out_name}_models"))
-    models = prop.load_product_models(base, products)
-    score = training.drop("pdm_prod_type_id").distinct()
-    return io.save_table(prop.score_wide(score, models), out_name)
+    source = run.inputs([f"{fx.sf_dir}/{t}.parquet" for t in ("lineitem", "orders", "part", "customer")])
+
+    def store(df):
+        return lambda path: df().write.mode("overwrite").parquet(path)
+
+    frame, framed = run.stage("frame", {"max_rows": prop.MAX_FIT_ROWS}, (source,),
+                              store(lambda: prop.training_frame(fx.propensity_training())))
+    customers, scored = run.stage("customers", {}, (source,), store(
+        lambda: prop.score_frame(fx.propensity_training().drop("pdm_prod_type_id").distinct())))
+    paths: dict = {"models": [], "long": [], "out": out, "products": products}
+    after = []
+    for i, some in enumerate(prop.batches_of(products, batch)):
+        models, fitted = run.stage(f"models_{i}", [params, some], (framed,), store(
+            lambda: prop.fit_product_models(spark.read.parquet(frame), some, params=params)))
+        long, key = run.stage(f"scores_{i}", some, (scored, fitted), store(
+            lambda: prop.score_batch(spark.read.parquet(customers), spark.read.parquet(models), some)))
+        paths["models"].append(models)
+        paths["long"].append(long)
+        after.append(key)
+    paths["wide"], _ = run.stage("wide", products, tuple(after), lambda path: io.write_table(
+        prop.score_wide(spark.read.parquet(*paths["long"]), products), path))
+    if out:
+        io.write_table(io.read_table(spark, paths["wide"]), out)
+    return paths
 
 
 SCRIPT_TABLES = ["reactivation", "channel_attribution", "customer_attributes",
@@ -142,13 +265,13 @@ def run_script(fx: Fixtures, base: str | None = None, master: DataFrame | None =
     master table defaults to the attributes table. Returns name -> path."""
     from winback.operators.attribution import sorted_for_sink
     from winback.session import scratch_path
-    from winback.sources.io import write_table
+    from winback.sources.io import read_table, write_table
     spark = fx.spark
 
     def put(name: str, df: DataFrame, **kw) -> DataFrame:
         path = f"{base}/{name}" if base else scratch_path(spark, name)
         paths[name] = write_table(df, path, **kw)
-        return spark.read.parquet(path)
+        return read_table(spark, path)
 
     paths: dict[str, str] = {}
     lr = put("reactivation", stage_reactivation(fx))

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from winback.functions import rules
 from winback.operators import attributes as attr
-from winback.operators import metrics, prep, quality, weights
+from winback.operators import boosting, metrics, prep, quality, weights
 from winback.operators import model as mdl
 from winback.operators import propensity as prop
 from winback.operators.exposure import window_join
 from winback.plans import jobs
+from winback.session import shared_path
 from winback.sources import io as sink
 from winback.sources.fixtures import Fixtures
 from winback.sources.tables import limited_scan
@@ -264,40 +265,75 @@ def q_class_report(spark, sf_dir):
 # ---- models -------------------------------------------------------------------------
 
 
-# Product-model size used by the registered queries: the original's 1,000
-# trees at rate 0.01 are a parameter default (prop.PRODUCT_MODEL); the
-# registered run uses 10 trees at rate 0.1 to keep the check short.
-QUERY_PRODUCT_MODEL = {"maxIter": 10, "maxDepth": 5, "stepSize": 0.1,
-                       "subsamplingRate": 0.9, "featureSubsetStrategy": "0.6"}
+def _runs(spark) -> str:
+    """Where the model jobs of the registered queries keep their stages: the queries of
+    one job share them, and a query that was cut off goes on behind the last one."""
+    return shared_path(spark, "model_runs")
 
 
 @query("feature_importance_topk")
 def q_feature_importance_topk(spark, sf_dir):
-    frame, feats = jobs.stage_model_frame(Fixtures(spark, sf_dir))
-    train = frame.where(F.col("split") == "train")
-    m = mdl.fit(train, feats, mdl.forest(max_depth=6))
-    return mdl.feature_importance(m, feats, spark, k=mdl.TOP_FEATURES)
+    return spark.read.parquet(jobs.run_channel_job(Fixtures(spark, sf_dir), _runs(spark), "importance")["importance"])
+
+
+@query("importance_checks")
+def q_importance_checks(spark, sf_dir):
+    t = q_feature_importance_topk(spark, sf_dir)
+    return t.agg(F.count(F.lit(1)).alias("features"), F.count_distinct("feature").alias("names"),
+                 F.max("importance_rank").cast("bigint").alias("last_rank"),
+                 F.count_if((F.col("importance") < 0) | F.col("importance").isNull()).alias("negative"),
+                 F.round(F.sum("importance"), 6).alias("total_importance"))
 
 
 @query("tuning_trials")
 def q_tuning_trials(spark, sf_dir):
-    frame, feats = jobs.stage_model_frame(Fixtures(spark, sf_dir))
-    frame = sink.materialize(frame, "model_frame")
-    train = frame.where(F.col("split") == "train")
-    valid = frame.where(F.col("split") == "valid")
-    return mdl.random_search(train, valid, feats, trials=mdl.TRIALS, num_trees=mdl.N_TREES)
+    return spark.read.parquet(jobs.run_channel_job(Fixtures(spark, sf_dir), _runs(spark), "trials")["trials"])
+
+
+@query("tuning_checks")
+def q_tuning_checks(spark, sf_dir):
+    """What the trials must satisfy: drawn inside the space, the best one better than
+    always naming the largest class of the validation rows."""
+    fx = Fixtures(spark, sf_dir)
+    t = spark.read.parquet(jobs.run_channel_job(fx, _runs(spark), "trials")["trials"])
+    valid = jobs.stage_split(fx).where(F.col("split") == "valid")
+    share = weights.max_class_share(valid, "label")
+    lo_hi = [F.col(c).between(*mdl.SEARCH_SPACE[c]) for c in mdl.SEARCH_SPACE]
+    inside = lo_hi[0] & lo_hi[1] & lo_hi[2] & lo_hi[3]
+    return t.agg(F.count(F.lit(1)).alias("trials"), F.min("n_estimators").cast("bigint").alias("trees"),
+                 F.count_if(inside).alias("inside"), F.count_distinct("colsample_bytree").alias("draws"),
+                 (F.max("val_accuracy") >= F.lit(share)).alias("beats_largest_class"))
+
+
+def _reports(spark, sf_dir):
+    return spark.read.parquet(jobs.run_channel_job(Fixtures(spark, sf_dir), _runs(spark))["reports"])
+
+
+@query("channel_model_final")
+def q_channel_model_final(spark, sf_dir):
+    """The whole training flow: the 30 best features, the best trial's parameters, reports
+    of train and test rows."""
+    return _reports(spark, sf_dir)
 
 
 @query("channel_model_report")
 def q_channel_model_report(spark, sf_dir):
-    """Final fit on train, classification report on test rows."""
-    frame, feats = jobs.stage_model_frame(Fixtures(spark, sf_dir))
-    frame = sink.materialize(frame, "model_frame")
-    train = frame.where(F.col("split") == "train")
-    test = frame.where(F.col("split") == "test")
-    m = mdl.fit(train, feats, mdl.forest(max_depth=8))
-    pred = mdl.predict(m, test).withColumn("prediction", F.col("prediction").cast("int"))
-    return metrics.class_report(pred, "label", "prediction")
+    """The final model's classification report on test rows."""
+    return _reports(spark, sf_dir).where(F.col("split") == "test").drop("split")
+
+
+@query("model_report_checks")
+def q_model_report_checks(spark, sf_dir):
+    """Rows of every class and split in the reports, and whether their ratios are ratios and
+    the split's accuracy is that of the weighted recall."""
+    r = _reports(spark, sf_dir)
+    ok = lambda c: F.coalesce(F.col(c).between(0.0, 1.0), F.lit(True))
+    named = F.max(F.when(F.col("class_name") == "weighted avg", F.col("recall")))
+    acc = r.groupBy("split").agg((F.abs(named - F.max(F.when(F.col("class_name") == "accuracy", F.col("f1")))) < 2e-6)
+                                 .alias("accuracy_agrees"))
+    per = r.where(~F.col("class_name").isin("accuracy", "macro avg", "weighted avg"))
+    return per.join(acc, "split").select("split", F.col("class_name").cast("int").alias("label"), "support",
+                                         (ok("precision") & ok("recall") & ok("f1")).alias("ratios"), "accuracy_agrees")
 
 
 @query("product_targets")
@@ -307,24 +343,34 @@ def q_product_targets(spark, sf_dir):
     return prop.product_targets(t, prop.product_ids(fx.product_types()))
 
 
-def _propensity(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
-    training = fx.propensity_training()
-    products = prop.product_ids(fx.product_types())
-    models = prop.fit_product_models(training, products, params=QUERY_PRODUCT_MODEL)
-    score = training.drop("pdm_prod_type_id").distinct()
-    return prop.score_wide(score, models), products
+def _scored(spark, sf_dir, out=None):
+    return jobs.run_scoring_job(Fixtures(spark, sf_dir), _runs(spark), out=out)
+
+
+@query("propensity_long")
+def q_propensity_long(spark, sf_dir):
+    return spark.read.parquet(*_scored(spark, sf_dir)["long"])
 
 
 @query("propensity_wide")
 def q_propensity_wide(spark, sf_dir):
-    return _propensity(spark, sf_dir)[0]
+    return sink.read_table(spark, _scored(spark, sf_dir)["wide"])
 
 
-@query("propensity_long")
-def q_propensity_long(spark, sf_dir):
-    wide, products = _propensity(spark, sf_dir)
-    return prop.wide_to_long(wide, products)
+@query("propensity_checks")
+def q_propensity_checks(spark, sf_dir):
+    """Per product: customers scored, scores outside of 0..1 or missing, and whether the
+    mean calibrated score is within 0.1 of the product's share of the training rows."""
+    fx = Fixtures(spark, sf_dir)
+    long = q_propensity_long(spark, sf_dir)
+    training = fx.propensity_training()
+    base = training.groupBy("pdm_prod_type_id").agg((F.count(F.lit(1)) / F.lit(training.count())).alias("share"))
+    got = long.groupBy("pdm_prod_type_id").agg(
+        F.count_distinct("customer_id").alias("customers"), F.count(F.lit(1)).alias("scores"),
+        F.count_if(F.col("p").isNull() | ~F.col("p").between(0.0, 1.0)).alias("outside"), F.avg("p").alias("mean"))
+    return got.join(base, "pdm_prod_type_id").select(
+        "pdm_prod_type_id", "customers", "scores", "outside",
+        (F.abs(F.col("mean") - F.col("share")) < 0.1).alias("mean_agrees"))
 
 
 @query("pivot_wide")
@@ -367,8 +413,8 @@ def q_roundtrip_table(spark, sf_dir):
     from winback.operators.attribution import sorted_for_sink
     df = jobs.stage_channel(Fixtures(spark, sf_dir))
     path = sink.scratch_path(spark, _unique("reactive"))
-    sink.write_table(sorted_for_sink(df), path)
-    return spark.read.parquet(path)
+    sink.write_table(df.limit(0), path)             # the table that is replaced
+    return sink.read_table(spark, sink.write_table(sorted_for_sink(df), path))
 
 
 @query("roundtrip_csv")
@@ -381,29 +427,47 @@ def q_roundtrip_csv(spark, sf_dir):
 
 @query("scoring_job")
 def q_scoring_job(spark, sf_dir):
-    """Fit, save, reload, score and write the wide propensity table; the
-    query returns the written table."""
-    path = jobs.run_scoring_job(Fixtures(spark, sf_dir), params=QUERY_PRODUCT_MODEL,
-                                out_name=_unique("prod_type_cluster_data"))
-    return spark.read.parquet(path)
+    """Fit, save, reload, score, pivot and replace the wide output table; the query
+    returns the replaced table."""
+    out = sink.output_path(spark, "prod_type_cluster_data")
+    return sink.read_table(spark, _scored(spark, sf_dir, out)["out"])
+
+
+def _boosted(spark, sf_dir):
+    paths = jobs.run_boosted_job(Fixtures(spark, sf_dir), _runs(spark))
+    return paths, spark.read.parquet(f"{paths['boosted']}/rounds")
+
+
+@query("channel_model_rounds")
+def q_channel_model_rounds(spark, sf_dir):
+    """ML-13: rounds kept, rounds looked at and whether patience ran out, per class."""
+    return _boosted(spark, sf_dir)[1]
 
 
 @query("channel_model_ovr")
 def q_channel_model_ovr(spark, sf_dir):
-    """One-vs-rest boosted trees with early stopping on the validation rows
-    (ML-13), evaluated on test rows; the fitted pipeline is saved and
-    reloaded before scoring (ML-6)."""
-    frame, feats = jobs.stage_model_frame(Fixtures(spark, sf_dir))
-    fit_rows = (frame.where(F.col("split") != "test")
-                .withColumn("is_valid", F.col("split") == "valid"))
-    est = mdl.boosted_one_vs_rest(max_iter=20, max_depth=4, validation_col="is_valid")
-    m = mdl.fit(fit_rows, feats, est)
-    m = mdl.load_model(mdl.save_model(m, sink.scratch_path(spark, _unique("channel_model_ovr"))))
-    test = frame.where(F.col("split") == "test")
-    pred = mdl.predict(m, test).withColumn("prediction", F.col("prediction").cast("int"))
+    """Boosted trees per class, up to 180 rounds with a patience of 10 on the validation
+    rows (ML-13); the saved models are reloaded (ML-6) and evaluated on test rows."""
+    paths, rounds = _boosted(spark, sf_dir)
+    m = boosting.BoostedClasses.load(paths["boosted"], [r.label for r in rounds.select("label").collect()])
+    test = spark.read.parquet(paths["frame"]).where(F.col("split") == "test")
+    pred = m.transform(test).withColumn("prediction", F.col("prediction").cast("int"))
     return metrics.class_report(pred, "label", "prediction")
 
 
+@query("boosted_checks")
+def q_boosted_checks(spark, sf_dir):
+    """Per class: a model with rounds in bounds that patience explains, and the class's
+    test rows in the report."""
+    rounds = _boosted(spark, sf_dir)[1]
+    support = q_channel_model_ovr(spark, sf_dir).select("class_name", "support")
+    kept = F.col("rounds").between(1, boosting.MAX_ROUNDS) & (F.col("looked_at") <= boosting.MAX_ROUNDS)
+    why = (F.col("stopped") & (F.col("looked_at") >= F.col("rounds") + boosting.PATIENCE)) | \
+          (~F.col("stopped") & (F.col("looked_at") == boosting.MAX_ROUNDS))
+    return rounds.join(support, F.col("label").cast("string") == F.col("class_name")).select(
+        "label", "support", kept.alias("in_bounds"), why.alias("explained"))
+
+
 @query("attributes_coverage")
 def q_attributes_coverage(spark, sf_dir):
     """End to end: coverage report of the 161-column attributes table (the

@@ -72,6 +72,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name)
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A path that a later session finds again: under the folder that
+    ``spark.checkpoint.dir`` names (Spark itself uses a new subfolder of it for each
+    session), or in a session without that setting under its checkpoint folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    return os.path.join(base, "tables", name)
+
+
 def cluster_conf(input_bytes: int, total_cores: int,
                  partition_bytes: int = 256 * 1024 ** 2) -> dict:
     """Settings sized for a cluster run over ``input_bytes`` of Parquet.
