@@ -260,6 +260,41 @@ def test_op6_equals_the_library(docs, rows):
     same([tuple(r) for r in bpe.encode_digests(docs).collect()], want)
 
 
+def test_op6_every_character():
+    """Every code point alone, between letters and beside a blank equals the library."""
+    import sys
+
+    from tokenizers import Tokenizer
+    from winback.llm.wordtokens import FOREIGN, WordEncoder, split
+    spec = open(bpe.default_vocabulary(), encoding="utf-8").read()
+    tok, enc = Tokenizer.from_str(spec), WordEncoder(spec)
+    points = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    rare = [c for c in points if ord(c) >= 0x3000][::53]        # scripts without case or marks: a sample
+    for some in (points[:0x3000], rare):
+        texts = [t for c in some for t in (c, f"a{c}b", f"The {c} x{c}")]
+        for t, (ids, text) in zip(texts, enc.encode(texts, decode=True)):
+            want = tok.encode(t, add_special_tokens=False).ids
+            assert ids.tolist() == want, (t, hex(ord(t[0])))
+            assert text == tok.decode(want, skip_special_tokens=False)
+    assert split("Ɓauna don’t GO") == [FOREIGN + "Ɓauna", FOREIGN + "don’t", "go"]
+
+
+def test_op6_mixed_texts():
+    import random
+
+    from tokenizers import Tokenizer
+    from winback.llm.wordtokens import WordEncoder
+    spec = open(bpe.default_vocabulary(), encoding="utf-8").read()
+    tok, enc, r = Tokenizer.from_str(spec), WordEncoder(spec), random.Random(2)
+    chars = "abzEßŋŊƁɗɖƉé\u0301\u0308İıſσΣς日本—’'\"<|> \u00a0\u2003\t\n\u200b12²½😀sdtre"
+    texts = ["".join(r.choice(chars) for _ in range(r.randrange(40))) for _ in range(4000)]
+    texts += ["Ɓauna da Ɗan Kano", "Ŋutinya Ɖe", "it’s <|endoftext|> x<|endoftext|>y", "\u00a0 \u2003 a", "\u0301 a"]
+    for t, (ids, text) in zip(texts, enc.encode(texts, decode=True)):
+        want = tok.encode(t, add_special_tokens=False).ids
+        assert ids.tolist() == want, t
+        assert text == tok.decode(want, skip_special_tokens=False)
+
+
 def test_op6_automaton():
     words = sorted({b"car", b"cars", b"cat", b"cats", b"dog", b"dogs", b"", b"\xff"})
     lex = bpe.Lexicon(bpe.Lexicon.build(words, [[i] for i in range(len(words))]))

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winback.llm.common import bounded_batches, stored
-from winback.llm.wordtokens import WordEncoder, batches, default_vocabulary, kept_encoder, read_json, split
+from winback.llm.wordtokens import FOREIGN, WordEncoder, batches, default_vocabulary, kept_encoder, read_json, split
 from winback.session import scratch_path
 
 SHARE = 2.0 ** -18
@@ -160,9 +160,7 @@ def count_words(docs: DataFrame) -> DataFrame:
         for batch in batch_iter:
             for _, texts in batches(batch.column(0)):
                 for t in texts:
-                    w = split(t)
-                    if w is not None:
-                        seen.update(w)
+                    seen.update(w for w in split(t) if w[0] != FOREIGN)
                 if len(seen) > FLUSH_WORDS:
                     yield out()
                     seen.clear()

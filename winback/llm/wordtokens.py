@@ -1,11 +1,12 @@
 """Per-task encoder shared by BPE and packing: words to token ids, exactly as
 the tokenizers library encodes, with each distinct word resolved once.
 
-A text is lower-cased and split into words by the vocabulary's own rule. Texts
-within Latin letters and plain blanks (where lower-casing, normalisation and the
-letter classes are the same everywhere) take that path; any other text is given
-whole to the library. A word is looked up in the lexicon automaton first; words
-that it lacks are merged exactly by the library, once per task.
+A text is lower-cased and split into words by the vocabulary's own rule, where its
+characters are Latin letters and plain blanks (there lower-casing, normalisation and
+the letter classes are the same everywhere). No word reaches over a blank, so a text
+is cut at blanks where it has other characters, and only the pieces that hold them go
+to the library, each distinct one once per task. A word is looked up in the lexicon
+automaton first; words that it lacks are merged exactly by the library's model.
 """
 
 from __future__ import annotations
@@ -19,9 +20,12 @@ import numpy as np
 LETTERS = "a-zªµºÀ-ÖØ-öø-ɏ"
 NUMBERS = "0-9²³¹¼½¾"
 WORD = re.compile(f"[{LETTERS}]+|[{NUMBERS}]|'(?:s|t|re|ve|m|ll|d)|[^\\t\\n\\x0b\\x0c\\r {LETTERS}{NUMBERS}]+")
-# Anything outside these goes to the library whole: other scripts, control and
-# uncommon blank characters, the dotted capital I, and special token marks.
+# Pieces with anything outside these, in their lower-cased form, go to the library:
+# other scripts (some Latin capitals have small letters there), control and uncommon
+# blank characters, the dotted capital I, and special token marks.
 OTHER = re.compile("[^\t\n\x0b\x0c\r -~¡-įı-ɏ]|<\\|")
+PIECE = re.compile("[^\t\n\x0b\x0c\r ]+")
+FOREIGN = "\0"              # starts the key of a piece for the library; no word holds it
 
 
 def _byte_chars() -> list[str]:
@@ -33,12 +37,23 @@ def _byte_chars() -> list[str]:
 
 
 BYTE_CHARS = _byte_chars()
-CACHE_WORDS = 250_000
+CACHE_WORDS, CACHE_CHARS = 250_000, 16_000_000
 
 
-def split(text: str) -> list[str] | None:
-    """The words of a text, or None if only the library may split it."""
-    return None if OTHER.search(text) else WORD.findall(text.lower())
+def split(text: str) -> list[str]:
+    """The words of a text in order; a piece that only the library may split stands for
+    its words as it is, behind ``FOREIGN``."""
+    low = text.lower()
+    if not OTHER.search(low):
+        return WORD.findall(low)
+    out: list[str] = []
+    for piece in PIECE.findall(text):
+        low = piece.lower()
+        if OTHER.search(low):
+            out.append(FOREIGN + piece)
+        else:
+            out += WORD.findall(low)
+    return out
 
 
 _ENCODER: dict = {}         # in a worker process: the encoder that it used last
@@ -58,10 +73,12 @@ class _Codes(dict):
     def __init__(self):
         super().__init__()
         self.new: list[str] = []
+        self.chars = 0
 
     def __missing__(self, word):
         code = self[word] = len(self)
         self.new.append(word)
+        self.chars += len(word)
         return code
 
 
@@ -89,10 +106,14 @@ class WordEncoder:
         if not new:
             return
         lists: list = [None] * len(new)
+        for i, w in enumerate(new):
+            if w[0] == FOREIGN:
+                lists[i] = self.tok.encode(w[1:], add_special_tokens=False).ids
         if self.lexicon is not None:
-            found = self.lexicon.find([w.encode() for w in new])
-            for i in np.nonzero(found >= 0)[0]:
-                lists[i] = self.lexicon.ids_of(found[i])
+            own = [i for i, x in enumerate(lists) if x is None]
+            found = self.lexicon.find([new[i].encode() for i in own]) if own else np.zeros(0, np.int64)
+            for k in np.nonzero(found >= 0)[0]:
+                lists[own[k]] = self.lexicon.ids_of(found[k])
         rest = [i for i, x in enumerate(lists) if x is None]
         merge = self.tok.model.tokenize
         for i in rest:
@@ -117,23 +138,21 @@ class WordEncoder:
 
     def encode(self, texts: list[str], decode: bool = False):
         """For each text: its ids (uint32), or (ids, decoded text)."""
-        if len(self.codes) > CACHE_WORDS:
+        if len(self.codes) > CACHE_WORDS or self.codes.chars > CACHE_CHARS:
             self._clear()
         per = []
         get = self.codes.__getitem__
         for t in texts:
             w = split(t)
-            per.append(None if w is None else np.fromiter(map(get, w), np.int64, len(w)))
+            per.append(np.fromiter(map(get, w), np.int64, len(w)))
         self._resolve()
-        for t, c in zip(texts, per):
-            if c is None:
-                ids = self.tok.encode(t, add_special_tokens=False).ids
-                text = " ".join([self.strings[i] for i in ids]) if decode else None
-                ids = np.asarray(ids, np.uint32)
-            else:
-                ids = self._gather(c)
-                text = " ".join(map(self.decoded.__getitem__, c.tolist())) if decode else None
-            yield (ids, text) if decode else ids
+        for c in per:
+            ids = self._gather(c)
+            if not decode:
+                yield ids
+                continue
+            said = c[self.lens[c] > 0]          # a piece of uncommon blanks has no ids
+            yield ids, " ".join(map(self.decoded.__getitem__, said.tolist()))
 
 
 def batches(column, max_chars: int = 4_000_000):
