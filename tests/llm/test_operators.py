@@ -395,3 +395,65 @@ def test_empty_tables(spark, empty, sf_dir):
               pii.find_spans, pii.redact, bpe.encode_digests, packing.pack, imatch.edit_pairs, license_scan.scan,
               line_dedup.drop_boilerplate):
         assert f(empty).count() == 0
+
+
+def _links(texts, threshold=75):
+    """Component numbers of texts by all pairs."""
+    sets = []
+    for t in texts:
+        w = W.findall(lower(t or ""))
+        sets.append({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    comp = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and 100 * len(a & sets[j]) >= threshold * len(a | sets[j]):
+                comp = [min(comp[i], comp[j]) if c in (comp[i], comp[j]) else c for c in comp]
+    return comp
+
+
+@pytest.mark.parametrize("owners", [ngram_join.TABLE_OWNERS, 0])
+def test_op2_rows_left_by_table_and_by_join(spark, owners, monkeypatch):
+    import random
+    r = random.Random(8)
+    monkeypatch.setattr(ngram_join._rows_left, "__defaults__", (owners,))
+    base = [[f"w{r.randrange(400)}" for _ in range(40)] for _ in range(30)]
+    texts = []
+    for i in range(300):
+        w = list(r.choice(base))
+        for _ in range(r.randrange(3)):
+            w[r.randrange(len(w))] = f"x{i}"
+        texts.append(" ".join(w))
+    ids = [None if r.random() < 0.3 else r.randrange(200) for _ in texts]
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    comp = _links(texts)
+    names = {c: min((i for i, d in zip(ids, comp) if d == c and i is not None), default=None) for c in comp}
+    got = Counter((x.doc_id, x.component_id) for x in ngram_join.link_components(docs).collect())
+    assert got == Counter((i, names[c]) for i, c in zip(ids, comp))
+    kept = ngram_join.keep_one(docs).collect()
+    at = {}
+    for t, c in zip(texts, comp):
+        at.setdefault(t, c)
+    assert sorted(at[x.text] for x in kept) == sorted(set(comp))
+
+
+def test_op2_null_ids_meet_no_text(spark):
+    """500 rows with null ids: what is sent grows with the rows, not with their square."""
+    docs = spark.createDataFrame([(None, f"one two three four five six seven a{i} b{i} c{i}") for i in range(500)],
+                                 "doc_id long, text string")
+    left = spark.createDataFrame([(ngram_join.class_of(ngram_join.Shingler().of(r.text))[1],) for r in docs.collect()], "owner long")
+    rows = ngram_join._rows_left(docs, left, 5)
+    assert rows.count() == 500
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "doc_id" not in plan.split("MapInArrow")[0]
+
+
+def test_stages_take_columns_of_any_name(spark):
+    text = "word " * 60 + "Some more of the same text with a few other words in it."
+    rows = [(1, text, "a", 1, 5, 7), (2, text, "a", 2, 6, 8), (None, None, None, 3, 7, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, `m.n` int, _keep_own int, row int")
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[0], rows[2]], key=str)
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    assert quality_rules.keep_documents(docs, labels).columns == docs.columns
+    assert quality_rules.keep_documents(docs, labels).collect() is not None

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winback.session import scratch_path
+from winback.sources.io import Files
 
 SPACE = " \t\n\x0b\f\r"           # the bytes 0x20 and 0x09-0x0D
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
@@ -37,7 +38,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = os.path.join(scratch_path(spark, "llm"), f"{name}_{uuid.uuid4().hex[:12]}")
     with freeing(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Delete ``stored`` tables after their last reader has run."""
+    for t in tables:
+        if t is not None:
+            Files(t.sparkSession, t.stored_path).delete()
 
 
 def shuffle_blocks(spark: SparkSession, rows: int, rows_per_block: int) -> int:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winback.llm.common import stored
+from winback.llm.common import release, stored
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, comp) for every node of ``links`` (a, b): comp is the smallest node
-    reachable. Each round takes the smallest label among neighbours and then the
+    reachable, a stored table. Each round takes the smallest label among neighbours and then the
     label's own label, so the rounds grow with the logarithm of path lengths.
     Sums and minima are combined before each shuffle: a node with many links is
     never one task."""
@@ -24,7 +24,8 @@ def components(links: DataFrame) -> DataFrame:
         up = label.select(F.col("node").alias("_new"), F.col("comp").alias("_up"))
         nxt = stored(own.join(up, "_new").select("node", F.least("_new", "_up").alias("comp"),
                                                  (F.least("_new", "_up") != F.col("comp")).alias("_moved")), "labels")
-        moved = nxt.where("_moved").limit(1).count()
-        label = nxt.select("node", "comp")
-        if not moved:
+        release(label)
+        label = nxt
+        if not nxt.where("_moved").limit(1).count():
+            release(both)
             return label

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winback.llm.common import bounded_batches, shuffle_blocks, stored
+from winback.llm.common import bounded_batches, release, shuffle_blocks, stored
 from winback.llm.graph import components
 from winback.llm.wordtokens import batches
 
@@ -47,6 +47,7 @@ FIRST_SHARE = 0.4           # share of a row's columns in the first test
 DOCS_PER_BLOCK = 4_000
 FLUSH_ENTRIES = 400_000
 HUB_ROUNDS = 1
+TABLE_OWNERS = 16_000_000   # rows left that are told by a bit table of at most 64 MB
 CACHE_WORDS = 150_000
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -237,25 +238,50 @@ def _shared_counts(parts: DataFrame) -> DataFrame:
     return parts.groupBy("block").applyInArrow(work, _FOUND)
 
 
-def _rows_left(docs: DataFrame, left: DataFrame, n: int) -> DataFrame:
-    """(owner, n, keys) of the classes in ``left`` (doc_id of one copy, owner)."""
+def _bit_table(left: DataFrame, bits: int) -> np.ndarray:
+    """A table of ``bits`` bits in which each owner, itself a hash, sets one; combined by
+    Spark into pages, so ``bits`` / 8 bytes come back whatever the number of rows."""
+    slot = F.col("owner").bitwiseAND(F.lit(bits - 1)) + 1
+    pages = (left.select(F.bitmap_bucket_number(slot).alias("page"), F.bitmap_bit_position(slot).alias("bit"))
+             .groupBy("page").agg(F.bitmap_construct_agg("bit").alias("map")).toArrow())
+    table = np.zeros((bits // 32_768, 4_096), np.uint8)
+    for page, m in zip(pages["page"].to_pylist(), pages["map"].to_pylist()):
+        table[page - 1] = np.frombuffer(m, np.uint8)
+    return table.reshape(-1)
+
+
+def _rows_left(docs: DataFrame, left: DataFrame, n: int, table_owners: int = TABLE_OWNERS) -> DataFrame:
+    """(owner, n, keys) of the classes in ``left`` (owner). Texts are shingled again where
+    they lie: a class is told by its own hash, so no text and no id is shuffled. Rows that
+    hit the bit table (one in 16 of the others does, too) are sent, a class once per task
+    as far as the task remembers, and met with ``left``; beyond ``table_owners`` classes
+    all rows are sent."""
+    spark, count = docs.sparkSession, left.count()
+    bits = 1 << max(15, (16 * count - 1).bit_length())
+    table = spark.sparkContext.broadcast(_bit_table(left, bits)) if count <= table_owners else None
+
     def work(batch_iter):
-        shingler = Shingler(n)
+        shingler, mask, known = Shingler(n), bits - 1, set()
         for batch in batch_iter:
-            for first, texts in batches(batch.column(1)):
-                owners = batch.column(0).slice(first, len(texts)).to_pylist()
-                rows = [shingler.of(t) for t in texts]
-                ok = [class_of(r)[1] == o for r, o in zip(rows, owners)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([o for o, k in zip(owners, ok) if k], pa.int64()),
-                     pa.array([len(r) for r, k in zip(rows, ok) if k], pa.int32()),
-                     pa.array([r.tobytes() for r, k in zip(rows, ok) if k], pa.binary())],
-                    ["owner", "n", "keys"])
-
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_id")
-    d = docs.select(key, F.col("text").cast("string")).join(left.select(key, "owner"), "_id")
-    return (d.select("owner", "text").mapInArrow(work, "owner long, n int, keys binary")
-            .dropDuplicates(["owner"]))
+            for _, texts in batches(batch.column(0)):
+                owners, sizes, keys = [], [], []
+                for t in texts:
+                    row = shingler.of(t)
+                    if not len(row):
+                        continue
+                    o = class_of(row)[1]
+                    if o in known or table is not None and not table.value[(o & mask) >> 3] >> (o & 7) & 1:
+                        continue
+                    if len(known) < 100_000:
+                        known.add(o)
+                    owners.append(o)
+                    sizes.append(len(row))
+                    keys.append(row.tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(owners, pa.int64()), pa.array(sizes, pa.int32()),
+                                                  pa.array(keys, pa.binary())], ["owner", "n", "keys"])
+
+    rows = docs.select(F.col("text").cast("string")).mapInArrow(work, "owner long, n int, keys binary")
+    return rows.join(left.select("owner"), "owner", "left_semi").dropDuplicates(["owner"])
 
 
 def _entries(key, owner, n, met, place) -> pa.Table:
@@ -369,8 +395,10 @@ def _linked(pairs: DataFrame, rows: DataFrame, threshold: int) -> DataFrame:
 
 
 def _class_components(rows: DataFrame, postings: DataFrame, threshold: int) -> DataFrame | None:
-    """(node, comp) of linked classes; None if there is no link."""
+    """(node, comp) of linked classes, stored; None if there is no link. Releases
+    ``postings`` and what it stores itself."""
     links = comp = None
+    news, kept = [], postings
     entry = ("key", "owner", "n", "met", "place")
     alone = F.floor(64 * (F.col("n") - F.col("met")) / F.col("n"))
     for turn in range(HUB_ROUNDS + 1):
@@ -386,7 +414,8 @@ def _class_components(rows: DataFrame, postings: DataFrame, threshold: int) -> D
         open_keys = (here.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"),
                                              F.min(hub).alias("_hub")).where("_lo < _hi"))
         here = stored(here.join(open_keys.select("key", "_hub"), "key"), "open")
-        postings = here.select(*entry)
+        release(kept)
+        kept, postings = here, here.select(*entry)
         if turn < HUB_ROUNDS:
             h = F.col("_hub")
             pairs = (here.where((h["comp"] != F.col("comp"))
@@ -404,11 +433,14 @@ def _class_components(rows: DataFrame, postings: DataFrame, threshold: int) -> D
                             & _reach(most, F.col("a.n"), F.col("b.n"), threshold))
                      .select(F.col("a.owner").alias("a"), F.col("b.owner").alias("b")).distinct())
         new = stored(_linked(pairs, rows, threshold), "linked")
+        news.append(new)
         links = new if links is None else links.union(new)
         if new.limit(1).count():
-            comp = components(links)
+            before, comp = comp, components(links)
+            release(before)
         if not postings.limit(1).count():
             break
+    release(kept, *news)
     return comp
 
 
@@ -426,19 +458,24 @@ def _members(docs: DataFrame, n: int, threshold: int) -> DataFrame:
     tested = F.least(F.col("n"), F.floor(FIRST_SHARE * F.col("n")).cast("int") + 1)
     allowed = F.col("n") - F.ceil(threshold * F.col("n") / 100.0)
     left = stored(classes.where("n > 0").join(shared, "owner")
-                  .where(tested - F.col("shared") <= allowed).select("doc_id", "owner"), "left")
+                  .where(tested - F.col("shared") <= allowed).select("owner"), "left")
     rows = stored(_rows_left(docs, left, n), "rows")
+    release(left)
     comp = _class_components(rows, stored(_postings(rows, blocks, threshold), "postings"), threshold)
+    release(rows)
     if comp is not None:
-        named = (classes.join(comp.withColumnRenamed("node", "owner"), "owner", "left")
+        named = (classes.join(comp.withColumnRenamed("node", "owner").select("owner", "comp"), "owner", "left")
                  .withColumn("comp", F.coalesce("comp", "owner")))
         names = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-        classes = named.join(names, "comp").select("cls", "comp", "component_id")
+        named = named.join(names, "comp").select("cls", "comp", "component_id")
     else:
-        classes = classes.select("cls", F.col("owner").alias("comp"), F.col("doc_id").alias("component_id"))
-    return (figures.where("n > 0").join(classes, "cls")
-            .select("doc_id", "text_hash", "n", "component_id", "comp")
-            .union(figures.where("n = 0").select("doc_id", "text_hash", "n", "doc_id", F.lit(None).cast("long"))))
+        named = classes.select("cls", F.col("owner").alias("comp"), F.col("doc_id").alias("component_id"))
+    members = stored(figures.where("n > 0").join(named, "cls")
+                     .select("doc_id", "text_hash", "n", "component_id", "comp")
+                     .union(figures.where("n = 0").select("doc_id", "text_hash", "n", "doc_id", F.lit(None).cast("long"))),
+                     "members")
+    release(first, classes, comp)
+    return members
 
 
 def link_components(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) -> DataFrame:
@@ -450,19 +487,23 @@ def link_components(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) ->
 def keep_one(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) -> DataFrame:
     """``docs`` with one row of each group: of smallest id, null ids last; of rows
     that share this id the one of smallest text hash; of rows that repeat id and
-    text any one. Blank texts are in no group and all stay."""
-    members = stored(_members(docs, n, threshold).where("comp is not null")
-                     .groupBy("comp", "doc_id", "text_hash").agg(F.count("*").alias("rows")), "members")
+    text any one. Blank texts are in no group and all stay. Further columns may have
+    any name."""
+    every = _members(docs, n, threshold)
+    members = stored(every.where("comp is not null")
+                     .groupBy("comp", "doc_id", "text_hash").agg(F.count("*").alias("rows")), "copies")
+    release(every)
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     # stored: a join of two plain shuffles, in which a large group is split
     best = stored(members.groupBy("comp").agg(F.min(rank).alias("best")), "best")
     marked = (members.join(best, "comp").withColumn("gone", ~rank.eqNullSafe(F.col("best")))
               .where("gone or rows > 1")
-              .select(F.col("doc_id").alias("_keep_id"), F.col("text_hash").alias("_keep_hash"), "gone"))
-    marked = stored(marked, "copies")
-    keyed = docs.withColumn("_keep_own", _text_hash(docs))
-    own = (F.col("doc_id").cast("long").eqNullSafe(F.col("_keep_id"))) & (F.col("_keep_own") == F.col("_keep_hash"))
-    once = keyed.join(marked, own, "left_anti").select(*docs.columns)
-    repeated = (keyed.join(marked.where("not gone"), own, "left_semi")
-                .dropDuplicates(["doc_id", "_keep_own"]).select(*docs.columns))
-    return once.union(repeated)
+              .select(F.col("doc_id").alias("keep_id"), F.col("text_hash").alias("keep_hash"), "gone"))
+    marked = stored(marked, "marked")
+    release(members, best)
+    quoted = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+    whole = docs.select(F.struct(*quoted).alias("row"), F.col("doc_id").cast("long").alias("id"), _text_hash(docs).alias("own"))
+    own = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("own") == F.col("keep_hash"))
+    once = whole.join(marked, own, "left_anti")
+    repeated = whole.join(marked.where("not gone"), own, "left_semi").dropDuplicates(["id", "own"])
+    return once.union(repeated).select(*[F.col("row")[c].alias(c) for c in docs.columns])
