@@ -40,14 +40,14 @@ SELECT * FROM o_attrs WHERE customer_id IN (SELECT customer_id FROM o_link)""",
 
 def _attributes_coverage() -> str:
     from oracle.sql import DERIVED
-    from winback.operators.attributes import FEATURE_COLUMNS
+    from oracle.features import FEATURES
     base = ["customer_id", "transaction_guid", "transaction_booked_date", "src_atg_ecom_order_id",
             "coupon_flag", "same_day_delivery_line_indicator", "ecom_order_source_code",
             "previous_buy", "time_interval", "month_interval", "previous_trans_id",
             "pre_coupon_flag", "pre_src_order", "pre_ecom_order_id", "FISCAL_PERIOD_ID",
             "PRE_FISCAL_PERIOD_ID", "last_touch_channel", "DM_Flag", "address_id",
             "reactivation_channel"]
-    cols = base + list(DERIVED) + [o for (o, _, _) in FEATURE_COLUMNS]
+    cols = base + list(DERIVED) + [o for (o, _, _) in FEATURES]
     parts = " UNION ALL\n".join(
         f"SELECT '{c}' AS column_name, CAST(count(*) - count({c}) AS BIGINT) AS null_count, "
         f"count(*) AS row_count FROM o_attrs" for c in cols)

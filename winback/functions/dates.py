@@ -45,12 +45,6 @@ def trailing_window(d, as_of: str, months: int = 24) -> Column:
     return _c(d).between(F.add_months(end, -months), end)
 
 
-def fiscal_period(d) -> Column:
-    """year*100 + month period key."""
-    d = _c(d)
-    return F.year(d) * 100 + F.month(d)
-
-
 def year_of(x) -> Column:
     """EXTRACT(YEAR FROM CAST(x AS DATE))."""
     return F.year(F.to_date(_c(x)))

@@ -5,9 +5,9 @@ JOIN-8, JOIN-9, JOIN-10, JOIN-11, AGG-2, AGG-3, PRJ-2, CLS-3..CLS-7, FN-6, FN-9.
 
 Join order is chosen so joins on the same key are adjacent: the left side is
 shuffled once per key set (customer; customer+address; address+previous
-period; address+current period) and each right side once. Snapshot tables are
-expected unique on (address, period); a grouped snapshot lets Catalyst drop a
-lookup whose columns are not selected.
+period; address+current period). The snapshots of one period role are brought
+together by (address, period), one shuffle for all of them, which also checks that
+the key is unique in each.
 """
 
 from __future__ import annotations
@@ -215,35 +215,52 @@ def with_demographics(base: DataFrame, cdg_info: DataFrame, demo: DataFrame,
                     rules.default_unknown("INC_ESTMT_HHLD_DESC").alias("INCOME"))
 
 
+def snapshots_by_key(snapshots: Mapping[str, DataFrame], needed: Mapping[str, list[str]]) -> DataFrame:
+    """(s_addr, s_period, one struct per snapshot): all snapshots side by side by (address,
+    period). Their rows are shuffled once on the key, whatever their number; a snapshot
+    with two rows for a key, which would multiply attribute rows, raises."""
+    parts = []
+    for alias in sorted(snapshots):
+        t = snapshots[alias]
+        kept = [F.col(f"`{s}`") for s in needed[alias]] or [F.lit(1).alias("_any")]
+        parts.append(t.where(F.col("address_guid").isNotNull()).select(
+            F.col("address_guid").alias("s_addr"), F.col("fiscal_period_id").alias("s_period"),
+            F.struct(*kept).alias(f"s_{alias}")))
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p, allowMissingColumns=True)
+    one = every.groupBy("s_addr", "s_period").agg(
+        *[F.first(f"s_{a}", ignorenulls=True).alias(f"s_{a}") for a in sorted(snapshots)],
+        F.greatest(*[F.count(f"s_{a}") for a in sorted(snapshots)], F.lit(0)).alias("most"))
+    repeated = F.raise_error(F.format_string("snapshot rows repeat for address %s, period %s",
+                                             F.col("s_addr").cast("string"), F.col("s_period").cast("string")))
+    # the check rides on the values: the key stays as it was shuffled
+    return one.select("s_addr", "s_period", *[F.when(F.col("most") > 1, repeated).otherwise(F.col(f"s_{a}")).alias(f"s_{a}")
+                                              for a in sorted(snapshots)])
+
+
 def with_snapshots(base: DataFrame, snapshots: Mapping[str, DataFrame],
                    columns=FEATURE_COLUMNS, period_role=PERIOD_ROLE,
                    keep=None) -> DataFrame:
-    """JOIN-8 + PRJ-2: point-in-time lookups of snapshot tables by
-    (address, period role), then one flat projection of the renamed columns.
-
-    Lookups with the same period role are adjacent, so the left side is
-    shuffled once per role. ``keep`` lists extra left columns to carry.
+    """JOIN-8 + PRJ-2: point-in-time lookups of snapshot tables by (address, period role),
+    then one flat projection of the renamed columns. The snapshots of one role are brought
+    together first, so there is one join per role and not per snapshot. ``keep`` lists
+    extra left columns to carry.
 
-    Purged customers have no address: a third key, the address' hash or for
-    them the row's, spreads the rows that share the NULL key."""
-    whole = [c for c in base.columns if c != "address_id"]
-    out = base.withColumn("_spread", F.when(F.col("address_id").isNull(), F.xxhash64(*whole))
-                          .otherwise(F.xxhash64(F.col("address_id"))))
+    Purged customers have no address: they get a key of their own from the row's hash,
+    which spreads them, and the join's condition on the address itself never matches them."""
     kind = base.schema["address_id"].dataType
-    order = sorted(snapshots, key=lambda a: (period_role[a] != "PRE_FISCAL_PERIOD_ID", a))
-    for alias in order:
-        need = [s for (_, a, s) in columns if a == alias]
-        t = snapshots[alias]
-        right = t.select(F.col("address_guid").alias(f"{alias}__addr"),
-                         F.col("fiscal_period_id").alias(f"{alias}__period"),
-                         F.xxhash64(F.col("address_guid").cast(kind)).alias(f"{alias}__spread"),
-                       *[F.col(s).alias(f"{alias}__{s}") for s in dict.fromkeys(need)])
-        cond = ((out.address_id == right[f"{alias}__addr"]) &
-                (out["_spread"] == right[f"{alias}__spread"]) &
-                (out[period_role[alias]] == right[f"{alias}__period"]))
-        out = out.join(right, cond, "left")
+    whole = [c for c in base.columns if c != "address_id"]
+    out = base.withColumn("_addr", F.coalesce("address_id", F.xxhash64(*whole).cast(kind)))
+    for role in sorted({period_role[a] for a in snapshots}, reverse=True):
+        of = {a: t for a, t in snapshots.items() if period_role[a] == role}
+        right = snapshots_by_key(of, {a: list(dict.fromkeys(s for (_, x, s) in columns if x == a)) for a in of})
+        right = right.withColumnsRenamed({"s_addr": f"s_addr_{role}", "s_period": f"s_period_{role}"})
+        right = right.withColumn(f"s_addr_{role}", F.col(f"s_addr_{role}").cast(kind))
+        out = out.join(right, (out["_addr"] == right[f"s_addr_{role}"]) & (out[role] == right[f"s_period_{role}"]) &
+                       out["address_id"].isNotNull(), "left")
     keep_cols = list(base.columns) if keep is None else keep
-    return out.select(*keep_cols, *[F.col(f"{a}__{s}").alias(o) for (o, a, s) in columns])
+    return out.select(*keep_cols, *[F.col(f"s_{a}.{s}").alias(o) for (o, a, s) in columns])
 
 
 def customer_attributes(reactive: DataFrame, *, cdg_info: DataFrame, demo: DataFrame,

@@ -55,15 +55,13 @@ def with_last_touch(lr: DataFrame, *, web_touch: DataFrame | None = None,
                     (lr.transaction_booked_date == b.b_date) &
                     (lr.src_atg_ecom_order_id == b.b_ecom), "left")
         return j.drop("b_guid", "b_date", "b_ecom")
-    # Store purchases have no order id, a third of all rows under one NULL key:
-    # a second key, that follows from the order id where there is one, spreads them.
+    # Store purchases have no order id, a third of all rows under one NULL key: they get a
+    # key of their own from the row, and the condition on the id itself never matches them.
     kind = lr.schema["src_atg_ecom_order_id"].dataType
-    w = web_touch.select(F.col("orders").alias("b_order"), "last_touch_channel").where("b_order IS NOT NULL")
-    w = w.withColumn("b_spread", F.xxhash64(F.col("b_order").cast(kind)))
-    a = lr.withColumn("_spread", F.when(F.col("src_atg_ecom_order_id").isNull(), F.xxhash64("transaction_guid"))
-                      .otherwise(F.xxhash64("src_atg_ecom_order_id")))
-    return (a.join(w, (a.src_atg_ecom_order_id == w.b_order) & (a["_spread"] == w.b_spread), "left")
-            .drop("b_order", "b_spread", "_spread"))
+    w = web_touch.select(F.col("orders").cast(kind).alias("b_order"), "last_touch_channel").where("b_order IS NOT NULL")
+    a = lr.withColumn("_key", F.coalesce("src_atg_ecom_order_id", F.xxhash64("transaction_guid").cast(kind)))
+    return (a.join(w, (a["_key"] == w.b_order) & a.src_atg_ecom_order_id.isNotNull(), "left")
+            .drop("b_order", "_key"))
 
 
 def channel_attribution(lr: DataFrame, exposures: DataFrame, time_dim: DataFrame,

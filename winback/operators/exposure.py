@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from winback.functions.dates import trailing_window
+from winback.operators.skew import skewed_join
+from winback.sources.tables import projected_scan
 
 DIRECT_MAIL_PATTERN = "%MAIN EVENT%DIRECT MAIL%"
 
@@ -17,11 +19,10 @@ def direct_mail_events(coupon_event: DataFrame, as_of: str, concept_format_id: i
                        pattern: str = DIRECT_MAIL_PATTERN, window_months: int = 24) -> DataFrame:
     """DM_step1: coupon events of one concept whose upper-cased description
     matches ``pattern`` and whose in-home date lies in the trailing window."""
-    return (coupon_event
-            .where((F.col("CONCEPT_FORMAT_ID") == concept_format_id) &
-                   F.upper("COUPON_EVENT_KEY_DESC").like(pattern) &
-                   trailing_window("IN_HOME_DT", as_of, window_months))
-            .select("Coupon_barcode_id", "IN_HOME_DT"))
+    return projected_scan(coupon_event, ["Coupon_barcode_id", "IN_HOME_DT"],
+                          (F.col("CONCEPT_FORMAT_ID") == concept_format_id) &
+                          F.upper("COUPON_EVENT_KEY_DESC").like(pattern) &
+                          trailing_window("IN_HOME_DT", as_of, window_months))
 
 
 def campaign_exposures(campaign_hist: DataFrame, dm_events: DataFrame,
@@ -36,13 +37,12 @@ def campaign_exposures(campaign_hist: DataFrame, dm_events: DataFrame,
                              F.col("DLVRY_STATUS_CD").isNotNull() &
                              (F.col("COUPON_BARCODE_ID1") > 0))
          .select("COUPON_BARCODE_ID1", "COUPON_BARCODE1", "CUST_HHLD_ADDR_SKID"))
-    # Coupon events are a campaign catalogue: Spark broadcasts it while it is
-    # small, and beyond that splits a barcode mailed to millions (AQE skew join).
+    # A barcode mailed to millions: its pieces are counted and spread.
     b = dm_events.where(F.col("Coupon_barcode_id") > 0)
     c = (cust_skid.select("CUST_HHLD_ADDR_SKID", "CURRENT_ADDRESS_ID", "CURRENT_CUSTOMER_ID")
          .distinct().where(F.col("CURRENT_CUSTOMER_ID") > 0)
          .withColumnRenamed("CUST_HHLD_ADDR_SKID", "c_skid"))
-    j = (a.join(b, a.COUPON_BARCODE_ID1 == b.Coupon_barcode_id)
+    j = (skewed_join(a, b, "COUPON_BARCODE_ID1", "Coupon_barcode_id")
          .join(c, F.col("CUST_HHLD_ADDR_SKID") == c.c_skid))
     return j.select("COUPON_BARCODE_ID1", "COUPON_BARCODE1",
                     F.col("CURRENT_CUSTOMER_ID").alias("customer_id"), "IN_HOME_DT")

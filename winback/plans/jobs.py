@@ -76,7 +76,7 @@ def stage_prepared(fx: Fixtures) -> DataFrame:
     w = prep.impute(w)
     w = prep.with_buying_channel(w)
     w = prep.with_clean_gender(w)
-    w = w.drop("pre_src_order", "pre_coupon_flag")
+    w = quality.drop_columns(w, "pre_src_order", "pre_coupon_flag", strict=True)
     return prep.one_hot(w)
 
 

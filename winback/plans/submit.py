@@ -6,8 +6,9 @@ The session comes from the cluster (master, executors and the shared
 ``spark.checkpoint.dir`` are the cluster's); SQL settings from
 ``session.cluster_conf`` are applied, sized from the input volume, unless the
 cluster already set them (static ones, such as checkpoint cleaning, go on the
-``spark-submit --conf`` line). The result is written as Parquet with overwrite, so
-a re-run replaces the table instead of appending.
+``spark-submit --conf`` line). The result replaces the table under the output path
+(``io.write_table``): a new version and one swap, read with ``io.read_table``; a failing
+run leaves the old table.
 """
 
 from __future__ import annotations

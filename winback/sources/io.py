@@ -126,15 +126,6 @@ def output_path(spark: SparkSession, name: str) -> str:
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}"
 
 
-def save_table(df: DataFrame, name: str, **kw) -> str:
-    """SNK-2: replace the named table under the shared folder."""
-    return write_table(df, scratch_path(df.sparkSession, name), **kw)
-
-
-def read_saved(spark: SparkSession, name: str) -> DataFrame:
-    return read_table(spark, scratch_path(spark, name))
-
-
 def replace_catalog_table(df: DataFrame, name: str, path: str, partition_by: list[str] | None = None) -> str:
     """SNK-1 through the session's catalog: ``name`` becomes an external table over a new
     version under ``path``. With an unchanged schema its location is moved by one catalog

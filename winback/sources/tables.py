@@ -7,10 +7,6 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-          "events", "documents", "embeddings", "pages", "benchmark", "labels",
-          "conversations")
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Full table scan (SRC-1). Column pruning and filters applied later are
@@ -18,23 +14,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Register every source table as a temp view so SQL text can read it."""
-    for n in names:
-        path = os.path.join(sf_dir, f"{n}.parquet")
-        if os.path.exists(path):
-            read_table(spark, sf_dir, n).createOrReplaceTempView(n)
-
-
 def read_query(spark: SparkSession, query: str) -> DataFrame:
     """Any SQL query as a frame (SRC-2)."""
     return spark.sql(query)
 
 
 def projected_scan(df: DataFrame, columns, condition=None) -> DataFrame:
-    """Projection with a pre-filter (SRC-3); both reach the scan."""
-    out = df.select(*columns)
-    return out.where(condition) if condition is not None else out
+    """Projection with a pre-filter over any of the table's columns (SRC-3); both reach
+    the scan."""
+    out = df.where(condition) if condition is not None else df
+    return out.select(*columns)
 
 
 def limited_scan(df: DataFrame, n: int, order_by) -> DataFrame:
