@@ -43,7 +43,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winback.llm.common import bounded_batches, shuffle_blocks, stored
+from winback.llm.common import bounded_batches, release, shuffle_blocks, stored
 from winback.llm.wordtokens import batches
 
 ORDER = 5
@@ -54,11 +54,11 @@ FOLDS, HELD_OUT = 5, 1
 BITS = 9                    # a symbol: byte, END or PAD
 END, PAD = 256, 257
 SYMBOLS = 257               # bytes and END can be predicted
-FLUSH_GRAMS = 1_500_000
+FLUSH_GRAMS = 800_000
 FLUSH_WORDS = 400_000
 RUN_BYTES = 1_000_000       # texts handled together
-CHUNK_BYTES = 64_000_000    # texts that ask for their grams together
-DOCS_PER_BLOCK = 4_000
+CHUNK_BYTES = 32_000_000    # texts that ask for their grams together
+DOCS_PER_BLOCK = 1_000
 
 
 def held_out(doc_id) -> bool:
@@ -221,6 +221,7 @@ def _counts(parts: DataFrame, order: int, blocks: int) -> DataFrame:
     split = min(order, SPLIT)
 
     def total(table: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()       # of the group before
         k, c = _summed(_joined(table["keys"], np.uint64), _joined(table["counts"], np.int64))
         got = [(b, k[i].tobytes(), c[i].tobytes())
                for b, i in _by_block((k >> np.uint64(BITS)) & _low(split), blocks)]
@@ -256,6 +257,7 @@ def _prices(counts: DataFrame, low, order: int, blocks: int, share: float) -> Da
     split = min(order, SPLIT)
 
     def price(table: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         k, c = _joined(table["keys"], np.uint64), _joined(table["counts"], np.int64)
         keys, ns = map(list, low.value)
         for i in range(split, order + 1):
@@ -274,9 +276,11 @@ def _prices(counts: DataFrame, low, order: int, blocks: int, share: float) -> Da
 def _answers(parts: DataFrame, prices: DataFrame) -> DataFrame:
     """(chunk, keys, logs): every chunk's grams with their log probabilities."""
     def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         k, v = _joined(known["keys"], np.uint64), _joined(known["logs"], np.float64)
         by = np.argsort(k)
         k, v = k[by], v[by]
+        del known, by
         logs = [v[np.searchsorted(k, np.frombuffer(x.as_py(), np.uint64))].tobytes() for x in asked["keys"]]
         return pa.table({"chunk": asked["chunk"], "keys": asked["keys"], "logs": pa.array(logs, pa.binary())})
 
@@ -360,7 +364,9 @@ class Known:
 
     def __init__(self, keys: np.ndarray, logs: np.ndarray):
         by = np.argsort(keys)
-        self.keys, self.logs = keys[by], logs[by]
+        self.logs = logs[by]
+        del logs
+        self.keys = keys[by]
 
     def log10(self, g: np.ndarray) -> np.ndarray:
         return self.logs[np.searchsorted(self.keys, g)]
@@ -431,12 +437,17 @@ def score(docs: DataFrame, order: int = ORDER, share: float = SHARE) -> DataFram
     counts = stored(_counts(parts, order, blocks), "ppm_counts")
     low = spark.sparkContext.broadcast(_lower_orders(counts, order))
     prices = stored(_prices(counts, low, order, blocks, share), "ppm_prices")
+    release(counts)
     answers = stored(_answers(parts, prices), "ppm_answers")
+    release(prices)
     key = uuid.uuid4().hex
 
     def work(runs: pa.Table, known: pa.Table) -> pa.Table:
         cache, logs = _loaded(key, head)
+        cache.trie = None                               # the chunk before
+        pa.default_memory_pool().release_unused()
         cache.trie = Known(_joined(known["keys"], np.uint64), _joined(known["logs"], np.float64))
+        del known
         ends = head.value[b""]
         unpacker, out = zstandard.ZstdDecompressor(), []
         for ids, sizes, packed in zip(runs["doc_ids"], runs["sizes"], runs["texts"]):
@@ -476,6 +487,7 @@ def score(docs: DataFrame, order: int = ORDER, share: float = SHARE) -> DataFram
             work, f"doc_id {kind}, held_out boolean, n_bytes long, n_tokens long, known long, base double, "
                   "score double, rare array<binary>, rare_n array<long>")
         .withColumn("_row", F.monotonically_increasing_id()), "ppm_scores")
+    release(parts, answers)
     # rare words: found through a join with the counted words
     rare = (scored.select("_row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x"))
             .select("_row", F.col("x.rare").alias("word"), F.col("x.rare_n").alias("k")))
