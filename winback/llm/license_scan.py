@@ -1,27 +1,28 @@
 """Operator 9, license scans: conditional compression against license templates.
 
-Every trigger word of a text is a candidate place. For each template the words
-around it, across line ends and about one and a half template lengths to either
-side, are compared with the template word by word: it is confirmed if the words of
-it that are missing there, or stand in another order (all but the longest common
-subsequence, computed exactly), are at most ``MAX_DIFFERENCES`` of its words. All
-templates are compared at all places. The stretch of text that a confirmed template
-covers is compressed alone and with the template as a zstandard raw dictionary; the
-bytes saved are given as a share of the template's own compressed size. Where
-templates of nearly the same words cover the same stretch, the one with the fewest
-differences, then the highest saving, is reported; notices elsewhere are reported
-too. The scan is one narrow pass; the trigger test runs before any row reaches Python.
+A template's trigger words are so many of its words that no wording near enough to it
+lacks them all; the words about one and a half template lengths to either side of a
+trigger word, across line ends, are a candidate block. Each block is compressed alone
+and with each template as a zstandard raw dictionary. The bytes saved, as a share of the
+template's own compressed size, rank the (block, template) pairs; pairs under
+``MIN_SAVING`` are given up, which loses no notice (a test confirms every block with
+every template and compares). The others are confirmed in rank order by their exact
+wording: the template's words that are missing there or stand in another order (all but
+the longest common subsequence) are at most ``MAX_DIFFERENCES`` of its words, its words
+with digits (versions) are all there, and no negation stands before. Where confirmed
+templates cover the same stretch, the one with the fewest missing and added words, then
+the highest saving, is reported; notices elsewhere are reported too. The scan is one
+narrow pass; the trigger test runs before any row reaches Python.
 
 Defined results. Null text counts as empty: no candidates, no license. Every row
 of the input gives one row, null ids and repeated rows included; an empty table
-an empty result. Equal savings are ranked by template name. Other
-columns are ignored.
+an empty result. Equal savings are ranked by template name. Other columns are ignored.
+Texts are scanned whole, however long; the cost grows with their trigger words.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,11 +30,17 @@ from pyspark.sql import functions as F
 
 from winback.llm.common import text_of
 
-# Customary notices of common licenses.
+# Customary notices of common licenses, and how they are named.
+_GPL = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} "
+        "as published by the Free Software Foundation, {}")
+_LATER = "either version {} of the License, or (at your option) any later version."
 TEMPLATES = {
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.",
-                   "you may not use this file except in compliance with the License. You may obtain a copy of the License at"],
-    "BSD-3-Clause": ["Released under the BSD 3-Clause License.",
+    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
+    "AGPL-3.0-or-later": [_GPL.format("Affero General Public License", _LATER.format(3))],
+    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "Apache License Version 2.0, January 2004",
+                   "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"],
+    "BSD-2-Clause": ["Released under the BSD 2-Clause License.", "Licensed under the BSD 2-Clause License."],
+    "BSD-3-Clause": ["Released under the BSD 3-Clause License.", "Licensed under the BSD 3-Clause License.",
                      "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.",
                   "This work is licensed under a Creative Commons Attribution 4.0 International License."],
@@ -41,14 +48,30 @@ TEMPLATES = {
                      "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.",
                      "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
+    "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+                "Licensed under CC0 1.0 Universal."],
     "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2."],
+    "GPL-2.0-or-later": [_GPL.format("General Public License", _LATER.format(2)),
+                         "This work is licensed under the GNU General Public License, version 2 or (at your option) any later version."],
     "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.",
                 "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"],
-    "MIT": ["Released under the MIT License.",
+    "GPL-3.0-or-later": [_GPL.format("General Public License", _LATER.format(3)),
+                         "This work is licensed under the GNU General Public License, version 3 or (at your option) any later version."],
+    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
+    "LGPL-2.1": ["This work is licensed under the GNU Lesser General Public License, version 2.1."],
+    "LGPL-2.1-or-later": [_GPL.format("Lesser General Public License", _LATER.format("2.1"))],
+    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
+    "LGPL-3.0-or-later": [_GPL.format("Lesser General Public License", _LATER.format(3))],
+    "MIT": ["Released under the MIT License.", "Licensed under the MIT License.",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+    "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
-TRIGGER = r"(?i)licen[sc]|copyright|redistribut|hereby\W+granted|free\W+software"
+for _name in TEMPLATES:
+    TEMPLATES[_name].append(f"SPDX-License-Identifier: {_name}")
+NEGATIONS = [["not"], ["never"], ["isn", "t"]]      # words right before a notice that deny it
+LEVEL = 12                  # lower levels miss matches with dictionaries this short
+MIN_SAVING = 0.2            # bytes saved by a template, as a share of its own compressed size
 MAX_DIFFERENCES = 0.1
 _WORD = re.compile(r"\w+(?:[.-]\w+)*")
 
@@ -63,18 +86,21 @@ class Template:
     def __init__(self, name: str, text: str, alone):
         import zstandard as z
         self.name, self.words = name, wording(text)
-        n = self.length = len(self.words)
+        n = self.length = max(1, len(self.words))
         self.allowed = int(MAX_DIFFERENCES * n + 1e-9)
         self.distinct = set(self.words)
         self.reach = n + n // 2 + 4
+        self.numbers = {w for w in self.words if any(c.isdigit() for c in w)}
+        # one more than may be missing: the longest words, which are the rarest
+        self.triggers = sorted(self.distinct, key=lambda w: (-len(w), w))[:self.allowed + 1]
         self.masks, self.back = {}, {}
         for i, w in enumerate(self.words):
             self.masks[w] = self.masks.get(w, 0) | 1 << i
             self.back[w] = self.back.get(w, 0) | 1 << (n - 1 - i)
-        data = " ".join(self.words).encode()
+        data = f" {' '.join(self.words)} ".encode()
         self.size = len(alone.compress(data))
         self.packer = z.ZstdCompressor(
-            level=3, dict_data=z.ZstdCompressionDict(data * 2, dict_type=z.DICT_TYPE_RAWCONTENT),
+            level=LEVEL, dict_data=z.ZstdCompressionDict(data * 2, dict_type=z.DICT_TYPE_RAWCONTENT),
             write_content_size=False, write_checksum=False, write_dict_id=False)
 
     def common(self, masks: dict, words) -> tuple[int, int]:
@@ -93,7 +119,7 @@ class Template:
         return most, at
 
     def place(self, words: list[str], at: int):
-        """(words that differ, start, end) of the stretch around word ``at`` that
+        """(words missing or added, start, end) of the stretch around word ``at`` that
         confirms the template, or None."""
         start = max(0, at - self.reach)
         near = words[start:at + self.reach + 1]
@@ -103,37 +129,55 @@ class Template:
         if self.length - same > self.allowed:
             return None
         _, taken = self.common(self.back, reversed(near[:end]))
-        return self.length - same, start + end - taken, start + end
+        begin = end - taken
+        if not self.numbers.issubset(near[begin:end]) or \
+                any(near[max(0, begin - len(x)):begin] == x for x in NEGATIONS):
+            return None
+        return self.length - same + taken - same, start + begin, start + end
 
 
 class Scanner:
     """Templates prepared for comparison."""
 
-    def __init__(self, templates: dict[str, list[str]]):
+    def __init__(self, templates: dict[str, list[str]], min_saving: float = MIN_SAVING):
         import zstandard as z
-        self.alone = z.ZstdCompressor(level=3, write_content_size=False, write_checksum=False)
-        self.trigger = re.compile(TRIGGER)
+        self.alone = z.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False)
         self.known = [Template(name, t, self.alone) for name in sorted(templates) for t in templates[name]]
+        self.trigger = re.compile(trigger(self.known))
+        self.of: dict[str, list[Template]] = {}
+        for t in self.known:
+            for w in t.triggers:
+                self.of.setdefault(w, []).append(t)
+        self.min_saving = min_saving
         self.stretch = 1 + 2 * max((t.reach for t in self.known), default=0)   # no place is longer
 
+    def ranked(self, words: list[str], places: list[int]) -> list[tuple]:
+        """(saving, place, template) of the candidate blocks, highest saving first."""
+        out, blocks = [], {}
+        for at in places:
+            for t in self.of.get(words[at], ()):
+                span = max(0, at - t.reach), at + t.reach + 1
+                if span not in blocks:
+                    data = " ".join(words[span[0]:span[1]]).encode()
+                    blocks[span] = data, len(self.alone.compress(data))
+                data, size = blocks[span]
+                saving = (size - len(t.packer.compress(data))) / t.size
+                if saving >= self.min_saving:
+                    out.append((saving, at, t))
+        return sorted(out, key=lambda x: (-x[0], x[1], x[2].name))
+
     def text(self, text: str):
-        """(candidate places, confirmed licenses sorted, best saving, its differences)."""
+        """(trigger words, confirmed licenses sorted, best saving, its differences)."""
         text = text.lower()
-        places = [m.start() for m in self.trigger.finditer(text)]
-        if not places:
+        if not self.known or not self.trigger.search(text):
             return 0, [], 0.0, 1.0
-        words, starts = [], []
-        for m in _WORD.finditer(text):
-            words.append(m[0])
-            starts.append(m.start())
+        words = _WORD.findall(text)
+        places = [i for i, w in enumerate(words) if w in self.of]
         seen = {}
-        for at in sorted({max(0, bisect_right(starts, p) - 1) for p in places}):
-            for i, t in enumerate(self.known):
-                got = t.place(words, at)
-                if got and (i, got) not in seen:
-                    data = " ".join(words[got[1]:got[2]]).encode()
-                    saved = len(self.alone.compress(data)) - len(t.packer.compress(data))
-                    seen[i, got] = (got[0] / t.length, -saved / t.size, t.name, got[1], got[2])
+        for saving, at, t in self.ranked(words, places):
+            got = t.place(words, at)
+            if got and (t.name, got) not in seen:
+                seen[t.name, got] = (got[0] / t.length, -saving, t.name, got[1], got[2])
         taken, found, best = {}, set(), (0.0, 1.0)
         for diff, less, name, start, end in sorted(seen.values()):
             k = start // self.stretch
@@ -146,16 +190,23 @@ class Scanner:
         return len(places), sorted(found), *best
 
 
+def trigger(known: list[Template]) -> str:
+    """A pattern for Spark and Python: any trigger word of any template."""
+    words = sorted({w for t in known for w in t.triggers})
+    return r"(?i)(?:" + "|".join(map(re.escape, words)) + ")" if words else r"(?!)"
+
+
 def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> DataFrame:
     """One row per document: doc_id, n_candidates, licenses (array), saving and
     differences of its best confirmed notice (0 and 1 without one). ``n_candidates``
     counts the trigger words."""
-    templates = templates or TEMPLATES
+    templates = TEMPLATES if templates is None else templates
+    pattern = Scanner(templates).trigger.pattern
     kind = docs.schema["doc_id"].dataType.simpleString()
     fields = f"doc_id {kind}, n_candidates long, licenses array<string>, saving double, differences double"
     d = docs.select("doc_id", text_of(docs).alias("text"))
     # only texts with a trigger word go to Python with their text
-    d = d.select("doc_id", F.when(F.col("text").rlike(TRIGGER), F.col("text")).alias("text"))
+    d = d.select("doc_id", F.when(F.col("text").rlike(pattern), F.col("text")).alias("text"))
 
     def work(batch_iter):
         s = Scanner(templates)
