@@ -83,6 +83,7 @@ def test_pivot_rows_are_distinct_customers(spark, sf_dir):
 def test_script_tables_equal_lazy_stages(spark, sf_dir):
     import uuid
     from winback.session import scratch_path
+    from winback.sources.io import read_table
     fx = Fixtures(spark, sf_dir)
     paths = jobs.run_script(fx, base=scratch_path(spark, f"script_{uuid.uuid4().hex[:8]}"))
     assert list(paths) == jobs.SCRIPT_TABLES
@@ -90,5 +91,5 @@ def test_script_tables_equal_lazy_stages(spark, sf_dir):
             "channel_attribution": jobs.stage_channel(fx),
             "segment_link": jobs.stage_segment_link(fx)}
     for name, df in lazy.items():
-        written = spark.read.parquet(paths[name])
+        written = read_table(spark, paths[name])
         assert written.exceptAll(df).count() == 0 and df.exceptAll(written).count() == 0, name
