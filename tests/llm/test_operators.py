@@ -494,3 +494,28 @@ def test_stages_take_columns_of_any_name(spark):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
     assert quality_rules.keep_documents(docs, labels).columns == docs.columns
     assert quality_rules.keep_documents(docs, labels).collect() is not None
+
+
+def test_op3_fits_on_all_labels(spark):
+    """More than 20,000 labelled rows: each of them counts, whatever its hash."""
+    word = F.concat(F.lit("w"), F.col("id").cast("string"))
+    docs = spark.range(0, 22_000, 1, 2).select(F.col("id").alias("doc_id"), word.alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(None, "lone"), (None, "lone")], "doc_id long, text string"))
+    labels = docs.where("doc_id is not null").select("doc_id", F.lit(1).alias("quality"))
+    ratios = quality_rules.log_ratios(docs, quality_rules.labelled(labels))
+    b = docs.select(F.pmod(F.xxhash64("text"), F.lit(quality_rules.BUCKETS)).alias("b"), "doc_id").collect()
+    raw, good = Counter(r.b for r in b), Counter(r.b for r in b if r.doc_id is not None)
+    n = quality_rules.BUCKETS
+    want = [math.log((good[i] + 1) / (22_000 + n)) - math.log((raw[i] + 1) / (22_002 + n)) for i in range(n)]
+    assert max(abs(x - y) for x, y in zip(ratios, want)) < 1e-12
+
+
+def test_op3_labels_may_be_shuffled(spark, docs, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    want = quality_rules.quality_figures(docs, labels).collect()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        same(quality_rules.quality_figures(docs, labels).collect(), want)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -9,12 +9,13 @@ shuffled: the two counts are map-side combined into ``buckets`` rows and the
 per-bucket log ratios (``buckets`` doubles, a fixed size) return as a constant
 of the scoring plan.
 
-Trusted documents and the threshold come from a bounded sample of the labelled
-rows (``fit_rows``, the ids of smallest hash), which is the only thing joined
-by broadcast; the raw counts and the scores cover every document. The threshold
-is read off the same labelled documents: the score that best separates the two
-labels (balanced accuracy) among those that reject at most ``max_loss`` of the
-trusted ones. Without labels of both kinds no document is rejected by score.
+All labelled rows are used, for the trusted counts and for the threshold; the raw
+counts and the scores cover every document. Labels are joined by id, which Spark
+does by broadcast while they are few and by a shuffle where they are many. The
+scored rows are stored, so a text is scored once: the threshold is read off the
+stored scores of all labelled documents. It is the score that best separates the
+two labels (balanced accuracy) among those that reject at most ``max_loss`` of
+the trusted ones. Without labels of both kinds no document is rejected by score.
 
 Defined results. Null text counts as empty; no words: all figures 0, score 0.0,
 ``base_failed`` (fewer than 50 words). Null ids stay as rows. Repeated rows are
@@ -30,16 +31,14 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
 
-from winback.llm.common import SPACE, text_of, words_of
+from winback.llm.common import stored, text_of, words_of
 
 BUCKETS = 1 << 14
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 MAX_LOSS = 0.002        # share of trusted documents that the threshold may reject
-FIT_ROWS = 20_000       # labelled rows used to fit
 HIST_STEP = 0.01        # resolution of the threshold
 
 
@@ -67,7 +66,8 @@ def _with_figures(words: DataFrame) -> DataFrame:
 
     Repeated 3-word windows: each window's hash is packed with its position into
     one long and the array sorted, so equal windows become neighbours (n log n);
-    neighbours that agree in the packed bits are confirmed on the whole hash."""
+    neighbours that agree in the packed bits are confirmed on the whole hash. Texts
+    whose windows all differ, as their distinct count tells, go without that."""
     t, h, bits = F.col("_t"), F.col("_h"), F.col("_bits")
     mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
     s, win = F.col("_sorted"), F.col("_win")
@@ -81,19 +81,22 @@ def _with_figures(words: DataFrame) -> DataFrame:
     lines = F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(" \t\x0b\f\r")) != "")
     at = F.col("_at")
     return (words
-            .withColumn("_bits", F.ceil(F.log2(F.size("_w") + 2.0)).cast("int"))
+            # not null, so that the packed windows are sorted as plain longs
+            .withColumn("_bits", F.coalesce(F.ceil(F.log2(F.size("_w") + 2.0)).cast("int"), F.lit(1)))
             .withColumn("_win", F.transform(
                 F.slice(h, 1, F.greatest(F.size(h) - 2, F.lit(0))),
                 lambda x, i: F.xxhash64(x, F.get(h, i + 1), F.get(h, i + 2))))
-            .withColumn("_sorted", F.sort_array(F.transform(
+            .withColumn("_again", F.size(F.array_distinct("_win")) < F.size("_win"))
+            .withColumn("_sorted", F.when(F.col("_again"), F.sort_array(F.transform(
                 win, lambda x, i: F.call_function("shiftleft", x, bits).bitwiseOR(i.cast("long")))))
+                .otherwise(F.array().cast("array<long>")))
             .withColumn("_at", F.sort_array(F.transform(
                 F.filter(s, lambda x, i: same(x, F.get(s, i + 1)) | same(x, F.get(s, i - 1))),
                 lambda x: x.bitwiseAND(mask))))
             .withColumn("_lines", lines)
             .withColumn("n_words", F.size("_w").cast("long"))
-            .withColumn("word_chars", F.length(F.translate(t, SPACE, "")).cast("long"))
-            .withColumn("n_symbols", (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long"))
+            .withColumn("word_chars", F.length(F.array_join("_w", "")).cast("long"))
+            .withColumn("n_symbols", F.regexp_count(t, F.lit(SYMBOLS)).cast("long"))
             .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
             .withColumn("n_repeat_words", _sum(F.transform(
                 at, lambda p, i: F.least(F.lit(3).cast("long"), F.coalesce(F.get(at, i + 1) - p, F.lit(3)))),
@@ -102,11 +105,15 @@ def _with_figures(words: DataFrame) -> DataFrame:
                         | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))))
 
 
-def fit_rows(labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
-    """At most ``rows`` labelled ids, smallest hash first: (doc_id, _good 0/1)."""
-    own = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
-           .groupBy("doc_id").agg(F.max(F.when(F.col("quality") == 1, 1).otherwise(0)).alias("_good")))
-    return own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+def labelled(labels: DataFrame) -> DataFrame:
+    """Every labelled id once: (doc_id, _good 0/1)."""
+    return (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
+            .groupBy("doc_id").agg(F.max(F.when(F.col("quality") == 1, 1).otherwise(0)).alias("_good")))
+
+
+def _spread(docs: DataFrame) -> Column:
+    """A second join key that deals out the rows without an id, which match no label."""
+    return F.when(F.col("doc_id").isNull(), F.xxhash64(text_of(docs))).otherwise(F.lit(0).cast("long"))
 
 
 def _literal(values: list[float]) -> Column:
@@ -114,11 +121,13 @@ def _literal(values: list[float]) -> Column:
     return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
 
 
-def log_ratios(docs: DataFrame, sample: DataFrame, buckets: int = BUCKETS) -> list[float]:
+def log_ratios(docs: DataFrame, own: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """``log(p_trusted / p_raw)`` per bucket, add-one smoothed. Two sums per
     bucket over the whole corpus, combined before the shuffle."""
-    good = F.broadcast(sample.where("_good = 1").select("doc_id", F.lit(1).alias("_good")))
-    counts = (_with_words(docs.join(good, "doc_id", "left"), "_good")
+    good = own.where("_good = 1").select("doc_id", F.lit(0).cast("long").alias("_key"), "_good")
+    marked = (docs.select("doc_id", "text", _spread(docs).alias("_key"))
+              .join(good, ["doc_id", "_key"], "left"))
+    counts = (_with_words(marked, "_good")
               .select(F.coalesce("_good", F.lit(0)).alias("_good"),
                       F.explode(ngram_buckets(F.col("_h"), buckets)).alias("b"))
               .groupBy("b").agg(F.count("*").alias("raw"), F.sum("_good").alias("good")))
@@ -139,15 +148,14 @@ def _with_score(words: DataFrame, ratios: list[float]) -> DataFrame:
     return words.withColumn("quality_score", F.when(n > 0, total / n).otherwise(0.0))
 
 
-def threshold(docs: DataFrame, sample: DataFrame, ratios: list[float],
-              max_loss: float = MAX_LOSS) -> float:
-    """Cut with the best balanced accuracy on the labelled sample among those
-    that reject at most ``max_loss`` of its trusted documents."""
-    lab = docs.join(F.broadcast(sample), "doc_id")
-    hist = (_with_score(_with_figures(_with_words(lab, "_good")), ratios)
+def threshold(scored: DataFrame, own: DataFrame, max_loss: float = MAX_LOSS) -> float:
+    """Cut with the best balanced accuracy on all labelled rows of ``scored`` (doc_id,
+    base_failed, quality_score) among those that reject at most ``max_loss`` of the
+    trusted documents."""
+    hist = (scored.join(own, "doc_id")
             .groupBy("base_failed", F.floor(F.col("quality_score") / HIST_STEP).alias("b"))
             .agg(F.sum("_good").alias("good"), F.sum(1 - F.col("_good")).alias("bad"))
-            .orderBy("b").collect())        # one row per score step of the sample
+            .orderBy("b").collect())        # one row per score step
     hist = [r for r in hist if not r.base_failed]
     good, bad = sum(r.good for r in hist), sum(r.bad for r in hist)
     best, cut, lost, caught = 0.0, -math.inf, 0, 0
@@ -161,16 +169,19 @@ def threshold(docs: DataFrame, sample: DataFrame, ratios: list[float],
     return cut
 
 
+def _scored(docs: DataFrame, ratios: list[float], *keep: str) -> DataFrame:
+    return _with_score(_with_figures(_with_words(docs, *keep)), ratios)
+
+
 def quality_figures(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
-                    max_loss: float = MAX_LOSS, rows: int = FIT_ROWS) -> DataFrame:
+                    max_loss: float = MAX_LOSS) -> DataFrame:
     """One row per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, quality_score, kept."""
-    sample = fit_rows(labels, rows)
-    ratios = log_ratios(docs, sample, buckets)
-    cut = threshold(docs, sample, ratios, max_loss)
-    return _verdict(_with_score(_with_figures(_with_words(docs)), ratios), cut).select(
+    own = labelled(labels)
+    figures = stored(_scored(docs, log_ratios(docs, own, buckets)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "quality_score", "kept")
+        "base_failed", "quality_score"), "quality")
+    return _verdict(figures, threshold(figures, own, max_loss))
 
 
 def _verdict(scored: DataFrame, cut: float) -> DataFrame:
@@ -178,18 +189,12 @@ def _verdict(scored: DataFrame, cut: float) -> DataFrame:
 
 
 def keep_documents(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
-                   max_loss: float = MAX_LOSS, rows: int = FIT_ROWS) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, columns unchanged; a narrow
-    map-side filter, no row is shuffled."""
-    sample = fit_rows(labels, rows)
-    ratios = log_ratios(docs, sample, buckets)
-    cut = threshold(docs, sample, ratios, max_loss)
+                   max_loss: float = MAX_LOSS) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, columns unchanged."""
+    own = labelled(labels)
+    ratios = log_ratios(docs, own, buckets)
     cols = docs.columns
     whole = (docs.select(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in cols]).alias("_row"), "doc_id",
                          text_of(docs).alias("text")))
-    scored = _with_score(_with_figures(_with_words(whole, "_row")), ratios)
-    # a row's array of itself or of nothing, not a filter: the optimizer would
-    # push a filter below the projections and repeat their expressions in it
-    one = F.explode(F.when(F.col("kept"), F.array("_row")).otherwise(F.array().cast(
-        ArrayType(scored.schema["_row"].dataType))))
-    return _verdict(scored, cut).select(one.alias("_row")).select("_row.*")
+    scored = stored(_scored(whole, ratios, "_row").select("_row", "doc_id", "base_failed", "quality_score"), "quality")
+    return _verdict(scored, threshold(scored, own, max_loss)).where("kept").select("_row.*")
