@@ -230,3 +230,14 @@ def test_channel_job_reads_its_tables(spark, sf_dir):
     assert {(x.split, x.class_name) for x in r.collect()} >= {("train", "accuracy"), ("test", "accuracy")}
     names = {s["stage"] for s in RunManifest(spark, base).stages()}
     assert names == {f"channel_{n}" for n in ("frame", "importance", "trials", "model", "reports")}
+
+
+@pytest.mark.parametrize("depth", [1, 3, 5, 6])
+def test_scorer_takes_the_leaves_of_the_walk(depth):
+    rng = np.random.default_rng(depth)
+    x = np.round(rng.normal(size=(1500, 7)), 1)
+    y = ((x[:, 0] * x[:, 1] > 0.1) ^ (rng.random(1500) < 0.1)).astype(float)
+    m = product_trees.fit(x, y, rounds=25, depth=depth, rate=0.3)
+    odd = np.vstack([x, np.full((1, 7), np.inf), np.full((1, 7), -np.inf), np.full((1, 7), np.nan)])
+    assert (product_trees.scorer(m)(odd) == product_trees.walked(m, odd)).all()
+    assert len(product_trees.scorer(m)(odd[:0])) == 0

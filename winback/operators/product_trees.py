@@ -49,19 +49,23 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 1000, depth: int = 5, rate:
     threshold = np.full((rounds, inner), np.inf, np.float64)
     value = np.zeros((rounds, leaves), np.float64)
     take = max(1, round(colsample * width))
+    by_column = np.ascontiguousarray(b.T)       # a column's bins side by side
+    every = np.arange(n)
     for t in range(rounds):
         p = 1 / (1 + np.exp(-margin))
         g, h = p - y, p * (1 - p)
         rows = np.nonzero(rng.random(n) < subsample)[0]
         cols = np.sort(rng.choice(width, take, replace=False))
-        bt, gt, ht = b[rows][:, cols], g[rows], h[rows]
-        node = np.zeros(len(rows), np.int64)
+        bt, gt, ht = by_column[cols][:, rows], g[rows], h[rows]
         whole = np.zeros(n, np.int64)
         for level in range(depth):
             k = 2 ** level
-            at = (np.arange(take) * k + node[:, None]) * size + bt
-            sums = [np.bincount(at.ravel(), np.repeat(w, take), take * k * size).reshape(take, k, size)
-                    for w in (gt, ht)]
+            node = whole[rows] * size
+            sums = [np.empty((take, k, size)), np.empty((take, k, size))]
+            for j in range(take):
+                at = node + bt[j]
+                for s, w in zip(sums, (gt, ht)):
+                    s[j] = np.bincount(at, w, k * size).reshape(k, size)
             left = [np.cumsum(s, axis=2) for s in sums]
             total = [s[:, :, -1:] for s in left]
             right = [a - c for a, c in zip(total, left)]
@@ -76,16 +80,15 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 1000, depth: int = 5, rate:
             feature[t, first:first + k] = f
             threshold[t, first:first + k] = [edges[j][c] if s and c < len(edges[j]) else np.inf
                                              for j, c, s in zip(f, cut, split)]
-            node = 2 * node + (b[rows, f[node]] > cut[node])
-            whole = 2 * whole + (b[np.arange(n), f[whole]] > cut[whole])
-        gs, hs = (np.bincount(node, w, leaves) for w in (gt, ht))
+            whole = 2 * whole + (by_column.ravel().take(f[whole] * n + every) > cut[whole])
+        gs, hs = (np.bincount(whole[rows], w, leaves) for w in (gt, ht))
         value[t] = -rate * gs / (hs + LAMBDA)
         margin += value[t][whole]
     return {"feature": feature, "threshold": threshold, "value": value, "start": np.array([start])}
 
 
-def margins(model: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
-    """Log-odds of the rows of ``x``."""
+def walked(model: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+    """Log-odds of the rows of ``x``, level by level, for trees of any depth."""
     out = np.full(len(x), float(model["start"][0]))
     rows = np.arange(len(x))
     inner = model["feature"].shape[1]
@@ -97,6 +100,63 @@ def margins(model: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
     return out
 
 
+# Place of the lowest set bit of a 32-bit number: (bit * DEBRUIJN mod 2^32) >> 27 is one of 32 codes.
+DEBRUIJN = np.uint32(0x077CB531)
+CODE_OF_BIT = np.array([((1 << i) * 0x077CB531 & 0xFFFFFFFF) >> 27 for i in range(32)])
+
+
+def scorer(model: dict[str, np.ndarray]):
+    """The function from rows to their log-odds. For trees of up to 32 leaves each column's
+    step between a model's thresholds gives a tree's set of leaves that it leaves open; the
+    first leaf that all columns leave open is the row's. Same leaves, added in the same order,
+    as by walking the nodes."""
+    feature, threshold, value = model["feature"], model["threshold"], model["value"]
+    trees, inner = feature.shape
+    leaves = inner + 1
+    if leaves > 32:
+        return lambda x: walked(model, x)
+    # leaves under the left child of each node, which a step to the right closes
+    closed = np.zeros(inner, np.uint32)
+    for node in range(inner):
+        level = (node + 1).bit_length() - 1
+        span = leaves >> level
+        first = (node + 1 - (1 << level)) * span
+        closed[node] = sum(1 << i for i in range(first, first + span // 2))
+    steps, tables, used = {}, {}, [[] for _ in range(trees)]
+    for f in np.unique(feature[np.isfinite(threshold)]).tolist():
+        tree, node = np.nonzero((feature == f) & np.isfinite(threshold))
+        at = threshold[tree, node]
+        steps[f] = np.unique(at)
+        open_ = np.full((trees, len(steps[f]) + 1), 0xFFFFFFFF, np.uint32)
+        np.bitwise_and.at(open_, (tree, np.searchsorted(steps[f], at) + 1), ~closed[node])
+        tables[f] = np.bitwise_and.accumulate(open_, axis=1)
+        for t in np.unique(tree).tolist():
+            used[t].append(f)
+    coded = np.zeros((trees, 32))
+    coded[:, CODE_OF_BIT[:leaves]] = value
+
+    def score(x: np.ndarray) -> np.ndarray:
+        out = np.full(len(x), float(model["start"][0]))
+        step = {f: np.where(np.isnan(x[:, f]), 0, np.searchsorted(s, x[:, f], "left")) for f, s in steps.items()}
+        some, left = np.empty(len(x), np.uint32), np.empty(len(x), np.uint32)
+        for t in range(trees):
+            left.fill(0xFFFFFFFF)
+            for f in used[t]:
+                np.take(tables[f][t], step[f], out=some, mode="clip")
+                np.bitwise_and(left, some, out=left)
+            np.bitwise_and(left, -left, out=left)
+            np.multiply(left, DEBRUIJN, out=left)
+            out += coded[t].take(left >> np.uint32(27), mode="clip")
+        return out
+
+    return score
+
+
+def margins(model: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+    """Log-odds of the rows of ``x``."""
+    return scorer(model)(x)
+
+
 def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(boundaries, predictions): the non-decreasing step fit of ``y`` on ``score``, equal
     scores pooled; predictions between boundaries are interpolated."""
@@ -115,8 +175,9 @@ def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array([e[0] for e in ends]), np.array([e[1] for e in ends])
 
 
-def probability(model: dict[str, np.ndarray], x: np.ndarray, calibrated: bool = True) -> np.ndarray:
-    p = 1 / (1 + np.exp(-margins(model, x)))
+def probability(model: dict[str, np.ndarray], x: np.ndarray, calibrated: bool = True, score=None) -> np.ndarray:
+    """``score``: the model's ``scorer``, if there is one already."""
+    p = 1 / (1 + np.exp(-(score or scorer(model))(x)))
     return np.interp(p, model["boundaries"], model["predictions"]) if calibrated else p
 
 

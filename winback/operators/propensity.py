@@ -118,14 +118,14 @@ def score_batch(frame: DataFrame, models: DataFrame, products: Sequence[int], ke
     kind = frame.schema[key].dataType.simpleString()
 
     def work(batches):
-        ready = [(p, trees.unpacked(m)) for p, m in data.value]
+        ready = [(p, m, trees.scorer(m)) for p, m in ((p, trees.unpacked(b)) for p, b in data.value)]
         for batch in batches:
             for at in range(0, batch.num_rows, SCORE_ROWS):
                 part = batch.slice(at, SCORE_ROWS)
                 x = _matrix(part.column(1), len(part.column(1)[0]))
-                for p, m in ready:
+                for p, m, score in ready:
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(0), pa.array(trees.probability(m, x), pa.float64()),
+                        [part.column(0), pa.array(trees.probability(m, x, score=score), pa.float64()),
                          pa.array(np.full(len(x), p), pa.int32())], [key, "p", "pdm_prod_type_id"])
 
     return frame.select(key, "features").mapInArrow(work, f"{key} {kind}, p double, pdm_prod_type_id int")
