@@ -83,6 +83,20 @@ def test_snapshot_keys_must_be_unique(spark):
         attr.with_snapshots(base, {"b": t.unionByName(t), "e": t}, columns, roles, keep=["customer_id"]).collect()
 
 
+def test_snapshots_are_cut_to_the_keys_read(spark):
+    base = spark.createDataFrame([(1, 10, 202001, 202002), (2, None, 202001, 202002), (3, None, 202001, None)],
+                                 "customer_id long, address_id long, PRE_FISCAL_PERIOD_ID int, FISCAL_PERIOD_ID int")
+    t = spark.createDataFrame([(10, 202001, 1.0), (10, 202002, 2.0), (20, 202001, 3.0), (20, 202001, 4.0)],
+                              "address_guid long, fiscal_period_id int, x double")
+    roles = {"b": "PRE_FISCAL_PERIOD_ID", "e": "FISCAL_PERIOD_ID"}
+    columns = [("X", "b", "x"), ("Y", "e", "x")]
+    got = attr.with_snapshots(base, {"b": t, "e": t}, columns, roles, keep=["customer_id"], read_at=base)
+    assert sorted(map(tuple, got.collect())) == [(1, 1.0, 2.0), (2, None, None), (3, None, None)]
+    with pytest.raises(Exception, match="snapshot rows repeat"):
+        attr.with_snapshots(base, {"b": t.unionByName(t), "e": t}, columns, roles, keep=["customer_id"],
+                            read_at=base).collect()
+
+
 def test_snapshots_are_shuffled_once_per_role(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     conf = spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
