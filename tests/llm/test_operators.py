@@ -519,3 +519,14 @@ def test_op3_labels_may_be_shuffled(spark, docs, sf_dir):
         same(quality_rules.quality_figures(docs, labels).collect(), want)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_workers_give_freed_memory_back():
+    import psutil
+
+    from winback.llm.common import trim
+    me = psutil.Process()
+    held = [b"x" * 100_000 for _ in range(3_000)]
+    held, full = held[-1:], me.memory_info().rss        # the last one keeps the heap's end in use
+    trim()
+    assert held and full - me.memory_info().rss > 100e6

@@ -43,7 +43,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winback.llm.common import bounded_batches, release, shuffle_blocks, stored
+from winback.llm.common import bounded_batches, release, shuffle_blocks, stored, trim
 from winback.llm.wordtokens import batches
 
 ORDER = 5
@@ -207,10 +207,12 @@ def _parts(docs: DataFrame, order: int, blocks: int) -> DataFrame:
                     yield flush_words()
                 if seen.size > FLUSH_GRAMS or size > CHUNK_BYTES:
                     yield from flush_grams()
+                    trim()
                     chunk, size = uuid.uuid4().hex, 0
         if kinds["doc_ids"] is not None:
             yield flush_words()
             yield from flush_grams()
+            trim()
 
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(count, schema)
 
@@ -221,7 +223,7 @@ def _counts(parts: DataFrame, order: int, blocks: int) -> DataFrame:
     split = min(order, SPLIT)
 
     def total(table: pa.Table) -> pa.Table:
-        pa.default_memory_pool().release_unused()       # of the group before
+        trim()                                          # of the group before
         k, c = _summed(_joined(table["keys"], np.uint64), _joined(table["counts"], np.int64))
         got = [(b, k[i].tobytes(), c[i].tobytes())
                for b, i in _by_block((k >> np.uint64(BITS)) & _low(split), blocks)]
@@ -257,7 +259,7 @@ def _prices(counts: DataFrame, low, order: int, blocks: int, share: float) -> Da
     split = min(order, SPLIT)
 
     def price(table: pa.Table) -> pa.Table:
-        pa.default_memory_pool().release_unused()
+        trim()
         k, c = _joined(table["keys"], np.uint64), _joined(table["counts"], np.int64)
         keys, ns = map(list, low.value)
         for i in range(split, order + 1):
@@ -276,7 +278,7 @@ def _prices(counts: DataFrame, low, order: int, blocks: int, share: float) -> Da
 def _answers(parts: DataFrame, prices: DataFrame) -> DataFrame:
     """(chunk, keys, logs): every chunk's grams with their log probabilities."""
     def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-        pa.default_memory_pool().release_unused()
+        trim()
         k, v = _joined(known["keys"], np.uint64), _joined(known["logs"], np.float64)
         by = np.argsort(k)
         k, v = k[by], v[by]
@@ -445,7 +447,7 @@ def score(docs: DataFrame, order: int = ORDER, share: float = SHARE) -> DataFram
     def work(runs: pa.Table, known: pa.Table) -> pa.Table:
         cache, logs = _loaded(key, head)
         cache.trie = None                               # the chunk before
-        pa.default_memory_pool().release_unused()
+        trim()
         cache.trie = Known(_joined(known["keys"], np.uint64), _joined(known["logs"], np.float64))
         del known
         ends = head.value[b""]
