@@ -521,6 +521,13 @@ def test_op3_labels_may_be_shuffled(spark, docs, sf_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_op3_labels_meet_texts_the_same_way_at_every_size(spark, docs):
+    for n in (0, 3, 5_000):
+        labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+        plan = quality_rules._marked(docs, quality_rules.labelled(labels))._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_workers_give_freed_memory_back():
     import psutil
 

@@ -4,15 +4,15 @@ Word unigrams and bigrams are hashed into a fixed number of buckets. Two
 multinomials over the buckets are counted: one on trusted documents (labelled
 ``quality = 1``) and one on the whole raw corpus. A document's score is the
 mean over its n-grams of ``log(p_trusted / p_raw)``; every document is compared
-with one threshold. Only DataFrame functions run, and nothing per document is
-shuffled: the two counts are map-side combined into ``buckets`` rows and the
+with one threshold. Only DataFrame functions run. Texts are shuffled once, to meet
+their labels; the two counts are map-side combined into ``buckets`` rows and the
 per-bucket log ratios (``buckets`` doubles, a fixed size) return as a constant
 of the scoring plan.
 
 All labelled rows are used, for the trusted counts and for the threshold; the raw
-counts and the scores cover every document. Labels are joined by id, which Spark
-does by broadcast while they are few and by a shuffle where they are many. The
-scored rows are stored, so a text is scored once: the threshold is read off the
+counts and the scores cover every document. Labels are joined by id, by a shuffle of
+both sides whatever their number, so the disk needed is the texts' own size and grows
+with them alone. The scored rows are stored, so a text is scored once: the threshold is read off the
 stored scores of all labelled documents. It is the score that best separates the
 two labels (balanced accuracy) among those that reject at most ``max_loss`` of
 the trusted ones. Without labels of both kinds no document is rejected by score.
@@ -121,13 +121,19 @@ def _literal(values: list[float]) -> Column:
     return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
 
 
+def _marked(docs: DataFrame, own: DataFrame) -> DataFrame:
+    """(text, _good) of every row; _good is null where no label says 1. Both sides are
+    shuffled also where few labels would be broadcast: what the job needs then follows
+    its input."""
+    good = own.where("_good = 1").select("doc_id", F.lit(0).cast("long").alias("_key"), "_good")
+    return (docs.select("doc_id", "text", _spread(docs).alias("_key"))
+            .join(good.hint("merge"), ["doc_id", "_key"], "left"))
+
+
 def log_ratios(docs: DataFrame, own: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """``log(p_trusted / p_raw)`` per bucket, add-one smoothed. Two sums per
     bucket over the whole corpus, combined before the shuffle."""
-    good = own.where("_good = 1").select("doc_id", F.lit(0).cast("long").alias("_key"), "_good")
-    marked = (docs.select("doc_id", "text", _spread(docs).alias("_key"))
-              .join(good, ["doc_id", "_key"], "left"))
-    counts = (_with_words(marked, "_good")
+    counts = (_with_words(_marked(docs, own), "_good")
               .select(F.coalesce("_good", F.lit(0)).alias("_good"),
                       F.explode(ngram_buckets(F.col("_h"), buckets)).alias("b"))
               .groupBy("b").agg(F.count("*").alias("raw"), F.sum("_good").alias("good")))
@@ -152,7 +158,7 @@ def threshold(scored: DataFrame, own: DataFrame, max_loss: float = MAX_LOSS) ->
     """Cut with the best balanced accuracy on all labelled rows of ``scored`` (doc_id,
     base_failed, quality_score) among those that reject at most ``max_loss`` of the
     trusted documents."""
-    hist = (scored.join(own, "doc_id")
+    hist = (scored.join(own.hint("merge"), "doc_id")
             .groupBy("base_failed", F.floor(F.col("quality_score") / HIST_STEP).alias("b"))
             .agg(F.sum("_good").alias("good"), F.sum(1 - F.col("_good")).alias("bad"))
             .orderBy("b").collect())        # one row per score step
