@@ -241,3 +241,15 @@ def test_scorer_takes_the_leaves_of_the_walk(depth):
     odd = np.vstack([x, np.full((1, 7), np.inf), np.full((1, 7), -np.inf), np.full((1, 7), np.nan)])
     assert (product_trees.scorer(m)(odd) == product_trees.walked(m, odd)).all()
     assert len(product_trees.scorer(m)(odd[:0])) == 0
+
+
+def test_rows_of_one_file_are_dealt_to_all_cores(spark):
+    df = spark.range(4 * mdl.TASK_ROWS, numPartitions=1).select(F.col("id").alias("customer_id"), F.lit(1.0).alias("x"))
+    many = mdl.dealt(df)
+    sizes = many.groupBy(F.spark_partition_id()).count().collect()
+    assert many.rdd.getNumPartitions() == min(4, spark.sparkContext.defaultParallelism)
+    assert sum(r["count"] for r in sizes) == 4 * mdl.TASK_ROWS == many.select("customer_id").distinct().count()
+    assert max(r["count"] for r in sizes) < 1.2 * min(r["count"] for r in sizes)
+    assert mdl.dealt(df, most_rows=mdl.TASK_ROWS // 2, task_rows=2_000).rdd.getNumPartitions() >= 8
+    few = df.limit(mdl.TASK_ROWS)
+    assert mdl.dealt(few) is few

@@ -5,7 +5,7 @@ All fitting is distributed ``pyspark.ml``. No boosting library exists in the
 image, so the multiclass model is a RandomForestClassifier with row weights;
 boosted trees, one model per class, are in ``boosting``. Frames carry one
 ``features`` vector whose metadata names its columns, so narrowing to the best
-features is a ``VectorSlicer`` by name. Small driver-side state only: importances
+features is a ``VectorSlicer`` by name. Rows are ``dealt`` to all cores before a fit. Small driver-side state only: importances
 (one number per feature), trial parameters and scores.
 """
 
@@ -33,6 +33,19 @@ TRIALS = 3
 TOP_FEATURES = 30
 # -----------------------------------------------------------------------------
 
+TASK_ROWS = 10_000          # rows that are worth a task of their own
+MOST_ROWS = 500_000         # rows of a task at most, whatever the number of cores
+
+
+def dealt(df: DataFrame, key: str = "customer_id", task_rows: int = TASK_ROWS, most_rows: int = MOST_ROWS) -> DataFrame:
+    """All rows of ``df`` in a partition per core of the session, of ``task_rows`` rows or
+    more and ``most_rows`` or less. Every pass of a fit is one task a partition, and a
+    stored frame of few files is read by few tasks, however many rows they hold. Dealt and
+    sorted by ``key``; a frame of few rows is returned as it is."""
+    rows = df.count()
+    tasks = min(rows // task_rows, max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // most_rows)))
+    return df.repartition(tasks, key).sortWithinPartitions(key) if tasks > 1 else df
+
 
 def with_features(df: DataFrame, features: Sequence[str], keep: Sequence[str], out: str = "features") -> DataFrame:
     """``keep`` plus one vector column at the model boundary; inputs must be imputed
