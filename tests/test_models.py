@@ -243,6 +243,27 @@ def test_scorer_takes_the_leaves_of_the_walk(depth):
     assert len(product_trees.scorer(m)(odd[:0])) == 0
 
 
+def test_cut_model_is_the_shorter_fit_and_is_not_fitted_again(spark):
+    rng = random.Random(5)
+    rows = [(float((rng.random() < 0.3) != (x > 0.5)), x, rng.random()) for x in (rng.random() for _ in range(300))]
+    df = mdl.with_features(spark.createDataFrame(rows, "y double, a double, b double"), ["a", "b"], ["y"])
+    train, valid = (io.materialize(d.coalesce(1)) for d in df.randomSplit([0.5, 0.5], seed=1))
+    lengths = []
+
+    def make(n):
+        lengths.append(n)
+        return boosting.boosted("y", n, max_depth=5, step=0.5)
+
+    fit = boosting.fit_patient(train, valid, make, max_rounds=30, patience=9, first=4)
+    assert fit.stopped and lengths == [4, 30] and len(fit.curve) < 30
+    want, path = make(fit.rounds).fit(train), _base(spark)
+    fit.model.write().overwrite().save(path)
+    for m in (fit.model, boosting.GBTClassificationModel.load(path)):
+        assert m.getNumTrees == fit.rounds and m.getMaxDepth() == 5 and m.treeWeights == want.treeWeights
+        assert m.toDebugString.split("\n")[1:] == want.toDebugString.split("\n")[1:]
+        assert m.transform(valid).collect() == want.transform(valid).collect()
+
+
 def test_rows_of_one_file_are_dealt_to_all_cores(spark):
     df = spark.range(4 * mdl.TASK_ROWS, numPartitions=1).select(F.col("id").alias("customer_id"), F.lit(1.0).alias("x"))
     many = mdl.dealt(df)

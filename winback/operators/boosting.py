@@ -2,11 +2,12 @@
 fits side by side (ML-3, ML-13).
 
 ``GBTClassifier`` is binary and its own early stopping gives up at the first round
-that does not improve. Here a model is fitted round by round in growing lengths,
-its loss on the validation rows is read for every round
+that does not improve. Here a short model is fitted, and one of all rounds where
+that one's loss still falls; the loss on the validation rows is read for every round
 (``evaluateEachIteration``), and the rounds after the best one are cut once
 ``patience`` rounds brought nothing. Boosting is sequential and seeded, so a shorter
-fit is the beginning of a longer one: the cut model is a fit of that many rounds.
+fit is the beginning of a longer one: a model of its first trees is a fit of that many
+rounds, and nothing is fitted again for the cut.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from winback.session import ensure_checkpoint_dir
 MAX_ROUNDS = 180
 PATIENCE = 10
 # -----------------------------------------------------------------------------
-FIRST_LENGTH = 45           # rounds of the first fit; doubled while the loss still falls
+FIRST_LENGTH = 45           # rounds of the first fit and look; looks double while the loss still falls
 CHECKPOINT_ROUNDS = 10      # rounds after which the residuals' lineage is cut
 WORKERS = 6                 # fits at a time
 
@@ -80,6 +81,19 @@ def patient_round(curve: Sequence[float], patience: int = PATIENCE) -> tuple[int
     return at, False
 
 
+def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model of the first ``rounds`` rounds of ``model``, its parameters kept."""
+    sc, own = SparkSession.active().sparkContext, model._java_obj
+    kind = sc._jvm.org.apache.spark.ml
+    trees = sc._gateway.new_array(kind.regression.DecisionTreeRegressionModel, rounds)
+    weights = sc._gateway.new_array(sc._jvm.double, rounds)
+    all_trees, all_weights = own.trees(), own.treeWeights()
+    for i in range(rounds):
+        trees[i], weights[i] = all_trees[i], all_weights[i]
+    cut = kind.classification.GBTClassificationModel(own.uid(), trees, weights)
+    return GBTClassificationModel(own.copyValues(cut, kind.param.ParamMap()))
+
+
 @dataclass
 class PatientFit:
     model: GBTClassificationModel
@@ -95,15 +109,19 @@ def fit_patient(train: DataFrame, valid: DataFrame, make: Callable[[int], GBTCla
     if valid.isEmpty():
         return PatientFit(make(max_rounds).fit(train), max_rounds, [], False)
     length = min(first, max_rounds)
+    model = make(length).fit(train)
+    losses = loss_curve(model, valid)
     while True:
-        model = make(length).fit(train)
-        curve = loss_curve(model, valid)
+        curve = losses[:length]
         rounds, stopped = patient_round(curve, patience)
         if stopped or length >= max_rounds:
             break
+        if len(losses) < max_rounds:
+            model = make(max_rounds).fit(train)
+            losses = loss_curve(model, valid)
         length = min(2 * length, max_rounds)
-    if rounds < length:
-        model = make(rounds).fit(train)
+    if rounds < model.getNumTrees:
+        model = first_rounds(model, rounds)
     return PatientFit(model, rounds, curve, stopped)
 
 
