@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winback.llm.common import bounded_batches, release, shuffle_blocks, stored
+from winback.llm.common import bounded_batches, release, shuffle_blocks, stored, trim
 from winback.llm.graph import components
 from winback.llm.wordtokens import batches
 
@@ -196,6 +196,7 @@ def _first_parts(docs: DataFrame, blocks: int, n: int, threshold: int) -> DataFr
                     size = 0
         if size:
             yield from flush()
+        trim()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"),
                        _text_hash(docs)).mapInArrow(work, _PART)
@@ -205,6 +206,7 @@ def _shared_counts(parts: DataFrame) -> DataFrame:
     """Per block: the row figures unchanged, and for every class how many of its
     columns in the block another class holds too."""
     def work(table: pa.Table) -> pa.Table:
+        trim()                                          # of the group before
         kind = table.column("kind").to_numpy()
         docs = table.filter(pa.array(kind == 0))
         out = [pa.table({"kind": docs["kind"], "doc_id": docs["doc_id"], "text_hash": docs["text_hash"],
@@ -324,6 +326,7 @@ def _postings(rows: DataFrame, blocks: int, threshold: int) -> DataFrame:
                     ["block", "chunk", "keys", "counts", "owners", "sizes"])
 
     def total(table: pa.Table) -> pa.Table:
+        trim()
         ks = [np.frombuffer(x.as_py(), np.uint64) for x in table["keys"]]
         cs = [np.frombuffer(x.as_py(), np.int64) for x in table["counts"]]
         k, at = np.unique(np.concatenate(ks), return_inverse=True)
@@ -340,6 +343,7 @@ def _postings(rows: DataFrame, blocks: int, threshold: int) -> DataFrame:
                          "freqs": pa.array(freqs, pa.binary())})
 
     def pick(chunk: pa.Table, found: pa.Table) -> pa.Table:
+        trim()
         if not len(chunk) or not len(found):
             return _entries([], [], [], [], [])
         fk = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in found["keys"]])
