@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import re
 import struct
 import zlib
@@ -537,3 +538,57 @@ def test_workers_give_freed_memory_back():
     held, full = held[-1:], me.memory_info().rss        # the last one keeps the heap's end in use
     trim()
     assert held and full - me.memory_info().rss > 100e6
+
+
+def left_on_disk(monkeypatch, *modules):
+    """Names and columns of the tables that these modules store from here on and keep."""
+    from winback.llm import common
+    made = []
+
+    def stored(df, name):
+        made.append((name, common.stored(df, name)))
+        return made[-1][1]
+
+    for m in modules:
+        monkeypatch.setattr(m, "stored", stored)
+    return lambda: {name: t.columns for name, t in made if os.path.exists(t.stored_path.removeprefix("file:"))}
+
+
+def test_op2_leaves_only_marks_on_disk(spark, monkeypatch):
+    from winback.llm import graph
+    base = " ".join(f"w{i}" for i in range(60))
+    d = spark.createDataFrame([(i, f"{base} x{i}" if i < 20 else f"{base} {base} y{i}") for i in range(40)],
+                              "doc_id long, text string")
+    left = left_on_disk(monkeypatch, ngram_join, graph)
+    assert ngram_join.keep_one(d).count() < 40
+    assert list(left()) == ["marked"]
+
+
+def test_stages_meet_texts_by_one_shuffle_at_every_size(spark, sf_dir):
+    """Few marks or verdicts, which would be broadcast, are met as many are."""
+    text = "some words of a text that comes back with one word more at its end"
+    d = spark.createDataFrame([(1, text), (1, text), (2, text + " x"), (3, "other"), (None, text), (4, None)],
+                              "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, quality int")
+    for kept in (ngram_join.keep_one(d), quality_rules.keep_documents(d, labels)):
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_op3_keep_documents_stores_no_text_and_keeps_every_row(spark, monkeypatch):
+    r = np.random.default_rng(3)
+
+    def text(words, n=60):
+        return " ".join(f"{words}{x}" for x in r.integers(0, 40, n))
+
+    rows = [(i, text("good" if i % 3 else "bad")) for i in range(60)]
+    rows += [rows[1], rows[1], rows[3], (None, rows[1][1]), (None, rows[2][1]), (None, rows[3][1]), (None, None), (70, None),
+             (70, ""), (1, text("bad")), (1, text("good")), (71, rows[1][1])]
+    docs = spark.createDataFrame([(i, t, str(n), 7) for n, (i, t) in enumerate(rows)], "doc_id long, text string, _row string, _k1 int")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60) if i != 1], "doc_id long, quality int")
+    left = left_on_disk(monkeypatch, quality_rules)
+    got = quality_rules.keep_documents(docs, labels)
+    assert got.columns == docs.columns
+    same([tuple(x) for x in got.collect()],
+         [(i, t, str(n), 7) for n, (i, t) in enumerate(rows) if t and t.startswith("good")])
+    assert left() == {"quality": ["doc_id", "_k1", "_k2", "base_failed", "quality_score"]}

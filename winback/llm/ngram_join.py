@@ -299,7 +299,7 @@ def _reach(most, na, nb, threshold: int):
 
 
 def _postings(rows: DataFrame, blocks: int, threshold: int) -> DataFrame:
-    """(key, owner, n, met, place): for every row its rarest columns, as many as a
+    """(key, owner, n, met, place), stored: for every row its rarest columns, as many as a
     partner must meet at least once, without those that no other row left has.
     ``met``: columns of the row that any other row has, a bound on every overlap;
     ``place``: how many rarer columns the row has. Rows are counted chunk by chunk:
@@ -374,9 +374,11 @@ def _postings(rows: DataFrame, blocks: int, threshold: int) -> DataFrame:
         send, "block int, chunk string, keys binary, counts binary, owners binary, sizes binary"), "incidence")
     found = (sent.where("block >= 0").select("block", "chunk", "keys", "counts").groupBy("block")
              .applyInArrow(total, "chunk string, keys binary, freqs binary"))
-    return (sent.where("block = -1").select("chunk", "keys", "owners", "sizes").groupBy("chunk")
-            .cogroup(found.groupBy("chunk"))
-            .applyInArrow(pick, "key long, owner long, n int, met int, place int"))
+    postings = stored(sent.where("block = -1").select("chunk", "keys", "owners", "sizes").groupBy("chunk")
+                      .cogroup(found.groupBy("chunk"))
+                      .applyInArrow(pick, "key long, owner long, n int, met int, place int"), "postings")
+    release(sent)
+    return postings
 
 
 def _linked(pairs: DataFrame, rows: DataFrame, threshold: int) -> DataFrame:
@@ -465,7 +467,7 @@ def _members(docs: DataFrame, n: int, threshold: int) -> DataFrame:
                   .where(tested - F.col("shared") <= allowed).select("owner"), "left")
     rows = stored(_rows_left(docs, left, n), "rows")
     release(left)
-    comp = _class_components(rows, stored(_postings(rows, blocks, threshold), "postings"), threshold)
+    comp = _class_components(rows, _postings(rows, blocks, threshold), threshold)
     release(rows)
     if comp is not None:
         named = (classes.join(comp.withColumnRenamed("node", "owner").select("owner", "comp"), "owner", "left")
@@ -492,7 +494,8 @@ def keep_one(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) -> DataFra
     """``docs`` with one row of each group: of smallest id, null ids last; of rows
     that share this id the one of smallest text hash; of rows that repeat id and
     text any one. Blank texts are in no group and all stay. Further columns may have
-    any name."""
+    any name. The rows are shuffled once to meet their marks, also where few marks would
+    be broadcast: what the job needs then follows its input."""
     every = _members(docs, n, threshold)
     members = stored(every.where("comp is not null")
                      .groupBy("comp", "doc_id", "text_hash").agg(F.count("*").alias("rows")), "copies")
@@ -508,6 +511,6 @@ def keep_one(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) -> DataFra
     quoted = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
     whole = docs.select(F.struct(*quoted).alias("row"), F.col("doc_id").cast("long").alias("id"), _text_hash(docs).alias("own"))
     own = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("own") == F.col("keep_hash"))
-    once = whole.join(marked, own, "left_anti")
-    repeated = whole.join(marked.where("not gone"), own, "left_semi").dropDuplicates(["id", "own"])
+    once = whole.join(marked.hint("merge"), own, "left_anti")
+    repeated = whole.join(marked.where("not gone").hint("merge"), own, "left_semi").dropDuplicates(["id", "own"])
     return once.union(repeated).select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -12,8 +12,8 @@ of the scoring plan.
 All labelled rows are used, for the trusted counts and for the threshold; the raw
 counts and the scores cover every document. Labels are joined by id, by a shuffle of
 both sides whatever their number, so the disk needed is the texts' own size and grows
-with them alone. The scored rows are stored, so a text is scored once: the threshold is read off the
-stored scores of all labelled documents. It is the score that best separates the
+with them alone. The figures of the scored rows are stored, without their texts, so a text is scored
+once: the threshold is read off the stored scores of all labelled documents. It is the score that best separates the
 two labels (balanced accuracy) among those that reject at most ``max_loss`` of
 the trusted ones. Without labels of both kinds no document is rejected by score.
 
@@ -32,7 +32,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from winback.llm.common import stored, text_of, words_of
+from winback.llm.common import release, stored, text_of, words_of
 
 BUCKETS = 1 << 14
 MIN_WORDS = 50
@@ -116,6 +116,11 @@ def _spread(docs: DataFrame) -> Column:
     return F.when(F.col("doc_id").isNull(), F.xxhash64(text_of(docs))).otherwise(F.lit(0).cast("long"))
 
 
+def _text_key(text: Column) -> list[Column]:
+    """Two hashes that tell a text, _k1 and _k2."""
+    return [F.xxhash64(text).alias("_k1"), F.xxhash64(F.lit(1), text).alias("_k2")]
+
+
 def _literal(values: list[float]) -> Column:
     """A constant array<double>, folded once by the optimizer."""
     return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
@@ -137,10 +142,12 @@ def log_ratios(docs: DataFrame, own: DataFrame, buckets: int = BUCKETS) -> list[
               .select(F.coalesce("_good", F.lit(0)).alias("_good"),
                       F.explode(ngram_buckets(F.col("_h"), buckets)).alias("b"))
               .groupBy("b").agg(F.count("*").alias("raw"), F.sum("_good").alias("good")))
+    counts = stored(counts, "gram_counts")  # stored: the shuffled texts are given back here
     raw, good_n = [1.0] * buckets, [1.0] * buckets
     for b, r, g in counts.collect():        # at most ``buckets`` rows
         raw[b] += r
         good_n[b] += g
+    release(counts)
     if sum(good_n) == buckets:              # nothing trusted: no evidence either way
         return [0.0] * buckets
     sr, sg = sum(raw), sum(good_n)
@@ -196,11 +203,16 @@ def _verdict(scored: DataFrame, cut: float) -> DataFrame:
 
 def keep_documents(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
                    max_loss: float = MAX_LOSS) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, columns unchanged."""
+    """The rows of ``docs`` that the rules keep, columns unchanged. Only figures are stored:
+    the rows meet their verdict by id and 128 bits of hash of the text, on which it depends,
+    by a shuffle at every size."""
     own = labelled(labels)
     ratios = log_ratios(docs, own, buckets)
-    cols = docs.columns
-    whole = (docs.select(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in cols]).alias("_row"), "doc_id",
-                         text_of(docs).alias("text")))
-    scored = stored(_scored(whole, ratios, "_row").select("_row", "doc_id", "base_failed", "quality_score"), "quality")
-    return _verdict(scored, threshold(scored, own, max_loss)).where("kept").select("_row.*")
+    scored = stored(_scored(docs, ratios).select("doc_id", *_text_key(F.col("_t")), "base_failed", "quality_score"),
+                    "quality")
+    kept = (_verdict(scored, threshold(scored, own, max_loss)).where("kept")
+            .select(F.col("doc_id").alias("_id"), F.col("_k1").alias("_l1"), F.col("_k2").alias("_l2")))
+    whole = docs.select(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias("_row"),
+                        "doc_id", *_text_key(text_of(docs)))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_k1") == F.col("_l1")) & (F.col("_k2") == F.col("_l2"))
+    return whole.join(kept.hint("merge"), same, "left_semi").select("_row.*")
