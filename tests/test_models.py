@@ -274,3 +274,96 @@ def test_rows_of_one_file_are_dealt_to_all_cores(spark):
     assert mdl.dealt(df, most_rows=mdl.TASK_ROWS // 2, task_rows=2_000).rdd.getNumPartitions() >= 8
     few = df.limit(mdl.TASK_ROWS)
     assert mdl.dealt(few) is few
+
+
+FEATURES = ["a", "b", "c", "d"]
+
+
+def _labelled(spark, n, parts=6):
+    """Rows of customers with up to three products, some without any, and columns of many, few
+    and heavy values."""
+    k = F.col("id")
+    noise = lambda seed: F.pmod(F.xxhash64(F.lit(seed), k), F.lit(1_000_003)) / 1_000_003
+    return spark.range(0, n, 1, parts).select(
+        F.floor(k / 3).alias("customer_id"),
+        F.when(k % 50 > 0, (noise(1) * 2 + F.round(noise(3)) + 1).cast("int")).alias("pdm_prod_type_id"),
+        noise(2).alias("a"), F.floor(noise(3) * 9).cast("int").alias("b"),
+        F.when(noise(4) < 0.7, 0.5).otherwise(noise(5)).alias("c"), F.lit("x").alias("d"))
+
+
+def test_models_are_fitted_on_all_labelled_rows(spark):
+    """A table beyond the rows that every task gets was cut to a sample of them."""
+    n = prop.ONE_PIECE_ROWS + 20_000
+    frame = io.materialize(prop.training_frame(_labelled(spark, n), FEATURES))
+    held = frame.where("held_out").count()
+    assert frame.count() == n and 0.15 * n < held < 0.25 * n
+    models = prop.fit_product_models(frame, [1, 2, 7], params=SMALL | {"rounds": 3}).orderBy("product").collect()
+    assert [(r.product, r.fit_rows, r.held_rows) for r in models] == [(p, n - held, held) for p in (1, 2, 7)]
+    rows = frame.where("not held_out").groupBy("pdm_prod_type_id").count().collect()
+    shares = {r.pdm_prod_type_id: r["count"] / (n - held) for r in rows}
+    for r in models:
+        share = shares.get(r.product, 1e-6)
+        assert product_trees.unpacked(bytes(r.model))["start"][0] == pytest.approx(np.log(share / (1 - share)))
+
+
+def test_rows_in_blocks_give_the_trees_of_one_table(spark, monkeypatch):
+    frame = io.materialize(prop.training_frame(_labelled(spark, 6000), FEATURES))
+    x = np.array([r.features for r in frame.orderBy("place").collect()])
+    some, kinds = SMALL | {"rounds": 7}, {}
+    kinds["table"] = prop.fit_product_models(frame, [1, 2, 7], params=some).collect()
+    monkeypatch.setattr(prop, "ONE_PIECE_ROWS", 0)
+    monkeypatch.setattr(prop, "CHECKPOINT_ROUNDS", 3)
+    monkeypatch.setattr(prop, "SPREAD_CHUNK_ROWS", 500)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "700")
+    try:
+        binned = io.materialize(prop.binned_frame(frame))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert binned.count() > 6
+    kinds["here"] = prop.fit_product_models(frame, [1, 2, 7], params=some, binned=binned).collect()
+    monkeypatch.setattr(prop, "TASK_ROWS", 0)
+    kinds["spread"] = prop.fit_product_models(frame, [1, 2, 7], params=some, binned=binned).collect()
+    rows = {k: {r.product: (r.fit_rows, r.held_rows, bytes(r.model)) for r in v} for k, v in kinds.items()}
+    assert rows["here"] == rows["spread"]                       # to the last bit
+    for p, (fit_rows, held_rows, model) in rows["table"].items():
+        assert rows["here"][p][:2] == (fit_rows, held_rows)
+        want, got = product_trees.unpacked(model), product_trees.unpacked(rows["here"][p][2])
+        assert (want["feature"] == got["feature"]).all() and (want["threshold"] == got["threshold"]).all()
+        assert product_trees.margins(got, x) == pytest.approx(product_trees.margins(want, x))
+        assert product_trees.probability(got, x) == pytest.approx(product_trees.probability(want, x))
+
+
+def test_edges_of_a_large_table(spark):
+    rng = np.random.default_rng(2)
+    x = np.column_stack([rng.normal(size=900), rng.integers(0, 64, 900), rng.integers(0, 65, 900),
+                         np.where(rng.random(900) < 0.9, 1.5, rng.random(900)), np.full(900, 3.0)])
+    x[5, 0], x[6, 0] = np.inf, -np.inf
+    df = spark.createDataFrame([(r.tolist(),) for r in x], "features array<double>").repartition(5)
+    for got, want in zip(prop.quantile_edges(df, 5), product_trees.bin_edges(x), strict=True):
+        assert got.tolist() == want.tolist()
+    assert [len(e) for e in prop.quantile_edges(df.limit(0), 5)] == [0] * 5
+
+
+def test_calibration_in_pieces(spark):
+    rng = np.random.default_rng(4)
+    rows = [(p, float(s), int(rng.random() < s), 1) for p in (1, 2, 5) for s in rng.integers(0, 400, 3000) / 400]
+    df = spark.createDataFrame(rows, "product int, raw double, positives long, weight long").repartition(7)
+    got = prop.calibration(df)
+    assert sorted(got) == [1, 2, 5]
+    for p, blocks in got.items():
+        s, y = (np.array([r[i] for r in rows if r[0] == p], float) for i in (1, 2))
+        for a, b in zip(product_trees.steps(blocks), product_trees.isotonic(s, y), strict=True):
+            assert a.tolist() == b.tolist()
+    assert prop.calibration(df.limit(0)) == {}
+
+
+def test_scoring_job_of_a_large_table(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(prop, "ONE_PIECE_ROWS", 0)
+    fx, base = Fixtures(spark, sf_dir), _base(spark)
+    paths = jobs.run_scoring_job(fx, base, SMALL, batch=4)
+    rows = fx.propensity_training().count()
+    for m in paths["models"]:
+        assert {r.fit_rows + r.held_rows for r in spark.read.parquet(m).collect()} == {rows}
+    assert {s["stage"] for s in RunManifest(spark, base).stages()} >= {"frame", "binned"}
+    wide = io.read_table(spark, paths["wide"])
+    assert wide.count() == 150 and wide.columns == ["customer_id", *(f"p{p}" for p in paths["products"])]
